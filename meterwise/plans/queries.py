@@ -24,6 +24,7 @@ from meterwise.operators.dims import (build_dim_time, build_dim_vendor, dim_date
 from meterwise.operators.fact import build_fact
 from meterwise.plans import fixtures as FX
 from meterwise.plans import sqlparts as Q
+from meterwise.session import apply_query_conf
 
 MODE = "decimal"
 # Orders ship up to ~7 years after the order date; a one-day cap would drop
@@ -38,6 +39,7 @@ ORACLE: dict[str, str] = {}
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_query_conf(spark)
             return conform(fn(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -20,8 +20,26 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The cleaning predicates sit on derived columns that later projections
+    # re-alias many times; constraint propagation enumerates predicate x
+    # alias combinations and can spend minutes (or the heap) planning.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
+# Runtime SQL settings a query needs whatever session it runs in.
+QUERY_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
+
+def apply_query_conf(spark: SparkSession) -> None:
+    """Set :data:`QUERY_CONF` on a session we did not build (runtime SQL
+    settings only; nothing that needs a restart)."""
+    for k, v in QUERY_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "meterwise", extra: dict | None = None,
