@@ -491,3 +491,315 @@ def cumulative_continuity(spark, sf_dir):
     cum = N.build_cumulative_mart(fact(spark, sf_dir, "orders"), M.VENDOR_MONTH,
                                   vendor_dim(spark, sf_dir, "orders"), MODE, load_ts=False)
     return N.continuity_summary(cum, "vendor_id")
+
+
+# ------------------------------------------------------------ roll-ups, top-k
+
+def _vendor_hour_mart_sql() -> str:
+    return f"""(SELECT pickup_hour, vendor_id, {Q.metric_list(Q.VENDOR_HOUR_METRICS)}
+      FROM cl GROUP BY year_month, pickup_year, pickup_month, pickup_hour, vendor_id)"""
+
+
+@register("vendor_hour_rollup", Q.with_clauses(Q.TE, CL_TE) + f"""
+SELECT pickup_hour, CAST(sum(trip_count) AS BIGINT) AS total_trips,
+       round(avg(avg_fare_amount), 6) AS avg_of_avg_fare,
+       CAST(sum(total_fare_amount) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS weighted_avg_fare
+FROM {_vendor_hour_mart_sql()} m GROUP BY pickup_hour""")
+def vendor_hour_rollup(spark, sf_dir):
+    """A10: hour roll-up of the vendor mart (unweighted and weighted fare)."""
+    vm = M.build_metric_mart(fact(spark, sf_dir, "events"), M.VENDOR_HOUR,
+                             vendor_dim(spark, sf_dir, "events"), MODE, load_ts=False)
+    r = M.vendor_hour_rollup(vm)
+    return r.withColumn("avg_of_avg_fare", F.round("avg_of_avg_fare", 6))
+
+
+def _monthly_sql_cte(entity, dim):
+    head, join, extra = _monthly_sql(entity, dim)
+    return Q.with_clauses(Q.TO, CL_TO, Q.ZONE, *extra) + f""", mart AS (
+SELECT m.pickup_year AS year, m.pickup_month AS month, m.year_month, {head},
+       {', '.join(Q.MONTHLY_METRICS)}
+FROM (SELECT year_month, pickup_year, pickup_month, {entity}, {Q.metric_list(Q.MONTHLY_METRICS)}
+      FROM cl GROUP BY year_month, pickup_year, pickup_month, {entity}) m
+{join})
+"""
+
+
+def _monthly_vendor_df(spark, sf_dir):
+    return M.build_metric_mart(fact(spark, sf_dir, "orders"), M.VENDOR_MONTH,
+                               vendor_dim(spark, sf_dir, "orders"), MODE, load_ts=False)
+
+
+def _monthly_zone_df(spark, sf_dir):
+    return M.build_metric_mart(fact(spark, sf_dir, "orders"), M.ZONE_MONTH, zone(spark, sf_dir),
+                               MODE, load_ts=False)
+
+
+@register("vendor_totals", _monthly_sql_cte("vendor_id", "vendor") + f"""
+SELECT vendor_name, CAST(sum(monthly_trip_count) AS BIGINT) AS total_trips,
+       CAST(sum(monthly_total_amount) AS {Q.SUMDEC}) AS total_revenue
+FROM mart GROUP BY vendor_name""")
+def vendor_totals(spark, sf_dir):
+    """Trips and revenue by vendor name over all months."""
+    return M.entity_totals(_monthly_vendor_df(spark, sf_dir), ["vendor_name"], MODE)
+
+
+_ZONE_TOTALS_SQL = f"""
+SELECT pickup_location_id, borough, zone, CAST(sum(monthly_trip_count) AS BIGINT) AS total_trips,
+       CAST(sum(monthly_total_amount) AS {Q.SUMDEC}) AS total_revenue
+FROM mart GROUP BY pickup_location_id, borough, zone"""
+
+
+@register("zone_totals", _monthly_sql_cte("pickup_location_id", "zone") + _ZONE_TOTALS_SQL)
+def zone_totals(spark, sf_dir):
+    """A12 + A13: trips and revenue by zone over all months."""
+    return M.entity_totals(_monthly_zone_df(spark, sf_dir), ["pickup_location_id", "borough", "zone"], MODE)
+
+
+@register("top_zones_revenue", _monthly_sql_cte("pickup_location_id", "zone")
+          + f", zt AS ({_ZONE_TOTALS_SQL})\nSELECT * FROM zt ORDER BY total_revenue DESC, "
+            "pickup_location_id LIMIT 10")
+def top_zones_revenue(spark, sf_dir):
+    """K2: top 10 zones by revenue (tie-break on zone id)."""
+    t = M.entity_totals(_monthly_zone_df(spark, sf_dir), ["pickup_location_id", "borough", "zone"], MODE)
+    return M.top_k(t, "total_revenue", 10, ["pickup_location_id"])
+
+
+@register("top_zones_trips", _monthly_sql_cte("pickup_location_id", "zone")
+          + f", zt AS ({_ZONE_TOTALS_SQL})\nSELECT * FROM zt ORDER BY total_trips DESC, "
+            "pickup_location_id LIMIT 10")
+def top_zones_trips(spark, sf_dir):
+    """K3: top 10 zones by trips (tie-break on zone id)."""
+    t = M.entity_totals(_monthly_zone_df(spark, sf_dir), ["pickup_location_id", "borough", "zone"], MODE)
+    return M.top_k(t, "total_trips", 10, ["pickup_location_id"])
+
+
+@register("sample_entities", _monthly_sql_cte("pickup_location_id", "zone") + """
+SELECT * FROM mart WHERE pickup_location_id IN
+  (SELECT DISTINCT pickup_location_id FROM mart ORDER BY pickup_location_id LIMIT 3)""")
+def sample_entities(spark, sf_dir):
+    """K4 + K5 + F6: three sampled zones (deterministic order) and all their
+    monthly rows through one semi-join."""
+    mz = _monthly_zone_df(spark, sf_dir)
+    s = M.sample_entities(mz, "pickup_location_id", 3)
+    return M.lookup_entities(mz, s, "pickup_location_id")
+
+
+# ------------------------------------------------------------ daily partials
+
+_PARTIAL_SUMS = {
+    "trip_count": "count(*)",
+    "passenger_count": "CAST(sum(passenger_count) AS BIGINT)",
+    "distance": Q.sum_dec("trip_distance"),
+    "duration_min": Q.sum_dec("trip_duration_min"),
+    "fare_amount": Q.sum_dec("fare_amount"),
+    "tip_amount": Q.sum_dec("tip_amount"),
+    "tolls_amount": Q.sum_dec("tolls_amount"),
+    "total_amount": Q.sum_dec("total_amount"),
+}
+_PARTIAL_SQL = f"""(SELECT pickup_date, pickup_year, pickup_month, pickup_day, pickup_hour, pickup_location_id,
+         {Q.metric_list(_PARTIAL_SUMS)}
+  FROM cl GROUP BY pickup_date, pickup_year, pickup_month, pickup_day, pickup_hour, pickup_location_id)"""
+
+
+@register("partial_day_mart", Q.with_clauses(Q.TE, CL_TE) + f"SELECT * FROM {_PARTIAL_SQL} p")
+def partial_day_mart(spark, sf_dir):
+    """Date x hour x zone partial sums (sketch column left out here:
+    binary sketches are checked by ``partial_percentiles``)."""
+    from meterwise.operators.partial import build_daily_partial
+    return build_daily_partial(fact(spark, sf_dir, "events"), money_mode=MODE, sketch=False)
+
+
+_MERGED_SQL = f"""
+SELECT strftime(pickup_date, '%Y-%m') AS year_month, pickup_year, pickup_month, pickup_hour, pickup_location_id,
+       CAST(sum(trip_count) AS BIGINT) AS trip_count,
+       CAST(sum(passenger_count) AS BIGINT) AS total_passenger_count,
+       CAST(sum(distance) AS {Q.SUMDEC}) AS total_distance,
+       CAST(sum(duration_min) AS {Q.SUMDEC}) AS total_duration_min,
+       CAST(sum(fare_amount) AS {Q.SUMDEC}) AS total_fare_amount,
+       CAST(sum(tip_amount) AS {Q.SUMDEC}) AS total_tip_amount,
+       CAST(sum(tolls_amount) AS {Q.SUMDEC}) AS total_tolls_amount,
+       CAST(sum(total_amount) AS {Q.SUMDEC}) AS total_amount,
+       CAST(sum(distance) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS avg_distance,
+       CAST(sum(duration_min) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS avg_duration_min,
+       CAST(sum(fare_amount) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS avg_fare_amount,
+       CAST(sum(total_amount) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS avg_total_amount
+FROM {_PARTIAL_SQL} p
+GROUP BY 1, pickup_year, pickup_month, pickup_hour, pickup_location_id"""
+
+
+@register("partial_merged_mart", Q.with_clauses(Q.TE, CL_TE) + _MERGED_SQL)
+def partial_merged_mart(spark, sf_dir):
+    """Monthly hour x zone mart merged from daily partials (additive
+    columns; averages from sums and counts, never averages of averages)."""
+    from meterwise.operators.partial import build_daily_partial, merge_partials
+    p = build_daily_partial(fact(spark, sf_dir, "events"), money_mode=MODE, sketch=False)
+    return merge_partials(p, money_mode=MODE, quantiles=False)
+
+
+@register("partial_percentiles")
+def partial_percentiles(spark, sf_dir):
+    """A17 percentiles: KLL sketches per day merged per month, next to the
+    direct ``percentile_approx``; ``within_error`` checks the rank error."""
+    from meterwise.operators.partial import build_daily_partial, merge_partials
+    f = fact(spark, sf_dir, "events")
+    merged = merge_partials(build_daily_partial(f, money_mode=MODE), money_mode=MODE).select(
+        "year_month", "pickup_hour", "pickup_location_id", "trip_count",
+        F.col("p50_duration_min").alias("kll_p50"), F.col("p90_duration_min").alias("kll_p90"))
+    direct = f.groupBy("year_month", "pickup_hour", "pickup_location_id").agg(
+        F.percentile_approx("trip_duration_min", 0.5).alias("p50"),
+        F.percentile_approx("trip_duration_min", 0.9).alias("p90"),
+        F.min("trip_duration_min").alias("lo"), F.max("trip_duration_min").alias("hi"))
+    j = merged.join(direct, ["year_month", "pickup_hour", "pickup_location_id"], "inner")
+    return j.withColumn("within_range", (F.col("kll_p50") >= F.col("lo")) & (F.col("kll_p50") <= F.col("hi"))
+                        & (F.col("kll_p90") >= F.col("lo")) & (F.col("kll_p90") <= F.col("hi")))
+
+
+# ------------------------------------------------------------ quality
+
+@register("reconcile_mart", _monthly_sql_cte("pickup_location_id", "zone") + f"""
+SELECT f.fact_rows, m.mart_rows, m.mart_trip_sum, f.fact_total_amount, m.mart_total_amount,
+       abs(coalesce(f.fact_total_amount, 0) - coalesce(m.mart_total_amount, 0)) AS amount_diff,
+       f.fact_rows = coalesce(m.mart_trip_sum, 0)
+         AND abs(coalesce(f.fact_total_amount, 0) - coalesce(m.mart_total_amount, 0)) < 0.01 AS passed
+FROM (SELECT count(*) AS fact_rows, CAST(sum(total_amount) AS {Q.SUMDEC}) AS fact_total_amount FROM cl) f,
+     (SELECT count(*) AS mart_rows, CAST(sum(monthly_trip_count) AS BIGINT) AS mart_trip_sum,
+             CAST(sum(monthly_total_amount) AS {Q.SUMDEC}) AS mart_total_amount FROM mart) m""")
+def reconcile_mart(spark, sf_dir):
+    """V1 (+ V2's monthly form): mart trip sum = fact rows, totals agree."""
+    from meterwise.operators.quality import validate_mart
+    return validate_mart(fact(spark, sf_dir, "orders"), _monthly_zone_df(spark, sf_dir),
+                         count_col="monthly_trip_count", amount_col="monthly_total_amount")
+
+
+@register("reconcile_by_month", _monthly_sql_cte("pickup_location_id", "zone") + f"""
+SELECT coalesce(f.year, m.year) AS year, coalesce(f.month, m.month) AS month,
+       coalesce(f.fact_trips, 0) AS fact_trips, coalesce(m.mart_trips, 0) AS mart_trips,
+       f.fact_amount, m.mart_amount,
+       coalesce(f.fact_amount, 0) - coalesce(m.mart_amount, 0) AS amount_diff
+FROM (SELECT pickup_year AS year, pickup_month AS month, count(*) AS fact_trips,
+             CAST(sum(total_amount) AS {Q.SUMDEC}) AS fact_amount FROM cl GROUP BY 1, 2) f
+FULL JOIN (SELECT year, month, CAST(sum(monthly_trip_count) AS BIGINT) AS mart_trips,
+                  CAST(sum(monthly_total_amount) AS {Q.SUMDEC}) AS mart_amount FROM mart GROUP BY 1, 2) m
+  ON f.year = m.year AND f.month = m.month""")
+def reconcile_by_month(spark, sf_dir):
+    """V6: fact vs mart per month (full outer join of two month aggregates)."""
+    from meterwise.operators.quality import reconcile_by_month as rbm
+    return rbm(fact(spark, sf_dir, "orders"), _monthly_zone_df(spark, sf_dir),
+               "monthly_trip_count", "monthly_total_amount")
+
+
+@register("quality_cleaned", W_TO + """
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE pickup_datetime IS NULL OR dropoff_datetime IS NULL) AS null_times,
+       count(*) FILTER (WHERE dropoff_datetime <= pickup_datetime) AS dropoff_not_after_pickup,
+       count(*) FILTER (WHERE trip_duration_min <= 0) AS nonpositive_duration,
+       count(*) FILTER (WHERE trip_distance <= 0) AS nonpositive_distance,
+       count(*) FILTER (WHERE fare_amount <= 0) AS nonpositive_fare,
+       count(*) FILTER (WHERE total_amount <= 0) AS nonpositive_total,
+       count(*) FILTER (WHERE passenger_count <= 0) AS nonpositive_passengers
+FROM cl""")
+def quality_cleaned(spark, sf_dir):
+    """V3 + V4: the cleaned layer's rule report (violations must be 0)."""
+    from meterwise.operators.quality import cleaned_rules, require_rows
+    c = cleaned(spark, sf_dir, "orders")
+    require_rows(c, "cleaned trips")
+    return cleaned_rules(c)
+
+
+@register("quality_fact", W_TO + f"""
+SELECT count(*) AS cleaned_rows, count(*) AS fact_rows,
+       count(*) FILTER (WHERE trip_duration_min <= 0) AS nonpositive_duration,
+       count(*) FILTER (WHERE {Q.ratio('tip_amount', 'total_amount')} < 0) AS negative_tip_rate,
+       count(*) FILTER (WHERE {Q.ratio('fare_amount', 'trip_distance')} <= 0) AS nonpositive_fare_per_mile
+FROM cl""")
+def quality_fact(spark, sf_dir):
+    """V5: cleaned -> fact rules."""
+    from meterwise.operators.quality import fact_rules
+    return fact_rules(cleaned(spark, sf_dir, "orders"), fact(spark, sf_dir, "orders"))
+
+
+@register("mart_key_nulls", Q.with_clauses(Q.TE, CL_TE) + """
+SELECT count(*) AS rows, count(*) FILTER (WHERE year_month IS NULL) AS null_year_month,
+       count(*) FILTER (WHERE pickup_hour IS NULL) AS null_pickup_hour,
+       count(*) FILTER (WHERE pickup_location_id IS NULL) AS null_pickup_location_id
+FROM (SELECT DISTINCT year_month, pickup_year, pickup_month, pickup_hour, pickup_location_id FROM cl)""")
+def mart_key_nulls(spark, sf_dir):
+    """V7: null grain keys in the hour x zone mart."""
+    from meterwise.operators.quality import key_nulls
+    mart = M.build_metric_mart(fact(spark, sf_dir, "events"), M.ZONE_HOUR, zone(spark, sf_dir),
+                               MODE, load_ts=False)
+    return key_nulls(mart, ["year_month", "pickup_hour", "pickup_location_id"])
+
+
+@register("dim_coverage", W_TO + """
+SELECT count(*) AS rows, count(*) FILTER (WHERE vendor_id NOT IN (1, 2) OR vendor_id IS NULL) AS unmatched_rows,
+       count(DISTINCT vendor_id) FILTER (WHERE vendor_id NOT IN (1, 2)) AS unmatched_keys
+FROM cl""")
+def dim_coverage(spark, sf_dir):
+    """Fact vendor codes missing from the published vendor list."""
+    return M.dim_coverage(fact(spark, sf_dir, "orders"), static_vendor_dim(spark), "vendor_id", "vendor_id")
+
+
+@register("partition_outliers", W_TO + """
+, c AS (SELECT pickup_year AS year, pickup_month AS month, count(*) AS rows FROM cl GROUP BY 1, 2)
+SELECT c.year, c.month, c.rows, m.median_rows, c.rows < m.median_rows * 0.1 AS is_outlier
+FROM c, (SELECT quantile_disc(rows, 0.5) AS median_rows FROM c) m""")
+def partition_outliers(spark, sf_dir):
+    """V9: months with implausibly few rows against the median month."""
+    from meterwise.operators.quality import partition_outliers as po
+    c = (cleaned(spark, sf_dir, "orders")
+         .groupBy(F.col("pickup_year").alias("year"), F.col("pickup_month").alias("month"))
+         .agg(F.count(F.lit(1)).alias("rows")))
+    return po(c)
+
+
+_EQ_DIRECT = f"""SELECT year_month, pickup_year, pickup_month, pickup_hour, pickup_location_id,
+       count(*) AS trip_count, {Q.sum_dec('total_amount')} AS total_amount
+  FROM cl GROUP BY year_month, pickup_year, pickup_month, pickup_hour, pickup_location_id"""
+_EQ_PARTIAL = f"""SELECT strftime(pickup_date, '%Y-%m') AS year_month, pickup_year, pickup_month, pickup_hour,
+       pickup_location_id, CAST(sum(trip_count) AS BIGINT) AS trip_count,
+       CAST(sum(total_amount) AS {Q.SUMDEC}) AS total_amount
+  FROM {_PARTIAL_SQL} p GROUP BY 1, pickup_year, pickup_month, pickup_hour, pickup_location_id"""
+
+
+@register("equivalence_two_paths", Q.with_clauses(Q.TE, CL_TE) + f"""
+SELECT (SELECT count(*) FROM ({_EQ_DIRECT})) AS rows_a,
+       (SELECT count(*) FROM ({_EQ_PARTIAL})) AS rows_b,
+       (SELECT count(*) FROM (({_EQ_DIRECT}) EXCEPT ALL ({_EQ_PARTIAL}))) AS left_only,
+       (SELECT count(*) FROM (({_EQ_PARTIAL}) EXCEPT ALL ({_EQ_DIRECT}))) AS right_only""")
+def equivalence_two_paths(spark, sf_dir):
+    """V8: the hour x zone mart built directly and through daily partials
+    are equal as multisets (exceptAll both ways)."""
+    from meterwise.operators.partial import build_daily_partial, merge_partials
+    from meterwise.operators.quality import equivalence
+    f = fact(spark, sf_dir, "events")
+    cols = ["year_month", "pickup_year", "pickup_month", "pickup_hour", "pickup_location_id",
+            "trip_count", "total_amount"]
+    direct = M.aggregate(f, M.ZONE_HOUR, MODE).select(*cols)
+    merged = merge_partials(build_daily_partial(f, money_mode=MODE, sketch=False),
+                            money_mode=MODE, quantiles=False).select(*cols)
+    return equivalence(direct, merged)
+
+
+# ------------------------------------------------------------ skew
+
+@register("skew_report", W_TO + """
+SELECT pickup_location_id, count(*) AS rows,
+       CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM cl) AS DOUBLE) AS share
+FROM cl GROUP BY pickup_location_id""")
+def skew_report(spark, sf_dir):
+    """Rows and share of rows per zone key."""
+    from meterwise.operators.skew import key_distribution
+    return key_distribution(fact(spark, sf_dir, "orders"), "pickup_location_id")
+
+
+@register("salted_aggregate", W_TO + f"""
+SELECT vendor_id, count(*) AS rows, {Q.sum_dec('total_amount')} AS sum_total_amount
+FROM cl GROUP BY vendor_id""")
+def salted_aggregate(spark, sf_dir):
+    """Two-phase salted aggregation by vendor (same result as a plain one)."""
+    from meterwise.operators.skew import salted_aggregate as sa
+    f = fact(spark, sf_dir, "orders")
+    out = sa(f, ["vendor_id"], ["total_amount"], salt_buckets=16,
+             salt_cols=["pickup_datetime", "dropoff_datetime", "fare_amount", "pickup_location_id"])
+    return out.withColumn("sum_total_amount", F.col("sum_total_amount").cast(M.SUM_DECIMAL))
