@@ -803,3 +803,209 @@ def salted_aggregate(spark, sf_dir):
     out = sa(f, ["vendor_id"], ["total_amount"], salt_buckets=16,
              salt_cols=["pickup_datetime", "dropoff_datetime", "fare_amount", "pickup_location_id"])
     return out.withColumn("sum_total_amount", F.col("sum_total_amount").cast(M.SUM_DECIMAL))
+
+
+# ------------------------------------------------------------ sources, sinks, months
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint location."""
+    import uuid
+    from meterwise.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/meterwise/{name}-{uuid.uuid4().hex[:12]}"
+
+
+COVER_FROM, COVER_TO = (1994, 6), (2002, 3)
+
+
+@register("month_coverage", W_TO + f"""
+, req AS (SELECT CAST(year(d) AS BIGINT) AS year, CAST(month(d) AS BIGINT) AS month
+          FROM (SELECT unnest(generate_series(DATE '{COVER_FROM[0]}-{COVER_FROM[1]:02d}-01',
+                DATE '{COVER_TO[0]}-{COVER_TO[1]:02d}-01', INTERVAL 1 MONTH)) AS d))
+, av AS (SELECT DISTINCT pickup_year AS year, pickup_month AS month FROM cl)
+SELECT r.year, r.month, CASE WHEN a.year IS NOT NULL THEN 'matched' ELSE 'missing' END AS status
+FROM req r LEFT JOIN av a ON r.year = a.year AND r.month = a.month""")
+def month_coverage(spark, sf_dir):
+    """S8 + S9 + S11 + U3: requested month range against the months present."""
+    from meterwise.sources.months import month_coverage as mc, month_range, months_of
+    avail = months_of(cleaned(spark, sf_dir, "orders"), "pickup_year", "pickup_month")
+    return mc(month_range(spark, COVER_FROM, COVER_TO), avail)
+
+
+PRUNE_MONTHS = [(1996, 1), (1996, 2), (1996, 3)]
+_PRUNE_WHERE = " OR ".join(f"(pickup_year = {y} AND pickup_month = {m})" for y, m in PRUNE_MONTHS)
+
+
+@register("pruned_read", W_TO + f"""
+SELECT pickup_year AS year, pickup_month AS month, pickup_datetime, vendor_id, pickup_location_id,
+       fare_amount, total_amount
+FROM cl WHERE {_PRUNE_WHERE}""")
+def pruned_read(spark, sf_dir):
+    """S10 + S14 + W3/W4: write a year/month partitioned layer, read three
+    months back through a partition filter (directory pruning)."""
+    from meterwise.sources.readers import read_table
+    from meterwise.sources.writers import write_partitioned
+    path = scratch(spark, "pruned")
+    c = cleaned(spark, sf_dir, "orders").withColumns({"year": F.col("pickup_year"), "month": F.col("pickup_month")})
+    write_partitioned(c, path, ("year", "month"), mode="static")
+    back = read_table(spark, path, PRUNE_MONTHS)
+    return back.select("year", "month", "pickup_datetime", "vendor_id", "pickup_location_id",
+                       "fare_amount", "total_amount")
+
+
+@register("overwrite_dynamic_safe", W_TO + """
+SELECT CAST(1996 AS BIGINT) AS src_year, CAST(1 AS BIGINT) AS src_month, pickup_year, pickup_month,
+       count(*) AS rows
+FROM cl WHERE pickup_year = 1996 AND pickup_month = 1 GROUP BY pickup_year, pickup_month
+UNION ALL
+SELECT CAST(1996 AS BIGINT), CAST(2 AS BIGINT), pickup_year, pickup_month, count(*)
+FROM cl WHERE pickup_year = 1996 AND (pickup_month = 2 OR (pickup_month = 1 AND payment_type = 1))
+GROUP BY pickup_year, pickup_month""")
+def overwrite_dynamic_safe(spark, sf_dir):
+    """W2 + W8 (G3): January is loaded, then February's load - which also
+    carries stray January rows - is loaded twice.  Partitioning by the source
+    month keeps January intact and the rerun idempotent."""
+    from meterwise.sources.writers import save_month
+    path = scratch(spark, "loads")
+    c = cleaned(spark, sf_dir, "orders")
+    jan = c.where((F.col("pickup_year") == 1996) & (F.col("pickup_month") == 1))
+    feb = c.where((F.col("pickup_year") == 1996)
+                  & ((F.col("pickup_month") == 2)
+                     | ((F.col("pickup_month") == 1) & (F.col("payment_type") == 1))))
+    save_month(jan, path, 1996, 1)
+    save_month(feb, path, 1996, 2)
+    save_month(feb, path, 1996, 2)
+    back = spark.read.parquet(path)
+    return back.groupBy("src_year", "src_month", "pickup_year", "pickup_month").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+@register("compacted_output", W_TO + f"""
+SELECT pickup_year AS year, pickup_month AS month, count(*) AS rows,
+       {Q.sum_dec('total_amount')} AS amount, CAST(1 AS BIGINT) AS files
+FROM cl GROUP BY 1, 2""")
+def compacted_output(spark, sf_dir):
+    """A table written with 4 files per month is compacted to one file
+    per month; rows and amounts are unchanged."""
+    from meterwise.sources.writers import compact, write_partitioned
+    src, dst = scratch(spark, "many"), scratch(spark, "compact")
+    write_partitioned(fact(spark, sf_dir, "orders"), src, ("year", "month"), mode="static",
+                      files_per_partition=4)
+    compact(spark, src, dst, ("year", "month"), files_per_partition=1)
+    back = spark.read.parquet(dst).select("year", "month", "total_amount",
+                                          F.col("_metadata.file_path").alias("file"))
+    return back.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("total_amount").cast(M.SUM_DECIMAL).alias("amount"),
+        F.count_distinct("file").alias("files"))
+
+
+CATALOG_MONTHS = [(1997, 1), (1997, 2)]
+
+
+@register("catalog_partitions", W_TO + """
+SELECT pickup_year AS year, pickup_month AS month, count(*) AS rows FROM cl
+WHERE pickup_year = 1997 AND pickup_month IN (1, 2) GROUP BY 1, 2""")
+def catalog_partitions(spark, sf_dir):
+    """External partitioned table; two months registered with
+    ALTER TABLE ... ADD PARTITION (no full MSCK listing)."""
+    import uuid
+    from meterwise.sources.catalog import add_month_partition, register_table
+    from meterwise.sources.writers import write_partitioned
+    path = scratch(spark, "catalog")
+    c = cleaned(spark, sf_dir, "orders").withColumns({"year": F.col("pickup_year"), "month": F.col("pickup_month")})
+    write_partitioned(c, path, ("year", "month"), mode="static")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.drop("year", "month").schema.fields)
+    name = f"mw_cleaned_{uuid.uuid4().hex[:10]}"
+    register_table(spark, name, path, ddl + ", year INT, month INT")
+    for y, m in CATALOG_MONTHS:
+        add_month_partition(spark, name, path, y, m)
+    return spark.table(name).groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("table_profile", W_TE + """
+SELECT count(*) AS rows,
+       min(fare_amount) AS min_fare_amount, max(fare_amount) AS max_fare_amount,
+       count(*) FILTER (WHERE fare_amount IS NULL) AS nulls_fare_amount,
+       min(trip_duration_min) AS min_trip_duration_min, max(trip_duration_min) AS max_trip_duration_min,
+       count(*) FILTER (WHERE trip_duration_min IS NULL) AS nulls_trip_duration_min,
+       min(pickup_hour) AS min_pickup_hour, max(pickup_hour) AS max_pickup_hour,
+       count(*) FILTER (WHERE pickup_hour IS NULL) AS nulls_pickup_hour
+FROM cl""")
+def table_profile(spark, sf_dir):
+    """S13 + M2: row count and per-column min / max / nulls in one pass."""
+    from meterwise.operators.quality import profile
+    return profile(cleaned(spark, sf_dir, "events"), ["fare_amount", "trip_duration_min", "pickup_hour"])
+
+
+# ------------------------------------------------------------ layered monthly runs
+
+RUN_MONTHS = [(1996, 1), (1996, 2)]
+
+
+def _layered_run(spark, sf_dir):
+    """Write monthly source files derived from the tables, run the monthly
+    layers for each, return the layout."""
+    from meterwise.plans.layers import Layout, run_month
+    root = scratch(spark, "layers")
+    lay = Layout(root)
+    raw = FX.as_variant_raw(trips(spark, sf_dir, "orders"), "yellow")
+    for y, m in RUN_MONTHS:
+        src = f"{root}/source/yellow/year={y}/month={m:02d}"
+        (raw.where((F.year("tpep_pickup_datetime") == y) & (F.month("tpep_pickup_datetime") == m))
+         .write.mode("overwrite").parquet(src))
+        run_month(spark, lay, src, y, m, zone(spark, sf_dir), MODE, ORDERS_MAX_MINUTES)
+    return lay
+
+
+_RUN_SQL_MONTH = """
+SELECT 'raw' AS layer, '{ym}' AS months, CAST(NULL AS BIGINT) AS rows_in,
+       (SELECT count(*) FROM tor WHERE year(pickup_datetime) = {y} AND month(pickup_datetime) = {m}) AS rows_out,
+       'ok' AS status
+UNION ALL
+SELECT 'cleaned', '{ym}',
+       (SELECT count(*) FROM tor WHERE year(pickup_datetime) = {y} AND month(pickup_datetime) = {m}),
+       (SELECT count(*) FROM cl WHERE pickup_year = {y} AND pickup_month = {m}), 'ok'
+UNION ALL
+SELECT 'fact', '{ym}', (SELECT count(*) FROM cl WHERE pickup_year = {y} AND pickup_month = {m}),
+       CAST(NULL AS BIGINT), 'ok'
+UNION ALL
+SELECT 'mart', '{ym}', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'ok'"""
+
+
+@register("run_log", Q.with_clauses(Q.TO, CL_TO) + "\nUNION ALL\n".join(
+    _RUN_SQL_MONTH.format(ym=f"{y:04d}-{m:02d}", y=y, m=m) for y, m in RUN_MONTHS))
+def run_log(spark, sf_dir):
+    """O1-O4 + W11 + M1: two monthly runs through every layer; the run log
+    (one record per layer and run, counts from Observations on the writes)."""
+    lay = _layered_run(spark, sf_dir)
+    return spark.read.parquet(lay.run_log).select("layer", "months", "rows_in", "rows_out", "status")
+
+
+_RUN_WHERE = " OR ".join(f"(pickup_year = {y} AND pickup_month = {m})" for y, m in RUN_MONTHS)
+
+
+@register("layered_zone_cumulative", Q.with_clauses(Q.TO, CL_TO, Q.ZONE) + f""", cl2 AS (SELECT * FROM cl WHERE {_RUN_WHERE})
+SELECT m.pickup_year AS year, m.pickup_month AS month, m.year_month, m.pickup_location_id, z.borough,
+       z.zone, z.service_zone, {', '.join(Q.MONTHLY_METRICS)}, {', '.join(c for _, c in Q.CUM)}
+FROM (SELECT *, {Q.cumulative_cols('pickup_location_id')}
+      FROM (SELECT year_month, pickup_year, pickup_month, pickup_location_id, {Q.metric_list(Q.MONTHLY_METRICS)}
+            FROM cl2 GROUP BY year_month, pickup_year, pickup_month, pickup_location_id)) m
+LEFT JOIN zone z ON m.pickup_location_id = z.location_id""")
+def layered_zone_cumulative(spark, sf_dir):
+    """O2-O4 + N4: the zone running-total mart as written by two monthly
+    runs (the second seeded from the first's state), read back."""
+    lay = _layered_run(spark, sf_dir)
+    return spark.read.parquet(lay.mart("zone_cumulative")).drop("created_at", "updated_at")
+
+
+@register("layered_fact_ids", Q.with_clauses(Q.TO, CL_TO) + f"""
+SELECT pickup_year AS year, pickup_month AS month, count(*) AS rows, count(*) AS distinct_ids,
+       count(*) AS span, {Q.sum_dec('total_amount')} AS amount
+FROM cl WHERE {_RUN_WHERE} GROUP BY 1, 2""")
+def layered_fact_ids(spark, sf_dir):
+    """P15 on the written fact: per month, ids unique and dense."""
+    lay = _layered_run(spark, sf_dir)
+    f = spark.read.parquet(lay.fact)
+    return f.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("trip_id").alias("distinct_ids"),
+        (F.max("trip_id") - F.min("trip_id") + 1).alias("span"),
+        F.sum("total_amount").cast(M.SUM_DECIMAL).alias("amount"))
