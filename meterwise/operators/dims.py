@@ -107,11 +107,16 @@ def join_dim(df: DataFrame, dim: DataFrame, on, how: str = "left",
              max_rows: int = MAX_BROADCAST_ROWS, strategy: str = "auto") -> DataFrame:
     """Join a dimension.
 
-    ``strategy="auto"`` broadcasts after checking the dimension's row bound
-    (falls back to a shuffled join beyond it); ``"broadcast"``/``"merge"``
-    force a strategy for comparison runs (J6).
+    * ``"auto"`` - no hint: the planner broadcasts from file statistics and
+      AQE re-checks the *measured* size of the dimension stage at run time
+      (``spark.sql.adaptive.autoBroadcastJoinThreshold``); a dimension that
+      turns out large is joined by shuffle.  No extra job.
+    * ``"checked"`` - broadcast after a ``limit(max_rows + 1)`` row probe
+      (one small job), shuffled join beyond the bound.
+    * ``"broadcast"`` / ``"merge"`` - forced, for comparison runs (J6) and
+      for lookups whose size is fixed (e.g. the 265-zone lookup).
     """
-    if strategy == "broadcast" or (strategy == "auto" and bounded(dim, max_rows)):
+    if strategy == "broadcast" or (strategy == "checked" and bounded(dim, max_rows)):
         dim = F.broadcast(dim)
     elif strategy == "merge":
         dim = dim.hint("merge")

@@ -210,11 +210,15 @@ def hourly_counts(df: DataFrame, hour_col: str = "pickup_hour") -> DataFrame:
 
 
 def dim_coverage(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
-    """Keys with no dimension row, with their row counts, in one pass:
-    a left join to the (broadcast) dim keys flags misses; the aggregate then
-    gives the unmatched share.  Equivalent to a left_anti list + ratio."""
-    d = dim.select(F.col(dim_key).alias("_k"), F.lit(True).alias("_hit")).distinct()
-    j = join_dim(df.select(F.col(key)), d, df[key].eqNullSafe(d["_k"]), "left")
-    return j.agg(F.count(F.lit(1)).alias("rows"),
-                 F.count_if(F.col("_hit").isNull()).alias("unmatched_rows"),
-                 F.count_distinct(F.when(F.col("_hit").isNull(), F.col(key))).alias("unmatched_keys"))
+    """Rows and keys with no dimension row.
+
+    The fact is reduced to one row per key first (partial aggregation), so
+    the join and the ratio work on key counts, never on trips.
+    """
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    d = dim.select(F.col(dim_key).alias("_k")).distinct().withColumn("_hit", F.lit(True))
+    j = join_dim(per_key, d, per_key["_key"].eqNullSafe(d["_k"]), "left")
+    miss = F.col("_hit").isNull()
+    return j.agg(F.sum("_rows").alias("rows"),
+                 F.coalesce(F.sum(F.when(miss, F.col("_rows"))), F.lit(0)).alias("unmatched_rows"),
+                 F.count_if(miss & F.col("_key").isNotNull()).alias("unmatched_keys"))

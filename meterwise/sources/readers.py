@@ -1,9 +1,9 @@
 """Readers for every layer.
 
-One reader serves Source, Raw, Cleaned, Fact, Dim and Mart: Parquet first,
-CSV only when the path is not Parquet.  Only ``AnalysisException`` (the
-"this is not Parquet / cannot infer a schema" family) triggers the CSV
-fallback; a corrupt Parquet file is an error, not CSV.
+One reader serves Source, Raw, Cleaned, Fact, Dim and Mart: Parquet unless
+the input is CSV.  The format is decided from the file names (a directory
+is probed for its first data file), not by catching a failed Parquet read:
+a corrupt Parquet file must fail loudly, never be re-read as CSV.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,8 +20,44 @@ def _paths(path: str | Sequence[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
+_CSV_SUFFIXES = (".csv", ".csv.gz", ".csv.bz2", ".csv.zst")
+
+
+def detect_format(spark: SparkSession, path: str, depth: int = 4) -> str:
+    """``"csv"`` or ``"parquet"`` from the first data file under ``path``
+    (driver-side listing of a few directory entries, no data read)."""
+    low = path.lower()
+    if low.endswith(_CSV_SUFFIXES):
+        return "csv"
+    if low.endswith(".parquet"):
+        return "parquet"
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    frontier = [root]
+    for _ in range(depth):
+        nxt = []
+        for d in frontier:
+            if not fs.exists(d):
+                continue
+            for st in fs.listStatus(d):
+                name = st.getPath().getName()
+                if name.startswith(("_", ".")):
+                    continue
+                if st.isDirectory():
+                    nxt.append(st.getPath())
+                elif name.lower().endswith(_CSV_SUFFIXES):
+                    return "csv"
+                else:
+                    return "parquet"
+        frontier = nxt
+    return "parquet"
+
+
 def read_source(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
-                require_rows: bool = False, base_path: str | None = None) -> DataFrame:
+                require_rows: bool = False, base_path: str | None = None,
+                fmt: str | None = None) -> DataFrame:
     """Read one or many paths.
 
     ``schema`` enforces an explicit (widened) schema on read; that is the
@@ -30,19 +65,18 @@ def read_source(spark: SparkSession, path: str | Sequence[str], schema: StructTy
     empty input with a limit-1 probe instead of a full count.
     """
     paths = _paths(path)
+    fmt = fmt or detect_format(spark, paths[0])
     reader = spark.read
     if base_path:
         reader = reader.option("basePath", base_path)
-    if schema is not None:
-        reader = reader.schema(schema)
-    try:
+    if fmt == "csv":
+        reader = reader.option("header", "true")
+        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
+        df = reader.csv(paths)
+    else:
+        if schema is not None:
+            reader = reader.schema(schema)
         df = reader.parquet(*paths)
-    except AnalysisException:
-        csv = spark.read.option("header", "true")
-        if base_path:
-            csv = csv.option("basePath", base_path)
-        csv = csv.schema(schema) if schema is not None else csv.option("inferSchema", "true")
-        df = csv.csv(paths)
     if require_rows and df.isEmpty():
         raise ValueError(f"input is empty: {paths}")
     return df
