@@ -282,3 +282,15 @@ def reject_reasons(df: DataFrame, variant: str | VariantSpec = "yellow",
     stack = "stack({k}, {pairs}) as (rule, rejected_count)".format(
         k=len(rs), pairs=", ".join(f"'{n}', `{n}`" for n, _ in rs))
     return wide.selectExpr(stack)
+
+
+def legacy_transform(df: DataFrame, pickup: str = "tpep_pickup_datetime") -> DataFrame:
+    """P18 + F5: the legacy single-file job - date parts, a rounded total and
+    four positivity filters (no time-order or location rules)."""
+    pu = F.col(pickup)
+    out = df.withColumns({
+        "pickup_date": F.to_date(pu), "pickup_hour": F.hour(pu), "pickup_dayofweek": F.dayofweek(pu),
+        "pickup_month": F.month(pu), "pickup_year": F.year(pu),
+        "total_amount_rounded": F.round(F.col("total_amount"), 2)})
+    return out.where((F.col("passenger_count") > 0) & (F.col("trip_distance") > 0)
+                     & (F.col("fare_amount") > 0) & (F.col("total_amount") > 0))

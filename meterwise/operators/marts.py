@@ -198,6 +198,11 @@ def sample_entities(df: DataFrame, col: str, n: int = 3) -> DataFrame:
     return df.select(col).distinct().orderBy(F.col(col).asc_nulls_last()).limit(n)
 
 
+def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """K1 + K5: a sorted first-n preview (deterministic with ``order``)."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
+
+
 def lookup_entities(mart: DataFrame, entities: DataFrame, col: str) -> DataFrame:
     """all rows of the sampled entities in one semi-join (the reference
     filters once per entity in a driver loop)."""

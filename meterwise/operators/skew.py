@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 def key_distribution(df: DataFrame, key: str) -> DataFrame:
     """Rows and share of all rows per key value.
 
-    The total comes from a one-row aggregate attached with a broadcast join
-    on a constant: one extra scan, no window over the whole table.
+    The total is summed from the per-key counts (the same shuffle, reused),
+    and attached as a one-row broadcast: no second scan of ``df`` and no
+    window over the whole table.
     """
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.agg(F.count(F.lit(1)).alias("_total")).withColumn("_j", F.lit(1))
+    total = per_key.agg(F.sum("rows").alias("_total")).withColumn("_j", F.lit(1))
     return (per_key.withColumn("_j", F.lit(1))
             .join(F.broadcast(total), "_j")
             .select(key, "rows", (F.col("rows").cast("double") / F.col("_total").cast("double")).alias("share")))

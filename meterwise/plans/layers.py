@@ -71,7 +71,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_raw(spark: SparkSession, layout: Layout, source: str | list[str], year: int, month: int,
-             schema=None, files_per_partition: int = 1) -> dict:
+             schema=None, files_per_partition: int | None = None) -> dict:
     """O1 step 1: one monthly source file -> Raw (unmodified columns)."""
     df, obs = observe(read_source(spark, source, schema), "raw")
     save_month(df, layout.raw, year, month, files_per_partition)
@@ -110,12 +110,15 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
     """O2 step 2 + O3 + O5: dims and the four marts for the touched months."""
     checkpoint_dir(spark)
     fact_all = spark.read.parquet(layout.fact)
-    # D1 from the whole fact: reads one column, partial aggregation per task.
-    dim_vendor = build_dim_vendor(fact_all)
-    write_table(dim_vendor, layout.dim_vendor)
+    fact = fact_all.where(month_filter(months))
+    # D1, incrementally: codes of the touched months joined to the codes
+    # already known (the dimension is checkpointed before it is rewritten).
+    dim_vendor = build_dim_vendor(fact)
+    if _exists(spark, layout.dim_vendor):
+        dim_vendor = dim_vendor.unionByName(spark.read.parquet(layout.dim_vendor)).distinct()
+    write_table(dim_vendor.checkpoint(eager=True), layout.dim_vendor)
     dim_vendor = spark.read.parquet(layout.dim_vendor)
 
-    fact = fact_all.where(month_filter(months))
     if share_fact:  # O5: one scan of the touched months feeds both hourly marts
         fact = fact.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -160,3 +163,44 @@ def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year
         build_marts(spark, layout, months, zone_dim, money_mode)
     append_run_log(spark, layout.run_log, run_log_record(spark, run_id, "mart", months, None, None, "ok"))
     return run_id
+
+
+def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: DataFrame,
+             money_mode: str = "double", max_minutes: float = C.DEFAULT_MAX_MINUTES, schema=None,
+             files_per_partition: int | None = None) -> dict:
+    """O4 (full history): every monthly file under
+    ``source_root/year=Y/month=MM`` through every layer, one job per layer.
+
+    Partition discovery turns the folder names into the source month, so the
+    Raw/Cleaned partitioning by load is the same as monthly runs produce.
+    Every write is a *static* overwrite: a full rebuild must drop months that
+    are no longer produced (G4), which dynamic overwrite would keep.  Pass an
+    explicit ``schema`` when months disagree on column encodings (G10).
+    """
+    checkpoint_dir(spark)
+    src = read_source(spark, source_root, schema).withColumnsRenamed(
+        {"year": "src_year", "month": "src_month"})
+    raw, o_raw = observe(src, "raw")
+    write_partitioned(raw, layout.raw, ("src_year", "src_month"), mode="static",
+                      files_per_partition=files_per_partition)
+    cleaned, o_cl = observe(C.clean(spark.read.parquet(layout.raw), layout.variant, money_mode, max_minutes,
+                                    keep=("src_year", "src_month")), "cleaned")
+    write_partitioned(cleaned, layout.cleaned, ("src_year", "src_month"), mode="static",
+                      files_per_partition=files_per_partition)
+    fact, o_fact = observe(build_fact(spark.read.parquet(layout.cleaned), with_ids=True,
+                                      money_mode=money_mode), "fact")
+    write_partitioned(fact, layout.fact, ("year", "month"), mode="static",
+                      files_per_partition=files_per_partition)
+    fact_all = spark.read.parquet(layout.fact)
+    write_table(build_dim_vendor(fact_all), layout.dim_vendor)
+    dim_vendor = spark.read.parquet(layout.dim_vendor)
+    write_partitioned(M.build_metric_mart(fact_all, M.ZONE_HOUR, zone_dim, money_mode),
+                      layout.mart("zone_hour"), mode="static")
+    write_partitioned(M.build_metric_mart(fact_all, M.VENDOR_HOUR, dim_vendor, money_mode),
+                      layout.mart("vendor_hour"), mode="static")
+    write_partitioned(N.build_cumulative_mart(fact_all, M.VENDOR_MONTH, dim_vendor, money_mode),
+                      layout.mart("vendor_cumulative"), mode="static")
+    write_partitioned(N.build_cumulative_mart(fact_all, M.ZONE_MONTH, zone_dim, money_mode),
+                      layout.mart("zone_cumulative"), mode="static")
+    return {"raw_rows": o_raw.get.get("rows", 0), "cleaned_rows": o_cl.get.get("rows", 0),
+            "fact_rows": o_fact.get.get("rows", 0)}

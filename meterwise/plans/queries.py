@@ -271,10 +271,8 @@ WHERE passenger_count > 0 AND trip_distance > 0 AND fare_amount > 0 AND total_am
 GROUP BY 1""")
 def legacy_clean(spark, sf_dir):
     """P18 + F5 + A14: the legacy job's four positivity filters and hourly count."""
-    t = trips(spark, sf_dir, "events")
-    kept = t.where((F.col("passenger_count") > 0) & (F.col("trip_distance") > 0)
-                   & (F.col("fare_amount") > 0) & (F.col("total_amount") > 0))
-    return M.hourly_counts(kept.withColumn("pickup_hour", F.hour("pickup_datetime")))
+    raw = FX.as_variant_raw(trips(spark, sf_dir, "events"), "yellow")
+    return M.hourly_counts(C.legacy_transform(raw))
 
 
 def _rules_sql(max_minutes):
@@ -1009,3 +1007,107 @@ def layered_fact_ids(spark, sf_dir):
         F.count(F.lit(1)).alias("rows"), F.count_distinct("trip_id").alias("distinct_ids"),
         (F.max("trip_id") - F.min("trip_id") + 1).alias("span"),
         F.sum("total_amount").cast(M.SUM_DECIMAL).alias("amount"))
+
+
+def write_monthly_sources(spark, sf_dir, root: str) -> str:
+    """Monthly source files (yellow spelling) derived from the tables, one
+    folder per pickup month, written in one job."""
+    src = f"{root}/source/yellow"
+    raw = FX.as_variant_raw(trips(spark, sf_dir, "orders"), "yellow")
+    (raw.withColumns({"year": F.year("tpep_pickup_datetime"), "month": F.month("tpep_pickup_datetime")})
+     .hint("rebalance", "year", "month").write.partitionBy("year", "month").mode("overwrite").parquet(src))
+    return src
+
+
+def run_backfill(spark, sf_dir):
+    from meterwise.plans.layers import Layout, backfill
+    root = scratch(spark, "backfill")
+    src = write_monthly_sources(spark, sf_dir, root)
+    lay = Layout(root)
+    metrics = backfill(spark, lay, src, zone(spark, sf_dir), MODE, ORDERS_MAX_MINUTES)
+    return lay, metrics
+
+
+@register("backfill_vendor_cumulative", _cumulative_query_sql("vendor_id", "vendor"))
+def backfill_vendor_cumulative(spark, sf_dir):
+    """O4 backfill: all months through raw, cleaned, fact (with ids), dims
+    and marts in one job per layer; the written vendor running-total mart."""
+    lay, _ = run_backfill(spark, sf_dir)
+    return spark.read.parquet(lay.mart("vendor_cumulative")).drop("created_at", "updated_at")
+
+
+# ------------------------------------------------------------ strategies, CSV, skew summary
+
+@register("hour_zone_mart_merge_join", _zone_hour_sql(W_TE))
+def hour_zone_mart_merge_join(spark, sf_dir):
+    """The flagship mart with the dimension join forced to sort-merge
+    (the comparison run of the join-strategy option); same result."""
+    return M.build_metric_mart(fact(spark, sf_dir, "events"), M.ZONE_HOUR, zone(spark, sf_dir),
+                               money_mode=MODE, load_ts=False, strategy="merge")
+
+
+@register("zone_lookup_csv", Q.with_clauses(Q.ZONE) + "SELECT * FROM zone")
+def zone_lookup_csv(spark, sf_dir):
+    """S1 (CSV branch) + S7 + D2: the zone lookup written as a headed CSV in
+    the published column spelling, read back with an explicit schema."""
+    from meterwise.operators.dims import build_dim_zone
+    from meterwise.sources.readers import read_zone_lookup
+    path = scratch(spark, "zone_lookup_csv")
+    (zone(spark, sf_dir).select(F.col("location_id").alias("LocationID"), F.col("borough").alias("Borough"),
+                                F.col("zone").alias("Zone"), "service_zone")
+     .coalesce(1).write.option("header", "true").csv(path))
+    return build_dim_zone(read_zone_lookup(spark, path))
+
+
+@register("split_mart_by_zone", _zone_hour_sql(W_TE))
+def split_mart_by_zone(spark, sf_dir):
+    """A18: "one mart per zone" as one job - the mart written partitioned by
+    zone (one folder per entity), then read back whole."""
+    from meterwise.operators.partial import split_by_entity
+    from meterwise.sources.writers import write_partitioned
+    path = scratch(spark, "split_mart")
+    mart = M.build_metric_mart(fact(spark, sf_dir, "events"), M.ZONE_HOUR, zone(spark, sf_dir),
+                               money_mode=MODE, load_ts=False)
+    write_partitioned(split_by_entity(mart, "pickup_location_id"), path, ("pickup_location_id",),
+                      mode="static", cluster=False)
+    back = spark.read.parquet(path)
+    return back.select(*mart.columns)
+
+
+@register("skew_summary", W_TO + """
+, k AS (SELECT pickup_location_id, count(*) AS rows FROM cl GROUP BY 1)
+, s AS (SELECT list_sort(list(rows)) AS xs, count(*) AS n, sum(rows) AS total, max(rows) AS mx FROM k)
+SELECT n AS keys, CAST(total AS BIGINT) AS total_rows, mx AS max_rows,
+       xs[CAST(ceil(0.5 * n) AS BIGINT)] AS p50_rows, xs[CAST(ceil(0.95 * n) AS BIGINT)] AS p95_rows,
+       CAST(mx AS DOUBLE) / CAST(total AS DOUBLE) AS max_share,
+       CAST(mx AS DOUBLE) / CAST(xs[CAST(ceil(0.5 * n) AS BIGINT)] AS DOUBLE) AS max_to_median
+FROM s""")
+def skew_summary(spark, sf_dir):
+    """Keys, max / p50 / p95 rows per key and the max-to-median ratio."""
+    from meterwise.operators.skew import skew_summary as ss
+    return ss(fact(spark, sf_dir, "orders"), "pickup_location_id")
+
+
+@register("validate_cumulative_vendor", _cumulative_query_sql("vendor_id", "vendor").replace(
+    "\nSELECT m.pickup_year AS year", ", cum AS (\nSELECT m.pickup_year AS year", 1) + f""")
+, lg AS (SELECT *, {', '.join(f"coalesce(lag({c}) OVER w, 0) AS prev_{c}" for _, c in Q.CUM)}
+         FROM cum WINDOW w AS (PARTITION BY vendor_id ORDER BY year, month))
+, f AS (SELECT count(*) AS fact_rows, CAST(sum(total_amount) AS {Q.SUMDEC}) AS fact_total_amount FROM cl)
+, m AS (SELECT count(*) AS mart_rows, CAST(sum(monthly_trip_count) AS BIGINT) AS mart_trip_sum,
+               CAST(sum(monthly_total_amount) AS {Q.SUMDEC}) AS mart_total_amount,
+               count(*) AS checked_rows,
+               count(*) FILTER (WHERE {' OR '.join(f"{c} - prev_{c} <> {mm}" for mm, c in Q.CUM)}) AS violations
+        FROM lg)
+SELECT f.fact_rows, m.mart_rows, m.mart_trip_sum, f.fact_total_amount, m.mart_total_amount,
+       abs(f.fact_total_amount - m.mart_total_amount) AS amount_diff,
+       m.checked_rows, m.violations,
+       f.fact_rows = m.mart_trip_sum AND abs(f.fact_total_amount - m.mart_total_amount) < 0.01
+         AND m.violations = 0 AS passed
+FROM f, m""")
+def validate_cumulative_vendor(spark, sf_dir):
+    """V2: the cumulative mart's monthly columns reconcile with the fact and
+    every running total continues the previous month's."""
+    from meterwise.operators.quality import validate_cumulative
+    f = fact(spark, sf_dir, "orders")
+    cum = N.build_cumulative_mart(f, M.VENDOR_MONTH, vendor_dim(spark, sf_dir, "orders"), MODE, load_ts=False)
+    return validate_cumulative(f, cum, "vendor_id")

@@ -25,16 +25,25 @@ from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampType)
 
 
-def cluster_for_write(df: DataFrame, partition_cols: Sequence[str], files_per_partition: int = 1,
+def cluster_for_write(df: DataFrame, partition_cols: Sequence[str], files_per_partition: int | None = None,
                       salt_cols: Sequence[str] | None = None) -> DataFrame:
-    """Hash-cluster rows by the output partition (plus a salt).
-
-    ``files_per_partition > 1`` splits a large month over that many tasks by
-    ``pmod(xxhash64(salt_cols), k)``; the salt is a deterministic function of
-    row content so a retried task writes the same rows.
+    """Cluster rows by output partition before the write.
+
+    Default (``files_per_partition=None``): a ``rebalance`` hint on the
+    partition columns.  AQE then sizes the write tasks from the measured
+    shuffle (``spark.sql.adaptive.advisoryPartitionSizeInBytes``): a month
+    holding a third of the data is split over many tasks and files, small
+    months are coalesced, so neither one giant task nor thousands of tiny
+    files appear.
+
+    ``files_per_partition=k`` pins the layout instead (compaction): rows go to
+    ``(partition, pmod(xxhash64(salt_cols), k))``; the salt is a function of
+    row content, so a retried task writes the same rows.
     """
     if not partition_cols:
         return df
+    if files_per_partition is None:
+        return df.hint("rebalance", *partition_cols)
     keys = [F.col(c) for c in partition_cols]
     if files_per_partition > 1:
         salt_src = [F.col(c) for c in (salt_cols or df.columns)]
@@ -43,7 +52,7 @@ def cluster_for_write(df: DataFrame, partition_cols: Sequence[str], files_per_pa
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = ("year", "month"),
-                      mode: str = "dynamic", files_per_partition: int = 1,
+                      mode: str = "dynamic", files_per_partition: int | None = None,
                       max_records_per_file: int | None = None, cluster: bool = True,
                       fmt: str = "parquet") -> None:
     """Overwrite a partitioned table.
@@ -77,7 +86,8 @@ def with_source_month(df: DataFrame, year: int, month: int) -> DataFrame:
     return df.withColumns({"src_year": F.lit(int(year)), "src_month": F.lit(int(month))})
 
 
-def save_month(df: DataFrame, path: str, year: int, month: int, files_per_partition: int = 1) -> None:
+def save_month(df: DataFrame, path: str, year: int, month: int,
+               files_per_partition: int | None = None) -> None:
     """Write one monthly load under ``src_year=Y/src_month=M``.
 
     Rows whose own timestamp falls in another month stay with the load that
@@ -105,7 +115,7 @@ def partition_counts(spark: SparkSession, path: str, year_col: str = "year",
 
 
 def compact(spark: SparkSession, path: str, out_path: str, partition_cols: Sequence[str] = ("year", "month"),
-            files_per_partition: int = 1) -> None:
+            files_per_partition: int | None = 1) -> None:
     """Rewrite a table with ``files_per_partition`` files per partition.
 
     Writes to a new location (the shared storage is not rewritten in place);
