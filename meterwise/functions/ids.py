@@ -9,17 +9,18 @@ trips collide too (birthday bound).
 :func:`assign_row_ids` gives every row of a scope (a month) a dense ordinal by
 content order, computed without ever sending a large group to one task:
 
-1. ``bucket = pmod(xxhash64(identity), B)`` spreads *distinct* rows evenly.
-2. ``groupBy(scope, bucket, identity).count()`` collapses identical rows
-   map-side (partial aggregation), so a duplicate row holding a third of the
-   data crosses the shuffle as one row per input partition.
-3. A running sum of the counts over ``Window.partitionBy(scope, bucket)``
-   ordered by the identity columns gives each distinct row its start position
-   inside the bucket; per-bucket totals (``scope x B`` rows, a proven bound)
-   give the bucket offsets.
-4. Rows are regenerated with ``explode(sequence(...))``; groups larger than
-   ``chunk`` are first cut into chunk ranges and repartitioned, so the
-   regeneration of a hot group is spread over many tasks.
+1. ``groupBy(scope, identity).count()`` collapses identical rows map-side
+   (partial aggregation), so a duplicate row holding a third of the data
+   crosses the shuffle as one row per input partition.
+2. Each distinct row is cut into chunk rows of at most ``chunk`` copies
+   (``explode(sequence(0, n - 1, chunk))``; one chunk for ordinary rows).
+3. ``bucket = pmod(xxhash64(scope, identity, chunk_start), B)`` spreads the
+   chunk rows evenly, *including* the chunks of one hot row.  A running sum
+   of chunk sizes over ``Window.partitionBy(scope, bucket)`` ordered by the
+   identity columns gives each chunk its start inside the bucket; per-bucket
+   totals (``scope x B`` rows, a proven bound) give the bucket offsets.
+4. Rows are regenerated with ``explode(sequence(0, size - 1))`` per chunk,
+   so no task ever generates more than ``chunk`` copies of one row.
 
 Ids are ``scope_key << 40 | ordinal``: dense inside a month, disjoint across
 months, and identical on every run over the same input multiset (identical
@@ -58,22 +59,29 @@ def assign_row_ids(df: DataFrame, identity_cols: Sequence[str],
     scope_cols = list(scope_cols)
     ident = [c for c in identity_cols if c not in scope_cols]
     keys = scope_cols + ident
-    b = F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(buckets)).alias("_bkt")
 
-    grouped = (df.select(*keys, b)
-               .groupBy(*scope_cols, "_bkt", *ident)
-               .agg(F.count(F.lit(1)).alias("_n")))
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    chunks = (grouped
+              .withColumn("_c0", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1,
+                                                      F.lit(chunk).cast("long"))))
+              .withColumn("_m", F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_c0")))
+              .withColumn("_bkt", F.pmod(F.xxhash64(*[F.col(c) for c in keys], F.col("_c0")),
+                                         F.lit(buckets))))
 
     # Offsets per (scope, bucket): a table of at most |scope| x B rows.
-    per_bucket = grouped.groupBy(*scope_cols, "_bkt").agg(F.sum("_n").alias("_bn"))
+    per_bucket = chunks.groupBy(*scope_cols, "_bkt").agg(F.sum("_m").alias("_bn"))
     wb = (Window.partitionBy(*scope_cols).orderBy("_bkt")
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     offsets = per_bucket.select(*scope_cols, "_bkt",
                                 (F.sum("_bn").over(wb) - F.col("_bn")).alias("_boff"))
 
-    w = (Window.partitionBy(*scope_cols, "_bkt").orderBy(*[F.col(c).asc_nulls_first() for c in ident])
+    # A 64-bit content hash leads the sort key: the sorter's prefix
+    # comparison settles almost every pair without touching the wide key.
+    order = ([F.xxhash64(*[F.col(c) for c in ident])]
+             + [F.col(c).asc_nulls_first() for c in ident] + [F.col("_c0")])
+    w = (Window.partitionBy(*scope_cols, "_bkt").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    positioned = grouped.withColumn("_start", F.sum("_n").over(w) - F.col("_n"))
+    positioned = chunks.withColumn("_start", F.sum("_m").over(w) - F.col("_m"))
 
     # No hint: the offsets side is |scope| x B rows; AQE measures it at
     # run time and broadcasts it when it is under the broadcast threshold,
@@ -81,14 +89,5 @@ def assign_row_ids(df: DataFrame, identity_cols: Sequence[str],
     based = (positioned.join(offsets, on=[*scope_cols, "_bkt"], how="inner")
              .withColumn("_base", F.shiftleft(_scope_key(scope_cols), ORDINAL_BITS)
                          + F.col("_boff") + F.col("_start")))
-
-    cold = (based.where(F.col("_n") <= chunk)
-            .withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))))
-    hot = (based.where(F.col("_n") > chunk)
-           .withColumn("_c0", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1,
-                                                   F.lit(chunk).cast("long"))))
-           .repartition("_base", "_c0")
-           .withColumn("_i", F.explode(F.sequence(
-               F.col("_c0"), F.least(F.col("_c0") + chunk, F.col("_n")) - 1))))
-    cols = [*keys, (F.col("_base") + F.col("_i")).alias(id_col)]
-    return cold.select(*cols).unionByName(hot.select(*cols))
+    rows = based.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m") - 1)))
+    return rows.select(*keys, (F.col("_base") + F.col("_i")).alias(id_col))
