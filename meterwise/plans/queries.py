@@ -936,61 +936,62 @@ def table_profile(spark, sf_dir):
 
 # ------------------------------------------------------------ layered monthly runs
 
-RUN_MONTHS = [(1996, 1), (1996, 2)]
+NEW_MONTHS = 2  # the latest months arrive as monthly runs after a backfill of the rest
 
 
 def _layered_run(spark, sf_dir):
-    """Write monthly source files derived from the tables, run the monthly
-    layers for each, return the layout."""
-    from meterwise.plans.layers import Layout, run_month
+    """History by backfill, then the latest months by monthly runs.
+
+    Monthly source files for every month are derived from the tables; all
+    but the last ``NEW_MONTHS`` months go through :func:`backfill`, the last
+    ones through :func:`run_month` each (incremental fact, dims and marts,
+    running totals seeded from the backfilled state).  Every row of the
+    tables flows through the layers.
+    """
+    from meterwise.plans.layers import Layout, backfill, run_month
+    from meterwise.sources.months import month_paths
+    from meterwise.sources.readers import month_filter
     root = scratch(spark, "layers")
     lay = Layout(root)
-    raw = FX.as_variant_raw(trips(spark, sf_dir, "orders"), "yellow")
-    for y, m in RUN_MONTHS:
-        src = f"{root}/source/yellow/year={y}/month={m:02d}"
-        (raw.where((F.year("tpep_pickup_datetime") == y) & (F.month("tpep_pickup_datetime") == m))
-         .write.mode("overwrite").parquet(src))
-        run_month(spark, lay, src, y, m, zone(spark, sf_dir), MODE, ORDERS_MAX_MINUTES)
+    src = write_monthly_sources(spark, sf_dir, root)
+    # Folder listing only (partition columns): a calendar-sized result.
+    months = [(r["year"], r["month"]) for r in spark.read.parquet(src).select("year", "month").distinct()
+              .orderBy(F.col("year").desc(), F.col("month").desc()).limit(NEW_MONTHS).collect()]
+    new = sorted(months)
+    z = zone(spark, sf_dir)
+    backfill(spark, lay, src, z, MODE, ORDERS_MAX_MINUTES, source_filter=~month_filter(new))
+    for y, m in new:
+        run_month(spark, lay, month_paths(src, [(y, m)], padded=False), y, m, z, MODE, ORDERS_MAX_MINUTES)
     return lay
 
 
-_RUN_SQL_MONTH = """
-SELECT 'raw' AS layer, '{ym}' AS months, CAST(NULL AS BIGINT) AS rows_in,
-       (SELECT count(*) FROM tor WHERE year(pickup_datetime) = {y} AND month(pickup_datetime) = {m}) AS rows_out,
-       'ok' AS status
-UNION ALL
-SELECT 'cleaned', '{ym}',
-       (SELECT count(*) FROM tor WHERE year(pickup_datetime) = {y} AND month(pickup_datetime) = {m}),
-       (SELECT count(*) FROM cl WHERE pickup_year = {y} AND pickup_month = {m}), 'ok'
-UNION ALL
-SELECT 'fact', '{ym}', (SELECT count(*) FROM cl WHERE pickup_year = {y} AND pickup_month = {m}),
-       CAST(NULL AS BIGINT), 'ok'
-UNION ALL
-SELECT 'mart', '{ym}', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'ok'"""
+_RUN_LOG_SQL = Q.with_clauses(Q.TO, CL_TO) + f"""
+, rc AS (SELECT CAST(year(pickup_datetime) AS BIGINT) AS y, CAST(month(pickup_datetime) AS BIGINT) AS m,
+                count(*) AS n FROM tor GROUP BY 1, 2)
+, lm AS (SELECT * FROM rc ORDER BY y DESC, m DESC LIMIT {NEW_MONTHS})
+, cc AS (SELECT pickup_year AS y, pickup_month AS m, count(*) AS n FROM cl GROUP BY 1, 2)
+, j AS (SELECT lm.n AS raw_n, coalesce(cc.n, 0) AS cl_n, printf('%04d-%02d', lm.y, lm.m) AS ym
+        FROM lm LEFT JOIN cc ON lm.y = cc.y AND lm.m = cc.m)
+SELECT 'raw' AS layer, ym AS months, CAST(NULL AS BIGINT) AS rows_in, raw_n AS rows_out, 'ok' AS status FROM j
+UNION ALL SELECT 'cleaned', ym, raw_n, cl_n, 'ok' FROM j
+UNION ALL SELECT 'fact', CASE WHEN cl_n > 0 THEN ym ELSE '' END, cl_n, CAST(NULL AS BIGINT), 'ok' FROM j
+UNION ALL SELECT 'mart', CASE WHEN cl_n > 0 THEN ym ELSE '' END, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'ok'
+FROM j"""
 
 
-@register("run_log", Q.with_clauses(Q.TO, CL_TO) + "\nUNION ALL\n".join(
-    _RUN_SQL_MONTH.format(ym=f"{y:04d}-{m:02d}", y=y, m=m) for y, m in RUN_MONTHS))
+@register("run_log", _RUN_LOG_SQL)
 def run_log(spark, sf_dir):
-    """O1-O4 + W11 + M1: two monthly runs through every layer; the run log
-    (one record per layer and run, counts from Observations on the writes)."""
+    """O1-O4 + W11 + M1: after a backfill, the latest months run through
+    every layer; the run log holds one record per layer and run, with counts
+    from Observations on the writes."""
     lay = _layered_run(spark, sf_dir)
     return spark.read.parquet(lay.run_log).select("layer", "months", "rows_in", "rows_out", "status")
 
 
-_RUN_WHERE = " OR ".join(f"(pickup_year = {y} AND pickup_month = {m})" for y, m in RUN_MONTHS)
-
-
-@register("layered_zone_cumulative", Q.with_clauses(Q.TO, CL_TO, Q.ZONE) + f""", cl2 AS (SELECT * FROM cl WHERE {_RUN_WHERE})
-SELECT m.pickup_year AS year, m.pickup_month AS month, m.year_month, m.pickup_location_id, z.borough,
-       z.zone, z.service_zone, {', '.join(Q.MONTHLY_METRICS)}, {', '.join(c for _, c in Q.CUM)}
-FROM (SELECT *, {Q.cumulative_cols('pickup_location_id')}
-      FROM (SELECT year_month, pickup_year, pickup_month, pickup_location_id, {Q.metric_list(Q.MONTHLY_METRICS)}
-            FROM cl2 GROUP BY year_month, pickup_year, pickup_month, pickup_location_id)) m
-LEFT JOIN zone z ON m.pickup_location_id = z.location_id""")
+@register("layered_zone_cumulative", _cumulative_query_sql("pickup_location_id", "zone"))
 def layered_zone_cumulative(spark, sf_dir):
-    """O2-O4 + N4: the zone running-total mart as written by two monthly
-    runs (the second seeded from the first's state), read back."""
+    """O2-O4 + N4: the zone running-total mart as written by a backfill plus
+    monthly runs (each seeded from the state before its month), read back."""
     lay = _layered_run(spark, sf_dir)
     return spark.read.parquet(lay.mart("zone_cumulative")).drop("created_at", "updated_at")
 
@@ -998,7 +999,7 @@ def layered_zone_cumulative(spark, sf_dir):
 @register("layered_fact_ids", Q.with_clauses(Q.TO, CL_TO) + f"""
 SELECT pickup_year AS year, pickup_month AS month, count(*) AS rows, count(*) AS distinct_ids,
        count(*) AS span, {Q.sum_dec('total_amount')} AS amount
-FROM cl WHERE {_RUN_WHERE} GROUP BY 1, 2""")
+FROM cl GROUP BY 1, 2""")
 def layered_fact_ids(spark, sf_dir):
     """P15 on the written fact: per month, ids unique and dense."""
     lay = _layered_run(spark, sf_dir)
