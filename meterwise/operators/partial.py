@@ -90,5 +90,6 @@ def merge_partials(partial: DataFrame, entity: str = "pickup_location_id",
 def split_by_entity(mart: DataFrame, entity: str) -> DataFrame:
     """A18: "one mart per entity" as one job: the mart is written with
     ``partitionBy(entity)`` (see ``write_partitioned``) instead of one
-    filter + aggregation per entity; this only clusters rows by entity."""
-    return mart.repartition(F.col(entity))
+    filter + aggregation per entity; this only clusters rows by entity (a
+    ``rebalance`` hint, so AQE splits an entity with many rows)."""
+    return mart.hint("rebalance", entity)

@@ -30,7 +30,7 @@ from meterwise.operators import marts as M
 from meterwise.operators.dims import build_dim_vendor
 from meterwise.operators.fact import build_fact, cleaned_for_months, touched_months
 from meterwise.operators.quality import observe
-from meterwise.session import checkpoint_dir
+from meterwise.session import checkpoint_dir, size_shuffles
 from meterwise.sources.readers import month_filter, read_source
 from meterwise.sources.writers import (append_run_log, run_log_record, save_month, write_partitioned,
                                        write_table)
@@ -109,6 +109,7 @@ def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[
     partitions).  Each touched month is rebuilt from every load holding it.
     """
     cleaned_all = spark.read.parquet(layout.cleaned)
+    size_shuffles(spark, [layout.p(f"cleaned/{layout.variant}/src_year={y}/src_month={m}") for y, m in loads])
     new = cleaned_all.where(month_filter(loads, "src_year", "src_month"))
     months = sorted((r["year"], r["month"]) for r in touched_months(new).collect())
     if not months:
@@ -122,6 +123,7 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
                 money_mode: str = "double", share_fact: bool = True) -> None:
     """O2 step 2 + O3 + O5: dims and the four marts for the touched months."""
     checkpoint_dir(spark)
+    size_shuffles(spark, [f"{layout.fact}/year={y}/month={m}" for y, m in months])
     fact_all = spark.read.parquet(layout.fact)
     fact = fact_all.where(month_filter(months))
     # D1, incrementally: codes of the touched months joined to the codes
@@ -193,6 +195,7 @@ def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: Da
     restricts the months read; it prunes folders, not rows.
     """
     checkpoint_dir(spark)
+    size_shuffles(spark, source_root)
     src = read_source(spark, source_root, schema)
     if source_filter is not None:
         src = src.where(source_filter)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -88,3 +89,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh subfolder of the shared checkpoint directory."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total bytes under ``paths`` from file-system metadata (no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += fs.getContentSummary(hp).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, paths, target_bytes: int = 256 << 20,
+                  expansion: float = 3.0) -> int:
+    """Set ``spark.sql.shuffle.partitions`` for a job reading ``paths``.
+
+    AQE coalesces small shuffle partitions but does not split large ones
+    (outside skew handling), so the *initial* count must fit the biggest
+    shuffle of the job: compressed Parquet bytes x ``expansion`` (rows are
+    wider in the shuffle than in columnar files) / ``target_bytes``, never
+    below the cluster's default parallelism.  Oversizing is cheap with AQE.
+    """
+    n = math.ceil(input_bytes(spark, paths) * expansion / target_bytes)
+    n = max(n, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
