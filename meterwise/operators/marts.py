@@ -205,8 +205,10 @@ def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 def lookup_entities(mart: DataFrame, entities: DataFrame, col: str) -> DataFrame:
     """all rows of the sampled entities in one semi-join (the reference
-    filters once per entity in a driver loop)."""
-    return mart.join(F.broadcast(entities.select(col)), col, "left_semi")
+    filters once per entity in a driver loop).  No hint: a sample from
+    :func:`sample_entities` carries its ``limit`` in the plan statistics, so
+    the planner broadcasts it; a large entity list is joined by shuffle."""
+    return mart.join(entities.select(col), col, "left_semi")
 
 
 def hourly_counts(df: DataFrame, hour_col: str = "pickup_hour") -> DataFrame:

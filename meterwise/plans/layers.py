@@ -95,7 +95,10 @@ def clean_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]
     raw = spark.read.parquet(layout.raw).where(month_filter(loads, "src_year", "src_month"))
     out, obs = observe(C.clean(raw, layout.variant, money_mode, max_minutes,
                                keep=("src_year", "src_month")), "cleaned")
-    write_partitioned(out, layout.cleaned, ("src_year", "src_month"), mode="dynamic")
+    if len(loads) == 1:  # whole-folder overwrite: an empty result clears the load
+        save_month(out, layout.cleaned, *loads[0])
+    else:
+        write_partitioned(out, layout.cleaned, ("src_year", "src_month"), mode="dynamic")
     written = (spark.read.parquet(layout.cleaned).where(month_filter(loads, "src_year", "src_month"))
                if _exists(spark, layout.cleaned) else out.limit(0))
     return {"rows": _rows(obs, written)}

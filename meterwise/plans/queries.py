@@ -373,6 +373,7 @@ def dim_time(spark, sf_dir):
     per_hour = (cleaned(spark, sf_dir, "events").groupBy("pickup_hour")
                 .agg(F.count(F.lit(1)).alias("trips")))
     d = build_dim_time(spark)
+    # per_hour has at most 24 rows (hour of day): a proven broadcast bound.
     j = d.join(F.broadcast(per_hour), d.hour == per_hour.pickup_hour, "left")
     return j.select("hour", "hour_label", "time_bucket",
                     F.coalesce(F.col("trips"), F.lit(0)).alias("trips"))

@@ -86,15 +86,24 @@ def with_source_month(df: DataFrame, year: int, month: int) -> DataFrame:
     return df.withColumns({"src_year": F.lit(int(year)), "src_month": F.lit(int(month))})
 
 
+def load_path(path: str, year: int, month: int) -> str:
+    """Folder of one load, in Spark's own (unpadded) partition naming."""
+    return f"{path.rstrip('/')}/src_year={int(year)}/src_month={int(month)}"
+
+
 def save_month(df: DataFrame, path: str, year: int, month: int,
                files_per_partition: int | None = None) -> None:
     """Write one monthly load under ``src_year=Y/src_month=M``.
 
     Rows whose own timestamp falls in another month stay with the load that
-    brought them, so rerunning February can never touch January.
+    brought them, so rerunning February can never touch January.  The load's
+    folder is overwritten as a whole (explicit path), so a rerun whose output
+    is empty also replaces the old rows - dynamic overwrite would keep them
+    because it only replaces partitions that receive rows (G4).
     """
-    write_partitioned(with_source_month(df, year, month), path, ("src_year", "src_month"),
-                      mode="dynamic", files_per_partition=files_per_partition)
+    out = df.drop("src_year", "src_month")
+    out = out.hint("rebalance") if files_per_partition is None else out.repartition(files_per_partition)
+    out.write.mode("overwrite").parquet(load_path(path, year, month))
 
 
 def save_by_data_month(df: DataFrame, path: str, ts_col: str, mode: str = "dynamic") -> None:

@@ -90,3 +90,13 @@ def test_files_per_partition(spark, out):
     files = [f for f in os.listdir(os.path.join(p, "year=2024", "month=1")) if f.endswith(".parquet")]
     assert 1 <= len(files) <= 3
     assert spark.read.parquet(p).count() == 1000
+
+
+def test_empty_rerun_clears_the_load(spark, out):
+    p = os.path.join(out, "loads")
+    save_month(trips(spark, 1, 3), p, 2024, 1)
+    save_month(trips(spark, 2, 4), p, 2024, 2)
+    save_month(trips(spark, 2, 0), p, 2024, 2)  # February rerun produced nothing
+    got = {(r.src_year, r.src_month): r.rows for r in
+           partition_counts(spark, p, "src_year", "src_month").collect()}
+    assert got == {(2024, 1): 3}
