@@ -148,17 +148,25 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
         if share_fact:
             fact.unpersist()
     start = months[0]
+    k0 = start[0] * 12 + start[1]
+    hourly_of = {"vendor_cumulative": "vendor_hour", "zone_cumulative": "zone_hour"}
     for name, spec, dim in (("vendor_cumulative", M.VENDOR_MONTH, dim_vendor),
                             ("zone_cumulative", M.ZONE_MONTH, zone_dim)):
         path = layout.mart(name)
+        seed = None
         if _exists(spark, path):
-            prev = spark.read.parquet(path)
             # The seed is entity-sized; checkpointing it cuts the lineage to
             # the table about to be overwritten.
-            seed_src = N.latest_state(prev, spec.entity, start).checkpoint(eager=True)
-            recent = fact_all.where(F.col("year") * 12 + F.col("month") >= start[0] * 12 + start[1])
+            seed = N.latest_state(spark.read.parquet(path), spec.entity, start).checkpoint(eager=True)
+        if money_mode == "decimal":
+            # exact: roll the written hourly mart up, no pass over the fact
+            hourly = spark.read.parquet(layout.mart(hourly_of[name]))
+            hourly = hourly.where(F.col("year") * 12 + F.col("month") >= k0) if seed is not None else hourly
+            cum = N.cumulative_from_hourly(hourly, spec, dim, money_mode, True, seed)
+        elif seed is not None:
+            recent = fact_all.where(F.col("year") * 12 + F.col("month") >= k0)
             monthly = M.aggregate(recent, spec, money_mode)
-            cum = N._project(N.running_totals(monthly, spec.entity, money_mode, seed_src), spec, dim, True)
+            cum = N._project(N.running_totals(monthly, spec.entity, money_mode, seed), spec, dim, True)
         else:
             cum = N.build_cumulative_mart(fact_all, spec, dim, money_mode)
         write_partitioned(cum, path, mode="dynamic")
@@ -221,9 +229,12 @@ def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: Da
                       layout.mart("zone_hour"), mode="static")
     write_partitioned(M.build_metric_mart(fact_all, M.VENDOR_HOUR, dim_vendor, money_mode),
                       layout.mart("vendor_hour"), mode="static")
-    write_partitioned(N.build_cumulative_mart(fact_all, M.VENDOR_MONTH, dim_vendor, money_mode),
-                      layout.mart("vendor_cumulative"), mode="static")
-    write_partitioned(N.build_cumulative_mart(fact_all, M.ZONE_MONTH, zone_dim, money_mode),
-                      layout.mart("zone_cumulative"), mode="static")
+    for name, hourly, spec, dim in (("vendor_cumulative", "vendor_hour", M.VENDOR_MONTH, dim_vendor),
+                                    ("zone_cumulative", "zone_hour", M.ZONE_MONTH, zone_dim)):
+        if money_mode == "decimal":  # exact roll-up of the hourly mart: no third and fourth fact pass
+            cum = N.cumulative_from_hourly(spark.read.parquet(layout.mart(hourly)), spec, dim, money_mode)
+        else:
+            cum = N.build_cumulative_mart(fact_all, spec, dim, money_mode)
+        write_partitioned(cum, layout.mart(name), mode="static")
     return {"raw_rows": o_raw.get.get("rows", 0), "cleaned_rows": o_cl.get.get("rows", 0),
             "fact_rows": o_fact.get.get("rows", 0)}

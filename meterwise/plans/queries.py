@@ -1113,3 +1113,12 @@ def validate_cumulative_vendor(spark, sf_dir):
     f = fact(spark, sf_dir, "orders")
     cum = N.build_cumulative_mart(f, M.VENDOR_MONTH, vendor_dim(spark, sf_dir, "orders"), MODE, load_ts=False)
     return validate_cumulative(f, cum, "vendor_id")
+
+
+@register("cumulative_zone_from_hourly", _cumulative_query_sql("pickup_location_id", "zone"))
+def cumulative_zone_from_hourly(spark, sf_dir):
+    """N2 rolled up from the hour x zone mart (exact in decimal mode): the
+    running totals cost no pass over the fact."""
+    z = zone(spark, sf_dir)
+    hourly = M.build_metric_mart(fact(spark, sf_dir, "orders"), M.ZONE_HOUR, z, MODE, load_ts=False)
+    return N.cumulative_from_hourly(hourly, M.ZONE_MONTH, z, MODE, load_ts=False)
