@@ -21,6 +21,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ from meterwise.operators import clean as C
 from meterwise.operators import cumulative as N
 from meterwise.operators import marts as M
 from meterwise.operators.dims import build_dim_vendor
-from meterwise.operators.fact import build_fact, cleaned_for_months, touched_months
+from meterwise.operators.fact import build_fact, cleaned_for_months
 from meterwise.operators.quality import observe
 from meterwise.session import checkpoint_dir, size_shuffles
 from meterwise.sources.readers import month_filter, read_source
@@ -59,6 +60,8 @@ class Layout:
     def dim_vendor(self): return self.p("dim/vendor")
     @property
     def run_log(self): return self.p("meta/run_log")
+    @property
+    def load_months(self): return self.p(f"meta/load_months/{self.variant}")
 
     def mart(self, name: str) -> str:
         return self.p(self.marts[name])
@@ -101,9 +104,37 @@ def clean_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]
         write_partitioned(out, layout.cleaned, ("src_year", "src_month"), mode="dynamic")
     written = (spark.read.parquet(layout.cleaned).where(month_filter(loads, "src_year", "src_month"))
                if _exists(spark, layout.cleaned) else out.limit(0))
+    record_load_months(spark, layout, loads)
     return {"rows": _rows(obs, written)}
 
 
+def record_load_months(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]] | None = None) -> None:
+    """Which pickup months each Cleaned load holds (load x month -> rows).
+
+    Reads two integer columns of the written loads and keeps one row per
+    (load, pickup month): a calendar-sized table.  It lets the fact builder
+    read only the loads that hold a touched month (partition pruning on
+    ``src_year``/``src_month``) instead of checking every file of history.
+    """
+    if not _exists(spark, layout.cleaned):
+        return
+    c = spark.read.parquet(layout.cleaned)
+    if loads is not None:
+        c = c.where(month_filter(loads, "src_year", "src_month"))
+    lm = c.groupBy("src_year", "src_month", "pickup_year", "pickup_month").agg(F.count(F.lit(1)).alias("rows"))
+    if loads is not None and len(loads) == 1:
+        save_month(lm, layout.load_months, *loads[0])
+    else:
+        write_partitioned(lm, layout.load_months, ("src_year", "src_month"),
+                          mode="static" if loads is None else "dynamic")
+
+
+def loads_holding(spark: SparkSession, layout: Layout, months: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Loads that hold rows of any of ``months`` (from the load-month table)."""
+    lm = spark.read.parquet(layout.load_months).where(month_filter(months, "pickup_year", "pickup_month"))
+    return sorted((r["src_year"], r["src_month"]) for r in lm.select("src_year", "src_month").distinct().collect())
+
+
 def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]],
                          money_mode: str = "double") -> list[tuple[int, int]]:
     """O2 step 1: Fact for the pickup months the loads touched.
@@ -111,13 +142,19 @@ def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[
     The touched-month list is one row per month (collected: it chooses
     partitions).  Each touched month is rebuilt from every load holding it.
     """
-    cleaned_all = spark.read.parquet(layout.cleaned)
-    size_shuffles(spark, [layout.p(f"cleaned/{layout.variant}/src_year={y}/src_month={m}") for y, m in loads])
-    new = cleaned_all.where(month_filter(loads, "src_year", "src_month"))
-    months = sorted((r["year"], r["month"]) for r in touched_months(new).collect())
+    try:
+        cleaned_all = spark.read.parquet(layout.cleaned)
+        lm = spark.read.parquet(layout.load_months).where(month_filter(loads, "src_year", "src_month"))
+    except AnalysisException:  # nothing cleaned yet (every load so far was empty)
+        return []
+    months = sorted((r["pickup_year"], r["pickup_month"])
+                    for r in lm.select("pickup_year", "pickup_month").distinct().collect())
     if not months:
         return []
-    fact = build_fact(cleaned_for_months(cleaned_all, months), with_ids=True, money_mode=money_mode)
+    sources = loads_holding(spark, layout, months)
+    size_shuffles(spark, [layout.p(f"cleaned/{layout.variant}/src_year={y}/src_month={m}") for y, m in sources])
+    src = cleaned_all.where(month_filter(sources, "src_year", "src_month"))  # prunes load folders
+    fact = build_fact(cleaned_for_months(src, months), with_ids=True, money_mode=money_mode)
     write_partitioned(fact, layout.fact, ("year", "month"), mode="dynamic")
     return months
 
@@ -218,6 +255,7 @@ def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: Da
                                     keep=("src_year", "src_month")), "cleaned")
     write_partitioned(cleaned, layout.cleaned, ("src_year", "src_month"), mode="static",
                       files_per_partition=files_per_partition)
+    record_load_months(spark, layout)
     fact, o_fact = observe(build_fact(spark.read.parquet(layout.cleaned), with_ids=True,
                                       money_mode=money_mode), "fact")
     write_partitioned(fact, layout.fact, ("year", "month"), mode="static",
