@@ -28,6 +28,8 @@ FACT_BASE_COLUMNS = (
     "improvement_surcharge", "congestion_surcharge", "airport_fee", "cbd_congestion_fee",
 )
 RATIO_COLUMNS = ("tip_rate", "fare_per_mile", "fare_per_minute")
+# Columns some variants lack (fhv has no fares, fhvhv no vendor): typed nulls.
+_LONG_COLUMNS = {"vendor_id", "payment_type", "ratecode_id", "passenger_count"}
 
 
 def trip_ratios(money_mode: str = "double") -> dict:
@@ -51,9 +53,12 @@ def build_fact(cleaned: DataFrame, with_ids: bool = True, load_ts: bool = True,
     base columns (content identity), scoped by pickup month.
     """
     present = {c.lower() for c in cleaned.columns}
-    base = cleaned.select(*[
-        F.col(c) if c.lower() in present else F.lit(None).cast("double").alias(c)
-        for c in FACT_BASE_COLUMNS])
+    money_t = "decimal(18,2)" if money_mode == "decimal" else "double"
+
+    def missing(c: str):
+        return F.lit(None).cast("long" if c in _LONG_COLUMNS else money_t).alias(c)
+
+    base = cleaned.select(*[F.col(c) if c.lower() in present else missing(c) for c in FACT_BASE_COLUMNS])
     if with_ids:
         base = assign_row_ids(base, FACT_BASE_COLUMNS, ("pickup_year", "pickup_month"),
                               id_col="trip_id", buckets=id_buckets)

@@ -94,3 +94,18 @@ def test_unknown_variant(spark):
     import pytest
     with pytest.raises(ValueError):
         C.clean(spark.range(1), "limo")
+
+
+def test_fact_schema_same_for_every_variant(spark):
+    from meterwise.operators.fact import build_fact
+    rows = [(10, 1, 1.0, 5.0, 6.0, 1)]
+    y = C.clean(yellow_rows(spark, rows), "yellow", load_ts=False)
+    fhv = spark.createDataFrame(
+        [("B1", T0, T0 + dt.timedelta(minutes=12), 5.0, 7.0, None, "B2")],
+        "dispatching_base_num string, pickup_datetime timestamp, dropOff_datetime timestamp, "
+        "PUlocationID double, DOlocationID double, SR_Flag int, Affiliated_base_number string")
+    f = C.clean(fhv, "fhv", load_ts=False)
+    a = build_fact(y, with_ids=False, load_ts=False)
+    b = build_fact(f, with_ids=False, load_ts=False)
+    assert a.dtypes == b.dtypes
+    assert b.first().fare_amount is None and b.first().fare_per_mile == 0.0
