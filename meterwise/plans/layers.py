@@ -225,9 +225,24 @@ def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year
     if months:
         build_marts(spark, layout, months, zone_dim, money_mode)
     append_run_log(spark, layout.run_log, run_log_record(spark, run_id, "mart", months, None, None, "ok"))
+    if months:
+        v = validate_written(spark, layout, months)
+        append_run_log(spark, layout.run_log, run_log_record(
+            spark, run_id, "validate", months, v["fact_rows"], v["mart_trip_sum"],
+            "ok" if v["passed"] else "failed", {"amount_diff": str(v["amount_diff"])}))
     return run_id
 
 
+def validate_written(spark: SparkSession, layout: Layout, months: list[tuple[int, int]],
+                     tolerance: float = 0.01) -> dict:
+    """V1 on the *written* tables for the given months: fact rows = the
+    hourly zone mart's trip sum, totals within ``tolerance`` (one row back)."""
+    from meterwise.operators.quality import validate_mart
+    fact = spark.read.parquet(layout.fact).where(month_filter(months))
+    mart = spark.read.parquet(layout.mart("zone_hour")).where(month_filter(months))
+    return validate_mart(fact, mart, tolerance).first().asDict()
+
+
 def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: DataFrame,
              money_mode: str = "double", max_minutes: float = C.DEFAULT_MAX_MINUTES, schema=None,
              files_per_partition: int | None = None, source_filter=None) -> dict:

@@ -977,14 +977,16 @@ SELECT 'raw' AS layer, ym AS months, CAST(NULL AS BIGINT) AS rows_in, raw_n AS r
 UNION ALL SELECT 'cleaned', ym, raw_n, cl_n, 'ok' FROM j
 UNION ALL SELECT 'fact', CASE WHEN cl_n > 0 THEN ym ELSE '' END, cl_n, CAST(NULL AS BIGINT), 'ok' FROM j
 UNION ALL SELECT 'mart', CASE WHEN cl_n > 0 THEN ym ELSE '' END, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'ok'
-FROM j"""
+FROM j
+UNION ALL SELECT 'validate', ym, cl_n, cl_n, 'ok' FROM j WHERE cl_n > 0"""
 
 
 @register("run_log", _RUN_LOG_SQL)
 def run_log(spark, sf_dir):
-    """O1-O4 + W11 + M1: after a backfill, the latest months run through
-    every layer; the run log holds one record per layer and run, with counts
-    from Observations on the writes."""
+    """O1-O4 + W11 + M1 + V1: after a backfill, the latest months run
+    through every layer; the run log holds one record per layer and run
+    (counts from Observations on the writes) and a validation record read
+    from the written fact and mart."""
     lay = _layered_run(spark, sf_dir)
     return spark.read.parquet(lay.run_log).select("layer", "months", "rows_in", "rows_out", "status")
 

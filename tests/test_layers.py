@@ -83,5 +83,6 @@ def test_monthly_runs_match_backfill_and_rerun(spark, out):
     assert hz_a.exceptAll(hz_b).count() == 0 and hz_b.exceptAll(hz_a).count() == 0
 
     log = spark.read.parquet(lay.run_log)
-    assert log.count() == 12
-    assert {r.layer for r in log.collect()} == {"raw", "cleaned", "fact", "mart"}
+    assert log.count() == 15  # three runs x (raw, cleaned, fact, mart, validate)
+    assert {r.layer for r in log.collect()} == {"raw", "cleaned", "fact", "mart", "validate"}
+    assert {r.status for r in log.where("layer = 'validate'").collect()} == {"ok"}
