@@ -55,6 +55,11 @@ def assign_row_ids(df: DataFrame, identity_cols: Sequence[str],
     Row multiplicity is preserved exactly.  Columns not in ``identity_cols``
     or ``scope_cols`` are dropped: re-derive them afterwards (load timestamps
     and other non-identity columns must not influence the id anyway).
+
+    With the default month scope the high bits are ``year * 12 + month - 1``,
+    so ids are unique across months.  Any other scope is hashed into 22 bits:
+    ids are then unique within a scope, and across scopes only as far as
+    those hashes differ.
     """
     scope_cols = list(scope_cols)
     ident = [c for c in identity_cols if c not in scope_cols]

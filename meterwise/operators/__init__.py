@@ -1,0 +1 @@
+"""Operators: cleaning, fact, dimensions, marts, running totals, partials, skew and quality."""

@@ -1,0 +1 @@
+"""Plans: layer runners, fixture trip views and the query catalogue."""
