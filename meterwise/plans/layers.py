@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.operators import clean as C
@@ -96,12 +96,24 @@ def clean_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]
                 money_mode: str = "double", max_minutes: float = C.DEFAULT_MAX_MINUTES) -> dict:
     """O1 step 2: Raw loads -> Cleaned, same source-month partitions."""
     raw = spark.read.parquet(layout.raw).where(month_filter(loads, "src_year", "src_month"))
-    out, obs = observe(C.clean(raw, layout.variant, money_mode, max_minutes,
-                               keep=("src_year", "src_month")), "cleaned")
+    cleaned = C.clean(raw, layout.variant, money_mode, max_minutes, keep=("src_year", "src_month"))
+    out, obs = observe(cleaned, "cleaned")
     if len(loads) == 1:  # whole-folder overwrite: an empty result clears the load
         save_month(out, layout.cleaned, *loads[0])
     else:
+        # Dynamic overwrite keeps the old folder of a load that produced no
+        # rows this time (G4): the loads that did produce rows ride on the
+        # write as an observed metric (a set bounded by the number of loads),
+        # and the others are cleared explicitly.
+        seen = Observation("cleaned_loads")
+        out = out.observe(seen, F.collect_set(F.struct("src_year", "src_month")).alias("loads"))
         write_partitioned(out, layout.cleaned, ("src_year", "src_month"), mode="dynamic")
+        try:
+            produced = {(r["src_year"], r["src_month"]) for r in seen.get.get("loads", [])}
+        except Exception:  # noqa: BLE001 - nothing was written at all
+            produced = set()
+        for y, m in sorted(set(loads) - produced):
+            save_month(cleaned.limit(0), layout.cleaned, y, m)
     written = (spark.read.parquet(layout.cleaned).where(month_filter(loads, "src_year", "src_month"))
                if _exists(spark, layout.cleaned) else out.limit(0))
     record_load_months(spark, layout, loads)
@@ -124,9 +136,15 @@ def record_load_months(spark: SparkSession, layout: Layout, loads: list[tuple[in
     lm = c.groupBy("src_year", "src_month", "pickup_year", "pickup_month").agg(F.count(F.lit(1)).alias("rows"))
     if loads is not None and len(loads) == 1:
         save_month(lm, layout.load_months, *loads[0])
-    else:
-        write_partitioned(lm, layout.load_months, ("src_year", "src_month"),
-                          mode="static" if loads is None else "dynamic")
+        return
+    checkpoint_dir(spark)
+    lm = lm.checkpoint(eager=True)  # calendar-sized; read twice below
+    write_partitioned(lm, layout.load_months, ("src_year", "src_month"),
+                      mode="static" if loads is None else "dynamic")
+    if loads is not None:  # loads that are now empty must not keep old entries
+        have = {(r["src_year"], r["src_month"]) for r in lm.select("src_year", "src_month").distinct().collect()}
+        for y, m in sorted(set(loads) - have):
+            save_month(lm.limit(0), layout.load_months, y, m)
 
 
 def loads_holding(spark: SparkSession, layout: Layout, months: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -86,3 +86,24 @@ def test_monthly_runs_match_backfill_and_rerun(spark, out):
     assert log.count() == 15  # three runs x (raw, cleaned, fact, mart, validate)
     assert {r.layer for r in log.collect()} == {"raw", "cleaned", "fact", "mart", "validate"}
     assert {r.status for r in log.where("layer = 'validate'").collect()} == {"ok"}
+
+
+def test_multi_load_clean_clears_emptied_load(spark, out):
+    from meterwise.plans.layers import clean_loads, load_raw
+    src_root = os.path.join(out, "src")
+    jan = write_source(spark, src_root, 2024, 1, month_rows(2024, 1, 5))
+    feb = write_source(spark, src_root, 2024, 2, month_rows(2024, 2, 4))
+    lay = Layout(os.path.join(out, "lay"))
+    load_raw(spark, lay, jan, 2024, 1)
+    load_raw(spark, lay, feb, 2024, 2)
+    clean_loads(spark, lay, [(2024, 1), (2024, 2)])
+    assert spark.read.parquet(lay.cleaned).count() == 9
+    # February is reloaded with trips that all fail the rules, then both loads are re-cleaned
+    bad = [r[:10] + (-1.0,) + r[11:] for r in month_rows(2024, 2, 4)]
+    load_raw(spark, lay, write_source(spark, src_root, 2024, 2, bad), 2024, 2)
+    clean_loads(spark, lay, [(2024, 1), (2024, 2)])
+    got = {(r.src_month): r.n for r in spark.read.parquet(lay.cleaned)
+           .groupBy("src_month").agg(F.count("*").alias("n")).collect()}
+    assert got == {1: 5}
+    lm = {r.src_month for r in spark.read.parquet(lay.load_months).collect()}
+    assert lm == {1}
