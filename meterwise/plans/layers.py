@@ -33,8 +33,8 @@ from meterwise.operators.fact import build_fact, cleaned_for_months
 from meterwise.operators.quality import observe
 from meterwise.session import checkpoint_dir, size_shuffles
 from meterwise.sources.readers import month_filter, read_source
-from meterwise.sources.writers import (append_run_log, run_log_record, save_month, write_partitioned,
-                                       write_table)
+from meterwise.sources.writers import (RUN_LOG_SCHEMA, append_run_log, run_log_row, save_month,
+                                       write_partitioned, write_table)
 
 
 @dataclass
@@ -230,24 +230,34 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
 def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year: int, month: int,
               zone_dim: DataFrame, money_mode: str = "double",
               max_minutes: float = C.DEFAULT_MAX_MINUTES, schema=None) -> str:
-    """The monthly incremental run, with one run-log record per layer."""
+    """The monthly incremental run, with one run-log record per layer.
+
+    The records are appended in one write at the end of the run (or when it
+    fails, with a ``failed`` record carrying the error), not one job each.
+    """
     run_id = uuid.uuid4().hex
     loads = [(year, month)]
-    raw = load_raw(spark, layout, source, year, month, schema)
-    append_run_log(spark, layout.run_log, run_log_record(spark, run_id, "raw", loads, None, raw["rows"], "ok"))
-    cl = clean_loads(spark, layout, loads, money_mode, max_minutes)
-    append_run_log(spark, layout.run_log, run_log_record(spark, run_id, "cleaned", loads, raw["rows"],
-                                                         cl["rows"], "ok"))
-    months = build_fact_for_loads(spark, layout, loads, money_mode)
-    append_run_log(spark, layout.run_log, run_log_record(spark, run_id, "fact", months, cl["rows"], None, "ok"))
-    if months:
-        build_marts(spark, layout, months, zone_dim, money_mode)
-    append_run_log(spark, layout.run_log, run_log_record(spark, run_id, "mart", months, None, None, "ok"))
-    if months:
-        v = validate_written(spark, layout, months)
-        append_run_log(spark, layout.run_log, run_log_record(
-            spark, run_id, "validate", months, v["fact_rows"], v["mart_trip_sum"],
-            "ok" if v["passed"] else "failed", {"amount_diff": str(v["amount_diff"])}))
+    log: list[tuple] = []
+    try:
+        raw = load_raw(spark, layout, source, year, month, schema)
+        log.append(run_log_row(run_id, "raw", loads, None, raw["rows"], "ok"))
+        cl = clean_loads(spark, layout, loads, money_mode, max_minutes)
+        log.append(run_log_row(run_id, "cleaned", loads, raw["rows"], cl["rows"], "ok"))
+        months = build_fact_for_loads(spark, layout, loads, money_mode)
+        log.append(run_log_row(run_id, "fact", months, cl["rows"], None, "ok"))
+        if months:
+            build_marts(spark, layout, months, zone_dim, money_mode)
+        log.append(run_log_row(run_id, "mart", months, None, None, "ok"))
+        if months:
+            v = validate_written(spark, layout, months)
+            log.append(run_log_row(run_id, "validate", months, v["fact_rows"], v["mart_trip_sum"],
+                                   "ok" if v["passed"] else "failed", {"amount_diff": str(v["amount_diff"])}))
+    except Exception as e:
+        log.append(run_log_row(run_id, "run", loads, None, None, "failed",
+                               {"error": f"{type(e).__name__}: {str(e)[:500]}"}))
+        raise
+    finally:
+        append_run_log(spark, layout.run_log, spark.createDataFrame(log, RUN_LOG_SCHEMA))
     return run_id
 
 

@@ -147,13 +147,19 @@ RUN_LOG_SCHEMA = StructType([
 ])
 
 
+def run_log_row(run_id: str, layer: str, months, rows_in: int | None, rows_out: int | None,
+                status: str, detail: dict | None = None) -> tuple:
+    """One run-log record as a tuple of :data:`RUN_LOG_SCHEMA`."""
+    months_s = ",".join(f"{y:04d}-{m:02d}" for y, m in sorted(months or []))
+    return (run_id, layer, months_s, rows_in, rows_out, status,
+            json.dumps(detail or {}, sort_keys=True), _dt.datetime.now())
+
+
 def run_log_record(spark: SparkSession, run_id: str, layer: str, months, rows_in: int | None,
                    rows_out: int | None, status: str, detail: dict | None = None) -> DataFrame:
     """A one-row run-log DataFrame."""
-    months_s = ",".join(f"{y:04d}-{m:02d}" for y, m in sorted(months or []))
-    row = (run_id, layer, months_s, rows_in, rows_out, status,
-           json.dumps(detail or {}, sort_keys=True), _dt.datetime.now())
-    return spark.createDataFrame([row], RUN_LOG_SCHEMA)
+    return spark.createDataFrame([run_log_row(run_id, layer, months, rows_in, rows_out, status, detail)],
+                                 RUN_LOG_SCHEMA)
 
 
 def append_run_log(spark: SparkSession, path: str, record: DataFrame) -> None:
