@@ -198,11 +198,21 @@ def _present(df: DataFrame, name: str) -> bool:
     return name.lower() in {c.lower() for c in df.columns}
 
 
+def optional_doubles(df: DataFrame, names) -> dict:
+    """Typed-null columns for the optional fees ``df`` lacks (the presence
+    test is case-insensitive, like Spark's column resolution)."""
+    return {n: F.lit(None).cast("double") for n in names if not _present(df, n)}
+
+
+def add_optional_doubles(df: DataFrame, names) -> DataFrame:
+    """P2 as a DataFrame step."""
+    return df.withColumns(optional_doubles(df, names))
+
+
 def with_features(df: DataFrame, spec: VariantSpec) -> DataFrame:
     """P1 + P2: time features and typed nulls for optional fee columns."""
     feats = time_features(spec.pickup, spec.dropoff)
-    missing = {n: F.lit(None).cast("double") for n in spec.optional_doubles if not _present(df, n)}
-    return df.withColumns({**missing, **feats})
+    return df.withColumns({**optional_doubles(df, spec.optional_doubles), **feats})
 
 
 def passes(spec: VariantSpec, max_minutes: float = DEFAULT_MAX_MINUTES) -> Column:

@@ -179,10 +179,8 @@ def optional_column_union(spark, sf_dir):
     t = trips(spark, sf_dir, "orders").select("pickup_datetime", "fare_amount")
     old = t.where(F.year("pickup_datetime") < 1998)
     new = t.where(F.year("pickup_datetime") >= 1998).withColumn("cbd_congestion_fee", F.lit(0.75))
-    old = C.with_features(old, C.VariantSpec(
-        name="x", pickup="pickup_datetime", dropoff="pickup_datetime", pu_location="",
-        do_location="", optional_doubles=("cbd_congestion_fee",)))
-    return old.select(*new.columns).unionByName(new)
+    old = C.add_optional_doubles(old, ["cbd_congestion_fee"])
+    return old.unionByName(new)
 
 
 @register("drift_union_cast", Q.with_clauses(Q.TO) + f"""
