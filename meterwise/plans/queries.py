@@ -1122,3 +1122,15 @@ def cumulative_zone_from_hourly(spark, sf_dir):
     z = zone(spark, sf_dir)
     hourly = M.build_metric_mart(fact(spark, sf_dir, "orders"), M.ZONE_HOUR, z, MODE, load_ts=False)
     return N.cumulative_from_hourly(hourly, M.ZONE_MONTH, z, MODE, load_ts=False)
+
+
+@register("hour_zone_mart_reference_rounding")
+def hour_zone_mart_reference_rounding(spark, sf_dir):
+    """A1 in the reference's own arithmetic (double amounts, sums and
+    averages rounded to 2 dp, ratios rounded).  Rounding a double is not
+    portable between engines (finding G12), so this form has a row check
+    only; the exact form is ``flagship_hour_zone_mart``."""
+    raw = FX.as_variant_raw(FX.trips_events(spark, sf_dir, "double"), "yellow")
+    cl = C.clean(raw, "yellow", money_mode="double", max_minutes=EVENTS_MAX_MINUTES, load_ts=False)
+    f = build_fact(cl, with_ids=False, load_ts=False, money_mode="double")
+    return M.build_metric_mart(f, M.ZONE_HOUR, zone(spark, sf_dir), money_mode="double", load_ts=False)
