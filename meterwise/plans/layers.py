@@ -17,6 +17,7 @@ the write itself; validation reads the written tables (G8).
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -31,10 +32,10 @@ from meterwise.operators import marts as M
 from meterwise.operators.dims import build_dim_vendor
 from meterwise.operators.fact import build_fact, cleaned_for_months
 from meterwise.operators.quality import observe
-from meterwise.session import checkpoint_dir, size_shuffles
+from meterwise.session import checkpoint_dir, input_bytes, size_shuffles
 from meterwise.sources.readers import month_filter, read_source
-from meterwise.sources.writers import (RUN_LOG_SCHEMA, append_run_log, run_log_row, save_month,
-                                       write_partitioned, write_table)
+from meterwise.sources.writers import (RUN_LOG_SCHEMA, append_run_log, load_path, run_log_row,
+                                       save_month, write_partitioned, write_table)
 
 
 @dataclass
@@ -244,20 +245,34 @@ def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year
     run_id = uuid.uuid4().hex
     loads = [(year, month)]
     log: list[tuple] = []
+    clock = [time.perf_counter()]
+
+    def metrics(paths) -> dict:
+        # M1: seconds since the previous record and bytes written (metadata)
+        now = time.perf_counter()
+        out = {"seconds": round(now - clock[0], 3), "bytes": input_bytes(spark, paths)}
+        clock[0] = now
+        return out
+
     try:
         raw = load_raw(spark, layout, source, year, month, schema)
-        log.append(run_log_row(run_id, "raw", loads, None, raw["rows"], "ok"))
+        log.append(run_log_row(run_id, "raw", loads, None, raw["rows"], "ok",
+                               metrics(load_path(layout.raw, year, month))))
         cl = clean_loads(spark, layout, loads, money_mode, max_minutes)
-        log.append(run_log_row(run_id, "cleaned", loads, raw["rows"], cl["rows"], "ok"))
+        log.append(run_log_row(run_id, "cleaned", loads, raw["rows"], cl["rows"], "ok",
+                               metrics(load_path(layout.cleaned, year, month))))
         months = build_fact_for_loads(spark, layout, loads, money_mode)
-        log.append(run_log_row(run_id, "fact", months, cl["rows"], None, "ok"))
+        log.append(run_log_row(run_id, "fact", months, cl["rows"], None, "ok",
+                               metrics([f"{layout.fact}/year={y}/month={m}" for y, m in months])))
         if months:
             build_marts(spark, layout, months, zone_dim, money_mode)
-        log.append(run_log_row(run_id, "mart", months, None, None, "ok"))
+        log.append(run_log_row(run_id, "mart", months, None, None, "ok",
+                               metrics([layout.mart(k) for k in layout.marts])))
         if months:
             v = validate_written(spark, layout, months)
             log.append(run_log_row(run_id, "validate", months, v["fact_rows"], v["mart_trip_sum"],
-                                   "ok" if v["passed"] else "failed", {"amount_diff": str(v["amount_diff"])}))
+                                   "ok" if v["passed"] else "failed",
+                                   {"amount_diff": str(v["amount_diff"]), **metrics([])}))
     except Exception as e:
         log.append(run_log_row(run_id, "run", loads, None, None, "failed",
                                {"error": f"{type(e).__name__}: {str(e)[:500]}"}))

@@ -107,3 +107,16 @@ def test_multi_load_clean_clears_emptied_load(spark, out):
     assert got == {1: 5}
     lm = {r.src_month for r in spark.read.parquet(lay.load_months).collect()}
     assert lm == {1}
+
+
+def test_run_log_carries_metrics(spark, out):
+    import json
+    src_root = os.path.join(out, "src")
+    jan = write_source(spark, src_root, 2024, 1, month_rows(2024, 1, 6))
+    lay = Layout(os.path.join(out, "lay"))
+    run_month(spark, lay, jan, 2024, 1, zone_dim(spark))
+    rows = {r.layer: r for r in spark.read.parquet(lay.run_log).collect()}
+    assert rows["raw"].rows_out == 6 and rows["cleaned"].rows_out == 6
+    d = json.loads(rows["raw"].detail)
+    assert d["bytes"] > 0 and d["seconds"] >= 0
+    assert rows["validate"].status == "ok"
