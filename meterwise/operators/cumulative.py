@@ -64,7 +64,8 @@ def running_totals(monthly: DataFrame, entity: str, money_mode: str = "double",
     return out.select(*monthly.columns, *[c for _, c in PAIRS])
 
 
-def _project(cum: DataFrame, spec: MartSpec, dim: DataFrame, load_ts: bool) -> DataFrame:
+def project_cumulative(cum: DataFrame, spec: MartSpec, dim: DataFrame, load_ts: bool) -> DataFrame:
+    """Join the dimension and lay out the cumulative mart's columns."""
     joined, dim_cols = attach_dim(cum, spec, dim)
     head = [F.col("pickup_year").alias("year"), F.col("pickup_month").alias("month"),
             F.col("year_month"), cum[spec.entity]]
@@ -78,7 +79,7 @@ def build_cumulative_mart(fact: DataFrame, spec: MartSpec, dim: DataFrame, money
                           load_ts: bool = True) -> DataFrame:
     """N1 (vendor, J3) / N2 (zone, J4): full recompute over all months."""
     monthly = aggregate(fact, spec, money_mode)
-    return _project(running_totals(monthly, spec.entity, money_mode), spec, dim, load_ts)
+    return project_cumulative(running_totals(monthly, spec.entity, money_mode), spec, dim, load_ts)
 
 
 def latest_state(cumulative: DataFrame, entity: str, before: tuple[int, int] | None = None) -> DataFrame:
@@ -107,7 +108,7 @@ def incremental_cumulative(prev_cumulative: DataFrame, new_fact: DataFrame, spec
     """
     monthly = aggregate(new_fact, spec, money_mode)
     seed = latest_state(prev_cumulative, spec.entity)
-    return _project(running_totals(monthly, spec.entity, money_mode, seed), spec, dim, load_ts)
+    return project_cumulative(running_totals(monthly, spec.entity, money_mode, seed), spec, dim, load_ts)
 
 
 def recompute_from(fact: DataFrame, prev_cumulative: DataFrame, spec: MartSpec, dim: DataFrame,
@@ -122,7 +123,7 @@ def recompute_from(fact: DataFrame, prev_cumulative: DataFrame, spec: MartSpec,
     recent = fact.where(F.col("pickup_year") * 12 + F.col("pickup_month") >= F.lit(k))
     monthly = aggregate(recent, spec, money_mode)
     seed = latest_state(prev_cumulative, spec.entity, start)
-    return _project(running_totals(monthly, spec.entity, money_mode, seed), spec, dim, load_ts)
+    return project_cumulative(running_totals(monthly, spec.entity, money_mode, seed), spec, dim, load_ts)
 
 
 def _violation_flags(cumulative: DataFrame, entity: str) -> DataFrame:
@@ -184,4 +185,4 @@ def cumulative_from_hourly(hourly: DataFrame, spec: MartSpec, dim: DataFrame, mo
                            load_ts: bool = True, seed: DataFrame | None = None) -> DataFrame:
     """N1/N2 (and N4 with ``seed``) from the hourly mart of the same entity."""
     monthly = monthly_from_hourly(hourly, spec.entity, money_mode)
-    return _project(running_totals(monthly, spec.entity, money_mode, seed), spec, dim, load_ts)
+    return project_cumulative(running_totals(monthly, spec.entity, money_mode, seed), spec, dim, load_ts)

@@ -228,7 +228,7 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
         elif seed is not None:
             recent = fact_all.where(F.col("year") * 12 + F.col("month") >= k0)
             monthly = M.aggregate(recent, spec, money_mode)
-            cum = N._project(N.running_totals(monthly, spec.entity, money_mode, seed), spec, dim, True)
+            cum = N.project_cumulative(N.running_totals(monthly, spec.entity, money_mode, seed), spec, dim, True)
         else:
             cum = N.build_cumulative_mart(fact_all, spec, dim, money_mode)
         write_partitioned(cum, path, mode="dynamic")
