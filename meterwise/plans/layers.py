@@ -32,7 +32,7 @@ from meterwise.operators import marts as M
 from meterwise.operators.dims import build_dim_vendor
 from meterwise.operators.fact import build_fact, cleaned_for_months
 from meterwise.operators.quality import observe
-from meterwise.session import checkpoint_dir, input_bytes, size_shuffles
+from meterwise.session import checkpoint_dir, input_bytes, keeps_shuffle_setting, size_shuffles
 from meterwise.sources.readers import month_filter, read_source
 from meterwise.sources.writers import (RUN_LOG_SCHEMA, append_run_log, load_path, run_log_row,
                                        save_month, write_partitioned, write_table)
@@ -154,6 +154,7 @@ def loads_holding(spark: SparkSession, layout: Layout, months: list[tuple[int, i
     return sorted((r["src_year"], r["src_month"]) for r in lm.select("src_year", "src_month").distinct().collect())
 
 
+@keeps_shuffle_setting
 def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]],
                          money_mode: str = "double") -> list[tuple[int, int]]:
     """O2 step 1: Fact for the pickup months the loads touched.
@@ -178,6 +179,7 @@ def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[
     return months
 
 
+@keeps_shuffle_setting
 def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int]], zone_dim: DataFrame,
                 money_mode: str = "double", share_fact: bool = True) -> None:
     """O2 step 2 + O3 + O5: dims and the four marts for the touched months."""
@@ -292,6 +294,7 @@ def validate_written(spark: SparkSession, layout: Layout, months: list[tuple[int
     return validate_mart(fact, mart, tolerance).first().asDict()
 
 
+@keeps_shuffle_setting
 def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: DataFrame,
              money_mode: str = "double", max_minutes: float = C.DEFAULT_MAX_MINUTES, schema=None,
              files_per_partition: int | None = None, source_filter=None) -> dict:

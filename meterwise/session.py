@@ -118,3 +118,20 @@ def size_shuffles(spark: SparkSession, paths, target_bytes: int = 256 << 20,
     n = max(n, spark.sparkContext.defaultParallelism)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
+
+
+def keeps_shuffle_setting(fn):
+    """Decorator for layer jobs that call :func:`size_shuffles`: the caller's
+    ``spark.sql.shuffle.partitions`` is restored when the job returns, so
+    the sizing of one job does not leak into the session."""
+    import functools
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, *args, **kwargs):
+        key = "spark.sql.shuffle.partitions"
+        before = spark.conf.get(key)
+        try:
+            return fn(spark, *args, **kwargs)
+        finally:
+            spark.conf.set(key, before)
+    return run
