@@ -85,9 +85,13 @@ def _rows(obs, written: DataFrame) -> int:
 
 
 def load_raw(spark: SparkSession, layout: Layout, source: str | list[str], year: int, month: int,
-             schema=None, files_per_partition: int | None = None) -> dict:
-    """O1 step 1: one monthly source file -> Raw (unmodified columns)."""
-    df, obs = observe(read_source(spark, source, schema), "raw")
+             schema=None, files_per_partition: int | None = None, allow_empty: bool = True) -> dict:
+    """O1 step 1: one monthly source file -> Raw (unmodified columns).
+
+    ``allow_empty=False`` raises on an empty source (V3, the reference's
+    behaviour) before anything is overwritten.
+    """
+    df, obs = observe(read_source(spark, source, schema, require_rows=not allow_empty), "raw")
     save_month(df, layout.raw, year, month, files_per_partition)
     written = spark.read.parquet(layout.raw).where(month_filter([(year, month)], "src_year", "src_month"))
     return {"rows": _rows(obs, written)}
@@ -238,9 +242,12 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
 
 def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year: int, month: int,
               zone_dim: DataFrame, money_mode: str = "double",
-              max_minutes: float = C.DEFAULT_MAX_MINUTES, schema=None) -> str:
+              max_minutes: float = C.DEFAULT_MAX_MINUTES, schema=None, allow_empty: bool = False) -> str:
     """The monthly incremental run, with one run-log record per layer.
 
+    An empty source file fails the run (and logs it) unless ``allow_empty``:
+    a month is never replaced by nothing by accident.
+
     The records are appended in one write at the end of the run (or when it
     fails, with a ``failed`` record carrying the error), not one job each.
     """
@@ -257,7 +264,7 @@ def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year
         return out
 
     try:
-        raw = load_raw(spark, layout, source, year, month, schema)
+        raw = load_raw(spark, layout, source, year, month, schema, allow_empty=allow_empty)
         log.append(run_log_row(run_id, "raw", loads, None, raw["rows"], "ok",
                                metrics(load_path(layout.raw, year, month))))
         cl = clean_loads(spark, layout, loads, money_mode, max_minutes)

@@ -120,3 +120,14 @@ def test_run_log_carries_metrics(spark, out):
     d = json.loads(rows["raw"].detail)
     assert d["bytes"] > 0 and d["seconds"] >= 0
     assert rows["validate"].status == "ok"
+
+
+def test_empty_source_fails_the_run(spark, out):
+    import pytest
+    src_root = os.path.join(out, "src")
+    empty = write_source(spark, src_root, 2024, 3, [])
+    lay = Layout(os.path.join(out, "lay"))
+    with pytest.raises(ValueError):
+        run_month(spark, lay, empty, 2024, 3, zone_dim(spark))
+    log = spark.read.parquet(lay.run_log).collect()
+    assert [(r.layer, r.status) for r in log] == [("run", "failed")]
