@@ -29,3 +29,21 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "trip_count" in df.columns
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="fixtures missing")
+def test_reference_rounding_close_to_exact(spark):
+    """The double/rounded (reference) mart agrees with the exact one to the cent."""
+    import __spark_entry__ as E
+    from pyspark.sql import functions as F
+    q = E.queries()
+    exact = q["flagship_hour_zone_mart"](spark, SF)
+    ref = q["hour_zone_mart_reference_rounding"](spark, SF)
+    keys = ["year_month", "pickup_hour", "pickup_location_id"]
+    j = exact.alias("e").join(ref.alias("r"), keys, "full_outer")
+    bad = j.where((F.col("e.trip_count") != F.col("r.trip_count"))
+                  | (F.abs(F.col("e.total_amount").cast("double") - F.col("r.total_amount")) > 0.011)
+                  | (F.abs(F.col("e.avg_fare_amount") - F.col("r.avg_fare_amount")) > 0.0051)
+                  | F.col("e.trip_count").isNull() | F.col("r.trip_count").isNull())
+    assert exact.count() == ref.count() > 0
+    assert bad.count() == 0
