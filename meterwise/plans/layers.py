@@ -191,12 +191,19 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
     size_shuffles(spark, [f"{layout.fact}/year={y}/month={m}" for y, m in months])
     fact_all = spark.read.parquet(layout.fact)
     fact = fact_all.where(month_filter(months))
-    # D1, incrementally: codes of the touched months joined to the codes
-    # already known (the dimension is checkpointed before it is rewritten).
-    dim_vendor = build_dim_vendor(fact)
+    # D1, incrementally: only codes of the touched months that the
+    # dimension does not know yet are added; the common case (no new code)
+    # costs one small probe and no rewrite.  The dimension is checkpointed
+    # before it is rewritten in place.
+    seen = build_dim_vendor(fact)
     if _exists(spark, layout.dim_vendor):
-        dim_vendor = dim_vendor.unionByName(spark.read.parquet(layout.dim_vendor)).distinct()
-    write_table(dim_vendor.checkpoint(eager=True), layout.dim_vendor)
+        old = spark.read.parquet(layout.dim_vendor)
+        fresh = seen.join(old.select(F.col("vendor_id").alias("_v")),
+                          seen["vendor_id"].eqNullSafe(F.col("_v")), "left_anti")
+        if not fresh.isEmpty():
+            write_table(old.unionByName(fresh).checkpoint(eager=True), layout.dim_vendor)
+    else:
+        write_table(seen, layout.dim_vendor)
     dim_vendor = spark.read.parquet(layout.dim_vendor)
 
     if share_fact:
