@@ -40,7 +40,7 @@ from meterwise.llm.common import as_written, read_table, written
 MAX_TOXIC = 2_000
 MAX_CLEAN = 6_000
 MAX_TERMS = 256
-MIN_EVIDENCE = 12.0   # least log-likelihood ratio of a term
+MIN_EVIDENCE = 16.0   # least log-likelihood ratio of a term
 MIN_DOCS = 3          # least toxic examples with a term
 PREFIXES = (4, 5)
 NEIGHBOURS = 15
