@@ -46,9 +46,9 @@ GROUPS = 128
 LEAF = 32
 # Vertices of a class that one task takes; a larger class is cut in blocks.
 BLOCK = 4_000
-# Slots of the frequency sketch (one byte each) and how many are filled.
+# Slots of the frequency sketch (one byte each) and of one piece of it.
 SLOTS = 1 << 22
-TOP_SLOTS = 1 << 20
+SKETCH_PIECE = 1 << 16
 MIN_FREQUENT = 3
 
 SET = "doc_id long, text_hash long, n_shingles long, vertex long, shingles binary, counts binary"
@@ -105,8 +105,9 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 def frequency_levels(sets: DataFrame) -> np.ndarray:
     """One byte per hash slot, growing with the number of sets that hold a
     shingle of the slot.  A task reports slots it meets twice or more, each
-    set counted once; the sketch keeps the ``TOP_SLOTS`` most frequent.  It
-    only orders shingles: no result depends on it."""
+    set counted once; levels are put together piece by piece, so the driver
+    gets ``SLOTS`` bytes whatever the input.  The sketch only orders shingles:
+    no result depends on it."""
     def repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, held = set(), []
         for batch in batches:
@@ -121,12 +122,20 @@ def frequency_levels(sets: DataFrame) -> np.ndarray:
 
     counted = sets.where("n_shingles > 0").select("vertex", "shingles").mapInPandas(
         repeated, "slot int, n long")
-    top = (counted.groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_FREQUENT)
-           .orderBy(F.desc("n"), "slot").limit(TOP_SLOTS)
-           .select("slot", F.floor(F.log2("n") * 4).cast("int").alias("level")).toPandas())
-    levels = np.zeros(SLOTS, np.uint8)
-    levels[top["slot"].to_numpy(np.int64)] = np.minimum(top["level"].to_numpy(np.int64), 255)
-    return levels
+    levels = counted.groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_FREQUENT).select(
+        (F.col("slot") / SKETCH_PIECE).cast("int").alias("piece"),
+        (F.col("slot") % SKETCH_PIECE).alias("slot"),
+        F.least(F.floor(F.log2("n") * 4), F.lit(255)).cast("int").alias("level"))
+
+    def piece(key, got: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(SKETCH_PIECE, np.uint8)
+        out[got["slot"].to_numpy()] = got["level"].to_numpy()
+        return pd.DataFrame({"piece": [key[0]], "levels": [out.tobytes()]})
+
+    sketch = np.zeros(SLOTS, np.uint8)
+    for r in levels.groupBy("piece").applyInPandas(piece, "piece int, levels binary").collect():
+        sketch[r["piece"] * SKETCH_PIECE:(r["piece"] + 1) * SKETCH_PIECE] = np.frombuffer(r["levels"], np.uint8)
+    return sketch
 
 
 def prefix_rows(spark: SparkSession, sets: DataFrame, levels: np.ndarray) -> DataFrame:
