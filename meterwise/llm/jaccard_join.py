@@ -42,14 +42,17 @@ from meterwise.llm.components import components
 WORDS = 5
 # Similarity 3/4, as whole numbers.
 NUM, DEN = 75, 100
+# Groups of a point: a power of two that keeps about four shingles a group,
+# so that unrelated long texts lie apart as well as short ones.
 GROUPS = 128
+PER_GROUP = 4
 LEAF = 32
 # Vertices of a class that one task takes; a larger class is cut in blocks.
 BLOCK = 4_000
 # Slots of the frequency sketch (one byte each) and of one piece of it.
 SLOTS = 1 << 22
 SKETCH_PIECE = 1 << 16
-MIN_FREQUENT = 3
+MIN_FREQUENT = 8
 
 SET = "doc_id long, text_hash long, n_shingles long, vertex long, shingles binary, counts binary"
 
@@ -73,8 +76,15 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(s)
 
 
+def n_groups(n: int) -> int:
+    return max(GROUPS, 1 << max(0, (n - 1) // PER_GROUP).bit_length())
+
+
 def group_counts(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype("<u4")
+    """Shingles per group; folding halves of a point gives the point with half
+    as many groups."""
+    g = n_groups(len(s))
+    return np.bincount((s >> np.uint64(32)).astype(np.int64) % g, minlength=g).astype("<u2")
 
 
 def least_overlap(a, b):
@@ -103,9 +113,9 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 
 def frequency_levels(sets: DataFrame) -> np.ndarray:
-    """One byte per hash slot, growing with the number of sets that hold a
-    shingle of the slot.  A task reports slots it meets twice or more, each
-    set counted once; levels are put together piece by piece, so the driver
+    """One byte per hash slot, growing with the number of sets that hold the
+    slot's most frequent shingle.  A task reports shingles it meets twice or
+    more, each set counted once; levels are put together piece by piece, so the driver
     gets ``SLOTS`` bytes whatever the input.  The sketch only orders shingles:
     no result depends on it."""
     def repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,18 +124,20 @@ def frequency_levels(sets: DataFrame) -> np.ndarray:
             for v, raw in zip(batch["vertex"], batch["shingles"]):
                 if v not in seen:
                     seen.add(v)
-                    held.append(np.unique((np.frombuffer(raw, "<u8") & np.uint64(SLOTS - 1)).astype("<u4")))
+                    held.append(np.frombuffer(raw, "<u8"))
         if held:
-            slots, counts = np.unique(np.concatenate(held), return_counts=True)
+            found, counts = np.unique(np.concatenate(held), return_counts=True)
             keep = counts > 1
-            yield pd.DataFrame({"slot": slots[keep].astype("int32"), "n": counts[keep]})
+            yield pd.DataFrame({"shingle": found[keep].view("<i8"), "n": counts[keep]})
 
     counted = sets.where("n_shingles > 0").select("vertex", "shingles").mapInPandas(
-        repeated, "slot int, n long")
-    levels = counted.groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_FREQUENT).select(
-        (F.col("slot") / SKETCH_PIECE).cast("int").alias("piece"),
-        (F.col("slot") % SKETCH_PIECE).alias("slot"),
-        F.least(F.floor(F.log2("n") * 4), F.lit(255)).cast("int").alias("level"))
+        repeated, "shingle long, n long")
+    slot = F.col("shingle").bitwiseAND(SLOTS - 1)
+    level = F.least(F.floor(F.log2("n") * 4), F.lit(255)).cast("int")
+    levels = (counted.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_FREQUENT)
+              .groupBy(slot.alias("slot")).agg(F.max(level).alias("level"))
+              .select(F.floor(F.col("slot") / SKETCH_PIECE).cast("int").alias("piece"),
+                      (F.col("slot") % SKETCH_PIECE).alias("slot"), "level"))
 
     def piece(key, got: pd.DataFrame) -> pd.DataFrame:
         out = np.zeros(SKETCH_PIECE, np.uint8)
@@ -239,19 +251,25 @@ class CountTree:
             else:
                 at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
                 at = at[at < len(top)]
-            bound = np.minimum(top[at], point).sum(1)
+            bound = np.minimum(top[at], point).sum(1, dtype=np.uint32).astype(np.int64)
             at = at[bound >= least_overlap(size, least[at])]
             if not len(at):
                 break
         return at
 
 
-def tree_links(points: np.ndarray, sizes: np.ndarray, sets: list | None = None,
+def tree_links(points: list[np.ndarray], sizes: np.ndarray, sets: list | None = None,
                side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that span the classes formed by all linking pairs: with ``sets``
     pairs are verified, without them every pair within the bound links.  With
-    ``side``, only pairs of different sides count."""
+    ``side``, only pairs of different sides count.
+
+    One tree for each number of groups.  Sizes of linking sets differ by a
+    third at most and the number of groups doubles with the size, so a point
+    meets its own tree and the next, whose points are folded to its groups.
+    """
     root = list(range(len(sizes)))
+    links: list[tuple[int, int]] = []
 
     def find(x):
         while root[x] != x:
@@ -259,12 +277,8 @@ def tree_links(points: np.ndarray, sizes: np.ndarray, sets: list | None = None,
             x = root[x]
         return x
 
-    tree, links = CountTree(points, sizes), []
-    for i in range(len(sizes)):
-        own = tree.order[i]
-        near = tree.reach(tree.points[i], int(tree.sizes[i]))
-        for j in near[near > i].tolist():
-            other = tree.order[j]
+    def join(own: int, others) -> None:
+        for other in others:
             a, b = find(own), find(other)
             if a == b or (side is not None and side[own] == side[other]):
                 continue
@@ -278,6 +292,21 @@ def tree_links(points: np.ndarray, sizes: np.ndarray, sets: list | None = None,
                     continue
             root[a] = b
             links.append((int(own), int(other)))
+
+    dims = np.array([len(p) for p in points])
+    for g in np.unique(dims).tolist():
+        own = np.flatnonzero(dims == g)
+        tree = CountTree(np.stack([points[i] for i in own]), sizes[own])
+        for i in range(len(own)):
+            near = tree.reach(tree.points[i], int(tree.sizes[i]))
+            join(own[tree.order[i]], own[tree.order[near[near > i]]].tolist())
+        above = np.flatnonzero(dims == 2 * g)
+        if len(above):
+            folded = np.stack([points[i].reshape(2, g).sum(0, dtype=np.uint16) for i in above])
+            tree = CountTree(folded, sizes[above])
+            for i in own.tolist():
+                near = tree.reach(points[i], int(sizes[i]))
+                join(i, above[tree.order[near]].tolist())
     return links
 
 
@@ -300,8 +329,8 @@ def grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Dat
         yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
 
 
-def _points(raw: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(raw), "<u4").reshape(len(raw), GROUPS)
+def _points(raw: pd.Series) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u2") for x in raw]
 
 
 def candidate_links(runs: DataFrame, sets: DataFrame) -> DataFrame:
