@@ -32,11 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwise.llm.common import as_written, read_table, written
+from meterwise.llm.common import as_written, read_table, small_batches, written
 from meterwise.llm.components import components
 
 WORDS = 5
@@ -94,22 +95,22 @@ def least_overlap(a, b):
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
     """Set, vertex (identity of the set) and group counts of every row."""
-    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for t in batch["text"]:
-                s = shingles(t if isinstance(t, str) else None)
-                raw = s.tobytes()
-                vertex = xxhash.xxh64_intdigest(raw, 7) >> 1 if len(s) else None
-                rows.append((len(s), vertex, raw, group_counts(s).tobytes() if len(s) else None))
-            out = pd.DataFrame(rows, columns=["n_shingles", "vertex", "shingles", "counts"])
-            out["vertex"] = out["vertex"].astype("Int64")
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").array)
-            out.insert(1, "text_hash", batch["text_hash"].array)
-            yield out
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                sets = [shingles(t) for t in part.column("text").to_pylist()]
+                raw = [s.tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), part.column("text_hash"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([xxhash.xxh64_intdigest(r, 7) >> 1 if r else None for r in raw], pa.int64()),
+                    pa.array(raw, pa.binary()),
+                    pa.array([group_counts(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                ], ["doc_id", "text_hash", "n_shingles", "vertex", "shingles", "counts"])
 
     rows = as_written(docs, "doc_id", "text")
-    return rows.withColumn("text_hash", F.xxhash64("text")).mapInPandas(make, SET)
+    return rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(make, SET)
 
 
 def frequency_levels(sets: DataFrame) -> np.ndarray:
@@ -145,7 +146,9 @@ def frequency_levels(sets: DataFrame) -> np.ndarray:
         return pd.DataFrame({"piece": [key[0]], "levels": [out.tobytes()]})
 
     sketch = np.zeros(SLOTS, np.uint8)
-    for r in levels.groupBy("piece").applyInPandas(piece, "piece int, levels binary").collect():
+    with small_batches(sets.sparkSession):
+        pieces = levels.groupBy("piece").applyInPandas(piece, "piece int, levels binary").collect()
+    for r in pieces:
         sketch[r["piece"] * SKETCH_PIECE:(r["piece"] + 1) * SKETCH_PIECE] = np.frombuffer(r["levels"], np.uint8)
     return sketch
 
