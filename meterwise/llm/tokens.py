@@ -19,8 +19,13 @@ import public_tokenizers
 # Other characters that some engine counts as white space.
 _ODD_SPACE = re.compile(
     r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
-# A space belongs to the piece after it; other white space stands alone.
-_SPACED = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
+# A space belongs to the piece after it; other white space stands alone.  A
+# run of letters ends before these marks too, so a word and the same word with
+# a comma share a piece.
+_SPACED = re.compile(
+    r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,;:!? \n])| ?[^ \t\n\r]+"
+    r"|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
+_PLAIN = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,;:!? \n])|[^ \t\n\r]+")
 # Pieces kept by a worker (about 200 bytes each); past it, new pieces are
 # encoded again with each chunk of texts.
 MAX_PIECES = 1_000_000
@@ -31,7 +36,7 @@ def split_spaced(text: str) -> list[str]:
 
 
 def split_plain(text: str) -> list[str]:
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+    return _PLAIN.findall(text)
 
 
 SPLITS = {"byte_bpe_50k.json": split_spaced, "word_bpe_49k.json": split_plain}
