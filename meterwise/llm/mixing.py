@@ -3,7 +3,8 @@
 ``source_targets`` gives every source its share of the budget, never above
 ``max_epochs`` times its size; what a capped source cannot take is reshared by
 weight among the others.  ``mix`` then takes every document a whole number of
-times plus, for the fractional part, a seeded choice of documents.
+times plus, for the fractional part, a seeded choice of documents, the last of
+them in part.
 
 Defined cases: a null text has size 0 and is taken 0 words; a null source is a
 source of its own, last in order; a repeated row is a document of its own (the
@@ -77,11 +78,11 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
 
 def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, share: float = SHARE,
         max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """doc_id, source, size, copy, source_size, target, repeats, taken.
+    """doc_id, source, size, copy, source_size, target, repeats, part, taken.
 
     The fractional part of a source is a run of its seeded order: documents
-    are taken while their running size fits, then one more whose size comes
-    nearest to what is left, if that brings the source nearer to its target.
+    are taken while their running size fits, and the next one in part, so that
+    the source comes within a word of its target.
     """
     sized = written(spark, sized_documents(docs), "mix-sized")
     targets = written(spark, source_targets(sized, weights, share, max_epochs), "mix-targets")
@@ -111,40 +112,43 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, share: float = SH
     picked = written(spark, plain.select(*keep, "chosen").unionByName(edge.select(*keep, "chosen")),
                      "mix-picked")
 
-    gaps = (picked.groupBy(F.col("source").alias("g_source"))
-            .agg((F.first("rest") - F.sum(F.when(F.col("chosen"), F.col("size")).otherwise(0))).alias("gap")))
-    left = picked.where("not chosen and size > 0").join(
-        gaps, F.col("source").eqNullSafe(F.col("g_source")))
-    off = F.abs(F.col("size") - F.col("gap"))
-    extra = (left.where(off < F.col("gap")).groupBy(F.col("source").alias("e_source"))
-             .agg(F.min(F.struct(off.alias("off"), F.col("key"), F.col("doc_id"), F.col("copy"))).alias("e")))
-    joined = picked.join(extra, F.col("source").eqNullSafe(F.col("e_source")), "left")
-    is_extra = (F.col("e").isNotNull() & (F.col("key") == F.col("e.key"))
-                & F.col("doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("copy") == F.col("e.copy")))
-    repeats = F.col("whole") + F.when(F.col("chosen") | is_extra, 1).otherwise(0)
+    edges = picked.groupBy(F.col("source").alias("e_source")).agg(
+        F.floor(F.first("rest") - F.sum(F.when(F.col("chosen"), F.col("size")).otherwise(0))).alias("gap"),
+        F.min(F.when(~F.col("chosen") & (F.col("size") > 0), F.struct("key", "doc_id", "copy"))).alias("e"))
+    joined = picked.join(edges, F.col("source").eqNullSafe(F.col("e_source")))
+    is_edge = (F.col("e").isNotNull() & (F.col("key") == F.col("e.key"))
+               & F.col("doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("copy") == F.col("e.copy")))
+    joined = (joined.withColumn("repeats", F.col("whole") + F.when(F.col("chosen"), 1).otherwise(0))
+              .withColumn("part", F.when(is_edge, F.col("gap")).otherwise(0).cast("long")))
     return joined.select(
-        "doc_id", "source", "size", "copy", "source_size", "target",
-        repeats.alias("repeats"), (F.col("size") * repeats).alias("taken"))
+        "doc_id", "source", "size", "copy", "source_size", "target", "repeats", "part",
+        (F.col("size") * F.col("repeats") + F.col("part")).alias("taken"))
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mix repeats it; rows
-    without words have nothing to take and stay once."""
+    """The rows of ``docs``, each as many times as the mix repeats it; of a
+    document taken in part, the first words follow as one more row (joined by
+    single spaces).  Rows without words have nothing to take and stay once."""
     numbered = docs.withColumn("mix_size", n_words(F.col("text"))).withColumn(
         "mix_copy", F.row_number().over(Window.partitionBy("doc_id").orderBy("source", "mix_size")))
     plan = mix(spark, docs, **options).select(
         F.col("doc_id").alias("mix_doc"), F.col("copy").alias("mix_nth"),
-        F.when(F.col("size") == 0, 1).otherwise(F.col("repeats")).cast("int").alias("mix_repeats"))
-    joined = numbered.join(plan.where("mix_repeats > 0"),
+        F.when(F.col("size") == 0, 1).otherwise(F.col("repeats")).cast("int").alias("mix_repeats"),
+        F.col("part").cast("int").alias("mix_part"))
+    joined = numbered.join(plan.where("mix_repeats > 0 or mix_part > 0"),
                            F.col("doc_id").eqNullSafe(F.col("mix_doc"))
                            & (F.col("mix_copy") == F.col("mix_nth")))
-    return (joined.withColumn("mix_k", F.explode(F.sequence(F.lit(1), F.col("mix_repeats"))))
-            .select(*docs.columns))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    texts = F.array_repeat(F.col("text"), F.col("mix_repeats"))
+    texts = F.when(F.col("mix_part") > 0, F.concat(texts, F.array(
+        F.array_join(F.slice(words, F.lit(1), F.col("mix_part")), " ")))).otherwise(texts)
+    return (joined.withColumn("mix_text", F.explode(texts)).drop("text")
+            .withColumnRenamed("mix_text", "text").select(*docs.columns))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark, read_table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken", "source", "repeats")
+        "doc_id", "size", "source_size", "target", "taken", "source", "repeats", "part")
 
 
 ORACLE = """
@@ -178,14 +182,12 @@ run AS (
       <= r.target - r.whole * r.source_size AS chosen
   FROM k JOIN r ON k.source IS NOT DISTINCT FROM r.source),
 g AS (
-  SELECT *, rest - sum(CASE WHEN chosen THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap FROM run),
+  SELECT *, floor(rest - sum(CASE WHEN chosen THEN size ELSE 0 END) OVER (PARTITION BY source))::BIGINT AS gap,
+    NOT chosen AND size > 0 AS may FROM run),
 e AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY
-      CASE WHEN NOT chosen AND size > 0 AND abs(size - gap) < gap THEN 0 ELSE 1 END,
-      abs(size - gap), key, doc_id, copy) AS nth,
-    NOT chosen AND size > 0 AND abs(size - gap) < gap AS may FROM g)
+  SELECT *, may AND row_number() OVER (PARTITION BY source ORDER BY may DESC, key, doc_id, copy) = 1 AS edge FROM g)
 SELECT doc_id, size, source_size, target,
-  size * (whole + CASE WHEN chosen OR (may AND nth = 1) THEN 1 ELSE 0 END) AS taken,
-  source, whole + CASE WHEN chosen OR (may AND nth = 1) THEN 1 ELSE 0 END AS repeats
+  size * (whole + CASE WHEN chosen THEN 1 ELSE 0 END) + CASE WHEN edge THEN gap ELSE 0 END AS taken,
+  source, whole + CASE WHEN chosen THEN 1 ELSE 0 END AS repeats, CASE WHEN edge THEN gap ELSE 0 END AS part
 FROM e
 """

@@ -3,8 +3,8 @@
 Documents become token pieces of at most ``capacity`` ids.  Pieces are dealt
 over tasks by hash; each task packs its pieces by best-fit decreasing and
 certifies its number of sequences with dual-feasible-function lower bounds.
-Tasks whose count exceeds their bound release their emptiest sequences; the
-released pieces of neighbouring tasks meet and are packed again, round after
+Tasks whose count exceeds their bound release their emptiest sequences, and
+every task those with room to spare; the released pieces of neighbouring tasks meet and are packed again, round after
 round, until all gaps close or one group is left.
 
 Defined cases: a null text is empty and has the end id only; repeated rows
@@ -35,6 +35,8 @@ CAPACITY = 4096
 TASK_PIECES = 50_000
 RELEASED = 20_000
 FAN = 8
+# Certified tasks release sequences filled below this share.
+SPARE = 0.95
 # part = round * ROUND + group; sequence_id = part * BINS + bin, doubled.
 ROUND, BINS = 1 << 20, 1 << 24
 
@@ -126,8 +128,11 @@ def _packed(rows: pd.DataFrame, part: int, capacity: int) -> pd.DataFrame:
 
 
 def _released(rows: DataFrame, capacity: int, released: int) -> DataFrame:
-    """Marks the pieces of the emptiest sequences of tasks with a gap."""
-    per_bin = rows.where(f"gap > 0 and fill < {capacity}").groupBy("part", "bin", "fill").agg(
+    """Marks the pieces of the emptiest sequences: all that are not full of a
+    task with a gap, and those with room to spare of a certified task (its
+    bound holds for its own pieces only)."""
+    spare = int(capacity * SPARE)
+    per_bin = rows.where(f"fill < {spare} or (gap > 0 and fill < {capacity})").groupBy("part", "bin", "fill").agg(
         F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("part").orderBy("fill", "bin").rowsBetween(Window.unboundedPreceding, 0)
     free = per_bin.withColumn("upto", F.sum("n").over(upto)).where(f"upto <= {released}")

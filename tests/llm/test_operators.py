@@ -1,0 +1,415 @@
+"""Each operator against brute force on one fixture that holds null, empty and
+very long texts, repeated rows, ties, a null id and clashing extra columns."""
+
+import hashlib
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from meterwise.llm import (chat, jaccard_join, line_rules, mixing, packing, secrets, sharding,
+                           token_files, tokens, topk_search, toxicity)
+from meterwise.llm.common import work_path
+from meterwise.llm.components import components
+
+
+def as_rows(docs):
+    return [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+
+
+def reference_ids(name, text):
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    t.encode_special_tokens = True
+    return t.encode(text or "", add_special_tokens=False).ids
+
+
+# ---- 1 toxicity
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    bad = ["idiot", "moron", "scum"]
+    import random
+    r = random.Random(5)
+    from tests.llm.conftest import prose
+    data, labels = [], []
+    for i in range(300):
+        words = prose(1000 + i, 60).split()
+        toxic = int(i % 5 == 0)
+        if toxic:
+            for _ in range(4):
+                words[r.randrange(60)] = r.choice(bad)
+        data.append((i, " ".join(words)))
+        labels.append((i, toxic))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    return docs, spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_toxicity_held_out(spark, labelled):
+    docs, labels = labelled
+    model = toxicity.fit(spark, docs, labels)
+    got = toxicity.score(spark, docs, model).join(labels, "doc_id").where("held_out").collect()
+    assert len(got) > 50 and all(r["predicted"] == r["toxic"] for r in got)
+    assert all(r["evidence"] for r in got if r["toxic"])
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+
+
+def test_toxicity_search_is_exact(spark, labelled):
+    docs, labels = labelled
+    model = toxicity.fit(spark, docs, labels)
+    index = toxicity.Index(model)
+    dense = np.zeros((len(model.examples), len(model.terms)))
+    for i, (_, _, ids, w) in enumerate(model.examples):
+        dense[i, ids] = w
+    for i in range(0, len(model.examples), 3):
+        ids, w = model.examples[i][2:]
+        cos = dense[:, ids] @ w
+        want = sorted((j for j in range(len(cos)) if cos[j] > 0), key=lambda j: (-cos[j], j))[:15]
+        places, found = index.nearest(ids, w, 15)
+        assert np.allclose(found, cos[want])
+
+
+def test_toxicity_edge_cases(spark, labelled, docs, no_docs):
+    model = toxicity.fit(spark, *labelled)
+    got = toxicity.score(spark, docs, model).collect()
+    assert len(got) == docs.count() and all(0 <= r["score"] <= 1 and r["predicted"] == 0 for r in got)
+    assert toxicity.score(spark, no_docs, model).count() == 0
+    none = toxicity.fit(spark, docs, labelled[1].limit(0))
+    assert none.prior == 0 and all(r["score"] == 0 for r in toxicity.score(spark, docs, none).collect())
+    kept = toxicity.keep_clean(spark, docs, model)
+    assert kept.schema == docs.schema and kept.count() == docs.count()
+
+
+# ---- 2 line rules
+
+def brute_rules(text):
+    text = text or ""
+    words = text.encode().split()
+    words = [w.decode() for w in words]
+    win = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    twice = {w for w, n in Counter(win).items() if n > 1}
+    covered = {i + k for i, w in enumerate(win) if w in twice for k in range(3)}
+    lines = [x for x in text.split("\n") if x.encode().split()]
+    return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"),
+            len(lines) - len(set(lines)), len(covered))
+
+
+def test_line_rules(docs, no_docs):
+    cols = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    got = Counter((r["doc_id"], *[r[c] for c in cols]) for r in line_rules.judge(docs).collect())
+    assert got == Counter((d, *brute_rules(t)) for d, t, _ in as_rows(docs))
+    assert line_rules.judge(no_docs).count() == 0
+
+
+def test_line_verdicts(spark):
+    good = " ".join(f"word{i} and" for i in range(60))
+    nav = " | ".join(f"Home{i} page" for i in range(60))
+    data = [(1, good), (2, good + "\n" + nav), (3, good + "\n" + "All Rights Reserved by us"), (4, nav),
+            (5, " ".join(f"w{i}###" for i in range(80))), (6, " ".join(f"SHOUT{i}A" for i in range(80)))]
+    got = {r["doc_id"]: r for r in line_rules.judge(spark.createDataFrame(data, "doc_id int, text string")).collect()}
+    assert got[1]["kept"] and got[3]["kept"] and got[3]["clean_text"] == good
+    assert got[2]["clean_text"] == good
+    assert not any(got[i]["kept"] for i in (2, 4, 5, 6)) and not got[5]["base_failed"]
+
+
+# ---- 3 secrets
+
+def test_secrets(spark, docs, no_docs):
+    from tests.llm.conftest import prose
+    r = np.random.default_rng(3)
+    data = []
+    for i in range(120):
+        raw = "".join(r.choice(list("0123456789abcdef"), 40))
+        secret = i % 2 == 0
+        mark = f'token = "{raw}"' if secret else ("ORDER" + "".join(r.choice(list("0123456789"), 14)))
+        data.append((i, prose(i, 20) + " " + mark + " " + prose(i + 1, 20), "src", secret))
+    got_docs = spark.createDataFrame(data, "doc_id long, text string, source string, secret boolean")
+    found, forest = secrets.fit(spark, got_docs)
+    got = secrets.score_findings(spark, found, forest).join(got_docs, "doc_id").collect()
+    assert len(got) == 120 and all(g["is_secret"] == g["secret"] for g in got)
+    clean = {c["doc_id"]: c["text"] for c in secrets.redacted(spark, got_docs, forest).collect()}
+    for i, text, _, secret in data:
+        assert (clean[i] == text) != secret and (secrets.MASK in clean[i]) == secret
+    assert secrets.redacted(spark, docs, forest).schema == docs.schema
+    assert secrets.redacted(spark, docs, forest).count() == docs.count()
+    found, forest = secrets.fit(spark, no_docs)
+    assert found.count() == 0 and secrets.score_findings(spark, found, forest).count() == 0
+
+
+# ---- 4 token files
+
+def test_token_files(spark, docs):
+    folder = work_path(spark, "t-files")
+    files = token_files.write_token_files(spark, docs, folder, file_ids=3000)
+    index = work_path(spark, "t-index")
+    files.write.parquet(index)
+    got = token_files.document_starts(spark, folder, spark.read.parquet(index)).orderBy("start").collect()
+    want = sorted(((d is not None, d or 0, t or "") for d, t, _ in as_rows(docs)))
+    at = 0
+    assert len(got) == len(want)
+    for r, (has, d, t) in zip(got, want):
+        ids = reference_ids(token_files.TOKENIZER, t) + [0]
+        assert (r["doc_id"], r["start"], r["n_tokens"]) == (d if has else None, at, len(ids))
+        assert r["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+        at += len(ids)
+
+
+@pytest.mark.parametrize("bits", [1, 7, 13, 16, 17])
+def test_bit_packing(bits):
+    ids = np.random.default_rng(bits).integers(0, 2 ** bits, 5000).astype("<u4")
+    f = token_files.TokenFile(token_files.file_bytes([5, None], [2000, 3000], ids, bits, block_ids=700))
+    assert (f.ids(0, 5000) == ids).all() and (f.ids(699, 2101) == ids[699:2101]).all()
+    assert len(f.data) < 5000 * bits / 8 + 200 and f.null.tolist() == [0, 1]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_equals_tokenizer(name):
+    import random
+    r = random.Random(2)
+    letters = "ab Z.,!'st$ \n\t\r é 　\u0085İß9 don't we'll 0<|endoftext|>"
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 50))) for _ in range(3000)] + [None, ""]
+    e = tokens.Encoder(name)
+    for got, t in zip(e(texts), texts):
+        assert np.frombuffer(got, "<u2").tolist() == reference_ids_cached(e, t)
+
+
+def reference_ids_cached(e, t):
+    return e.tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+# ---- 5 Jaccard join
+
+def brute_classes(rows):
+    sets = []
+    for d, t, _ in rows:
+        w = (t or "").encode().lower().split()
+        s = {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+        sets.append((d, s))
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a][1], sets[b][1]
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                root[find(a)] = find(b)
+    small = defaultdict(list)
+    for i, (d, s) in enumerate(sets):
+        if d is not None:
+            small[find(i)].append(d)
+    return Counter((d, len(s), min(small[find(i)], default=None) if s else d) for i, (d, s) in enumerate(sets))
+
+
+def test_jaccard_join(spark, docs, no_docs):
+    got = jaccard_join.jaccard_classes(spark, docs).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_classes(as_rows(docs))
+    assert jaccard_join.jaccard_classes(spark, no_docs).count() == 0
+
+
+def test_jaccard_join_near_copies(spark):
+    r = np.random.default_rng(4)
+    data = []
+    for f in range(4):
+        base = [f"w{v}" for v in r.integers(0, 5000, 150 + 700 * (f == 3))]
+        for i in range(40):
+            w = list(base)
+            for p in r.integers(0, len(w), r.integers(0, len(w) // 20)):
+                w[p] = f"n{r.integers(0, 10**6)}"
+            data.append((len(data), " ".join(w), None))
+    data += [(1000 + i, f"solo{i} " + " ".join(f"w{v}" for v in r.integers(0, 5000, 90))
+              + " a passage that very many of the texts share word by word here", None) for i in range(60)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    want = brute_classes(data)
+    assert Counter((x["doc_id"], x["n_shingles"], x["component_id"])
+                   for x in jaccard_join.jaccard_classes(spark, docs).collect()) == want
+    # Classes cut in blocks give the same classes.
+    sets = jaccard_join.shingle_sets(docs)
+    classes = sets.select("vertex").distinct().withColumn("label", F.lit(1).cast("long"))
+    links = jaccard_join.verified_links(classes, sets, block=25)
+    labels = {x["vertex"]: x["label"] for x in components(spark, links).collect()}
+    groups = defaultdict(set)
+    for x in sets.collect():
+        groups[labels.get(x["vertex"], x["vertex"])].add(x["doc_id"])
+    by_class = defaultdict(set)
+    for d, _, c in want:
+        by_class[c].add(d)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, by_class.values()))
+
+
+def test_one_of_each(spark, docs, no_docs):
+    got = jaccard_join.one_of_each(spark, docs)
+    assert got.schema == docs.schema
+    classes = brute_classes(as_rows(docs))
+    want = {c for _, n, c in classes if n} | {d for d, n, _ in classes if not n}
+    assert Counter(r["doc_id"] for r in got.collect()) == Counter(want)
+    assert jaccard_join.one_of_each(spark, no_docs).count() == 0
+
+
+# ---- 6 sharding
+
+def test_sharding(spark, docs, no_docs):
+    rows = sharding.records(docs)
+    first = sharding.first_map(sharding.slot_loads(rows), 4)
+    got = sharding.place(rows, first).collect()
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter(
+        (d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t, _ in as_rows(docs))
+    for s in range(4):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+    assert sharding.first_map(sharding.slot_loads(sharding.records(no_docs)), 4).count() == 0
+
+
+def test_sharding_sizes_and_growth(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab"), (F.col("id") % 97).cast("int")).alias("text"))
+    path = work_path(spark, "t-map")
+    one = sharding.store_map(spark, sharding.first_map(sharding.slot_loads(sharding.records(docs))), path)
+    both = sharding.store_map(spark, sharding.grown_map(one.where("version = 1"), 16), path).collect()
+    before = {r["virtual_slot"]: r for r in both if r["version"] == 1}
+    after = {r["virtual_slot"]: r for r in both if r["version"] == 2}
+    load = Counter()
+    for r in before.values():
+        load[r["shard"]] += r["bytes"]
+    assert max(load.values()) < 1.02 * min(load.values())
+    assert before.keys() == after.keys()
+    moved = [s for s in after if after[s]["shard"] != before[s]["shard"]]
+    assert moved and all(after[s]["shard"] == 16 for s in moved)
+
+
+# ---- 7 chat
+
+def test_chat(spark):
+    said = ["</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>", "a\\|<|", "<\\|x <\\\\|", "", None, "plain\ntext", "<|turn|>"]
+    data, key = [], 0
+    for roles in (["user", "assistant"], ["user", "user", "assistant", "assistant", "user"], ["assistant"] * 3, [None, "a<|text|>b"]):
+        for i in range(len(said)):
+            data += [(key, t, r, said[(i + t) % len(said)], "x") for t, r in enumerate(roles)]
+            key += 1
+    data += [(key, 0, "user", "same", "x")] * 2 + [(None, None, "user", "q", "x")]
+    table = spark.createDataFrame(data, "conv_id long, turn long, role string, text string, segments string")
+    chats = defaultdict(list)
+    for c, t, r, x, _ in data:
+        chats[c].append((t is not None, t or 0, r or "", x or ""))
+    out = chat.format_chats(table)
+    got = {r["conv_id"]: r for r in chat.digests(out).collect()}
+    assert got.keys() == chats.keys()
+    for c, turns in chats.items():
+        turns = [(r, x) for *_, r, x in sorted(turns)]
+        loss = "".join(x for r, x in turns if r == "assistant")
+        assert got[c]["n_turns"] == len(turns)
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+        assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    for r in out.collect():
+        assert "".join(s["text"] for s in r["segments"]) == r["formatted"]
+        assert "[INST]" not in r["formatted"] and r["formatted"].count("<|im_end|>") == r["formatted"].count("<|im_start|>")
+    assert chat.digests(chat.format_chats(table.limit(0))).count() == 0
+
+
+# ---- 8 search
+
+def test_search(spark, docs, no_docs):
+    got = topk_search.search(spark, docs, docs.where("doc_id % 20 = 0"), k=5).collect()
+    rows = [(d, Counter((t or "").encode().lower().split())) for d, t, _ in as_rows(docs) if d is not None]
+    n, avg = len(rows), sum(sum(c.values()) for _, c in rows) / len(rows)
+    df = Counter(t for _, c in rows for t in c)
+    idf = {t: np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) for t in df}
+    import xxhash
+    hashed = {t: int(np.array([xxhash.xxh64_intdigest(t)], "<u8").view("<i8")[0]) for t in df}
+    asked = {d: c for d, c in rows if d % 20 == 0}
+    for q, words in asked.items():
+        terms = sorted((t for t in words if df[t] > 1), key=lambda t: (-np.log1p(words[t]) * idf[t], hashed[t]))[:12]
+        score = {}
+        for d, c in rows:
+            size = sum(c.values())
+            s = sum(idf[t] * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * size / avg)) for t in terms if t in c)
+            if d != q and s > 0:
+                score[d] = max(s, score.get(d, 0))
+        top = sorted(score, key=lambda d: (-round(score[d], 9), d))[:5]
+        mine = sorted((r["rank"], r["doc_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [d for _, d, _ in mine] == top
+        assert np.allclose([s for *_, s in mine], [score[d] for d in top])
+    assert topk_search.search(spark, no_docs, no_docs).count() == 0
+
+
+# ---- 9 packing
+
+@pytest.mark.parametrize("options", [{}, {"task_pieces": 15, "released": 200, "fan": 2}])
+def test_packing(spark, docs, no_docs, options):
+    got = packing.pack_documents(spark, docs, capacity=512, **options).collect()
+    want = Counter()
+    for d, t, _ in as_rows(docs):
+        ids = reference_ids(packing.TOKENIZER, t) + [1]
+        for k in range(0, len(ids), 512):
+            part = ids[k:k + 512]
+            want[d, k // 512, k, len(part), zlib.crc32(struct.pack(f"<{len(part)}I", *part))] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    bins = defaultdict(list)
+    for r in got:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for held in bins.values():
+        at = 0
+        for o, n in sorted(held):
+            assert o == at
+            at += n
+        assert at <= 512
+    bound = packing.lower_bound(np.array([r["length"] for r in got]), 512)
+    assert bound <= len(bins) <= bound + 2
+    assert packing.pack_documents(spark, no_docs, **options).count() == 0
+
+
+def test_lower_bound_holds():
+    r = np.random.default_rng(1)
+    for _ in range(200):
+        x = np.sort(r.integers(1, 100, r.integers(1, 40)))[::-1]
+        bins, offsets, n = packing.best_fit(x, 100)
+        assert np.bincount(bins, x).max() <= 100
+        assert packing.lower_bound(x, 100) <= n
+    assert packing.lower_bound(np.full(10, 51), 100) == 10
+
+
+# ---- 10 mixing
+
+def test_mixing(spark, docs, no_docs):
+    got = mixing.mix(spark, docs).collect()
+    rows = as_rows(docs)
+    sizes = Counter((d, s, len((t or "").encode().split())) for d, t, s in rows)
+    assert Counter((r["doc_id"], r["source"], r["size"]) for r in got) == sizes
+    per, taken, target = Counter(), Counter(), {}
+    for r in got:
+        per[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert 0 <= r["taken"] <= 2 * r["size"]
+    order = sorted(per, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    left, open_ = 1.5 * sum(per.values()), set(order)
+    want = {}
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        over = [s for s in open_ if weight[s] * level >= 2 * per[s]]
+        for s in over or list(open_):
+            want[s] = 2.0 * per[s] if over else weight[s] * level
+            open_.discard(s)
+            left -= want[s] if over else 0
+    for s in order:
+        assert abs(target[s] - want[s]) < 1e-6 and abs(taken[s] - target[s]) <= 1
+    again = mixing.mix(spark, docs.repartition(5)).collect()
+    key = lambda r: (r["doc_id"] or -1, r["copy"], r["size"], r["taken"])
+    assert sorted(map(key, got)) == sorted(map(key, again))
+    assert mixing.mix(spark, no_docs).count() == 0
+
+
+def test_mixed_documents(spark, docs):
+    got = mixing.mixed_documents(spark, docs)
+    assert got.schema == docs.schema
+    plan = Counter()
+    for r in mixing.mix(spark, docs).collect():
+        plan[r["doc_id"]] += r["repeats"] + (r["part"] > 0) if r["size"] else 1
+    assert Counter(r["doc_id"] for r in got.collect()) == Counter({d: n for d, n in plan.items() if n})
