@@ -28,7 +28,7 @@ _SPACED = re.compile(
 _PLAIN = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,;:!? \n])|[^ \t\n\r]+")
 # Pieces kept by a worker (about 200 bytes each); past it, new pieces are
 # encoded again with each chunk of texts.
-MAX_PIECES = 1_000_000
+MAX_PIECES = 600_000
 
 
 def split_spaced(text: str) -> list[str]:
