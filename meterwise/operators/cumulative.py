@@ -58,7 +58,8 @@ def running_totals(monthly: DataFrame, entity: str, money_mode: str = "double",
     for m, c in PAIRS:
         run = F.sum(m).over(w)
         if seed is not None:
-            run = run + F.coalesce(F.col("_seed_" + c), F.lit(0))
+            # null months add nothing; no seed and no value stays null
+            run = F.coalesce(run + F.col("_seed_" + c), run, F.col("_seed_" + c))
         cols[c] = _finish(run, m, money_mode)
     out = src.withColumns(cols)
     return out.select(*monthly.columns, *[c for _, c in PAIRS])

@@ -22,7 +22,6 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +32,16 @@ from meterwise.operators.dims import build_dim_vendor
 from meterwise.operators.fact import build_fact, cleaned_for_months
 from meterwise.operators.quality import observe
 from meterwise.session import checkpoint_dir, input_bytes, keeps_shuffle_setting, size_shuffles
-from meterwise.sources.readers import month_filter, read_source
+from meterwise.sources.months import month_paths, months_of, resolve_months
+from meterwise.sources.readers import detect_format, month_filter, read_loads, read_source
 from meterwise.sources.writers import (RUN_LOG_SCHEMA, append_run_log, load_path, run_log_row,
                                        save_month, write_partitioned, write_table)
 
 
+# Raw and Cleaned exist for every variant, Fact and marts for this one.
+FACT_VARIANT = "yellow"
+
+
 @dataclass
 class Layout:
     """Folder layout of one deployment (all under shared storage)."""
@@ -62,6 +66,8 @@ class Layout:
     @property
     def run_log(self): return self.p("meta/run_log")
     @property
+    def has_fact(self): return self.variant == FACT_VARIANT
+    @property
     def load_months(self): return self.p(f"meta/load_months/{self.variant}")
 
     def mart(self, name: str) -> str:
@@ -100,7 +106,7 @@ def load_raw(spark: SparkSession, layout: Layout, source: str | list[str], year:
 def clean_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]],
                 money_mode: str = "double", max_minutes: float = C.DEFAULT_MAX_MINUTES) -> dict:
     """O1 step 2: Raw loads -> Cleaned, same source-month partitions."""
-    raw = spark.read.parquet(layout.raw).where(month_filter(loads, "src_year", "src_month"))
+    raw = read_loads(spark, layout.raw, loads)
     cleaned = C.clean(raw, layout.variant, money_mode, max_minutes, keep=("src_year", "src_month"))
     out, obs = observe(cleaned, "cleaned")
     if len(loads) == 1:  # whole-folder overwrite: an empty result clears the load
@@ -115,8 +121,9 @@ def clean_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]
         write_partitioned(out, layout.cleaned, ("src_year", "src_month"), mode="dynamic")
         try:
             produced = {(r["src_year"], r["src_month"]) for r in seen.get.get("loads", [])}
-        except Exception:  # noqa: BLE001 - nothing was written at all
-            produced = set()
+        except Exception:  # noqa: BLE001 - no metric arrived: ask the data instead
+            produced = {(r["src_year"], r["src_month"])
+                        for r in cleaned.select("src_year", "src_month").distinct().collect()}
         for y, m in sorted(set(loads) - produced):
             save_month(cleaned.limit(0), layout.cleaned, y, m)
     written = (spark.read.parquet(layout.cleaned).where(month_filter(loads, "src_year", "src_month"))
@@ -158,29 +165,51 @@ def loads_holding(spark: SparkSession, layout: Layout, months: list[tuple[int, i
     return sorted((r["src_year"], r["src_month"]) for r in lm.select("src_year", "src_month").distinct().collect())
 
 
+def held_months(spark: SparkSession, layout: Layout,
+                loads: list[tuple[int, int]] | None = None) -> set[tuple[int, int]]:
+    """Pickup months the loads hold now, by the load-month table."""
+    if not _exists(spark, layout.load_months):
+        return set()
+    lm = spark.read.parquet(layout.load_months)
+    if loads is not None:
+        lm = lm.where(month_filter(loads, "src_year", "src_month"))
+    return {(r["pickup_year"], r["pickup_month"])
+            for r in lm.select("pickup_year", "pickup_month").distinct().collect()}
+
+
+def drop_months(spark: SparkSession, path: str, months) -> None:
+    """Remove the partitions of months that no load holds any more: a dynamic
+    overwrite would keep them (G4)."""
+    jvm = spark.sparkContext._jvm
+    for y, m in sorted(months):
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/year={y}/month={m}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 @keeps_shuffle_setting
 def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]],
-                         money_mode: str = "double") -> list[tuple[int, int]]:
-    """O2 step 1: Fact for the pickup months the loads touched.
-
-    The touched-month list is one row per month (collected: it chooses
-    partitions).  Each touched month is rebuilt from every load holding it.
+                         money_mode: str = "double", before=()) -> list[tuple[int, int]]:
+    """O2 step 1: Fact for the pickup months the loads touch.
+
+    Touched are the months the loads hold now and those they held ``before``
+    this run: a corrected load takes rows away as well.  The list is one row
+    per month (collected: it chooses partitions).  Each touched month is
+    rebuilt from every load holding it; a month that none holds any more is
+    dropped.  Returns the touched months.
     """
-    try:
-        cleaned_all = spark.read.parquet(layout.cleaned)
-        lm = spark.read.parquet(layout.load_months).where(month_filter(loads, "src_year", "src_month"))
-    except AnalysisException:  # nothing cleaned yet (every load so far was empty)
-        return []
-    months = sorted((r["pickup_year"], r["pickup_month"])
-                    for r in lm.select("pickup_year", "pickup_month").distinct().collect())
+    touched = sorted(held_months(spark, layout, loads) | set(before))
+    gone = set(touched) - held_months(spark, layout)
+    drop_months(spark, layout.fact, gone)
+    months = [m for m in touched if m not in gone]
     if not months:
-        return []
+        return touched
+    cleaned_all = spark.read.parquet(layout.cleaned)
     sources = loads_holding(spark, layout, months)
     size_shuffles(spark, [layout.p(f"cleaned/{layout.variant}/src_year={y}/src_month={m}") for y, m in sources])
     src = cleaned_all.where(month_filter(sources, "src_year", "src_month"))  # prunes load folders
     fact = build_fact(cleaned_for_months(src, months), with_ids=True, money_mode=money_mode)
     write_partitioned(fact, layout.fact, ("year", "month"), mode="dynamic")
-    return months
+    return touched
 
 
 @keeps_shuffle_setting
@@ -188,6 +217,10 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
                 money_mode: str = "double", share_fact: bool = True) -> None:
     """O2 step 2 + O3 + O5: dims and the four marts for the touched months."""
     checkpoint_dir(spark)
+    for mart in layout.marts.values():
+        drop_months(spark, layout.p(mart), set(months) - held_months(spark, layout))
+    if not held_months(spark, layout):
+        return  # nothing is left to build
     size_shuffles(spark, [f"{layout.fact}/year={y}/month={m}" for y, m in months])
     fact_all = spark.read.parquet(layout.fact)
     fact = fact_all.where(month_filter(months))
@@ -271,33 +304,48 @@ def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year
         return out
 
     try:
+        before = held_months(spark, layout, loads)
         raw = load_raw(spark, layout, source, year, month, schema, allow_empty=allow_empty)
         log.append(run_log_row(run_id, "raw", loads, None, raw["rows"], "ok",
                                metrics(load_path(layout.raw, year, month))))
         cl = clean_loads(spark, layout, loads, money_mode, max_minutes)
         log.append(run_log_row(run_id, "cleaned", loads, raw["rows"], cl["rows"], "ok",
                                metrics(load_path(layout.cleaned, year, month))))
-        months = build_fact_for_loads(spark, layout, loads, money_mode)
+        if not layout.has_fact:  # Fact and marts hold one variant
+            return run_id
+        months = build_fact_for_loads(spark, layout, loads, money_mode, before)
         log.append(run_log_row(run_id, "fact", months, cl["rows"], None, "ok",
                                metrics([f"{layout.fact}/year={y}/month={m}" for y, m in months])))
         if months:
             build_marts(spark, layout, months, zone_dim, money_mode)
         log.append(run_log_row(run_id, "mart", months, None, None, "ok",
                                metrics([layout.mart(k) for k in layout.marts])))
-        if months:
+        if held_months(spark, layout) & set(months):
             v = validate_written(spark, layout, months)
             log.append(run_log_row(run_id, "validate", months, v["fact_rows"], v["mart_trip_sum"],
                                    "ok" if v["passed"] else "failed",
                                    {"amount_diff": str(v["amount_diff"]), **metrics([])}))
+            if not v["passed"]:
+                raise ValueError(f"validation of months {months} failed: {v}")
     except Exception as e:
         log.append(run_log_row(run_id, "run", loads, None, None, "failed",
-                               {"error": f"{type(e).__name__}: {str(e)[:500]}"}))
+                               {"error": f"{type(e).__name__}: {e}"}))
         raise
     finally:
         append_run_log(spark, layout.run_log, spark.createDataFrame(log, RUN_LOG_SCHEMA))
     return run_id
 
 
+def run_range(spark: SparkSession, layout: Layout, source_root: str, zone_dim: DataFrame,
+              start: str | None = None, end: str | None = None, padded: bool = True, **options) -> list[str]:
+    """O1 over a range: the monthly run for every available month between the
+    (open) bounds, in order; months outside stay as they are.  Raises when no
+    month matches.  Returns the run ids."""
+    months = resolve_months(spark, months_of(spark.read.parquet(source_root)), start, end)
+    return [run_month(spark, layout, month_paths(source_root, [m], padded=padded), *m, zone_dim, **options)
+            for m in months]
+
+
 def validate_written(spark: SparkSession, layout: Layout, months: list[tuple[int, int]],
                      tolerance: float = 0.01) -> dict:
     """V1 on the *written* tables for the given months: fact rows = the
@@ -319,24 +367,31 @@ def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: Da
     Raw/Cleaned partitioning by load is the same as monthly runs produce.
     Every write is a *static* overwrite: a full rebuild must drop months that
     are no longer produced (G4), which dynamic overwrite would keep.  Pass an
-    explicit ``schema`` when months disagree on column encodings (G10).
-    ``source_filter`` (a predicate on the folder columns ``year``/``month``)
-    restricts the months read; it prunes folders, not rows.
+    explicit ``schema`` to enforce one; otherwise every month is read with its
+    own.  ``source_filter`` (a predicate on the folder columns
+    ``year``/``month``) restricts the months of a *first* build; it is refused
+    over existing layers, whose other months it would drop (use ``run_range``).
     """
     checkpoint_dir(spark)
     size_shuffles(spark, source_root)
-    src = read_source(spark, source_root, schema)
+    parquet = schema is None and detect_format(spark, source_root) == "parquet"
+    src = read_loads(spark, source_root, None, "year", "month", padded=True) if parquet \
+        else read_source(spark, source_root, schema)
     if source_filter is not None:
+        if _exists(spark, layout.raw):
+            raise ValueError(f"{layout.raw} exists: a filtered backfill would drop the other months")
         src = src.where(source_filter)
     src = src.withColumnsRenamed({"year": "src_year", "month": "src_month"})
     raw, o_raw = observe(src, "raw")
     write_partitioned(raw, layout.raw, ("src_year", "src_month"), mode="static",
                       files_per_partition=files_per_partition)
-    cleaned, o_cl = observe(C.clean(spark.read.parquet(layout.raw), layout.variant, money_mode, max_minutes,
+    cleaned, o_cl = observe(C.clean(read_loads(spark, layout.raw), layout.variant, money_mode, max_minutes,
                                     keep=("src_year", "src_month")), "cleaned")
     write_partitioned(cleaned, layout.cleaned, ("src_year", "src_month"), mode="static",
                       files_per_partition=files_per_partition)
     record_load_months(spark, layout)
+    if not layout.has_fact:
+        return {"raw_rows": o_raw.get.get("rows", 0), "cleaned_rows": o_cl.get.get("rows", 0), "fact_rows": 0}
     fact, o_fact = observe(build_fact(spark.read.parquet(layout.cleaned), with_ids=True,
                                       money_mode=money_mode), "fact")
     write_partitioned(fact, layout.fact, ("year", "month"), mode="static",

@@ -79,6 +79,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not fallback and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = fallback or tempfile.mkdtemp(prefix="meterwise-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

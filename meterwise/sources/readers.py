@@ -11,9 +11,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (DataType, DoubleType, StringType, StructField, StructType,
+                               TimestampType)
 
 
 def _paths(path: str | Sequence[str]) -> list[str]:
@@ -158,3 +161,56 @@ def read_months_drift_safe(spark: SparkSession, paths_by_month: dict[tuple[int,
         frames.append(read_source(spark, p).withColumns(
             {"src_year": F.lit(y).cast("int"), "src_month": F.lit(m).cast("int")}))
     return union_months(frames, schema)
+
+
+_WHOLE = {"byte": 0, "short": 1, "integer": 2, "long": 3}
+
+
+def widest(types: Sequence[DataType]) -> DataType:
+    """The narrowest type that holds every one of ``types``: whole numbers
+    widen to the longest, any mix with a fraction to double, anything else
+    that differs to string."""
+    names = {t.typeName() for t in types}
+    if len({t.simpleString() for t in types}) == 1:
+        return types[0]
+    if names <= _WHOLE.keys():
+        return max(types, key=lambda t: _WHOLE[t.typeName()])
+    if names <= _WHOLE.keys() | {"float", "double", "decimal"}:
+        return DoubleType()
+    if names <= {"timestamp", "timestamp_ntz", "date"}:
+        return TimestampType()
+    return StringType()
+
+
+def union_widened(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union by (case-insensitive) name of frames whose schemas differ: typed
+    nulls for absent columns, the widest type for differing ones."""
+    types: dict[str, list[DataType]] = {}
+    spelled: dict[str, str] = {}
+    for f in frames:
+        for c in f.schema.fields:
+            types.setdefault(c.name.lower(), []).append(c.dataType)
+            spelled.setdefault(c.name.lower(), c.name)
+    target = StructType([StructField(spelled[k], widest(v)) for k, v in types.items()])
+    return reduce(lambda a, b: a.unionByName(b), [cast_to_schema(f, target) for f in frames])
+
+
+def read_loads(spark: SparkSession, root: str, loads: Sequence[tuple[int, int]] | None = None,
+               year_col: str = "src_year", month_col: str = "src_month", padded: bool = False) -> DataFrame:
+    """Every load with its own schema (S2, S12, P2): an optional column of
+    some loads is kept, and differing encodings of a column are widened.
+
+    All loads of a Parquet root are read in one pass with merged schemas
+    (footers only); where encodings disagree, loads are read one by one.
+    """
+    if loads is None:
+        try:
+            return spark.read.option("mergeSchema", "true").parquet(root)
+        except (PySparkException, Py4JJavaError) as e:
+            if "CANNOT_MERGE_" not in str(e):
+                raise
+        found = spark.read.parquet(root).select(year_col, month_col).distinct().collect()
+        loads = [(r[year_col], r[month_col]) for r in found]
+    month = "{m:02d}" if padded else "{m}"
+    paths = [f"{root.rstrip('/')}/{year_col}={y}/" + f"{month_col}={month.format(m=m)}" for y, m in sorted(loads)]
+    return union_widened([spark.read.option("basePath", root).parquet(p) for p in paths])
