@@ -152,10 +152,6 @@ def continuity_violations(cumulative: DataFrame, entity: str) -> DataFrame:
             .select(entity, "year", "month", F.explode("_bad").alias("metric")))
 
 
-VENDOR_CUMULATIVE = VENDOR_MONTH
-ZONE_CUMULATIVE = ZONE_MONTH
-
-
 # hourly mart column -> monthly column, for rolling hourly marts up to months
 _FROM_HOURLY = (("trip_count", "monthly_trip_count"),
                 ("total_passenger_count", "monthly_passenger_count"),

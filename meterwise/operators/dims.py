@@ -46,28 +46,12 @@ def build_dim_zone(lookup: DataFrame) -> DataFrame:
 
 def build_dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
     """D3: one row per calendar day between two dates (inclusive)."""
-    d = F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias("date")
-    days = spark.range(1).select(d)
-    return days.select(
-        (F.year("date") * 10000 + F.month("date") * 100 + F.dayofmonth("date")).alias("date_id"),
-        "date",
-        F.year("date").alias("year"),
-        F.month("date").alias("month"),
-        F.dayofmonth("date").alias("day"),
-        F.dayofweek("date").alias("day_of_week"),
-        F.date_format("date", "EEEE").alias("day_name"),
-        F.weekofyear("date").alias("week_of_year"),
-        F.quarter("date").alias("quarter"),
-        F.dayofweek("date").isin(1, 7).alias("is_weekend"),
-    )
+    return _calendar(spark.range(1).select(F.to_date(F.lit(start)).alias("lo"), F.to_date(F.lit(end)).alias("hi")))
 
 
-def dim_date_for(df: DataFrame, date_col: str = "pickup_date") -> DataFrame:
-    """D3 over the span of a table's dates (one small aggregate, then a
-    generated calendar; the fact is never joined to produce it)."""
-    b = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    days = b.select(F.explode(F.sequence("lo", "hi")).alias("date"))
-    return days.select(
+def _calendar(bounds: DataFrame) -> DataFrame:
+    """One row per day from ``lo`` to ``hi`` of a one-row frame."""
+    return bounds.select(F.explode(F.sequence("lo", "hi")).alias("date")).select(
         (F.year("date") * 10000 + F.month("date") * 100 + F.dayofmonth("date")).alias("date_id"),
         "date", F.year("date").alias("year"), F.month("date").alias("month"),
         F.dayofmonth("date").alias("day"), F.dayofweek("date").alias("day_of_week"),
@@ -76,6 +60,12 @@ def dim_date_for(df: DataFrame, date_col: str = "pickup_date") -> DataFrame:
         F.dayofweek("date").isin(1, 7).alias("is_weekend"))
 
 
+def dim_date_for(df: DataFrame, date_col: str = "pickup_date") -> DataFrame:
+    """D3 over the span of a table's dates (one small aggregate, then a
+    generated calendar; the fact is never joined to produce it)."""
+    return _calendar(df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")))
+
+
 def time_bucket(hour: Column) -> Column:
     """Hour -> bucket.  The design fixes 7 morning_commute, 12 lunch,
     18 evening_commute and 23 night; the remaining hours follow our rule."""

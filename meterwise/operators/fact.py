@@ -14,11 +14,11 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.functions.ids import assign_row_ids
+from meterwise.functions.ids import assign_row_ids, content_ids
 from meterwise.functions.numeric import guarded_ratio
 from meterwise.sources.readers import month_filter
 
-# Fact columns between trip_id and the ratios, in the reference order.
+# Fact columns between trip_id and the ratios, in contract order.
 FACT_BASE_COLUMNS = (
     "vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_date", "year_month",
     "pickup_year", "pickup_month", "pickup_day", "pickup_hour", "pickup_dayofweek",
@@ -44,13 +44,14 @@ def trip_ratios(money_mode: str = "double") -> dict:
 
 
 def build_fact(cleaned: DataFrame, with_ids: bool = True, load_ts: bool = True,
-               id_buckets: int = 1024, money_mode: str = "double") -> DataFrame:
+               id_buckets: int = 1024, money_mode: str = "double", ids: str = "content") -> DataFrame:
     """P10: the fact frame for whatever Cleaned rows it is given.
 
     Columns that a variant does not have (e.g. fhv has no fares) become
     typed nulls so every variant yields the same fact schema.  With
-    ``with_ids`` the id is assigned by :func:`assign_row_ids` over all fact
-    base columns (content identity), scoped by pickup month.
+    ``with_ids`` every row gets a ``trip_id`` over all fact base columns:
+    ``ids="content"`` a hash that no later load changes (:func:`content_ids`),
+    ``ids="dense"`` ordinals per pickup month (:func:`assign_row_ids`).
     """
     present = {c.lower() for c in cleaned.columns}
     money_t = "decimal(18,2)" if money_mode == "decimal" else "double"
@@ -59,11 +60,15 @@ def build_fact(cleaned: DataFrame, with_ids: bool = True, load_ts: bool = True,
         return F.lit(None).cast("long" if c in _LONG_COLUMNS else money_t).alias(c)
 
     base = cleaned.select(*[F.col(c) if c.lower() in present else missing(c) for c in FACT_BASE_COLUMNS])
-    if with_ids:
+    if ids not in ("content", "dense"):
+        raise ValueError(f"unknown ids {ids!r}")
+    if with_ids and ids == "content":
+        base = content_ids(base, FACT_BASE_COLUMNS)
+    elif with_ids:
         base = assign_row_ids(base, FACT_BASE_COLUMNS, ("pickup_year", "pickup_month"),
                               id_col="trip_id", buckets=id_buckets)
     else:
-        base = base.withColumn("trip_id", F.lit(None).cast("long"))
+        base = base.withColumn("trip_id", F.lit(None).cast("string" if ids == "content" else "long"))
     out = base.withColumns(trip_ratios(money_mode))
     cols = ["trip_id", *FACT_BASE_COLUMNS, *RATIO_COLUMNS]
     sel = [F.col(c) for c in cols]
@@ -73,12 +78,6 @@ def build_fact(cleaned: DataFrame, with_ids: bool = True, load_ts: bool = True,
     return out.select(*sel)
 
 
-def touched_months(new_cleaned: DataFrame) -> DataFrame:
-    """Pickup months present in a new load (usually one, plus strays)."""
-    return (new_cleaned.select(F.col("pickup_year").alias("year"), F.col("pickup_month").alias("month"))
-            .distinct())
-
-
 def cleaned_for_months(cleaned_all: DataFrame, months: Iterable[tuple[int, int]]) -> DataFrame:
     """Every Cleaned row whose *pickup* month is in ``months``, whichever load
     brought it.  Rebuilding a Fact month from all loads keeps a stray row in

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from meterwise.operators.marts import SUM_DECIMAL
+from meterwise.operators.marts import SUM_DECIMAL, ZONE_HOUR, attach_dim, mart_ratios
 
 # partial column -> (kind, fact column)
 PARTIAL_METRICS = (
@@ -78,6 +78,7 @@ def merge_partials(partial: DataFrame, entity: str = "pickup_location_id",
         "avg_distance": F.col("total_distance").cast("double") / n,
         "avg_duration_min": F.col("total_duration_min").cast("double") / n,
         "avg_fare_amount": F.col("total_fare_amount").cast("double") / n,
+        "avg_tip_amount": F.col("total_tip_amount").cast("double") / n,
         "avg_total_amount": F.col("total_amount").cast("double") / n,
     }
     if quantiles and "duration_sketch" in partial.columns:
@@ -87,6 +88,16 @@ def merge_partials(partial: DataFrame, entity: str = "pickup_location_id",
     return out.drop("_sk") if "_sk" in out.columns else out
 
 
+def mart_from_partials(partial: DataFrame, zone_dim: DataFrame, money_mode: str = "double") -> DataFrame:
+    """A17 in the layout of the hour x zone mart: merged sums and sketches,
+    averages, ratios and the zone columns."""
+    merged = merge_partials(partial, ZONE_HOUR.entity, money_mode).withColumns(mart_ratios(money_mode))
+    joined, zone_cols = attach_dim(merged, ZONE_HOUR, zone_dim)
+    return joined.select(F.col("pickup_year").alias("year"), F.col("pickup_month").alias("month"), "year_month",
+                         "pickup_hour", merged[ZONE_HOUR.entity], *zone_cols,
+                         *[F.col(n) for n, _, _ in ZONE_HOUR.metrics], "fare_per_minute", "fare_per_mile")
+
+
 def split_by_entity(mart: DataFrame, entity: str) -> DataFrame:
     """A18: "one mart per entity" as one job: the mart is written with
     ``partitionBy(entity)`` (see ``write_partitioned``) instead of one

@@ -117,11 +117,21 @@ def key_nulls(mart: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def equivalence(a: DataFrame, b: DataFrame) -> DataFrame:
-    """V8: two results are equal as multisets: ``exceptAll`` both ways."""
-    return _glue(a.agg(F.count(F.lit(1)).alias("rows_a")),
-                 b.agg(F.count(F.lit(1)).alias("rows_b")),
-                 a.exceptAll(b).agg(F.count(F.lit(1)).alias("left_only")),
-                 b.exceptAll(a).agg(F.count(F.lit(1)).alias("right_only")))
+    """V8: two results are equal as multisets.  Each side is read once: the
+    tagged union is grouped by all columns (by position, as ``exceptAll``
+    does) and the surplus of either side is summed."""
+    names = [f"c{i}" for i in range(len(a.columns))]
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    both = (a.toDF(*names).withColumns({"a": one, "b": none})
+            .union(b.toDF(*names).withColumns({"a": none, "b": one})))
+    counts = both.groupBy(*names).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+    def total(c) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+
+    return counts.agg(total(F.col("a")).alias("rows_a"), total(F.col("b")).alias("rows_b"),
+                      total(F.greatest(F.col("a") - F.col("b"), F.lit(0))).alias("left_only"),
+                      total(F.greatest(F.col("b") - F.col("a"), F.lit(0))).alias("right_only"))
 
 
 def partition_outliers(counts: DataFrame, rows_col: str = "rows", ratio: float = 0.1) -> DataFrame:
@@ -142,12 +152,16 @@ def observe(df: DataFrame, name: str, amount_col: str | None = None) -> tuple[Da
     return df.observe(obs, *metrics), obs
 
 
-def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """M2: rows plus min / max / nulls per column, one aggregation."""
+def profile(df: DataFrame, cols: Sequence[str], moments: bool = False) -> DataFrame:
+    """M2: rows plus min / max / nulls per column, one aggregation; numeric
+    columns also get their mean and deviation with ``moments``."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in cols:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
                  F.count_if(F.col(c).isNull()).alias(f"nulls_{c}")]
+        if moments:
+            aggs += [F.avg(F.col(c).cast("double")).alias(f"mean_{c}"),
+                     F.stddev_samp(F.col(c).cast("double")).alias(f"stddev_{c}")]
     return df.agg(*aggs)
 
 

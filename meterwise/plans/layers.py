@@ -17,9 +17,12 @@ the write itself; validation reads the written tables (G8).
 
 from __future__ import annotations
 
+import calendar
+import datetime
 import time
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,10 +31,11 @@ from pyspark.sql import functions as F
 from meterwise.operators import clean as C
 from meterwise.operators import cumulative as N
 from meterwise.operators import marts as M
-from meterwise.operators.dims import build_dim_vendor
+from meterwise.operators.dims import build_dim_date, build_dim_time, build_dim_vendor, build_dim_zone
 from meterwise.operators.fact import build_fact, cleaned_for_months
-from meterwise.operators.quality import observe
-from meterwise.session import checkpoint_dir, input_bytes, keeps_shuffle_setting, size_shuffles
+from meterwise.operators.partial import build_daily_partial
+from meterwise.operators.quality import continuity_summary, dsum, observe
+from meterwise.session import checkpoint_dir, keeps_shuffle_setting, size_shuffles, written_size
 from meterwise.sources.months import month_paths, months_of, resolve_months
 from meterwise.sources.readers import detect_format, month_filter, read_loads, read_source
 from meterwise.sources.writers import (RUN_LOG_SCHEMA, append_run_log, load_path, run_log_row,
@@ -64,12 +68,17 @@ class Layout:
     @property
     def dim_vendor(self): return self.p("dim/vendor")
     @property
+    def partial_zone(self): return self.p("mart/partial_day_hour_zone")
+    @property
     def run_log(self): return self.p("meta/run_log")
     @property
     def has_fact(self): return self.variant == FACT_VARIANT
     @property
     def load_months(self): return self.p(f"meta/load_months/{self.variant}")
 
+    def dim(self, name: str) -> str:
+        return self.p(f"dim/{name}")
+
     def mart(self, name: str) -> str:
         return self.p(self.marts[name])
 
@@ -118,7 +127,7 @@ def clean_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]
         # and the others are cleared explicitly.
         seen = Observation("cleaned_loads")
         out = out.observe(seen, F.collect_set(F.struct("src_year", "src_month")).alias("loads"))
-        write_partitioned(out, layout.cleaned, ("src_year", "src_month"), mode="dynamic")
+        write_partitioned(out, layout.cleaned, ("src_year", "src_month"), mode="dynamic", cluster=False)
         try:
             produced = {(r["src_year"], r["src_month"]) for r in seen.get.get("loads", [])}
         except Exception:  # noqa: BLE001 - no metric arrived: ask the data instead
@@ -212,6 +221,52 @@ def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[
     return touched
 
 
+def write_dims(spark: SparkSession, layout: Layout, zone_dim: DataFrame) -> None:
+    """The zone, time and date dimensions.  The calendar spans the
+    months that the load-month table names; no trip is read for it."""
+    held = sorted(held_months(spark, layout))
+    write_table(build_dim_zone(zone_dim).coalesce(1), layout.dim("zone"))
+    if not _exists(spark, layout.dim("time")):
+        write_table(build_dim_time(spark).coalesce(1), layout.dim("time"))
+    if held:
+        (y0, m0), (y1, m1) = held[0], held[-1]
+        last = calendar.monthrange(y1, m1)[1]
+        write_table(build_dim_date(spark, f"{y0:04d}-{m0:02d}-01", f"{y1:04d}-{m1:02d}-{last}").coalesce(1),
+                    layout.dim("date"))
+
+
+@keeps_shuffle_setting
+def build_daily_partials(spark: SparkSession, layout: Layout, months: list[tuple[int, int]] | None = None,
+                         day: str | None = None, money_mode: str = "double") -> None:
+    """A16 as a table: day x hour x zone partials under ``year=/month=/day=``.
+
+    ``months`` (default all) or one ``day`` (``YYYY-MM-DD``) are rebuilt from
+    the written Fact; only the partitions of those days are read and
+    replaced.  A day that has no trips any more is dropped."""
+    if day is not None:
+        d = datetime.date.fromisoformat(day)
+        months = [(d.year, d.month)]
+    fact = spark.read.parquet(layout.fact)
+    if months is not None:
+        fact = fact.where(month_filter(months))
+        drop_partials(spark, layout, months, day)
+    if day is not None:
+        fact = fact.where(F.col("pickup_date") == F.lit(day).cast("date"))
+    partial = build_daily_partial(fact, money_mode=money_mode).withColumns(
+        {"year": F.col("pickup_year"), "month": F.col("pickup_month"), "day": F.col("pickup_day")})
+    write_partitioned(partial, layout.partial_zone, ("year", "month", "day"),
+                      mode="static" if months is None else "dynamic")
+
+
+def drop_partials(spark: SparkSession, layout: Layout, months, day: str | None = None) -> None:
+    """Remove the partial folders of whole months, or of one day."""
+    jvm = spark.sparkContext._jvm
+    for y, m in months:
+        rel = f"year={y}/month={m}" + (f"/day={datetime.date.fromisoformat(day).day}" if day else "")
+        p = jvm.org.apache.hadoop.fs.Path(f"{layout.partial_zone}/{rel}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 @keeps_shuffle_setting
 def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int]], zone_dim: DataFrame,
                 money_mode: str = "double", share_fact: bool = True) -> None:
@@ -238,6 +293,7 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
     else:
         write_table(seen, layout.dim_vendor)
     dim_vendor = spark.read.parquet(layout.dim_vendor)
+    write_dims(spark, layout, zone_dim)
 
     if share_fact:
         # One scan of the touched months feeds both hourly marts.  Only
@@ -272,14 +328,59 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
             hourly = hourly.where(F.col("year") * 12 + F.col("month") >= k0) if seed is not None else hourly
             cum = N.cumulative_from_hourly(hourly, spec, dim, money_mode, True, seed)
         elif seed is not None:
-            recent = fact_all.where(F.col("year") * 12 + F.col("month") >= k0)
-            monthly = M.aggregate(recent, spec, money_mode)
+            # Only the touched months are aggregated; the monthly columns of
+            # the other months since are in the written mart already.
+            key = F.col("year") * 12 + F.col("month")
+            kept = (spark.read.parquet(path).where((key >= k0) & ~month_filter(months))
+                    .withColumnsRenamed({"year": "pickup_year", "month": "pickup_month"}))
+            monthly = M.aggregate(fact_all.where(month_filter(months)), spec, money_mode)
+            monthly = monthly.unionByName(kept.select(*monthly.columns)).checkpoint(eager=True)
             cum = N.project_cumulative(N.running_totals(monthly, spec.entity, money_mode, seed), spec, dim, True)
         else:
             cum = N.build_cumulative_mart(fact_all, spec, dim, money_mode)
         write_partitioned(cum, path, mode="dynamic")
 
 
+class _RunLog:
+    """The run-log records of one run, appended in one write when the run ends
+    (also when it fails, then with a ``failed`` record carrying the error).
+    Every record tells the seconds since the one before it and, for written
+    layers, bytes, files and rows per second of what this run wrote."""
+
+    def __init__(self, spark: SparkSession, layout: Layout, loads):
+        self.spark, self.layout, self.loads = spark, layout, loads
+        self.run_id, self.records, self.clock = uuid.uuid4().hex, [], time.perf_counter()
+
+    def add(self, layer: str, months, rows_in, rows_out, paths=(), status: str = "ok", **detail) -> None:
+        now = time.perf_counter()
+        seconds, self.clock = now - self.clock, now
+        detail["seconds"] = round(seconds, 3)
+        if paths:
+            detail["bytes"], detail["files"] = written_size(self.spark, paths)
+        if rows_out is not None:
+            detail["rows_per_s"] = round(rows_out / max(seconds, 1e-3), 1)
+        self.records.append(run_log_row(self.run_id, layer, months, rows_in, rows_out, status, detail))
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, kind, error, trace):
+        if error is not None:
+            self.add("run", self.loads, None, None, status="failed", error=f"{type(error).__name__}: {error}")
+        append_run_log(self.spark, self.layout.run_log, self.spark.createDataFrame(self.records, RUN_LOG_SCHEMA))
+
+
+def _finish_run(log: _RunLog, months, paths, whole: bool = False) -> None:
+    """Mart and validate records of a run; a failed check raises."""
+    v = validate_written(log.spark, log.layout, None if whole else months)
+    named = [] if whole else months
+    log.add("mart", named, v["fact_rows"], v.get("mart_rows"), paths)
+    log.add("validate", named, v["fact_rows"], v["mart_trip_sum"], status="ok" if v["passed"] else "failed",
+            amount_diff=str(v["amount_diff"]), failed=v.get("failed", []))
+    if not v["passed"]:
+        raise ValueError(f"validation of months {named or 'all'} failed: {v}")
+
+
 def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year: int, month: int,
               zone_dim: DataFrame, money_mode: str = "double",
               max_minutes: float = C.DEFAULT_MAX_MINUTES, schema=None, allow_empty: bool = False) -> str:
@@ -287,53 +388,28 @@ def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year
 
     An empty source file fails the run (and logs it) unless ``allow_empty``:
     a month is never replaced by nothing by accident.
-
-    The records are appended in one write at the end of the run (or when it
-    fails, with a ``failed`` record carrying the error), not one job each.
     """
-    run_id = uuid.uuid4().hex
     loads = [(year, month)]
-    log: list[tuple] = []
-    clock = [time.perf_counter()]
-
-    def metrics(paths) -> dict:
-        # M1: seconds since the previous record and bytes written (metadata)
-        now = time.perf_counter()
-        out = {"seconds": round(now - clock[0], 3), "bytes": input_bytes(spark, paths)}
-        clock[0] = now
-        return out
-
-    try:
+    with _RunLog(spark, layout, loads) as log:
         before = held_months(spark, layout, loads)
         raw = load_raw(spark, layout, source, year, month, schema, allow_empty=allow_empty)
-        log.append(run_log_row(run_id, "raw", loads, None, raw["rows"], "ok",
-                               metrics(load_path(layout.raw, year, month))))
+        log.add("raw", loads, None, raw["rows"], [load_path(layout.raw, year, month)])
         cl = clean_loads(spark, layout, loads, money_mode, max_minutes)
-        log.append(run_log_row(run_id, "cleaned", loads, raw["rows"], cl["rows"], "ok",
-                               metrics(load_path(layout.cleaned, year, month))))
+        log.add("cleaned", loads, raw["rows"], cl["rows"], [load_path(layout.cleaned, year, month)])
         if not layout.has_fact:  # Fact and marts hold one variant
-            return run_id
+            return log.run_id
         months = build_fact_for_loads(spark, layout, loads, money_mode, before)
-        log.append(run_log_row(run_id, "fact", months, cl["rows"], None, "ok",
-                               metrics([f"{layout.fact}/year={y}/month={m}" for y, m in months])))
+        folders = [f"year={y}/month={m}" for y, m in months]
+        left = sorted(held_months(spark, layout) & set(months))
+        rows = spark.read.parquet(layout.fact).where(month_filter(left)).count() if left else 0
+        log.add("fact", months, cl["rows"], rows, [f"{layout.fact}/{f}" for f in folders])
         if months:
             build_marts(spark, layout, months, zone_dim, money_mode)
-        log.append(run_log_row(run_id, "mart", months, None, None, "ok",
-                               metrics([layout.mart(k) for k in layout.marts])))
-        if held_months(spark, layout) & set(months):
-            v = validate_written(spark, layout, months)
-            log.append(run_log_row(run_id, "validate", months, v["fact_rows"], v["mart_trip_sum"],
-                                   "ok" if v["passed"] else "failed",
-                                   {"amount_diff": str(v["amount_diff"]), **metrics([])}))
-            if not v["passed"]:
-                raise ValueError(f"validation of months {months} failed: {v}")
-    except Exception as e:
-        log.append(run_log_row(run_id, "run", loads, None, None, "failed",
-                               {"error": f"{type(e).__name__}: {e}"}))
-        raise
-    finally:
-        append_run_log(spark, layout.run_log, spark.createDataFrame(log, RUN_LOG_SCHEMA))
-    return run_id
+        if left:
+            _finish_run(log, left, [f"{layout.mart(k)}/{f}" for k in layout.marts for f in folders])
+        else:
+            log.add("mart", months, 0, 0)
+    return log.run_id
 
 
 def run_range(spark: SparkSession, layout: Layout, source_root: str, zone_dim: DataFrame,
@@ -346,14 +422,70 @@ def run_range(spark: SparkSession, layout: Layout, source_root: str, zone_dim: D
             for m in months]
 
 
-def validate_written(spark: SparkSession, layout: Layout, months: list[tuple[int, int]],
+MART_COLUMNS = {  # mart -> (trip count, amount, entity of its running totals)
+    "zone_hour": ("trip_count", "total_amount", None),
+    "vendor_hour": ("trip_count", "total_amount", None),
+    "zone_cumulative": ("monthly_trip_count", "monthly_total_amount", "pickup_location_id"),
+    "vendor_cumulative": ("monthly_trip_count", "monthly_total_amount", "vendor_id"),
+}
+
+
+def validation_report(spark: SparkSession, layout: Layout, months: list[tuple[int, int]] | None = None,
+                      tolerance: float = 0.01) -> DataFrame:
+    """V1 + V2 on the *written* tables, one row per table: Cleaned and each of
+    the four marts against the Fact, for ``months`` (default all).
+
+    Trip counts must be equal.  Amounts must agree within ``tolerance`` (in
+    double mode within 1e-9 of the total where that is more: sums of doubles
+    depend on their order).  Running totals in exact mode must continue the
+    month before (N5), over the whole mart."""
+    def read(path: str, year: str = "year", month: str = "month") -> DataFrame:
+        df = spark.read.parquet(path)
+        return df if months is None else df.where(month_filter(months, year, month))
+
+    def totals(df: DataFrame, name: str, trips, amount: str) -> DataFrame:
+        return df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"),
+                      F.coalesce(trips, F.lit(0)).cast("long").alias("trips"), dsum(df, amount, "amount"),
+                      F.lit(0).cast("long").alias("violations"))
+
+    sources = spark.read.parquet(layout.cleaned)
+    if months is not None:  # only the load folders that hold these months
+        sources = sources.where(month_filter(loads_holding(spark, layout, months), "src_year", "src_month"))
+        sources = sources.where(month_filter(months, "pickup_year", "pickup_month"))
+    fact = read(layout.fact)
+    exact = fact.schema["total_amount"].dataType.typeName() == "decimal"
+    tables = [totals(fact, "fact", F.count(F.lit(1)), "total_amount"),
+              totals(sources, "cleaned", F.count(F.lit(1)), "total_amount")]
+    for name, (trips, amount, entity) in MART_COLUMNS.items():
+        tables.append(totals(read(layout.mart(name)), name, F.sum(trips), amount))
+        if entity and exact:
+            steps = continuity_summary(spark.read.parquet(layout.mart(name)), entity)
+            tables.append(steps.select(F.lit(name).alias("name"), F.lit(0).cast("long").alias("rows"),
+                                       F.lit(0).cast("long").alias("trips"), F.lit(None).alias("amount"),
+                                       F.col("violations").cast("long").alias("violations")))
+    per_table = reduce(lambda a, b: a.unionByName(b), tables).groupBy("name").agg(
+        *[F.sum(c).alias(c) for c in ("rows", "trips", "amount", "violations")])
+    # Six rows, one per table, side by side with the Fact's.
+    rows = per_table.agg(F.collect_list(F.struct("*")).alias("t")).select(
+        F.filter("t", lambda r: r["name"] == "fact")[0].alias("f"),
+        F.explode(F.filter("t", lambda r: r["name"] != "fact")).alias("m"))
+    diff = F.abs(F.coalesce("f.amount", F.lit(0)) - F.coalesce("m.amount", F.lit(0)))
+    bound = F.lit(tolerance) if exact else F.greatest(F.lit(tolerance), F.abs(F.col("f.amount")) * 1e-9)
+    return rows.select(
+        "m.name", F.col("f.rows").alias("fact_rows"), F.col("m.rows").alias("rows"), "m.trips", "m.violations",
+        F.col("f.amount").alias("fact_amount"), "m.amount", diff.alias("amount_diff"),
+        ((F.col("m.trips") == F.col("f.rows")) & (F.col("m.violations") == 0)
+         & F.coalesce(diff < bound, F.lit(True))).alias("passed"))
+
+
+def validate_written(spark: SparkSession, layout: Layout, months: list[tuple[int, int]] | None = None,
                      tolerance: float = 0.01) -> dict:
-    """V1 on the *written* tables for the given months: fact rows = the
-    hourly zone mart's trip sum, totals within ``tolerance`` (one row back)."""
-    from meterwise.operators.quality import validate_mart
-    fact = spark.read.parquet(layout.fact).where(month_filter(months))
-    mart = spark.read.parquet(layout.mart("zone_hour")).where(month_filter(months))
-    return validate_mart(fact, mart, tolerance).first().asDict()
+    """The report of :func:`validation_report` in short (five rows back)."""
+    rows = {r["name"]: r for r in validation_report(spark, layout, months, tolerance).collect()}
+    failed = sorted(n for n, r in rows.items() if not r["passed"])
+    return {"fact_rows": rows["cleaned"]["fact_rows"], "mart_trip_sum": rows["zone_hour"]["trips"],
+            "mart_rows": sum(r["rows"] for n, r in rows.items() if n != "cleaned"),
+            "amount_diff": max(r["amount_diff"] for r in rows.values()), "failed": failed, "passed": not failed}
 
 
 @keeps_shuffle_setting
@@ -371,9 +503,19 @@ def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: Da
     own.  ``source_filter`` (a predicate on the folder columns
     ``year``/``month``) restricts the months of a *first* build; it is refused
     over existing layers, whose other months it would drop (use ``run_range``).
+
+    A run-log record is kept per layer, with no months named: a whole build.
     """
     checkpoint_dir(spark)
     size_shuffles(spark, source_root)
+    with _RunLog(spark, layout, []) as log:
+        return _backfill(spark, layout, source_root, zone_dim, money_mode, max_minutes, schema,
+                         files_per_partition, source_filter, log)
+
+
+def _backfill(spark, layout, source_root, zone_dim, money_mode, max_minutes, schema, files_per_partition,
+              source_filter, log: _RunLog) -> dict:
+    narrow = files_per_partition is None  # rows stay with their load: nothing to move
     parquet = schema is None and detect_format(spark, source_root) == "parquet"
     src = read_loads(spark, source_root, None, "year", "month", padded=True) if parquet \
         else read_source(spark, source_root, schema)
@@ -384,20 +526,27 @@ def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: Da
     src = src.withColumnsRenamed({"year": "src_year", "month": "src_month"})
     raw, o_raw = observe(src, "raw")
     write_partitioned(raw, layout.raw, ("src_year", "src_month"), mode="static",
-                      files_per_partition=files_per_partition)
+                      files_per_partition=files_per_partition, cluster=not narrow)
+    n_raw = o_raw.get.get("rows", 0)
+    log.add("raw", [], None, n_raw, [layout.raw])
     cleaned, o_cl = observe(C.clean(read_loads(spark, layout.raw), layout.variant, money_mode, max_minutes,
                                     keep=("src_year", "src_month")), "cleaned")
     write_partitioned(cleaned, layout.cleaned, ("src_year", "src_month"), mode="static",
-                      files_per_partition=files_per_partition)
+                      files_per_partition=files_per_partition, cluster=not narrow)
     record_load_months(spark, layout)
+    n_cl = o_cl.get.get("rows", 0)
+    log.add("cleaned", [], n_raw, n_cl, [layout.cleaned])
     if not layout.has_fact:
-        return {"raw_rows": o_raw.get.get("rows", 0), "cleaned_rows": o_cl.get.get("rows", 0), "fact_rows": 0}
+        return {"raw_rows": n_raw, "cleaned_rows": n_cl, "fact_rows": 0}
     fact, o_fact = observe(build_fact(spark.read.parquet(layout.cleaned), with_ids=True,
                                       money_mode=money_mode), "fact")
     write_partitioned(fact, layout.fact, ("year", "month"), mode="static",
                       files_per_partition=files_per_partition)
+    n_fact = o_fact.get.get("rows", 0)
+    log.add("fact", [], n_cl, n_fact, [layout.fact])
     fact_all = spark.read.parquet(layout.fact)
     write_table(build_dim_vendor(fact_all), layout.dim_vendor)
+    write_dims(spark, layout, zone_dim)
     dim_vendor = spark.read.parquet(layout.dim_vendor)
     write_partitioned(M.build_metric_mart(fact_all, M.ZONE_HOUR, zone_dim, money_mode),
                       layout.mart("zone_hour"), mode="static")
@@ -410,5 +559,5 @@ def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: Da
         else:
             cum = N.build_cumulative_mart(fact_all, spec, dim, money_mode)
         write_partitioned(cum, layout.mart(name), mode="static")
-    return {"raw_rows": o_raw.get.get("rows", 0), "cleaned_rows": o_cl.get.get("rows", 0),
-            "fact_rows": o_fact.get.get("rows", 0)}
+    _finish_run(log, None, [layout.mart(k) for k in layout.marts], whole=True)
+    return {"raw_rows": n_raw, "cleaned_rows": n_cl, "fact_rows": n_fact}

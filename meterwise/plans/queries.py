@@ -11,6 +11,7 @@ BIGINT integers so the same numbers come out of both engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -320,9 +321,9 @@ def fact_ratios(spark, sf_dir):
 SELECT count(*) AS row_count, count(*) AS distinct_trip_ids, count(*) AS dense_span,
        count(DISTINCT (pickup_year, pickup_month)) AS months FROM cl""")
 def fact_trip_id_unique(spark, sf_dir):
-    """P15 (G6): ids are unique and dense per month: the per-month span
+    """P15 (G6), dense ids: unique and gapless per month, the per-month span
     ``max - min + 1`` summed over months equals the row count."""
-    f = fact(spark, sf_dir, "orders", with_ids=True)
+    f = build_fact(cleaned(spark, sf_dir, "orders"), load_ts=False, money_mode=MODE, ids="dense")
     per_month = f.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("trip_id").alias("d"),
         (F.max("trip_id") - F.min("trip_id") + 1).alias("span"))
@@ -330,6 +331,28 @@ def fact_trip_id_unique(spark, sf_dir):
                          F.sum("span").alias("dense_span"), F.count(F.lit(1)).alias("months"))
 
 
+@register("fact_trip_id_stable", W_TO + """
+SELECT count(*) AS rows, count(*) AS distinct_ids, CAST(0 AS BIGINT) AS changed_ids,
+       count(*) FILTER (WHERE (pickup_year, pickup_month) <>
+         (SELECT (max(pickup_year), max(pickup_month) FILTER (WHERE pickup_year = (SELECT max(pickup_year) FROM cl)))
+          FROM cl)) AS ids_before
+FROM cl""")
+def fact_trip_id_stable(spark, sf_dir):
+    """P15 (G6), content ids: ids of all months, built with and without the
+    last month; ids that a later load changed are counted (none)."""
+    c = cleaned(spark, sf_dir, "orders")
+    key = _month_key()
+    last = c.agg(F.max(key)).first()[0]  # one number
+    before = c.where(key < F.lit(last))
+    ids = [build_fact(x, load_ts=False, money_mode=MODE).select("trip_id") for x in (c, before)]
+    tagged = (ids[0].withColumns({"now": F.lit(1), "old": F.lit(0)})
+              .unionByName(ids[1].withColumns({"now": F.lit(0), "old": F.lit(1)})))
+    per_id = tagged.groupBy("trip_id").agg(F.sum("now").alias("now"), F.sum("old").alias("old"))
+    return per_id.agg(F.sum("now").alias("rows"), F.count_if(F.col("now") > 0).alias("distinct_ids"),
+                      F.count_if((F.col("old") > 0) & (F.col("old") != F.col("now"))).alias("changed_ids"),
+                      F.sum("old").alias("ids_before"))
+
+
 @register("dim_vendor", W_TO + f"""
 SELECT DISTINCT vendor_id, {Q.vendor_name('vendor_id')} AS vendor_name FROM cl""")
 def dim_vendor(spark, sf_dir):
@@ -606,6 +629,7 @@ def partial_day_mart(spark, sf_dir):
     return build_daily_partial(fact(spark, sf_dir, "events"), money_mode=MODE, sketch=False)
 
 
+KLL_ERROR = 0.0165  # normalized rank error of a sketch of size 200
 _MERGED_SQL = f"""
 SELECT strftime(pickup_date, '%Y-%m') AS year_month, pickup_year, pickup_month, pickup_hour, pickup_location_id,
        CAST(sum(trip_count) AS BIGINT) AS trip_count,
@@ -619,6 +643,7 @@ SELECT strftime(pickup_date, '%Y-%m') AS year_month, pickup_year, pickup_month,
        CAST(sum(distance) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS avg_distance,
        CAST(sum(duration_min) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS avg_duration_min,
        CAST(sum(fare_amount) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS avg_fare_amount,
+       CAST(sum(tip_amount) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS avg_tip_amount,
        CAST(sum(total_amount) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS avg_total_amount
 FROM {_PARTIAL_SQL} p
 GROUP BY 1, pickup_year, pickup_month, pickup_hour, pickup_location_id"""
@@ -633,22 +658,28 @@ def partial_merged_mart(spark, sf_dir):
     return merge_partials(p, money_mode=MODE, quantiles=False)
 
 
-@register("partial_percentiles")
+@register("partial_percentiles", Q.with_clauses(Q.TE, CL_TE) + """
+SELECT count(*) AS groups, count(*) AS p50_within, count(*) AS p90_within
+FROM (SELECT DISTINCT year_month, pickup_hour, pickup_location_id FROM cl) g""")
 def partial_percentiles(spark, sf_dir):
-    """A17 percentiles: KLL sketches per day merged per month, next to the
-    direct ``percentile_approx``; ``within_error`` checks the rank error."""
+    """A17 percentiles: KLL sketches per day merged per month.  The true ranks
+    of the answers, counted over the trips, must hold the asked rank within
+    twice the error that the sketch size documents (1.65% at k=200)."""
     from meterwise.operators.partial import build_daily_partial, merge_partials
     f = fact(spark, sf_dir, "events")
     merged = merge_partials(build_daily_partial(f, money_mode=MODE), money_mode=MODE).select(
         "year_month", "pickup_hour", "pickup_location_id", "trip_count",
         F.col("p50_duration_min").alias("kll_p50"), F.col("p90_duration_min").alias("kll_p90"))
-    direct = f.groupBy("year_month", "pickup_hour", "pickup_location_id").agg(
-        F.percentile_approx("trip_duration_min", 0.5).alias("p50"),
-        F.percentile_approx("trip_duration_min", 0.9).alias("p90"),
-        F.min("trip_duration_min").alias("lo"), F.max("trip_duration_min").alias("hi"))
-    j = merged.join(direct, ["year_month", "pickup_hour", "pickup_location_id"], "inner")
-    return j.withColumn("within_range", (F.col("kll_p50") >= F.col("lo")) & (F.col("kll_p50") <= F.col("hi"))
-                        & (F.col("kll_p90") >= F.col("lo")) & (F.col("kll_p90") <= F.col("hi")))
+    grain = ["year_month", "pickup_hour", "pickup_location_id"]
+    # No hint: one row per group, AQE broadcasts it when measured small.
+    j = f.select(*grain, F.col("trip_duration_min").cast("double").alias("d")).join(merged, grain)
+    n = F.count(F.lit(1))
+    ranks = j.groupBy(*grain).agg(*[
+        ((F.count_if(F.col("d") < F.col(q)) / n <= r + 2 * KLL_ERROR)
+         & (F.count_if(F.col("d") <= F.col(q)) / n >= r - 2 * KLL_ERROR)).alias(q)
+        for q, r in (("kll_p50", 0.5), ("kll_p90", 0.9))])
+    return ranks.agg(n.alias("groups"), F.count_if("kll_p50").alias("p50_within"),
+                     F.count_if("kll_p90").alias("p90_within"))
 
 
 # ------------------------------------------------------------ quality
@@ -850,25 +881,24 @@ def pruned_read(spark, sf_dir):
 
 
 @register("overwrite_dynamic_safe", W_TO + """
-SELECT CAST(1996 AS BIGINT) AS src_year, CAST(1 AS BIGINT) AS src_month, pickup_year, pickup_month,
-       count(*) AS rows
-FROM cl WHERE pickup_year = 1996 AND pickup_month = 1 GROUP BY pickup_year, pickup_month
+SELECT pickup_year AS src_year, pickup_month AS src_month, pickup_year, pickup_month, count(*) AS rows
+FROM cl GROUP BY pickup_year, pickup_month
 UNION ALL
 SELECT CAST(1996 AS BIGINT), CAST(2 AS BIGINT), pickup_year, pickup_month, count(*)
-FROM cl WHERE pickup_year = 1996 AND (pickup_month = 2 OR (pickup_month = 1 AND payment_type = 1))
+FROM cl WHERE pickup_year = 1996 AND pickup_month = 1 AND payment_type = 1
 GROUP BY pickup_year, pickup_month""")
 def overwrite_dynamic_safe(spark, sf_dir):
-    """W2 + W8 (G3): January is loaded, then February's load - which also
-    carries stray January rows - is loaded twice.  Partitioning by the source
+    """W2 + W8 (G3): every month is loaded, then one February load - which
+    also carries stray January rows - is loaded twice.  Partitioning by the source
     month keeps January intact and the rerun idempotent."""
-    from meterwise.sources.writers import save_month
+    from meterwise.sources.writers import save_month, write_partitioned
     path = scratch(spark, "loads")
     c = cleaned(spark, sf_dir, "orders")
-    jan = c.where((F.col("pickup_year") == 1996) & (F.col("pickup_month") == 1))
     feb = c.where((F.col("pickup_year") == 1996)
                   & ((F.col("pickup_month") == 2)
                      | ((F.col("pickup_month") == 1) & (F.col("payment_type") == 1))))
-    save_month(jan, path, 1996, 1)
+    every = c.withColumns({"src_year": F.col("pickup_year"), "src_month": F.col("pickup_month")})
+    write_partitioned(every, path, ("src_year", "src_month"), mode="static")
     save_month(feb, path, 1996, 2)
     save_month(feb, path, 1996, 2)
     back = spark.read.parquet(path)
@@ -895,14 +925,10 @@ def compacted_output(spark, sf_dir):
         F.count_distinct("file").alias("files"))
 
 
-CATALOG_MONTHS = [(1997, 1), (1997, 2)]
-
-
 @register("catalog_partitions", W_TO + """
-SELECT pickup_year AS year, pickup_month AS month, count(*) AS rows FROM cl
-WHERE pickup_year = 1997 AND pickup_month IN (1, 2) GROUP BY 1, 2""")
+SELECT pickup_year AS year, pickup_month AS month, count(*) AS rows FROM cl GROUP BY 1, 2""")
 def catalog_partitions(spark, sf_dir):
-    """External partitioned table; two months registered with
+    """External partitioned table; every month registered with
     ALTER TABLE ... ADD PARTITION (no full MSCK listing)."""
     import uuid
     from meterwise.sources.catalog import add_month_partition, register_table
@@ -913,7 +939,8 @@ def catalog_partitions(spark, sf_dir):
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.drop("year", "month").schema.fields)
     name = f"mw_cleaned_{uuid.uuid4().hex[:10]}"
     register_table(spark, name, path, ddl + ", year INT, month INT")
-    for y, m in CATALOG_MONTHS:
+    months = spark.read.parquet(path).select("year", "month").distinct().collect()  # folder names
+    for y, m in sorted((r["year"], r["month"]) for r in months):
         add_month_partition(spark, name, path, y, m)
     return spark.table(name).groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -969,22 +996,34 @@ _RUN_LOG_SQL = Q.with_clauses(Q.TO, CL_TO) + f"""
                 count(*) AS n FROM tor GROUP BY 1, 2)
 , lm AS (SELECT * FROM rc ORDER BY y DESC, m DESC LIMIT {NEW_MONTHS})
 , cc AS (SELECT pickup_year AS y, pickup_month AS m, count(*) AS n FROM cl GROUP BY 1, 2)
-, j AS (SELECT lm.n AS raw_n, coalesce(cc.n, 0) AS cl_n, printf('%04d-%02d', lm.y, lm.m) AS ym
-        FROM lm LEFT JOIN cc ON lm.y = cc.y AND lm.m = cc.m)
+, mm AS (SELECT pickup_year AS y, pickup_month AS m,
+         CAST(count(DISTINCT (pickup_hour, pickup_location_id)) + count(DISTINCT pickup_location_id)
+              + count(DISTINCT (pickup_hour, vendor_id)) + count(DISTINCT vendor_id) AS BIGINT) AS mart_n
+       FROM cl GROUP BY 1, 2)
+, a AS (SELECT rc.y, rc.m, rc.n AS raw_n, coalesce(cc.n, 0) AS cl_n, coalesce(mm.mart_n, 0) AS mart_n,
+               printf('%04d-%02d', rc.y, rc.m) AS ym, lm.n IS NOT NULL AS is_new
+        FROM rc LEFT JOIN cc ON rc.y = cc.y AND rc.m = cc.m LEFT JOIN mm ON rc.y = mm.y AND rc.m = mm.m
+        LEFT JOIN lm ON rc.y = lm.y AND rc.m = lm.m)
+, j AS (SELECT * FROM a WHERE is_new)
+, h AS (SELECT CAST(sum(raw_n) AS BIGINT) AS raw_n, CAST(sum(cl_n) AS BIGINT) AS cl_n,
+               CAST(sum(mart_n) AS BIGINT) AS mart_n FROM a WHERE NOT is_new)
 SELECT 'raw' AS layer, ym AS months, CAST(NULL AS BIGINT) AS rows_in, raw_n AS rows_out, 'ok' AS status FROM j
 UNION ALL SELECT 'cleaned', ym, raw_n, cl_n, 'ok' FROM j
-UNION ALL SELECT 'fact', CASE WHEN cl_n > 0 THEN ym ELSE '' END, cl_n, CAST(NULL AS BIGINT), 'ok' FROM j
-UNION ALL SELECT 'mart', CASE WHEN cl_n > 0 THEN ym ELSE '' END, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'ok'
-FROM j
-UNION ALL SELECT 'validate', ym, cl_n, cl_n, 'ok' FROM j WHERE cl_n > 0"""
+UNION ALL SELECT 'fact', CASE WHEN cl_n > 0 THEN ym ELSE '' END, cl_n, cl_n, 'ok' FROM j
+UNION ALL SELECT 'mart', CASE WHEN cl_n > 0 THEN ym ELSE '' END, cl_n, mart_n, 'ok' FROM j
+UNION ALL SELECT 'validate', ym, cl_n, cl_n, 'ok' FROM j WHERE cl_n > 0
+UNION ALL SELECT 'raw', '', NULL, raw_n, 'ok' FROM h
+UNION ALL SELECT 'cleaned', '', raw_n, cl_n, 'ok' FROM h
+UNION ALL SELECT 'fact', '', cl_n, cl_n, 'ok' FROM h
+UNION ALL SELECT 'mart', '', cl_n, mart_n, 'ok' FROM h
+UNION ALL SELECT 'validate', '', cl_n, cl_n, 'ok' FROM h"""
 
 
 @register("run_log", _RUN_LOG_SQL)
 def run_log(spark, sf_dir):
     """O1-O4 + W11 + M1 + V1: after a backfill, the latest months run
-    through every layer; the run log holds one record per layer and run
-    (counts from Observations on the writes) and a validation record read
-    from the written fact and mart."""
+    through every layer; the run log holds one record per layer and run, the
+    backfill included, and a validation record read from the written tables."""
     lay = _layered_run(spark, sf_dir)
     return spark.read.parquet(lay.run_log).select("layer", "months", "rows_in", "rows_out", "status")
 
@@ -999,15 +1038,14 @@ def layered_zone_cumulative(spark, sf_dir):
 
 @register("layered_fact_ids", Q.with_clauses(Q.TO, CL_TO) + f"""
 SELECT pickup_year AS year, pickup_month AS month, count(*) AS rows, count(*) AS distinct_ids,
-       count(*) AS span, {Q.sum_dec('total_amount')} AS amount
+       {Q.sum_dec('total_amount')} AS amount
 FROM cl GROUP BY 1, 2""")
 def layered_fact_ids(spark, sf_dir):
-    """P15 on the written fact: per month, ids unique and dense."""
+    """P15 on the written fact: ids unique in every month."""
     lay = _layered_run(spark, sf_dir)
     f = spark.read.parquet(lay.fact)
     return f.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("trip_id").alias("distinct_ids"),
-        (F.max("trip_id") - F.min("trip_id") + 1).alias("span"),
         F.sum("total_amount").cast(M.SUM_DECIMAL).alias("amount"))
 
 
@@ -1129,8 +1167,24 @@ def hour_zone_mart_reference_rounding(spark, sf_dir):
     """A1 in the reference's own arithmetic (double amounts, sums and
     averages rounded to 2 dp, ratios rounded).  Rounding a double is not
     portable between engines (finding G12), so this form has a row check
-    only; the exact form is ``flagship_hour_zone_mart``."""
+    only; ``hour_zone_mart_rounding_check`` holds it against the exact form."""
     raw = FX.as_variant_raw(FX.trips_events(spark, sf_dir, "double"), "yellow")
     cl = C.clean(raw, "yellow", money_mode="double", max_minutes=EVENTS_MAX_MINUTES, load_ts=False)
     f = build_fact(cl, with_ids=False, load_ts=False, money_mode="double")
     return M.build_metric_mart(f, M.ZONE_HOUR, zone(spark, sf_dir), money_mode="double", load_ts=False)
+
+
+@register("hour_zone_mart_rounding_check", W_TE + """
+SELECT count(*) AS groups, count(*) AS within_a_cent
+FROM (SELECT DISTINCT year_month, pickup_hour, pickup_location_id FROM cl) g""")
+def hour_zone_mart_rounding_check(spark, sf_dir):
+    """A1 in both arithmetics: groups, and groups whose rounded sums and
+    averages are within a cent of the exact ones."""
+    rounded, z = hour_zone_mart_reference_rounding(spark, sf_dir), zone(spark, sf_dir)
+    exact = M.build_metric_mart(fact(spark, sf_dir, "events"), M.ZONE_HOUR, z, money_mode=MODE, load_ts=False)
+    grain = ["year_month", "pickup_hour", "pickup_location_id"]
+    names = [n for n, kind, _ in M.ZONE_HOUR.metrics if kind in ("sum", "avg")]
+    j = rounded.select(*grain, *names).join(
+        exact.select(*grain, *[F.col(n).cast("double").alias("x_" + n) for n in names]), grain, "full_outer")
+    near = [F.coalesce(F.abs(F.col(n) - F.col("x_" + n)) <= 0.01 + 1e-9, F.lit(False)) for n in names]
+    return j.agg(F.count(F.lit(1)).alias("groups"), F.count_if(reduce(lambda a, b: a & b, near)).alias("within_a_cent"))

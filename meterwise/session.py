@@ -106,6 +106,20 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return total
 
 
+def written_size(spark: SparkSession, paths) -> tuple[int, int]:
+    """Bytes and data files under ``paths`` (folders one run wrote)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    size = files = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            found = fs.getContentSummary(hp)
+            size, files = size + found.getLength(), files + found.getFileCount()
+    return size, files
+
+
 def size_shuffles(spark: SparkSession, paths, target_bytes: int = 256 << 20,
                   expansion: float = 3.0) -> int:
     """Set ``spark.sql.shuffle.partitions`` for a job reading ``paths``.

@@ -23,7 +23,7 @@ def register_table(spark: SparkSession, name: str, path: str, schema_ddl: str,
     """Create (if absent) an external Parquet table partitioned by ``partition_cols``.
 
     ``schema_ddl`` lists data and partition columns, e.g.
-    ``"trip_id BIGINT, fare_amount DOUBLE, year INT, month INT"``.
+    ``"trip_id STRING, fare_amount DOUBLE, year INT, month INT"``.
     """
     parts = ", ".join(_ident(c) for c in partition_cols)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_ident(name)} ({schema_ddl}) USING parquet "

@@ -43,7 +43,12 @@ def cluster_for_write(df: DataFrame, partition_cols: Sequence[str], files_per_pa
     if not partition_cols:
         return df
     if files_per_partition is None:
-        return df.hint("rebalance", *partition_cols)
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            return df.hint("rebalance", *partition_cols)
+        # The hint needs adaptive execution; without it, cluster by the
+        # partition and a row hash, so that a big month still has many tasks.
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_cols or df.columns)]), F.lit(8))
+        return df.repartition(*[F.col(c) for c in partition_cols], spread)
     keys = [F.col(c) for c in partition_cols]
     if files_per_partition > 1:
         salt_src = [F.col(c) for c in (salt_cols or df.columns)]
@@ -99,10 +104,13 @@ def save_month(df: DataFrame, path: str, year: int, month: int,
     brought them, so rerunning February can never touch January.  The load's
     folder is overwritten as a whole (explicit path), so a rerun whose output
     is empty also replaces the old rows - dynamic overwrite would keep them
-    because it only replaces partitions that receive rows (G4).
+    because it only replaces partitions that receive rows (G4).  A load is
+    copied task by task, without a shuffle, unless ``files_per_partition``
+    asks for a layout.
     """
     out = df.drop("src_year", "src_month")
-    out = out.hint("rebalance") if files_per_partition is None else out.repartition(files_per_partition)
+    if files_per_partition is not None:
+        out = out.repartition(files_per_partition)
     out.write.mode("overwrite").parquet(load_path(path, year, month))
 
 

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from meterwise.functions.ids import ORDINAL_BITS, assign_row_ids
+from meterwise.functions.ids import ORDINAL_BITS, assign_row_ids, content_ids
 
 
 def frame(spark, n_dup=5, chunk_rows=0):
@@ -47,3 +47,25 @@ def test_hot_group_is_chunked(spark):
     assert out.count() == df.count()
     assert out.select("trip_id").distinct().count() == df.count()
     assert out.where("k = 777").count() == 35
+
+
+def test_content_ids_do_not_change_with_later_rows(spark):
+    cols = ["pickup_year", "pickup_month", "k", "v"]
+    first = frame(spark, n_dup=3, chunk_rows=25)
+    late = spark.createDataFrame([(2024, 1, 3, 99.0), (2024, 1, None, 9.99), (2024, 2, 777, 7.77)], first.schema)
+    a = {r.trip_id for r in content_ids(first, cols, chunk=10).collect()}
+    b = [r.trip_id for r in content_ids(first.unionByName(late).repartition(5), cols, chunk=10).collect()]
+    assert len(a) == first.count() and a <= set(b)
+    assert len(b) == len(set(b)) == first.count() + 3
+
+
+def test_content_ids_tell_null_places_apart(spark):
+    df = spark.createDataFrame([(1, None, 2), (1, 2, None), (None, 1, 2)], "a int, b int, c int")
+    assert content_ids(df, ["a", "b", "c"]).select("trip_id").distinct().count() == 3
+
+
+def test_content_ids_shuffle_wide_rows_once(spark):
+    plan = content_ids(frame(spark), ["pickup_year", "pickup_month", "k", "v"])._jdf.queryExecution().executedPlan()
+    # the grouping appears once per branch (reused when it runs) and the chunk
+    # rows of very frequent rows move once more
+    assert plan.toString().count("Exchange hashpartitioning") <= 3

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterwise.operators.cumulative import PAIRS, running_totals
-from meterwise.plans.layers import Layout, backfill, run_month, run_range
+from meterwise.plans.layers import (Layout, backfill, build_daily_partials, run_month, run_range, validate_written,
+                                    validation_report)
 from meterwise.sources.readers import read_loads
 from tests.test_layers import SCHEMA, month_rows, zone_dim
 
@@ -109,3 +110,48 @@ def test_null_month_keeps_the_carried_total(spark, first):
     seed = spark.createDataFrame([(1, *[first] * len(names))], "e int, " + ", ".join(f"{c} double" for _, c in PAIRS))
     got = running_totals(month, "e", "double", seed).first()
     assert [got[c] for _, c in PAIRS] == [first] * len(PAIRS)
+
+
+def test_every_mart_is_validated(spark, out):
+    src, z, lay = os.path.join(out, "src"), zone_dim(spark), Layout(os.path.join(out, "lay"))
+    run_month(spark, lay, write(spark, src, 2024, 1, month_rows(2024, 1, 5)), 2024, 1, z)
+    report = {r["name"]: r for r in validation_report(spark, lay).collect()}
+    assert set(report) == {"cleaned", *lay.marts} and all(r["passed"] for r in report.values())
+    short = spark.read.parquet(lay.mart("vendor_hour")).limit(1).checkpoint()
+    short.write.partitionBy("year", "month").mode("overwrite").parquet(lay.mart("vendor_hour"))
+    assert validate_written(spark, lay, [(2024, 1)])["failed"] == ["vendor_hour"]
+
+
+def test_dimensions_are_written(spark, out):
+    src, z, lay = os.path.join(out, "src"), zone_dim(spark), Layout(os.path.join(out, "lay"))
+    run_month(spark, lay, write(spark, src, 2024, 2, month_rows(2024, 2, 5)), 2024, 2, z)
+    assert spark.read.parquet(lay.dim("date")).count() == 29
+    assert spark.read.parquet(lay.dim("time")).count() == 24
+    assert spark.read.parquet(lay.dim("zone")).count() == z.count()
+
+
+def test_one_day_of_partials_is_rebuilt(spark, out):
+    src, z, lay = os.path.join(out, "src"), zone_dim(spark), Layout(os.path.join(out, "lay"))
+    run_month(spark, lay, write(spark, src, 2024, 1, month_rows(2024, 1, 5)), 2024, 1, z)
+    build_daily_partials(spark, lay)
+    day = os.path.join(lay.partial_zone, "year=2024", "month=1")
+    before = {d: sorted(os.listdir(os.path.join(day, d))) for d in os.listdir(day)}
+    run_month(spark, lay, write(spark, src, 2024, 1, month_rows(2024, 1, 2)), 2024, 1, z)
+    build_daily_partials(spark, lay, day="2024-01-03")
+    assert set(before) - set(os.listdir(day)) == {"day=3"}  # no trips any more
+    build_daily_partials(spark, lay, day="2024-01-02")
+    after = {d: sorted(os.listdir(os.path.join(day, d))) for d in os.listdir(day)}
+    assert after["day=1"] == before["day=1"] and after["day=2"] != before["day=2"]
+
+
+def test_double_totals_keep_untouched_months(spark, out):
+    """A stray row of an early month reruns the totals without rereading the
+    Fact of the months since."""
+    src, z = os.path.join(out, "src"), zone_dim(spark)
+    lay, whole = Layout(os.path.join(out, "runs")), Layout(os.path.join(out, "whole"))
+    for m, stray in ((1, None), (2, None), (3, None), (4, (2024, 2))):
+        run_month(spark, lay, write(spark, src, 2024, m, month_rows(2024, m, 4, stray_from=stray)), 2024, m, z)
+    backfill(spark, whole, src, z)
+    for mart in ("zone_cumulative", "vendor_cumulative"):
+        a, b = (spark.read.parquet(x.mart(mart)).drop("created_at", "updated_at") for x in (lay, whole))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
