@@ -12,7 +12,6 @@ import os
 import re
 from array import array
 from functools import cache
-from itertools import chain
 
 import public_tokenizers
 
@@ -20,12 +19,12 @@ import public_tokenizers
 _ODD_SPACE = re.compile(
     r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 # A space belongs to the piece after it; other white space stands alone.  A
-# run of letters ends before these marks too, so a word and the same word with
-# a comma share a piece.
-_SPACED = re.compile(
-    r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,;:!? \n])| ?[^ \t\n\r]+"
-    r"|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
-_PLAIN = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,;:!? \n])|[^ \t\n\r]+")
+# run of letters ends before ASCII punctuation too (but for the apostrophe, which
+# both vocabularies join to what follows), so a word and the same word with a
+# comma share a piece.
+_LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[ \t\n\r!-&(-/:-@\[-`{-~])"
+_SPACED = re.compile(rf" ?{_LETTERS}| ?[^ \t\n\r]+" r"|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
+_PLAIN = re.compile(rf"{_LETTERS}|[^ \t\n\r]+")
 # Pieces kept by a worker (about 200 bytes each); past it, new pieces are
 # encoded again with each chunk of texts.
 MAX_PIECES = 600_000
@@ -61,25 +60,31 @@ class Encoder:
         return [array("H", x.ids).tobytes() for x in found]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [None if not t else () if _ODD_SPACE.search(t) else self.split(t) for t in texts]
-        new = list(set(chain.from_iterable(p for p in pieces if p)) - self.kept.keys())
-        made = dict(zip(new, self._encode(new)))
+        out: list[bytes | None] = [b""] * len(texts)
+        gaps, new = [], {}
+        for n, t in enumerate(texts):
+            if not t:
+                continue
+            if _ODD_SPACE.search(t):
+                out[n] = self._encode([t])[0]
+                continue
+            pieces = self.split(t)
+            found = list(map(self.kept.get, pieces))
+            if None in found:
+                at, missing = -1, found.count(None)
+                for _ in range(missing):
+                    at = found.index(None, at + 1)
+                    new[pieces[at]] = None
+                    gaps.append((found, at, pieces[at]))
+                out[n] = found
+            else:
+                out[n] = b"".join(found)
+        made = dict(zip(new, self._encode(list(new))))
+        for found, at, piece in gaps:
+            found[at] = made[piece]
         if len(self.kept) < MAX_PIECES:
             self.kept.update(made)
-            table = self.kept
-        else:
-            table = None
-        out = []
-        for t, p in zip(texts, pieces):
-            if p is None:
-                out.append(b"")
-            elif not p:
-                out.append(self._encode([t])[0])
-            elif table is not None:
-                out.append(b"".join(map(table.__getitem__, p)))
-            else:
-                out.append(b"".join([self.kept[x] if x in self.kept else made[x] for x in p]))
-        return out
+        return [x if isinstance(x, bytes) else b"".join(x) for x in out]
 
 
 @cache
