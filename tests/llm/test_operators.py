@@ -338,6 +338,42 @@ def test_search(spark, docs, no_docs):
     assert topk_search.search(spark, no_docs, no_docs).count() == 0
 
 
+def test_search_asks_whole_texts(spark, docs):
+    import random
+    r = random.Random(8)
+    # Document 1 shares 60 middling words with the query, 2 its rarest three.
+    shared = [f"mid{i}" for i in range(60)]
+    rare = [f"rare{i}" for i in range(12)]
+    data = [(0, " ".join(shared + rare)), (1, " ".join(shared)), (2, " ".join(rare[:3]))]
+    data += [(3 + i, " ".join([*r.sample(shared, 8), f"pad{i}"])) for i in range(200)]
+    data += [(300 + i, " ".join(r.sample(rare, 1) + [f"own{i}"])) for i in range(20)]
+    data += [(None, "mid1 mid2"), (7, " ".join(shared[:20])), (7, None), (340, "mid1 " * 9 + "unseen"), (360, "")]
+    path = work_path(spark, "t-search")
+    spark.createDataFrame(data, "doc_id long, text string").repartition(3).write.parquet(f"{path}/documents.parquet")
+    docs.select("doc_id", "text").write.parquet(f"{path}/more/documents.parquet")
+    for folder, rows in ((path, data), (f"{path}/more", [(d, t) for d, t, _ in as_rows(docs)])):
+        words = [(d, Counter((t or "").encode().lower().split())) for d, t in rows if d is not None]
+        n, avg = len(words), sum(sum(c.values()) for _, c in words) / len(words)
+        df = Counter(t for _, c in words for t in c)
+        idf = {t: np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) for t in df}
+        got = topk_search.op8_topk_search(spark, folder).collect()
+        queries = defaultdict(set)
+        for d, c in words:
+            if d % 20 == 0:
+                queries[d] |= c.keys()
+        for q, terms in queries.items():
+            score = {}
+            for d, c in words:
+                size = sum(c.values())
+                s = sum(idf[t] * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * size / avg)) for t in terms if t in c)
+                if d != q and s > 0:
+                    score[d] = max(s, score.get(d, 0))
+            top = sorted(score, key=lambda d: (-round(score[d], 9), d))[:10]
+            mine = sorted((x["rank"], x["doc_id"], x["score"]) for x in got if x["query_id"] == q)
+            assert [d for _, d, _ in mine] == top
+            assert np.allclose([s for *_, s in mine], [score[d] for d in top])
+
+
 # ---- 9 packing
 
 @pytest.mark.parametrize("options", [{}, {"task_pieces": 15, "released": 200, "fan": 2}])
