@@ -11,11 +11,13 @@ tree over everything, so texts first meet by shared prefix shingles: two sets
 of similarity 3/4 share one among the first quarter of either in any common
 order (all rarer shingles come first, so a passage that many texts share does
 not bring them together).  Trees over the texts of one shingle link those that
-may match; texts linked that way form a candidate class, and within a class
-trees with verification find the true links.  A class too large for one task
-is cut into blocks, and each pair of blocks is a task.  Pairs already linked
-inside a task are skipped, so a large group of near copies yields a spanning
-set of links, never all its pairs.
+may match (texts of a frequent shingle are all linked, as a star); texts linked
+that way form a candidate class, and within a class trees with verification
+find the true links.  A class too large for one task is cut into blocks; once
+links within blocks and between one member of each are known, only pairs of
+blocks that hold different known classes are tasks.  Members of a known class
+are passed over, so a large group of near copies yields a spanning set of
+links, never all its pairs.
 
 Sets are identified and compared by 64-bit hashes of their shingles.
 
@@ -50,6 +52,8 @@ PER_GROUP = 4
 LEAF = 32
 # Vertices of a class that one task takes; a larger class is cut in blocks.
 BLOCK = 4_000
+# A shingle that the sketch gives so many sets or more is frequent.
+RUN = 4_000
 # Slots of the frequency sketch (one byte each) and of one piece of it.
 SLOTS = 1 << 22
 SKETCH_PIECE = 1 << 16
@@ -153,31 +157,46 @@ def frequency_levels(sets: DataFrame) -> np.ndarray:
     return sketch
 
 
-def prefix_rows(spark: SparkSession, sets: DataFrame, levels: np.ndarray) -> DataFrame:
-    """token, vertex, n for the prefix shingles of every set, rare ones first."""
+def prefix_rows(spark: SparkSession, sets: DataFrame, levels: np.ndarray, run: int = RUN) -> DataFrame:
+    """token, vertex, n, frequent for the prefix shingles of every set, rare
+    ones first.  The sketch misses at most one set a task, so a run of
+    shingles that are not frequent has fewer than ``run`` texts and one a task,
+    up to the rounding of a level."""
     table = spark.sparkContext.broadcast(levels)
+    least = int(np.log2(run) * 4)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         level, seen = table.value, set()
         for batch in batches:
-            tokens, owners, sizes = [], [], []
+            tokens, owners, sizes, often = [], [], [], []
             for v, n, raw in zip(batch["vertex"], batch["n_shingles"], batch["shingles"]):
                 if v in seen:
                     continue
                 seen.add(v)
                 s = np.frombuffer(raw, "<u8")
                 keep = n - -(-NUM * n // DEN) + 1
-                order = np.argsort(level[(s & np.uint64(SLOTS - 1)).astype(np.int64)], kind="stable")
-                p = s[order[:keep]]
+                own = level[(s & np.uint64(SLOTS - 1)).astype(np.int64)]
+                order = np.argsort(own, kind="stable")[:keep]
+                p = s[order]
+                often.append(own[order] >= least)
                 tokens.append(p.view("<i8"))
                 owners.append(np.full(len(p), v, np.int64))
                 sizes.append(np.full(len(p), n, np.int32))
             if tokens:
                 yield pd.DataFrame({"token": np.concatenate(tokens), "vertex": np.concatenate(owners),
-                                    "n": np.concatenate(sizes)})
+                                    "n": np.concatenate(sizes), "frequent": np.concatenate(often)})
 
     return sets.where("n_shingles > 0").select("vertex", "n_shingles", "shingles").mapInPandas(
-        cut, "token long, vertex long, n int")
+        cut, "token long, vertex long, n int, frequent boolean")
+
+
+def star_links(rows: DataFrame) -> DataFrame:
+    """a, b: every text of a frequent shingle linked with the shingle's
+    smallest vertex, without bringing the texts together.  Candidate classes may
+    be too large but never too small."""
+    held = rows.where("frequent").select("token", "vertex")
+    hubs = held.groupBy("token").agg(F.min("vertex").alias("a"))
+    return held.join(hubs, "token").where("a <> vertex").select("a", F.col("vertex").alias("b")).distinct()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -221,7 +240,7 @@ def shared_runs(rows: DataFrame) -> DataFrame:
         run = np.repeat(_mix(one[keep] ^ _mix(two[keep])), length[keep])
         yield pd.DataFrame({"run": run.view("<i8"), "vertex": v[at]})
 
-    parted = rows.repartition("token")
+    parted = rows.where("not frequent").select("token", "vertex", "n").repartition("token")
     return parted.mapInPandas(find, "run long, vertex long").dropDuplicates(["run", "vertex"])
 
 
@@ -262,39 +281,41 @@ class CountTree:
 
 
 def tree_links(points: list[np.ndarray], sizes: np.ndarray, sets: list | None = None,
-               side: np.ndarray | None = None) -> list[tuple[int, int]]:
+               side: np.ndarray | None = None, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that span the classes formed by all linking pairs: with ``sets``
     pairs are verified, without them every pair within the bound links.  With
-    ``side``, only pairs of different sides count.
+    ``side``, only pairs of different sides count; members of one ``known``
+    class are linked already.
 
     One tree for each number of groups.  Sizes of linking sets differ by a
     third at most and the number of groups doubles with the size, so a point
     meets its own tree and the next, whose points are folded to its groups.
     """
-    root = list(range(len(sizes)))
+    root = np.arange(len(sizes)) if known is None else np.unique(known, return_inverse=True)[1]
     links: list[tuple[int, int]] = []
 
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    def join(own: int, others) -> None:
-        for other in others:
-            a, b = find(own), find(other)
-            if a == b or (side is not None and side[own] == side[other]):
-                continue
-            if sets is not None:
-                x, y = sets[own], sets[other]
-                if len(x) > len(y):
-                    x, y = y, x
-                p = np.searchsorted(y, x)
-                p[p == len(y)] = 0
-                if int((y[p] == x).sum()) < least_overlap(len(x), len(y)):
-                    continue
-            root[a] = b
-            links.append((int(own), int(other)))
+    def join(own: int, others: np.ndarray) -> None:
+        while True:
+            # Members of one class are passed over together.
+            apart = root[others] != root[own]
+            if side is not None:
+                apart &= side[others] != side[own]
+            others = others[apart]
+            for at, other in enumerate(others.tolist()):
+                if sets is not None:
+                    x, y = sets[own], sets[other]
+                    if len(x) > len(y):
+                        x, y = y, x
+                    p = np.searchsorted(y, x)
+                    p[p == len(y)] = 0
+                    if int((y[p] == x).sum()) < least_overlap(len(x), len(y)):
+                        continue
+                root[root == root[other]] = root[own]
+                links.append((int(own), int(other)))
+                others = others[at + 1:]
+                break
+            else:
+                return
 
     dims = np.array([len(p) for p in points])
     for g in np.unique(dims).tolist():
@@ -302,14 +323,14 @@ def tree_links(points: list[np.ndarray], sizes: np.ndarray, sets: list | None =
         tree = CountTree(np.stack([points[i] for i in own]), sizes[own])
         for i in range(len(own)):
             near = tree.reach(tree.points[i], int(tree.sizes[i]))
-            join(own[tree.order[i]], own[tree.order[near[near > i]]].tolist())
+            join(own[tree.order[i]], own[tree.order[near[near > i]]])
         above = np.flatnonzero(dims == 2 * g)
         if len(above):
             folded = np.stack([points[i].reshape(2, g).sum(0, dtype=np.uint16) for i in above])
             tree = CountTree(folded, sizes[above])
             for i in own.tolist():
                 near = tree.reach(points[i], int(sizes[i]))
-                join(i, above[tree.order[near]].tolist())
+                join(i, above[tree.order[near]])
     return links
 
 
@@ -355,23 +376,9 @@ def candidate_links(runs: DataFrame, sets: DataFrame) -> DataFrame:
     return held.repartition("run").sortWithinPartitions("run").mapInPandas(link, "a long, b long")
 
 
-def verified_links(classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """a, b: true links spanning the true classes within each candidate class
-    (vertex, label)."""
-    sizes = classes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    cut = (classes.join(sizes, "label")
-           .withColumn("own", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int"))
-           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    cut = cut.select("vertex", "label", "own", F.least("own", "other").alias("low"),
-                     F.greatest("own", "other").alias("high"))
-    unique = sets.where("n_shingles > 0").select("vertex", "n_shingles", "shingles", "counts")
-    # Copies of a set are brought together by an aggregate that combines
-    # before the shuffle, for the vertices of candidate classes only.
-    needed = unique.join(classes.select("vertex"), "vertex", "left_semi").groupBy("vertex").agg(
-        F.first("n_shingles").alias("n_shingles"), F.first("shingles").alias("shingles"),
-        F.first("counts").alias("counts"))
-    rows = cut.join(needed, "vertex")
-
+def _verify(cut: DataFrame, needed: DataFrame) -> DataFrame:
+    """a, b: true links that ``cut`` (vertex, label, known, own, low, high) asks
+    for: within a block (low = high) or between two, not within a known class."""
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[tuple[int, int]] = []
         for g in grouped(batches, ["label", "low", "high"]):
@@ -379,23 +386,96 @@ def verified_links(classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> D
             held = [np.frombuffer(x, "<u8") for x in g["shingles"]]
             apart = g["low"].iloc[0] != g["high"].iloc[0]
             found = tree_links(_points(g["counts"]), g["n_shingles"].to_numpy(), held,
-                               g["own"].to_numpy() if apart else None)
+                               g["own"].to_numpy() if apart else None, g["known"].to_numpy())
             out += [(int(v[i]), int(v[j])) for i, j in found]
         if out:
             yield pd.DataFrame(out, columns=["a", "b"])
 
     keys = ["label", "low", "high"]
+    rows = cut.select("vertex", "label", "known", "own", "low", "high").join(needed, "vertex")
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(verify, "a long, b long")
 
 
-def jaccard_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def _within(classes: DataFrame, block: int) -> DataFrame:
+    """The cut of classes (vertex, label) into blocks, each on its own."""
+    sizes = classes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    own = F.pmod(F.xxhash64("vertex"), F.col("blocks"))
+    return classes.join(sizes, "label").select(
+        "vertex", "label", F.col("vertex").alias("known"), own.alias("own"), own.alias("low"), own.alias("high"))
+
+
+def _across(known: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """The cut that is left of large classes (vertex, label, known): blocks hold
+    one known class, or several small ones, and pairs of blocks are left out
+    that hold one known class together or whose sizes are too far apart."""
+    per = known.groupBy("label", "known").agg(F.count(F.lit(1)).alias("members"))
+    large = F.col("members") >= block
+    small = per.groupBy("label").agg(F.sum(F.when(~large, F.col("members")).otherwise(0)).alias("rest"))
+    own = F.when(large, F.xxhash64("known", F.pmod(F.xxhash64("vertex"), F.ceil(F.col("members") / block)))).otherwise(
+        F.pmod(F.xxhash64("known"), F.greatest(F.lit(1), F.ceil(F.col("rest") / block))))
+    placed = (known.join(per, ["label", "known"]).join(small, "label").join(sizes, "vertex")
+              .select("vertex", "label", "known", "n", own.alias("own")))
+    seen = placed.groupBy("label", "own").agg(
+        F.min("known").alias("first"), F.max("known").alias("last"), F.min("n").alias("least"), F.max("n").alias("most"))
+    other = seen.select("label", *[F.col(c).alias(f"{c}_2") for c in ("own", "first", "last", "least", "most")])
+    pairs = seen.join(other, "label").where(
+        (F.col("own") <= F.col("own_2"))
+        & (F.least("first", "first_2") < F.greatest("last", "last_2"))
+        & (NUM * F.greatest("least", "least_2") <= DEN * F.least("most", "most_2")))
+    pairs = pairs.select("label", F.col("own").alias("low"), F.col("own_2").alias("high"))
+    ends = pairs.select("*", F.col("low").alias("own")).unionByName(pairs.select("*", F.col("high").alias("own"))).distinct()
+    return placed.join(ends, ["label", "own"])
+
+
+def verified_links(classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """a, b: true links spanning the true classes within each candidate class
+    (vertex, label).
+
+    A class of more than ``block`` vertices is cut in blocks.  Links within
+    blocks give known classes; one vertex of each meets those of other blocks,
+    as long as that halves their number; then pairs of blocks are searched for
+    links between known classes only."""
+    spark = sets.sparkSession
+    unique = sets.where("n_shingles > 0").select("vertex", "n_shingles", "shingles", "counts")
+
+    def needed(of: DataFrame) -> DataFrame:
+        # Copies of a set are brought together by an aggregate that combines
+        # before the shuffle, for the vertices of candidate classes only.
+        return unique.join(of.select("vertex").distinct(), "vertex", "left_semi").groupBy("vertex").agg(
+            F.first("n_shingles").alias("n_shingles"), F.first("shingles").alias("shingles"),
+            F.first("counts").alias("counts"))
+
+    links = _verify(_within(classes, block), needed(classes))
+    over = classes.groupBy("label").count().where(F.col("count") > block).select("label")
+    if not over.limit(1).count():
+        return links
+    links = written(spark, links, "join-within")
+    big = written(spark, classes.join(over, "label", "left_semi").select("vertex", "label"), "join-large")
+    held = written(spark, needed(big), "join-large-sets")
+    before = big.count()
+    while True:
+        merged = components(spark, links.join(big.select(F.col("vertex").alias("a")), "a", "left_semi"), "join-known")
+        known = written(spark, big.join(merged.withColumnRenamed("label", "known"), "vertex", "left").select(
+            "vertex", "label", F.coalesce("known", "vertex").alias("known")), "join-known-classes")
+        chosen = known.groupBy("label", "known").agg(F.min("vertex").alias("vertex")).select("vertex", "label")
+        n = chosen.count()
+        if 2 * n > before:
+            break
+        before = n
+        links = links.unionByName(written(spark, _verify(_within(chosen, block), held), "join-chosen"))
+    sizes = held.select("vertex", F.col("n_shingles").alias("n"))
+    return links.unionByName(_verify(_across(known, sizes, block), held))
+
+
+def jaccard_classes(spark: SparkSession, docs: DataFrame, run: int = RUN, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``."""
     sets = written(spark, shingle_sets(docs), "join-sets")
     levels = frequency_levels(sets)
-    runs = written(spark, shared_runs(prefix_rows(spark, sets, levels)), "join-runs")
-    maybe = written(spark, candidate_links(runs, sets), "join-maybe")
+    prefixes = written(spark, prefix_rows(spark, sets, levels, run), "join-prefixes")
+    runs = written(spark, shared_runs(prefixes), "join-runs")
+    maybe = written(spark, candidate_links(runs, sets).unionByName(star_links(prefixes)), "join-maybe")
     classes = components(spark, maybe, "join-candidates")
-    links = written(spark, verified_links(classes, sets), "join-links")
+    links = written(spark, verified_links(classes, sets, block), "join-links")
     labels = components(spark, links, "join-classes")
     rows = sets.select("doc_id", "text_hash", "n_shingles", "vertex").join(labels, "vertex", "left")
     rows = rows.withColumn("class", F.coalesce("label", "vertex"))

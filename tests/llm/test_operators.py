@@ -245,6 +245,32 @@ def test_jaccard_join_near_copies(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, by_class.values()))
 
 
+def test_jaccard_join_large_groups(spark):
+    r = np.random.default_rng(9)
+    base, data = [f"w{v}" for v in r.integers(0, 5000, 120)], []
+    for i in range(260):
+        w = list(base)
+        for p in r.integers(0, len(w), r.integers(0, 9 if i % 5 else 14)):
+            w[p] = f"n{r.integers(0, 10**6)}"
+        data.append((i, " ".join(w), None))
+    data += [(1000 + i, f"solo{i} " + " ".join(base[:40 + i]), None) for i in range(20)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
+    # No run reaches one task whole: frequent shingles make stars, and small blocks give the same classes.
+    sets = jaccard_join.shingle_sets(docs)
+    prefixes = jaccard_join.prefix_rows(spark, sets, jaccard_join.frequency_levels(sets), run=30).cache()
+    assert jaccard_join.star_links(prefixes).count()
+    runs = jaccard_join.shared_runs(prefixes)
+    assert max([x["count"] for x in runs.groupBy("run").count().collect()], default=0) <= 30 + 3
+    got = jaccard_join.jaccard_classes(spark, docs, run=30, block=25).collect()
+    assert Counter((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got) == brute_classes(data)
+    # Blocks of one known class do not meet each other.
+    known = spark.createDataFrame([(i, 1, 0 if i < 90 else i) for i in range(100)], "vertex long, label long, known long")
+    sizes = known.select("vertex", F.lit(50).cast("long").alias("n"))
+    cut = jaccard_join._across(known, sizes, 30).collect()
+    mixed = {x["own"] for x in cut if x["vertex"] >= 90}
+    assert len(mixed) == 1 and all(mixed & {x["low"], x["high"]} for x in cut)
+
+
 def test_one_of_each(spark, docs, no_docs):
     got = jaccard_join.one_of_each(spark, docs)
     assert got.schema == docs.schema
