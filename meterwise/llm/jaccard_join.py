@@ -157,13 +157,18 @@ def frequency_levels(sets: DataFrame) -> np.ndarray:
     return sketch
 
 
+def least_level(run: int) -> int:
+    """The level from which a shingle is frequent."""
+    return int(np.log2(run) * 4)
+
+
 def prefix_rows(spark: SparkSession, sets: DataFrame, levels: np.ndarray, run: int = RUN) -> DataFrame:
     """token, vertex, n, frequent for the prefix shingles of every set, rare
     ones first.  The sketch misses at most one set a task, so a run of
     shingles that are not frequent has fewer than ``run`` texts and one a task,
     up to the rounding of a level."""
     table = spark.sparkContext.broadcast(levels)
-    least = int(np.log2(run) * 4)
+    least = least_level(run)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         level, seen = table.value, set()
@@ -471,9 +476,13 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, run: int = RUN, block:
     """doc_id, n_shingles, component_id of every row of ``docs``."""
     sets = written(spark, shingle_sets(docs), "join-sets")
     levels = frequency_levels(sets)
-    prefixes = written(spark, prefix_rows(spark, sets, levels, run), "join-prefixes")
+    prefixes = prefix_rows(spark, sets, levels, run)
     runs = written(spark, shared_runs(prefixes), "join-runs")
-    maybe = written(spark, candidate_links(runs, sets).unionByName(star_links(prefixes)), "join-maybe")
+    maybe = candidate_links(runs, sets)
+    if levels.max() >= least_level(run):
+        # Prefixes are made again, which takes less disk than keeping them.
+        maybe = maybe.unionByName(star_links(prefixes))
+    maybe = written(spark, maybe, "join-maybe")
     classes = components(spark, maybe, "join-candidates")
     links = written(spark, verified_links(classes, sets, block), "join-links")
     labels = components(spark, links, "join-classes")
