@@ -456,7 +456,6 @@ def verified_links(classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> D
         return links
     links = written(spark, links, "join-within")
     big = written(spark, classes.join(over, "label", "left_semi").select("vertex", "label"), "join-large")
-    held = written(spark, needed(big), "join-large-sets")
     before = big.count()
     while True:
         merged = components(spark, links.join(big.select(F.col("vertex").alias("a")), "a", "left_semi"), "join-known")
@@ -467,9 +466,11 @@ def verified_links(classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> D
         if 2 * n > before:
             break
         before = n
-        links = links.unionByName(written(spark, _verify(_within(chosen, block), held), "join-chosen"))
-    sizes = held.select("vertex", F.col("n_shingles").alias("n"))
-    return links.unionByName(_verify(_across(known, sizes, block), held))
+        links = links.unionByName(written(spark, _verify(_within(chosen, block), needed(chosen)), "join-chosen"))
+    sizes = unique.select("vertex", F.col("n_shingles").alias("n")).dropDuplicates(["vertex"])
+    # Only sets of blocks that are left move.
+    cut = written(spark, _across(known, sizes, block), "join-across")
+    return links.unionByName(_verify(cut, needed(cut)))
 
 
 def jaccard_classes(spark: SparkSession, docs: DataFrame, run: int = RUN, block: int = BLOCK) -> DataFrame:
