@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from meterwise.llm import chat, jaccard_join, line_rules, mixing, packing, secrets, sharding, token_files, topk_search, toxicity
+from meterwise.llm import (
+    chat,
+    fim,
+    jaccard_join,
+    line_rules,
+    mixing,
+    packing,
+    secrets,
+    sharding,
+    token_files,
+    topk_search,
+    toxicity,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,10 +27,12 @@ QUERIES = {
     "op8_topk_search": topk_search.op8_topk_search,
     "op9_packing": packing.op9_packing,
     "op10_mixing": mixing.op10_mixing,
+    "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
 
 ORACLE = {
     "op2_quality_rules": line_rules.ORACLE,
     "op7_chat_format": chat.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op13_fill_in_middle": fim.ORACLE,
 }
