@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,14 +39,70 @@ def small_batches(spark: SparkSession, rows: int = 4_000):
         spark.conf.set(key, before)
 
 
+# Paths of the tables written in the scopes that are open now, innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """A scope for work tables: those written within it are deleted at its end,
+    but for those that the yielded ``keep`` was given, which pass to the scope around it.
+    Nothing that reads a deleted table may leave the scope unwritten."""
+    own: list[str] = []
+    kept: list[str] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table.work_path)
+        return table
+
+    token = _SCOPES.set((*_SCOPES.get(), own))
+    try:
+        yield keep
+    finally:
+        _SCOPES.reset(token)
+        for path in own:
+            if path not in kept:
+                _delete(spark, path)
+        if _SCOPES.get():
+            _SCOPES.get()[-1].extend(kept)
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete work tables whose last reader is committed, before their scope ends."""
+    for table in tables:
+        _delete(spark, table.work_path)
+
+
+@contextmanager
+def _shuffles_end(spark: SparkSession):
+    """Within it, a write removes its shuffle files when it is committed."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends in
-    committed files, so a lost executor costs one task, not the whole job."""
+    committed files, so a lost executor costs one task, not the whole job.  The
+    write's shuffle files go with its end; the table goes with its scope."""
     path = work_path(spark, name)
     schema = df.schema
-    with small_batches(spark):
+    if _SCOPES.get():
+        _SCOPES.get()[-1].append(path)
+    with small_batches(spark), _shuffles_end(spark):
         df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
+    table.work_path = path
+    return table
 
 
 def n_words(text: Column) -> Column:

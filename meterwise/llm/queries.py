@@ -11,6 +11,7 @@ from meterwise.llm import (
     packing,
     secrets,
     sharding,
+    simhash,
     token_files,
     topk_search,
     toxicity,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_topk_search": topk_search.op8_topk_search,
     "op9_packing": packing.op9_packing,
     "op10_mixing": mixing.op10_mixing,
+    "op12_simhash": simhash.op12_simhash,
     "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
 
