@@ -5,6 +5,7 @@ from __future__ import annotations
 from meterwise.llm import (
     chat,
     fim,
+    hard_negatives,
     jaccard_join,
     line_rules,
     mixing,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_topk_search": topk_search.op8_topk_search,
     "op9_packing": packing.op9_packing,
     "op10_mixing": mixing.op10_mixing,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_simhash": simhash.op12_simhash,
     "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
@@ -36,5 +38,6 @@ ORACLE = {
     "op2_quality_rules": line_rules.ORACLE,
     "op7_chat_format": chat.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
     "op13_fill_in_middle": fim.ORACLE,
 }
