@@ -190,6 +190,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_toxic: int
             for y, t in zip(batch["toxic"], batch["text"]):
                 (toxic if y == 1 else clean).update(text_terms(t).keys())
         terms = list(toxic.keys() | clean.keys())
+        if not terms:  # a task without rows: an empty frame has no column types
+            return
         yield pd.DataFrame({"term": terms, "toxic": [toxic[t] for t in terms],
                             "clean": [clean[t] for t in terms]})
 
@@ -213,6 +215,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_toxic: int
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            if batch.empty:
+                continue
             hits = [[(place[t], n) for t, n in text_terms(x).items() if t in place] for x in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"],
                                 "ids": [[i for i, _ in h] for h in hits],

@@ -59,6 +59,19 @@ def test_toxicity_held_out(spark, labelled):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
 
 
+def test_toxicity_tasks_without_rows(spark, labelled, monkeypatch):
+    docs, labels = labelled
+    plain = toxicity.fit(spark, docs, labels)
+    kept = toxicity.written
+    # More tasks than rows: most tasks of every step get none.
+    monkeypatch.setattr(toxicity, "written", lambda s, df, name: kept(s, df, name).repartition(700))
+    few = labels.where("doc_id < 40")
+    assert toxicity.fit(spark, docs, few).prior > 0
+    model = toxicity.fit(spark, docs, labels)
+    assert model.terms == plain.terms and len(model.examples) == len(plain.examples)
+    assert toxicity.score(spark, docs.repartition(500), model).count() == docs.count()
+
+
 def test_toxicity_search_is_exact(spark, labelled):
     docs, labels = labelled
     model = toxicity.fit(spark, docs, labels)
