@@ -3,7 +3,8 @@
 Both vocabularies split a text at ASCII white space before any merge, so the
 ids of a text are the ids of its pieces in order.  Pieces repeat a lot, so a
 worker encodes each distinct piece once and keeps the result.  Texts holding
-rarer white space (where a piece border is not certain) are encoded whole.
+rarer white space (where a piece border is not certain), or what may be one of the
+vocabulary's added tokens, are encoded whole.
 """
 
 from __future__ import annotations
@@ -50,7 +51,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
+        # An added token may stand anywhere in a text, also in other letter case.
+        self.added = tuple({t.content[:2].lower() for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.split = SPLITS[name]
         self.kept: dict[str, bytes] = {"": b""}
@@ -65,7 +67,7 @@ class Encoder:
         for n, t in enumerate(texts):
             if not t:
                 continue
-            if _ODD_SPACE.search(t):
+            if _ODD_SPACE.search(t) or any(mark in t for mark in self.added):
                 out[n] = self._encode([t])[0]
                 continue
             pieces = self.split(t)

@@ -24,7 +24,6 @@ def as_rows(docs):
 
 def reference_ids(name, text):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -184,15 +183,16 @@ def test_bit_packing(bits):
 def test_encoder_equals_tokenizer(name):
     import random
     r = random.Random(2)
-    letters = "ab Z.,!'st$ \n\t\r é 　\u0085İß9 don't we'll 0<|endoftext|>"
+    letters = "ab Z.,!'st$ \n\t\r é 　\u0085İß9 don't we'll 0<|endoftext|>"
     texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 50))) for _ in range(3000)] + [None, ""]
-    e = tokens.Encoder(name)
+    # Added tokens alone, glued, repeated, in other case and broken.
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "< |endoftext|>"]
+    texts += ["".join(r.choice(marks + ["hello", " ", "x", "\n", ".", "é"]) for _ in range(r.randint(1, 12)))
+              for _ in range(2000)] + ["hello <|endoftext|> x"]
+    e, untouched = tokens.Encoder(name), Tokenizer.from_file(public_tokenizers.path(name))
     for got, t in zip(e(texts), texts):
-        assert np.frombuffer(got, "<u2").tolist() == reference_ids_cached(e, t)
-
-
-def reference_ids_cached(e, t):
-    return e.tokenizer.encode(t or "", add_special_tokens=False).ids
+        assert np.frombuffer(got, "<u2").tolist() == untouched.encode(t or "", add_special_tokens=False).ids
+    assert len(np.frombuffer(e(["hello <|endoftext|> x"])[0], "<u2")) == (4 if name.startswith("byte") else 3)
 
 
 # ---- 5 Jaccard join
