@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwise.llm.common import as_written, read_table, small_batches, written
+from meterwise.llm.common import as_written, discard, read_table, scratch, small_batches, written
 from meterwise.llm.components import components
 
 WORDS = 5
@@ -475,20 +475,22 @@ def verified_links(classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> D
 
 def jaccard_classes(spark: SparkSession, docs: DataFrame, run: int = RUN, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``."""
-    sets = written(spark, shingle_sets(docs), "join-sets")
-    levels = frequency_levels(sets)
-    prefixes = prefix_rows(spark, sets, levels, run)
-    runs = written(spark, shared_runs(prefixes), "join-runs")
-    maybe = candidate_links(runs, sets)
-    if levels.max() >= least_level(run):
-        # Prefixes are made again, which takes less disk than keeping them.
-        maybe = maybe.unionByName(star_links(prefixes))
-    maybe = written(spark, maybe, "join-maybe")
-    classes = components(spark, maybe, "join-candidates")
-    links = written(spark, verified_links(classes, sets, block), "join-links")
-    labels = components(spark, links, "join-classes")
-    rows = sets.select("doc_id", "text_hash", "n_shingles", "vertex").join(labels, "vertex", "left")
-    rows = rows.withColumn("class", F.coalesce("label", "vertex"))
+    with scratch(spark) as keep:
+        sets = written(spark, shingle_sets(docs), "join-sets")
+        levels = frequency_levels(sets)
+        prefixes = prefix_rows(spark, sets, levels, run)
+        runs = written(spark, shared_runs(prefixes), "join-runs")
+        maybe = candidate_links(runs, sets)
+        if levels.max() >= least_level(run):
+            # Prefixes are made again, which takes less disk than keeping them.
+            maybe = maybe.unionByName(star_links(prefixes))
+        maybe = written(spark, maybe, "join-maybe")
+        discard(spark, runs)
+        classes = components(spark, maybe, "join-candidates")
+        links = written(spark, verified_links(classes, sets, block), "join-links")
+        labels = components(spark, links, "join-classes")
+        rows = sets.select("doc_id", "text_hash", "n_shingles", "vertex").join(labels, "vertex", "left")
+        rows = keep(written(spark, rows.withColumn("class", F.coalesce("label", "vertex")), "join-rows"))
     smallest = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("smallest"))
     return rows.join(smallest, "class", "left").select(
         "doc_id", "n_shingles",
