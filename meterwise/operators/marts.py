@@ -143,11 +143,44 @@ def attach_dim(agg: DataFrame, spec: MartSpec, dim: DataFrame, strategy: str = "
     return joined, [F.col("borough"), F.col("zone"), F.col("service_zone")]
 
 
+def aggregate_all(fact: DataFrame, specs: list[MartSpec], money_mode: str = "double") -> DataFrame:
+    """The aggregates of several marts from one pass over ``fact``.
+
+    One aggregation with a grouping set per mart: every trip is expanded to
+    one row per mart in memory and partially aggregated in the task that read it,
+    so the fact is scanned once, is not kept, and the shuffle carries one row per
+    group, mart and task.  Column ``mart`` names the row's mart; columns of
+    other marts are null in it (see :func:`of_mart`).
+    """
+    columns = list(dict.fromkeys(c for s in specs for c in grain(s)))
+    metrics = {m[0]: m for s in specs for m in s.metrics}
+    # A mart is known by the columns it does not group by.
+    name = F.lit(None).cast("string")
+    for s in specs:
+        own = grain(s)
+        is_mart = F.lit(True)
+        for c in columns:
+            is_mart &= F.grouping(c) == F.lit(0 if c in own else 1)
+        name = F.when(is_mart, F.lit(s.name)).otherwise(name)
+    return fact.groupingSets([[F.col(c) for c in grain(s)] for s in specs], *columns).agg(
+        name.alias("mart"), *[metric_expr(n, k, src, money_mode) for n, k, src in metrics.values()])
+
+
+def of_mart(base: DataFrame, spec: MartSpec) -> DataFrame:
+    """The rows of one mart in :func:`aggregate_all`, as :func:`aggregate` gives them."""
+    return base.where(F.col("mart") == spec.name).select(*grain(spec), *[n for n, _, _ in spec.metrics])
+
+
 def build_metric_mart(fact: DataFrame, spec: MartSpec, dim: DataFrame, money_mode: str = "double",
                       load_ts: bool = True, strategy: str = "auto") -> DataFrame:
     """A1/A2 (hourly) and A3/A4 (monthly, ratios omitted): aggregate,
     derive ratios, join the dimension, project the mart columns."""
-    agg = aggregate(fact, spec, money_mode)
+    return finish_mart(aggregate(fact, spec, money_mode), spec, dim, money_mode, load_ts, strategy)
+
+
+def finish_mart(agg: DataFrame, spec: MartSpec, dim: DataFrame, money_mode: str = "double",
+                load_ts: bool = True, strategy: str = "auto") -> DataFrame:
+    """The mart of an aggregate: ratios, dimension join, columns."""
     if spec.hourly:
         agg = agg.withColumns(mart_ratios(money_mode))
     joined, dim_cols = attach_dim(agg, spec, dim, strategy)

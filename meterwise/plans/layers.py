@@ -24,7 +24,6 @@ import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +34,7 @@ from meterwise.operators.dims import build_dim_date, build_dim_time, build_dim_v
 from meterwise.operators.fact import build_fact, cleaned_for_months
 from meterwise.operators.partial import build_daily_partial
 from meterwise.operators.quality import continuity_summary, dsum, observe
-from meterwise.session import checkpoint_dir, keeps_shuffle_setting, size_shuffles, written_size
+from meterwise.session import checkpoint_dir, keeps_shuffle_setting, scratch_path, size_shuffles, written_size
 from meterwise.sources.months import month_paths, months_of, resolve_months
 from meterwise.sources.readers import detect_format, month_filter, read_loads, read_source
 from meterwise.sources.writers import (RUN_LOG_SCHEMA, append_run_log, load_path, run_log_row,
@@ -197,28 +196,28 @@ def drop_months(spark: SparkSession, path: str, months) -> None:
 
 @keeps_shuffle_setting
 def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]],
-                         money_mode: str = "double", before=()) -> list[tuple[int, int]]:
+                         money_mode: str = "double", before=()) -> tuple[list[tuple[int, int]], int]:
     """O2 step 1: Fact for the pickup months the loads touch.
 
     Touched are the months the loads hold now and those they held ``before``
     this run: a corrected load takes rows away as well.  The list is one row
     per month (collected: it chooses partitions).  Each touched month is
     rebuilt from every load holding it; a month that none holds any more is
-    dropped.  Returns the touched months.
+    dropped.  Returns the touched months and the rows written for them.
     """
     touched = sorted(held_months(spark, layout, loads) | set(before))
     gone = set(touched) - held_months(spark, layout)
     drop_months(spark, layout.fact, gone)
     months = [m for m in touched if m not in gone]
     if not months:
-        return touched
+        return touched, 0
     cleaned_all = spark.read.parquet(layout.cleaned)
     sources = loads_holding(spark, layout, months)
     size_shuffles(spark, [layout.p(f"cleaned/{layout.variant}/src_year={y}/src_month={m}") for y, m in sources])
     src = cleaned_all.where(month_filter(sources, "src_year", "src_month"))  # prunes load folders
-    fact = build_fact(cleaned_for_months(src, months), with_ids=True, money_mode=money_mode)
+    fact, obs = observe(build_fact(cleaned_for_months(src, months), with_ids=True, money_mode=money_mode), "fact")
     write_partitioned(fact, layout.fact, ("year", "month"), mode="dynamic")
-    return touched
+    return touched, _rows(obs, spark.read.parquet(layout.fact).where(month_filter(months)))
 
 
 def write_dims(spark: SparkSession, layout: Layout, zone_dim: DataFrame) -> None:
@@ -267,23 +266,68 @@ def drop_partials(spark: SparkSession, layout: Layout, months, day: str | None =
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+HOURLY = (M.ZONE_HOUR, M.VENDOR_HOUR)
+MONTHLY = {"vendor_cumulative": M.VENDOR_MONTH, "zone_cumulative": M.ZONE_MONTH}
+
+
+def base_pass(spark: SparkSession, fact: DataFrame, money_mode: str) -> tuple[DataFrame, tuple]:
+    """The only pass over the Fact that the dimensions, the four marts and
+    their validation need.  All aggregates come from grouping sets and are
+    written once, mart-sized, to the shared scratch folder; rows and amount of
+    what was read are observed on the way.
+
+    Exact sums add up, so in decimal mode the running totals roll up from the
+    hourly marts; rounded doubles do not, so there the monthly aggregates are two
+    more grouping sets of the same pass."""
+    specs = [*HOURLY, *([] if money_mode == "decimal" else MONTHLY.values())]
+    obs = Observation("base")
+    seen = fact.observe(obs, F.count(F.lit(1)).alias("rows"), dsum(fact, "total_amount", "amount"))
+    path = f"{scratch_path(spark, 'mart-base')}-{uuid.uuid4().hex[:12]}"
+    base = M.aggregate_all(seen, specs, money_mode)
+    schema = base.schema
+    base.write.parquet(path)
+    try:
+        totals = (int(obs.get["rows"]), obs.get["amount"])
+    except Exception:  # noqa: BLE001 - no rows, no metric
+        totals = (0, None)
+    written = spark.read.schema(schema).parquet(path)
+    written.base_path = path
+    return written, totals
+
+
+def _drop_base(spark: SparkSession, base: DataFrame) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base.base_path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 @keeps_shuffle_setting
 def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int]], zone_dim: DataFrame,
-                money_mode: str = "double", share_fact: bool = True) -> None:
-    """O2 step 2 + O3 + O5: dims and the four marts for the touched months."""
+                money_mode: str = "double") -> tuple | None:
+    """O2 step 2 + O3 + O5: dims and the four marts for the touched months.
+    Returns the rows and the amount of the Fact that was read for them."""
     checkpoint_dir(spark)
     for mart in layout.marts.values():
         drop_months(spark, layout.p(mart), set(months) - held_months(spark, layout))
     if not held_months(spark, layout):
-        return  # nothing is left to build
+        return None  # nothing is left to build
     size_shuffles(spark, [f"{layout.fact}/year={y}/month={m}" for y, m in months])
-    fact_all = spark.read.parquet(layout.fact)
-    fact = fact_all.where(month_filter(months))
+    fact = spark.read.parquet(layout.fact).where(month_filter(months))
+    base, totals = base_pass(spark, fact, money_mode)
+    try:
+        _marts_from_base(spark, layout, base, months, zone_dim, money_mode)
+    finally:
+        _drop_base(spark, base)
+    return totals
+
+
+def _marts_from_base(spark: SparkSession, layout: Layout, base: DataFrame, months, zone_dim: DataFrame,
+                     money_mode: str) -> None:
+    """Dimensions and marts of touched ``months`` from the aggregates of one pass."""
     # D1, incrementally: only codes of the touched months that the
     # dimension does not know yet are added; the common case (no new code)
     # costs one small probe and no rewrite.  The dimension is checkpointed
     # before it is rewritten in place.
-    seen = build_dim_vendor(fact)
+    seen = build_dim_vendor(M.of_mart(base, M.VENDOR_HOUR))
     if _exists(spark, layout.dim_vendor):
         old = spark.read.parquet(layout.dim_vendor)
         fresh = seen.join(old.select(F.col("vendor_id").alias("_v")),
@@ -294,23 +338,8 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
         write_table(seen, layout.dim_vendor)
     dim_vendor = spark.read.parquet(layout.dim_vendor)
     write_dims(spark, layout, zone_dim)
-
-    if share_fact:
-        # One scan of the touched months feeds both hourly marts.  Only
-        # the columns the marts read are cached (about a third of the fact),
-        # so the cache costs less than the second Parquet scan it replaces.
-        need = []
-        for spec in (M.ZONE_HOUR, M.VENDOR_HOUR):
-            need += M.grain(spec) + [src for _, _, src in spec.metrics if src]
-        fact = fact.select(*dict.fromkeys(need)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_partitioned(M.build_metric_mart(fact, M.ZONE_HOUR, zone_dim, money_mode),
-                          layout.mart("zone_hour"), mode="dynamic")
-        write_partitioned(M.build_metric_mart(fact, M.VENDOR_HOUR, dim_vendor, money_mode),
-                          layout.mart("vendor_hour"), mode="dynamic")
-    finally:
-        if share_fact:
-            fact.unpersist()
+    for name, spec, dim in (("zone_hour", M.ZONE_HOUR, zone_dim), ("vendor_hour", M.VENDOR_HOUR, dim_vendor)):
+        write_partitioned(M.finish_mart(M.of_mart(base, spec), spec, dim, money_mode), layout.mart(name), mode="dynamic")
     start = months[0]
     k0 = start[0] * 12 + start[1]
     hourly_of = {"vendor_cumulative": "vendor_hour", "zone_cumulative": "zone_hour"}
@@ -327,17 +356,16 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
             hourly = spark.read.parquet(layout.mart(hourly_of[name]))
             hourly = hourly.where(F.col("year") * 12 + F.col("month") >= k0) if seed is not None else hourly
             cum = N.cumulative_from_hourly(hourly, spec, dim, money_mode, True, seed)
-        elif seed is not None:
-            # Only the touched months are aggregated; the monthly columns of
-            # the other months since are in the written mart already.
-            key = F.col("year") * 12 + F.col("month")
-            kept = (spark.read.parquet(path).where((key >= k0) & ~month_filter(months))
-                    .withColumnsRenamed({"year": "pickup_year", "month": "pickup_month"}))
-            monthly = M.aggregate(fact_all.where(month_filter(months)), spec, money_mode)
-            monthly = monthly.unionByName(kept.select(*monthly.columns)).checkpoint(eager=True)
-            cum = N.project_cumulative(N.running_totals(monthly, spec.entity, money_mode, seed), spec, dim, True)
         else:
-            cum = N.build_cumulative_mart(fact_all, spec, dim, money_mode)
+            monthly = M.of_mart(base, spec)
+            if seed is not None:
+                # Only the touched months are aggregated; the monthly columns of
+                # the other months since are in the written mart already.
+                key = F.col("year") * 12 + F.col("month")
+                kept = (spark.read.parquet(path).where((key >= k0) & ~month_filter(months))
+                        .withColumnsRenamed({"year": "pickup_year", "month": "pickup_month"}))
+                monthly = monthly.unionByName(kept.select(*monthly.columns)).checkpoint(eager=True)
+            cum = N.project_cumulative(N.running_totals(monthly, spec.entity, money_mode, seed), spec, dim, True)
         write_partitioned(cum, path, mode="dynamic")
 
 
@@ -370,9 +398,10 @@ class _RunLog:
         append_run_log(self.spark, self.layout.run_log, self.spark.createDataFrame(self.records, RUN_LOG_SCHEMA))
 
 
-def _finish_run(log: _RunLog, months, paths, whole: bool = False) -> None:
-    """Mart and validate records of a run; a failed check raises."""
-    v = validate_written(log.spark, log.layout, None if whole else months)
+def _finish_run(log: _RunLog, months, paths, whole: bool = False, totals: tuple | None = None) -> None:
+    """Mart and validate records of a run; a failed check raises.  ``totals`` are
+    the Fact's rows and amount as read for the marts."""
+    v = validate_written(log.spark, log.layout, None if whole else months, 0.01, totals)
     named = [] if whole else months
     log.add("mart", named, v["fact_rows"], v.get("mart_rows"), paths)
     log.add("validate", named, v["fact_rows"], v["mart_trip_sum"], status="ok" if v["passed"] else "failed",
@@ -398,15 +427,13 @@ def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year
         log.add("cleaned", loads, raw["rows"], cl["rows"], [load_path(layout.cleaned, year, month)])
         if not layout.has_fact:  # Fact and marts hold one variant
             return log.run_id
-        months = build_fact_for_loads(spark, layout, loads, money_mode, before)
+        months, rows = build_fact_for_loads(spark, layout, loads, money_mode, before)
         folders = [f"year={y}/month={m}" for y, m in months]
         left = sorted(held_months(spark, layout) & set(months))
-        rows = spark.read.parquet(layout.fact).where(month_filter(left)).count() if left else 0
         log.add("fact", months, cl["rows"], rows, [f"{layout.fact}/{f}" for f in folders])
-        if months:
-            build_marts(spark, layout, months, zone_dim, money_mode)
+        totals = build_marts(spark, layout, months, zone_dim, money_mode) if months else None
         if left:
-            _finish_run(log, left, [f"{layout.mart(k)}/{f}" for k in layout.marts for f in folders])
+            _finish_run(log, left, [f"{layout.mart(k)}/{f}" for k in layout.marts for f in folders], totals=totals)
         else:
             log.add("mart", months, 0, 0)
     return log.run_id
@@ -431,14 +458,15 @@ MART_COLUMNS = {  # mart -> (trip count, amount, entity of its running totals)
 
 
 def validation_report(spark: SparkSession, layout: Layout, months: list[tuple[int, int]] | None = None,
-                      tolerance: float = 0.01) -> DataFrame:
+                      tolerance: float = 0.01, fact_totals: tuple | None = None) -> DataFrame:
     """V1 + V2 on the *written* tables, one row per table: Cleaned and each of
     the four marts against the Fact, for ``months`` (default all).
 
     Trip counts must be equal.  Amounts must agree within ``tolerance`` (in
     double mode within 1e-9 of the total where that is more: sums of doubles
     depend on their order).  Running totals in exact mode must continue the
-    month before (N5), over the whole mart."""
+    month before (N5), over the whole mart.  ``fact_totals`` (rows and amount of
+    these months, observed when the Fact was read) saves reading it again."""
     def read(path: str, year: str = "year", month: str = "month") -> DataFrame:
         df = spark.read.parquet(path)
         return df if months is None else df.where(month_filter(months, year, month))
@@ -454,8 +482,15 @@ def validation_report(spark: SparkSession, layout: Layout, months: list[tuple[in
         sources = sources.where(month_filter(months, "pickup_year", "pickup_month"))
     fact = read(layout.fact)
     exact = fact.schema["total_amount"].dataType.typeName() == "decimal"
-    tables = [totals(fact, "fact", F.count(F.lit(1)), "total_amount"),
-              totals(sources, "cleaned", F.count(F.lit(1)), "total_amount")]
+    if fact_totals is None:
+        of_fact = totals(fact, "fact", F.count(F.lit(1)), "total_amount")
+    else:
+        kind = fact.agg(dsum(fact, "total_amount", "amount")).schema["amount"].dataType
+        rows, amount = fact_totals
+        of_fact = spark.range(1).select(
+            F.lit("fact").alias("name"), F.lit(rows).cast("long").alias("rows"), F.lit(rows).cast("long").alias("trips"),
+            F.lit(amount).cast(kind).alias("amount"), F.lit(0).cast("long").alias("violations"))
+    tables = [of_fact, totals(sources, "cleaned", F.count(F.lit(1)), "total_amount")]
     for name, (trips, amount, entity) in MART_COLUMNS.items():
         tables.append(totals(read(layout.mart(name)), name, F.sum(trips), amount))
         if entity and exact:
@@ -479,9 +514,9 @@ def validation_report(spark: SparkSession, layout: Layout, months: list[tuple[in
 
 
 def validate_written(spark: SparkSession, layout: Layout, months: list[tuple[int, int]] | None = None,
-                     tolerance: float = 0.01) -> dict:
+                     tolerance: float = 0.01, fact_totals: tuple | None = None) -> dict:
     """The report of :func:`validation_report` in short (five rows back)."""
-    rows = {r["name"]: r for r in validation_report(spark, layout, months, tolerance).collect()}
+    rows = {r["name"]: r for r in validation_report(spark, layout, months, tolerance, fact_totals).collect()}
     failed = sorted(n for n, r in rows.items() if not r["passed"])
     return {"fact_rows": rows["cleaned"]["fact_rows"], "mart_trip_sum": rows["zone_hour"]["trips"],
             "mart_rows": sum(r["rows"] for n, r in rows.items() if n != "cleaned"),
@@ -544,20 +579,25 @@ def _backfill(spark, layout, source_root, zone_dim, money_mode, max_minutes, sch
                       files_per_partition=files_per_partition)
     n_fact = o_fact.get.get("rows", 0)
     log.add("fact", [], n_cl, n_fact, [layout.fact])
-    fact_all = spark.read.parquet(layout.fact)
-    write_table(build_dim_vendor(fact_all), layout.dim_vendor)
-    write_dims(spark, layout, zone_dim)
-    dim_vendor = spark.read.parquet(layout.dim_vendor)
-    write_partitioned(M.build_metric_mart(fact_all, M.ZONE_HOUR, zone_dim, money_mode),
-                      layout.mart("zone_hour"), mode="static")
-    write_partitioned(M.build_metric_mart(fact_all, M.VENDOR_HOUR, dim_vendor, money_mode),
-                      layout.mart("vendor_hour"), mode="static")
-    for name, hourly, spec, dim in (("vendor_cumulative", "vendor_hour", M.VENDOR_MONTH, dim_vendor),
-                                    ("zone_cumulative", "zone_hour", M.ZONE_MONTH, zone_dim)):
-        if money_mode == "decimal":  # exact roll-up of the hourly mart: no third and fourth fact pass
-            cum = N.cumulative_from_hourly(spark.read.parquet(layout.mart(hourly)), spec, dim, money_mode)
-        else:
-            cum = N.build_cumulative_mart(fact_all, spec, dim, money_mode)
-        write_partitioned(cum, layout.mart(name), mode="static")
-    _finish_run(log, None, [layout.mart(k) for k in layout.marts], whole=True)
+    # The Fact is read once: dimension codes, marts and totals come from this pass.
+    base, totals = base_pass(spark, spark.read.parquet(layout.fact), money_mode)
+    try:
+        write_table(build_dim_vendor(M.of_mart(base, M.VENDOR_HOUR)), layout.dim_vendor)
+        write_dims(spark, layout, zone_dim)
+        dim_vendor = spark.read.parquet(layout.dim_vendor)
+        for name, spec, dim in (("zone_hour", M.ZONE_HOUR, zone_dim), ("vendor_hour", M.VENDOR_HOUR, dim_vendor)):
+            write_partitioned(M.finish_mart(M.of_mart(base, spec), spec, dim, money_mode), layout.mart(name),
+                              mode="static")
+        for name, hourly, dim in (("vendor_cumulative", "vendor_hour", dim_vendor),
+                                  ("zone_cumulative", "zone_hour", zone_dim)):
+            spec = MONTHLY[name]
+            if money_mode == "decimal":  # exact roll-up of the hourly mart
+                cum = N.cumulative_from_hourly(spark.read.parquet(layout.mart(hourly)), spec, dim, money_mode)
+            else:
+                cum = N.project_cumulative(N.running_totals(M.of_mart(base, spec), spec.entity, money_mode), spec, dim,
+                                           True)
+            write_partitioned(cum, layout.mart(name), mode="static")
+    finally:
+        _drop_base(spark, base)
+    _finish_run(log, None, [layout.mart(k) for k in layout.marts], whole=True, totals=totals)
     return {"raw_rows": n_raw, "cleaned_rows": n_cl, "fact_rows": n_fact}

@@ -116,3 +116,17 @@ def cumulative_ledger(spark, sf_dir):
         L.append_correction(spark, book, deltas, "1997")
     return L.ledger_running_totals(spark.read.parquet(f"{root}/base-2"), spark.read.parquet(book), spec,
                                    zone(spark, sf_dir), load_ts=False)
+
+
+# ------------------------------------------------------------ one pass for all marts
+
+@register("marts_in_one_pass", Q.with_clauses(Q.TO, CL_TO) + "\nUNION ALL ".join(f"""
+SELECT '{spec.name}' AS mart, {', '.join(c if c in M.grain(spec) else f'NULL AS {c}' for c in M.grain(M.ZONE_HOUR) + ['vendor_id'])},
+       {', '.join(n for n, _, _ in spec.metrics[:2])}, total_duration_min, p50_duration_min, p90_duration_min, total_amount
+FROM (SELECT {', '.join(M.grain(spec))}, {Q.metric_list(Q.HOUR_METRICS)} FROM cl GROUP BY ALL) m"""
+                                                                      for spec in (M.ZONE_HOUR, M.VENDOR_HOUR)))
+def marts_in_one_pass(spark, sf_dir):
+    """Both hourly marts' aggregates from one scan by grouping sets."""
+    base = M.aggregate_all(fact(spark, sf_dir, "orders"), [M.ZONE_HOUR, M.VENDOR_HOUR], MODE)
+    return base.select("mart", *M.grain(M.ZONE_HOUR), "vendor_id", "trip_count", "total_passenger_count",
+                       "total_duration_min", "p50_duration_min", "p90_duration_min", "total_amount")
