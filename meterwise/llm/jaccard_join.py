@@ -19,7 +19,10 @@ blocks that hold different known classes are tasks.  Members of a known class
 are passed over, so a large group of near copies yields a spanning set of
 links, never all its pairs.
 
-Sets are identified and compared by 64-bit hashes of their shingles.
+Sets are identified and compared by 64-bit hashes of their shingles.  They are made
+from the texts where they are needed (once to count shingles, once for prefixes and
+points, once more for the texts of candidate classes) and never all kept: eight bytes
+a shingle are more than the texts.
 
 Defined cases: null texts and texts without words have an empty set, linked
 with nothing; texts of fewer than five words have one shingle; texts with
@@ -30,6 +33,7 @@ null doc_id counts as the largest.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,12 +58,18 @@ LEAF = 32
 BLOCK = 4_000
 # A shingle that the sketch gives so many sets or more is frequent.
 RUN = 4_000
-# Slots of the frequency sketch (one byte each) and of one piece of it.
-SLOTS = 1 << 22
+# Slots of a sketch (one byte each) for each thing it tells of, at least and at
+# most, and of one piece of it.
+PER_ENTRY = 16
+LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 28
 SKETCH_PIECE = 1 << 16
 MIN_FREQUENT = 8
+# Shingles that a task counts at once.
+COUNTED = 8_000_000
 
-SET = "doc_id long, text_hash long, n_shingles long, vertex long, shingles binary, counts binary"
+SET = ("doc_id long, text_hash long, n_shingles long, vertex long, prefix binary, frequent int, "
+       "counts binary")
+FULL = "place long, shingles binary"
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -97,63 +107,74 @@ def least_overlap(a, b):
     return -(-NUM * (a + b) // (DEN + NUM))
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """Set, vertex (identity of the set) and group counts of every row."""
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                sets = [shingles(t) for t in part.column("text").to_pylist()]
-                raw = [s.tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("text_hash"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh64_intdigest(r, 7) >> 1 if r else None for r in raw], pa.int64()),
-                    pa.array(raw, pa.binary()),
-                    pa.array([group_counts(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-                ], ["doc_id", "text_hash", "n_shingles", "vertex", "shingles", "counts"])
+def vertex_of(s: np.ndarray) -> int | None:
+    """Identity of a set."""
+    return xxhash.xxh64_intdigest(s.tobytes(), 7) >> 1 if len(s) else None
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    return as_written(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
 
-    rows = as_written(docs, "doc_id", "text")
-    return rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(make, SET)
 
+def sketch_slots(entries: int) -> int:
+    """Slots for so many entries: a power of two, bounded."""
+    return min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (PER_ENTRY * entries - 1).bit_length()))
 
-def frequency_levels(sets: DataFrame) -> np.ndarray:
+
+def collected_sketch(marked: DataFrame, slots: int) -> np.ndarray:
+    """The bytes (slot, level: one row a slot) of a sketch, put together piece by
+    piece, so that the driver gets ``slots`` bytes whatever the input."""
+    def piece(key, got: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(min(slots, SKETCH_PIECE), np.uint8)
+        out[got["slot"].to_numpy()] = got["level"].to_numpy()
+        return pd.DataFrame({"piece": [key[0]], "levels": [zlib.compress(out.tobytes(), 1)]})
+
+    pieces = marked.select(F.floor(F.col("slot") / SKETCH_PIECE).cast("int").alias("piece"),
+                           (F.col("slot") % SKETCH_PIECE).alias("slot"), "level")
+    sketch = np.zeros(slots, np.uint8)
+    with small_batches(marked.sparkSession):
+        for r in pieces.groupBy("piece").applyInPandas(piece, "piece int, levels binary").collect():
+            sketch[r["piece"] * SKETCH_PIECE:(r["piece"] + 1) * SKETCH_PIECE] = np.frombuffer(
+                zlib.decompress(r["levels"]), np.uint8)
+    return sketch
+
+
+def frequency_levels(docs: DataFrame) -> np.ndarray:
     """One byte per hash slot, growing with the number of sets that hold the
-    slot's most frequent shingle.  A task reports shingles it meets twice or
-    more, each set counted once; levels are put together piece by piece, so the driver
-    gets ``SLOTS`` bytes whatever the input.  The sketch only orders shingles:
-    no result depends on it."""
-    def repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, held = set(), []
+    slot's most frequent shingle.  A task reports, of every ``COUNTED`` shingles, those
+    it meets twice or more, each set counted once.  The sketch only orders
+    shingles: no result depends on it."""
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, held, size = set(), [], 0
+
+        def counts() -> pa.RecordBatch:
+            found, times = np.unique(np.concatenate(held), return_counts=True)
+            keep = times > 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array(found[keep].view("<i8")), pa.array(times[keep])], ["shingle", "n"])
+
         for batch in batches:
-            for v, raw in zip(batch["vertex"], batch["shingles"]):
-                if v not in seen:
+            for text in batch.column("text"):
+                s = shingles(text.as_py())
+                v = vertex_of(s)
+                if v is not None and v not in seen:
                     seen.add(v)
-                    held.append(np.frombuffer(raw, "<u8"))
+                    held.append(s)
+                    size += len(s)
+                    if size > COUNTED:
+                        yield counts()
+                        held, size = [], 0
         if held:
-            found, counts = np.unique(np.concatenate(held), return_counts=True)
-            keep = counts > 1
-            yield pd.DataFrame({"shingle": found[keep].view("<i8"), "n": counts[keep]})
+            yield counts()
 
-    counted = sets.where("n_shingles > 0").select("vertex", "shingles").mapInPandas(
-        repeated, "shingle long, n long")
-    slot = F.col("shingle").bitwiseAND(SLOTS - 1)
+    counted = as_written(docs, "text").mapInArrow(repeated, "shingle long, n long")
+    counted = written(docs.sparkSession, counted.groupBy("shingle").agg(F.sum("n").alias("n")).where(
+        F.col("n") >= MIN_FREQUENT), "join-frequent")
+    slots = sketch_slots(counted.count())
     level = F.least(F.floor(F.log2("n") * 4), F.lit(255)).cast("int")
-    levels = (counted.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_FREQUENT)
-              .groupBy(slot.alias("slot")).agg(F.max(level).alias("level"))
-              .select(F.floor(F.col("slot") / SKETCH_PIECE).cast("int").alias("piece"),
-                      (F.col("slot") % SKETCH_PIECE).alias("slot"), "level"))
-
-    def piece(key, got: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(SKETCH_PIECE, np.uint8)
-        out[got["slot"].to_numpy()] = got["level"].to_numpy()
-        return pd.DataFrame({"piece": [key[0]], "levels": [out.tobytes()]})
-
-    sketch = np.zeros(SLOTS, np.uint8)
-    with small_batches(sets.sparkSession):
-        pieces = levels.groupBy("piece").applyInPandas(piece, "piece int, levels binary").collect()
-    for r in pieces:
-        sketch[r["piece"] * SKETCH_PIECE:(r["piece"] + 1) * SKETCH_PIECE] = np.frombuffer(r["levels"], np.uint8)
+    sketch = collected_sketch(counted.groupBy(F.col("shingle").bitwiseAND(slots - 1).alias("slot")).agg(
+        F.max(level).alias("level")), slots)
+    discard(docs.sparkSession, counted)
     return sketch
 
 
@@ -162,36 +183,94 @@ def least_level(run: int) -> int:
     return int(np.log2(run) * 4)
 
 
-def prefix_rows(spark: SparkSession, sets: DataFrame, levels: np.ndarray, run: int = RUN) -> DataFrame:
-    """token, vertex, n, frequent for the prefix shingles of every set, rare
-    ones first.  The sketch misses at most one set a task, so a run of
-    shingles that are not frequent has fewer than ``run`` texts and one a task,
-    up to the rounding of a level."""
+def shingle_sets(spark: SparkSession, docs: DataFrame, levels: np.ndarray, run: int = RUN) -> DataFrame:
+    """Vertex (identity of the set), prefix and group counts of every row.  The
+    prefix has the rarest shingles first; the last ``frequent`` ones of it are
+    frequent.  The sketch misses at most one set a count, so a run of shingles that
+    are not frequent has fewer than ``run`` texts and one a count, up to the
+    rounding of a level."""
     table = spark.sparkContext.broadcast(levels)
     least = least_level(run)
 
+    def prefix(s: np.ndarray) -> tuple[bytes, int]:
+        own = table.value[(s & np.uint64(len(table.value) - 1)).astype(np.int64)]
+        order = np.argsort(own, kind="stable")[:len(s) - -(-NUM * len(s) // DEN) + 1]
+        return s[order].tobytes(), int((own[order] >= least).sum())
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                sets = [shingles(t) for t in part.column("text").to_pylist()]
+                prefixes = [prefix(s) if len(s) else (None, 0) for s in sets]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), part.column("text_hash"),
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array([vertex_of(s) for s in sets], pa.int64()),
+                    pa.array([p for p, _ in prefixes], pa.binary()), pa.array([n for _, n in prefixes], pa.int32()),
+                    pa.array([group_counts(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                ], ["doc_id", "text_hash", "n_shingles", "vertex", "prefix", "frequent", "counts"])
+
+    return texts_of(docs).mapInArrow(make, SET)
+
+
+def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """vertex, n_shingles, shingles, counts of the wanted vertices, each once.
+
+    One row stands for all with its set.  The rows to make sets of are found
+    without moving texts: a sketch of their places lets few others pass, and a
+    join on the places drops these."""
+    place = F.xxhash64("doc_id", "text_hash")
+    chosen = (sets.where("n_shingles > 0").join(wanted.select("vertex").distinct(), "vertex", "left_semi")
+              .groupBy("vertex").agg(F.min(F.struct("text_hash", "doc_id")).alias("row"),
+                                     F.first("n_shingles").alias("n_shingles"), F.first("counts").alias("counts")))
+    chosen = written(docs.sparkSession, chosen.select(
+        "vertex", "n_shingles", "counts", F.xxhash64("row.doc_id", "row.text_hash").alias("place")), "join-chosen-rows")
+    slots = sketch_slots(chosen.count())
+    marks = collected_sketch(chosen.select(F.col("place").bitwiseAND(slots - 1).alias("slot")).distinct().withColumn(
+        "level", F.lit(1)), slots)
+    table = docs.sparkSession.sparkContext.broadcast(np.packbits(marks, bitorder="little"))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = batch.column("place").to_numpy(zero_copy_only=False).astype(np.int64)
+            slot = places & (slots - 1)
+            hit = table.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1
+            part = batch.filter(pa.array(hit.astype(bool)))
+            for at in range(0, part.num_rows, 500):
+                some = part.slice(at, 500)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("place"),
+                     pa.array([shingles(t).tobytes() for t in some.column("text").to_pylist()], pa.binary())],
+                    ["place", "shingles"])
+
+    made = texts_of(docs).select(place.alias("place"), "text").mapInArrow(make, FULL)
+    # Copies of a row have one place.
+    made = made.join(chosen, "place").groupBy("vertex").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("shingles").alias("shingles"),
+        F.first("counts").alias("counts"))
+    return made
+
+
+def prefix_rows(sets: DataFrame) -> DataFrame:
+    """token, vertex, n, frequent for the prefix shingles of every set."""
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        level, seen = table.value, set()
+        seen = set()
         for batch in batches:
             tokens, owners, sizes, often = [], [], [], []
-            for v, n, raw in zip(batch["vertex"], batch["n_shingles"], batch["shingles"]):
+            for v, n, raw, frequent in zip(batch["vertex"], batch["n_shingles"], batch["prefix"], batch["frequent"]):
                 if v in seen:
                     continue
                 seen.add(v)
-                s = np.frombuffer(raw, "<u8")
-                keep = n - -(-NUM * n // DEN) + 1
-                own = level[(s & np.uint64(SLOTS - 1)).astype(np.int64)]
-                order = np.argsort(own, kind="stable")[:keep]
-                p = s[order]
-                often.append(own[order] >= least)
-                tokens.append(p.view("<i8"))
+                p = np.frombuffer(raw, "<i8")
+                often.append(np.arange(len(p)) >= len(p) - frequent)
+                tokens.append(p)
                 owners.append(np.full(len(p), v, np.int64))
                 sizes.append(np.full(len(p), n, np.int32))
             if tokens:
                 yield pd.DataFrame({"token": np.concatenate(tokens), "vertex": np.concatenate(owners),
                                     "n": np.concatenate(sizes), "frequent": np.concatenate(often)})
 
-    return sets.where("n_shingles > 0").select("vertex", "n_shingles", "shingles").mapInPandas(
+    return sets.where("n_shingles > 0").select("vertex", "n_shingles", "prefix", "frequent").mapInPandas(
         cut, "token long, vertex long, n int, frequent boolean")
 
 
@@ -432,7 +511,7 @@ def _across(known: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     return placed.join(ends, ["label", "own"])
 
 
-def verified_links(classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+def verified_links(docs: DataFrame, classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
     """a, b: true links spanning the true classes within each candidate class
     (vertex, label).
 
@@ -441,14 +520,9 @@ def verified_links(classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> D
     as long as that halves their number; then pairs of blocks are searched for
     links between known classes only."""
     spark = sets.sparkSession
-    unique = sets.where("n_shingles > 0").select("vertex", "n_shingles", "shingles", "counts")
 
     def needed(of: DataFrame) -> DataFrame:
-        # Copies of a set are brought together by an aggregate that combines
-        # before the shuffle, for the vertices of candidate classes only.
-        return unique.join(of.select("vertex").distinct(), "vertex", "left_semi").groupBy("vertex").agg(
-            F.first("n_shingles").alias("n_shingles"), F.first("shingles").alias("shingles"),
-            F.first("counts").alias("counts"))
+        return full_sets(docs, sets, of)
 
     links = _verify(_within(classes, block), needed(classes))
     over = classes.groupBy("label").count().where(F.col("count") > block).select("label")
@@ -467,7 +541,7 @@ def verified_links(classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> D
             break
         before = n
         links = links.unionByName(written(spark, _verify(_within(chosen, block), needed(chosen)), "join-chosen"))
-    sizes = unique.select("vertex", F.col("n_shingles").alias("n")).dropDuplicates(["vertex"])
+    sizes = sets.where("n_shingles > 0").groupBy("vertex").agg(F.first("n_shingles").alias("n"))
     # Only sets of blocks that are left move.
     cut = written(spark, _across(known, sizes, block), "join-across")
     return links.unionByName(_verify(cut, needed(cut)))
@@ -476,9 +550,9 @@ def verified_links(classes: DataFrame, sets: DataFrame, block: int = BLOCK) -> D
 def jaccard_classes(spark: SparkSession, docs: DataFrame, run: int = RUN, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``."""
     with scratch(spark) as keep:
-        sets = written(spark, shingle_sets(docs), "join-sets")
-        levels = frequency_levels(sets)
-        prefixes = prefix_rows(spark, sets, levels, run)
+        levels = frequency_levels(docs)
+        sets = written(spark, shingle_sets(spark, docs, levels, run), "join-sets")
+        prefixes = prefix_rows(sets)
         runs = written(spark, shared_runs(prefixes), "join-runs")
         maybe = candidate_links(runs, sets)
         if levels.max() >= least_level(run):
@@ -487,7 +561,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, run: int = RUN, block:
         maybe = written(spark, maybe, "join-maybe")
         discard(spark, runs)
         classes = components(spark, maybe, "join-candidates")
-        links = written(spark, verified_links(classes, sets, block), "join-links")
+        links = written(spark, verified_links(docs, classes, sets, block), "join-links")
         labels = components(spark, links, "join-classes")
         rows = sets.select("doc_id", "text_hash", "n_shingles", "vertex").join(labels, "vertex", "left")
         rows = keep(written(spark, rows.withColumn("class", F.coalesce("label", "vertex")), "join-rows"))

@@ -245,9 +245,9 @@ def test_jaccard_join_near_copies(spark):
     assert Counter((x["doc_id"], x["n_shingles"], x["component_id"])
                    for x in jaccard_join.jaccard_classes(spark, docs).collect()) == want
     # Classes cut in blocks give the same classes.
-    sets = jaccard_join.shingle_sets(docs)
+    sets = jaccard_join.shingle_sets(spark, docs, jaccard_join.frequency_levels(docs))
     classes = sets.select("vertex").distinct().withColumn("label", F.lit(1).cast("long"))
-    links = jaccard_join.verified_links(classes, sets, block=25)
+    links = jaccard_join.verified_links(docs, classes, sets, block=25)
     labels = {x["vertex"]: x["label"] for x in components(spark, links).collect()}
     groups = defaultdict(set)
     for x in sets.collect():
@@ -269,8 +269,8 @@ def test_jaccard_join_large_groups(spark):
     data += [(1000 + i, f"solo{i} " + " ".join(base[:40 + i]), None) for i in range(20)]
     docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
     # No run reaches one task whole: frequent shingles make stars, and small blocks give the same classes.
-    sets = jaccard_join.shingle_sets(docs)
-    prefixes = jaccard_join.prefix_rows(spark, sets, jaccard_join.frequency_levels(sets), run=30).cache()
+    sets = jaccard_join.shingle_sets(spark, docs, jaccard_join.frequency_levels(docs), run=30)
+    prefixes = jaccard_join.prefix_rows(sets).cache()
     assert jaccard_join.star_links(prefixes).count()
     runs = jaccard_join.shared_runs(prefixes)
     assert max([x["count"] for x in runs.groupBy("run").count().collect()], default=0) <= 30 + 3
@@ -284,6 +284,22 @@ def test_jaccard_join_large_groups(spark):
     assert len(mixed) == 1 and all(mixed & {x["low"], x["high"]} for x in cut)
 
 
+def test_jaccard_full_sets(spark, docs, monkeypatch):
+    """A crowded sketch lets other rows pass; the join drops them."""
+    sets = jaccard_join.shingle_sets(spark, docs, jaccard_join.frequency_levels(docs))
+    wanted = sets.where("doc_id % 2 = 0").select("vertex")
+    texts = {r["vertex"]: r["shingles"] for r in jaccard_join.full_sets(docs, sets, wanted).collect()}
+    monkeypatch.setattr(jaccard_join, "sketch_slots", lambda n: 1 << 16 if n > 10**6 else 2)
+    crowded = {r["vertex"]: r["shingles"] for r in jaccard_join.full_sets(docs, sets, wanted).collect()}
+    want = {}
+    for d, t, _ in as_rows(docs):
+        s = jaccard_join.shingles(t)
+        if len(s):
+            want[jaccard_join.vertex_of(s)] = s.tobytes()
+    asked = {r["vertex"] for r in wanted.collect()} - {None}
+    assert texts == crowded == {v: want[v] for v in asked}
+
+
 def test_one_of_each(spark, docs, no_docs):
     got = jaccard_join.one_of_each(spark, docs)
     assert got.schema == docs.schema
