@@ -11,6 +11,10 @@ A monthly load touches exactly the partitions it owns:
 * Cumulative marts are recomputed from the earliest touched month, seeded
   with the state just before it (N4).
 
+A run is published after success (W8): it writes beside the layers, validates
+there, and switches all of them at its end (:mod:`meterwise.sources.publish`); a
+failed run leaves every layer as it was.
+
 Each write carries an ``Observation`` so row counts and amounts come from
 the write itself; validation reads the written tables (G8).
 """
@@ -21,7 +25,8 @@ import calendar
 import datetime
 import time
 import uuid
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,6 +40,7 @@ from meterwise.operators.fact import build_fact, cleaned_for_months
 from meterwise.operators.partial import build_daily_partial
 from meterwise.operators.quality import continuity_summary, dsum, observe
 from meterwise.session import checkpoint_dir, keeps_shuffle_setting, scratch_path, size_shuffles, written_size
+from meterwise.sources import publish as P
 from meterwise.sources.months import month_paths, months_of, resolve_months
 from meterwise.sources.readers import detect_format, month_filter, read_loads, read_source
 from meterwise.sources.writers import (RUN_LOG_SCHEMA, append_run_log, load_path, run_log_row,
@@ -54,6 +60,21 @@ class Layout:
         "zone_hour": "mart/month_hour_zone", "vendor_hour": "mart/month_hour_vendor",
         "vendor_cumulative": "mart/month_vendor_cumulative",
         "zone_cumulative": "mart/month_zone_cumulative"})
+    stage: P.Stage | None = None  # of the run at work
+
+    def staged(self, run: str, whole: bool = False) -> Layout:
+        """The layout as a run works on it."""
+        return replace(self, stage=P.Stage(self.root, run, whole))
+
+    def to(self, path: str) -> str:
+        """Where a layer is written: beside it during a run."""
+        return self.stage.to(path) if self.stage else path
+
+    def read(self, spark: SparkSession, path: str) -> DataFrame:
+        return self.stage.read(spark, path) if self.stage else spark.read.parquet(path)
+
+    def has(self, spark: SparkSession, path: str) -> bool:
+        return self.stage.exists(spark, path) if self.stage else _exists(spark, path)
 
     def p(self, rel: str) -> str:
         return f"{self.root.rstrip('/')}/{rel}"
@@ -106,19 +127,19 @@ def load_raw(spark: SparkSession, layout: Layout, source: str | list[str], year:
     behaviour) before anything is overwritten.
     """
     df, obs = observe(read_source(spark, source, schema, require_rows=not allow_empty), "raw")
-    save_month(df, layout.raw, year, month, files_per_partition)
-    written = spark.read.parquet(layout.raw).where(month_filter([(year, month)], "src_year", "src_month"))
+    save_month(df, layout.to(layout.raw), year, month, files_per_partition)
+    written = spark.read.parquet(load_path(layout.to(layout.raw), year, month))
     return {"rows": _rows(obs, written)}
 
 
 def clean_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]],
                 money_mode: str = "double", max_minutes: float = C.DEFAULT_MAX_MINUTES) -> dict:
     """O1 step 2: Raw loads -> Cleaned, same source-month partitions."""
-    raw = read_loads(spark, layout.raw, loads)
+    raw = read_loads(spark, layout.to(layout.raw), loads)
     cleaned = C.clean(raw, layout.variant, money_mode, max_minutes, keep=("src_year", "src_month"))
     out, obs = observe(cleaned, "cleaned")
     if len(loads) == 1:  # whole-folder overwrite: an empty result clears the load
-        save_month(out, layout.cleaned, *loads[0])
+        save_month(out, layout.to(layout.cleaned), *loads[0])
     else:
         # Dynamic overwrite keeps the old folder of a load that produced no
         # rows this time (G4): the loads that did produce rows ride on the
@@ -126,16 +147,16 @@ def clean_loads(spark: SparkSession, layout: Layout, loads: list[tuple[int, int]
         # and the others are cleared explicitly.
         seen = Observation("cleaned_loads")
         out = out.observe(seen, F.collect_set(F.struct("src_year", "src_month")).alias("loads"))
-        write_partitioned(out, layout.cleaned, ("src_year", "src_month"), mode="dynamic", cluster=False)
+        write_partitioned(out, layout.to(layout.cleaned), ("src_year", "src_month"), mode="dynamic", cluster=False)
         try:
             produced = {(r["src_year"], r["src_month"]) for r in seen.get.get("loads", [])}
         except Exception:  # noqa: BLE001 - no metric arrived: ask the data instead
             produced = {(r["src_year"], r["src_month"])
                         for r in cleaned.select("src_year", "src_month").distinct().collect()}
         for y, m in sorted(set(loads) - produced):
-            save_month(cleaned.limit(0), layout.cleaned, y, m)
-    written = (spark.read.parquet(layout.cleaned).where(month_filter(loads, "src_year", "src_month"))
-               if _exists(spark, layout.cleaned) else out.limit(0))
+            save_month(cleaned.limit(0), layout.to(layout.cleaned), y, m)
+    written = (layout.read(spark, layout.cleaned).where(month_filter(loads, "src_year", "src_month"))
+               if layout.has(spark, layout.cleaned) else out.limit(0))
     record_load_months(spark, layout, loads)
     return {"rows": _rows(obs, written)}
 
@@ -148,50 +169,52 @@ def record_load_months(spark: SparkSession, layout: Layout, loads: list[tuple[in
     read only the loads that hold a touched month (partition pruning on
     ``src_year``/``src_month``) instead of checking every file of history.
     """
-    if not _exists(spark, layout.cleaned):
+    if not layout.has(spark, layout.cleaned):
         return
-    c = spark.read.parquet(layout.cleaned)
+    c = layout.read(spark, layout.cleaned)
     if loads is not None:
         c = c.where(month_filter(loads, "src_year", "src_month"))
     lm = c.groupBy("src_year", "src_month", "pickup_year", "pickup_month").agg(F.count(F.lit(1)).alias("rows"))
     if loads is not None and len(loads) == 1:
-        save_month(lm, layout.load_months, *loads[0])
+        save_month(lm, layout.to(layout.load_months), *loads[0])
         return
     checkpoint_dir(spark)
     lm = lm.checkpoint(eager=True)  # calendar-sized; read twice below
-    write_partitioned(lm, layout.load_months, ("src_year", "src_month"),
+    write_partitioned(lm, layout.to(layout.load_months), ("src_year", "src_month"),
                       mode="static" if loads is None else "dynamic")
     if loads is not None:  # loads that are now empty must not keep old entries
         have = {(r["src_year"], r["src_month"]) for r in lm.select("src_year", "src_month").distinct().collect()}
         for y, m in sorted(set(loads) - have):
-            save_month(lm.limit(0), layout.load_months, y, m)
+            save_month(lm.limit(0), layout.to(layout.load_months), y, m)
 
 
 def loads_holding(spark: SparkSession, layout: Layout, months: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Loads that hold rows of any of ``months`` (from the load-month table)."""
-    lm = spark.read.parquet(layout.load_months).where(month_filter(months, "pickup_year", "pickup_month"))
+    lm = layout.read(spark, layout.load_months).where(month_filter(months, "pickup_year", "pickup_month"))
     return sorted((r["src_year"], r["src_month"]) for r in lm.select("src_year", "src_month").distinct().collect())
 
 
 def held_months(spark: SparkSession, layout: Layout,
                 loads: list[tuple[int, int]] | None = None) -> set[tuple[int, int]]:
     """Pickup months the loads hold now, by the load-month table."""
-    if not _exists(spark, layout.load_months):
+    if not layout.has(spark, layout.load_months):
         return set()
-    lm = spark.read.parquet(layout.load_months)
+    lm = layout.read(spark, layout.load_months)
     if loads is not None:
         lm = lm.where(month_filter(loads, "src_year", "src_month"))
     return {(r["pickup_year"], r["pickup_month"])
             for r in lm.select("pickup_year", "pickup_month").distinct().collect()}
 
 
-def drop_months(spark: SparkSession, path: str, months) -> None:
-    """Remove the partitions of months that no load holds any more: a dynamic
-    overwrite would keep them (G4)."""
-    jvm = spark.sparkContext._jvm
+def drop_months(spark: SparkSession, layout: Layout, path: str, months) -> None:
+    """Remove the partitions of months that no load holds any more (at the end of the run):
+    a dynamic overwrite would keep them (G4)."""
     for y, m in sorted(months):
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/year={y}/month={m}")
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        part = f"year={y}/month={m}"
+        if layout.stage:
+            layout.stage.drop(path.rstrip("/"), part)
+        else:
+            P.delete(spark, f"{path.rstrip('/')}/{part}")
 
 
 @keeps_shuffle_setting
@@ -207,31 +230,31 @@ def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[
     """
     touched = sorted(held_months(spark, layout, loads) | set(before))
     gone = set(touched) - held_months(spark, layout)
-    drop_months(spark, layout.fact, gone)
+    drop_months(spark, layout, layout.fact, gone)
     months = [m for m in touched if m not in gone]
     if not months:
         return touched, 0
-    cleaned_all = spark.read.parquet(layout.cleaned)
+    cleaned_all = layout.read(spark, layout.cleaned)
     sources = loads_holding(spark, layout, months)
-    size_shuffles(spark, [layout.p(f"cleaned/{layout.variant}/src_year={y}/src_month={m}") for y, m in sources])
+    size_shuffles(spark, [load_path(root, y, m) for y, m in sources for root in {layout.cleaned, layout.to(layout.cleaned)}])
     src = cleaned_all.where(month_filter(sources, "src_year", "src_month"))  # prunes load folders
     fact, obs = observe(build_fact(cleaned_for_months(src, months), with_ids=True, money_mode=money_mode), "fact")
-    write_partitioned(fact, layout.fact, ("year", "month"), mode="dynamic")
-    return touched, _rows(obs, spark.read.parquet(layout.fact).where(month_filter(months)))
+    write_partitioned(fact, layout.to(layout.fact), ("year", "month"), mode="dynamic")
+    return touched, _rows(obs, layout.read(spark, layout.fact).where(month_filter(months)))
 
 
 def write_dims(spark: SparkSession, layout: Layout, zone_dim: DataFrame) -> None:
     """The zone, time and date dimensions.  The calendar spans the
     months that the load-month table names; no trip is read for it."""
     held = sorted(held_months(spark, layout))
-    write_table(build_dim_zone(zone_dim).coalesce(1), layout.dim("zone"))
-    if not _exists(spark, layout.dim("time")):
-        write_table(build_dim_time(spark).coalesce(1), layout.dim("time"))
+    write_table(build_dim_zone(zone_dim).coalesce(1), layout.to(layout.dim("zone")))
+    if not layout.has(spark, layout.dim("time")):
+        write_table(build_dim_time(spark).coalesce(1), layout.to(layout.dim("time")))
     if held:
         (y0, m0), (y1, m1) = held[0], held[-1]
         last = calendar.monthrange(y1, m1)[1]
         write_table(build_dim_date(spark, f"{y0:04d}-{m0:02d}-01", f"{y1:04d}-{m1:02d}-{last}").coalesce(1),
-                    layout.dim("date"))
+                    layout.to(layout.dim("date")))
 
 
 @keeps_shuffle_setting
@@ -307,11 +330,11 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
     Returns the rows and the amount of the Fact that was read for them."""
     checkpoint_dir(spark)
     for mart in layout.marts.values():
-        drop_months(spark, layout.p(mart), set(months) - held_months(spark, layout))
+        drop_months(spark, layout, layout.p(mart), set(months) - held_months(spark, layout))
     if not held_months(spark, layout):
         return None  # nothing is left to build
-    size_shuffles(spark, [f"{layout.fact}/year={y}/month={m}" for y, m in months])
-    fact = spark.read.parquet(layout.fact).where(month_filter(months))
+    size_shuffles(spark, [f"{layout.to(layout.fact)}/year={y}/month={m}" for y, m in months])
+    fact = layout.read(spark, layout.fact).where(month_filter(months))
     base, totals = base_pass(spark, fact, money_mode)
     try:
         _marts_from_base(spark, layout, base, months, zone_dim, money_mode)
@@ -328,18 +351,19 @@ def _marts_from_base(spark: SparkSession, layout: Layout, base: DataFrame, month
     # costs one small probe and no rewrite.  The dimension is checkpointed
     # before it is rewritten in place.
     seen = build_dim_vendor(M.of_mart(base, M.VENDOR_HOUR))
-    if _exists(spark, layout.dim_vendor):
-        old = spark.read.parquet(layout.dim_vendor)
+    if layout.has(spark, layout.dim_vendor):
+        old = layout.read(spark, layout.dim_vendor)
         fresh = seen.join(old.select(F.col("vendor_id").alias("_v")),
                           seen["vendor_id"].eqNullSafe(F.col("_v")), "left_anti")
         if not fresh.isEmpty():
-            write_table(old.unionByName(fresh).checkpoint(eager=True), layout.dim_vendor)
+            write_table(old.unionByName(fresh).checkpoint(eager=True), layout.to(layout.dim_vendor))
     else:
-        write_table(seen, layout.dim_vendor)
-    dim_vendor = spark.read.parquet(layout.dim_vendor)
+        write_table(seen, layout.to(layout.dim_vendor))
+    dim_vendor = layout.read(spark, layout.dim_vendor)
     write_dims(spark, layout, zone_dim)
     for name, spec, dim in (("zone_hour", M.ZONE_HOUR, zone_dim), ("vendor_hour", M.VENDOR_HOUR, dim_vendor)):
-        write_partitioned(M.finish_mart(M.of_mart(base, spec), spec, dim, money_mode), layout.mart(name), mode="dynamic")
+        write_partitioned(M.finish_mart(M.of_mart(base, spec), spec, dim, money_mode), layout.to(layout.mart(name)),
+                          mode="dynamic")
     start = months[0]
     k0 = start[0] * 12 + start[1]
     hourly_of = {"vendor_cumulative": "vendor_hour", "zone_cumulative": "zone_hour"}
@@ -347,13 +371,13 @@ def _marts_from_base(spark: SparkSession, layout: Layout, base: DataFrame, month
                             ("zone_cumulative", M.ZONE_MONTH, zone_dim)):
         path = layout.mart(name)
         seed = None
-        if _exists(spark, path):
+        if layout.has(spark, path):
             # The seed is entity-sized; checkpointing it cuts the lineage to
             # the table about to be overwritten.
-            seed = N.latest_state(spark.read.parquet(path), spec.entity, start).checkpoint(eager=True)
+            seed = N.latest_state(layout.read(spark, path), spec.entity, start).checkpoint(eager=True)
         if money_mode == "decimal":
             # exact: roll the written hourly mart up, no pass over the fact
-            hourly = spark.read.parquet(layout.mart(hourly_of[name]))
+            hourly = layout.read(spark, layout.mart(hourly_of[name]))
             hourly = hourly.where(F.col("year") * 12 + F.col("month") >= k0) if seed is not None else hourly
             cum = N.cumulative_from_hourly(hourly, spec, dim, money_mode, True, seed)
         else:
@@ -362,11 +386,11 @@ def _marts_from_base(spark: SparkSession, layout: Layout, base: DataFrame, month
                 # Only the touched months are aggregated; the monthly columns of
                 # the other months since are in the written mart already.
                 key = F.col("year") * 12 + F.col("month")
-                kept = (spark.read.parquet(path).where((key >= k0) & ~month_filter(months))
+                kept = (layout.read(spark, path).where((key >= k0) & ~month_filter(months))
                         .withColumnsRenamed({"year": "pickup_year", "month": "pickup_month"}))
                 monthly = monthly.unionByName(kept.select(*monthly.columns)).checkpoint(eager=True)
             cum = N.project_cumulative(N.running_totals(monthly, spec.entity, money_mode, seed), spec, dim, True)
-        write_partitioned(cum, path, mode="dynamic")
+        write_partitioned(cum, layout.to(path), mode="dynamic")
 
 
 class _RunLog:
@@ -398,6 +422,23 @@ class _RunLog:
         append_run_log(self.spark, self.layout.run_log, self.spark.createDataFrame(self.records, RUN_LOG_SCHEMA))
 
 
+@contextmanager
+def _published(log: _RunLog, whole: bool = False):
+    """The layout of a run: what it writes stands beside the layers and takes
+    their place when the run has ended well."""
+    layout = log.layout.staged(log.run_id, whole)
+    live, log.layout = log.layout, layout
+    try:
+        yield layout
+        P.publish(log.spark, layout.stage)
+    except BaseException:
+        if not P.exists(log.spark, f"{layout.stage.folder}/_journal/_SUCCESS"):
+            P.delete(log.spark, layout.stage.folder)
+        raise
+    finally:
+        log.layout = live
+
+
 def _finish_run(log: _RunLog, months, paths, whole: bool = False, totals: tuple | None = None) -> None:
     """Mart and validate records of a run; a failed check raises.  ``totals`` are
     the Fact's rows and amount as read for the marts."""
@@ -419,21 +460,22 @@ def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year
     a month is never replaced by nothing by accident.
     """
     loads = [(year, month)]
-    with _RunLog(spark, layout, loads) as log:
+    P.recover(spark, layout.root)
+    with _RunLog(spark, layout, loads) as log, _published(log) as layout:
         before = held_months(spark, layout, loads)
         raw = load_raw(spark, layout, source, year, month, schema, allow_empty=allow_empty)
-        log.add("raw", loads, None, raw["rows"], [load_path(layout.raw, year, month)])
+        log.add("raw", loads, None, raw["rows"], [load_path(layout.to(layout.raw), year, month)])
         cl = clean_loads(spark, layout, loads, money_mode, max_minutes)
-        log.add("cleaned", loads, raw["rows"], cl["rows"], [load_path(layout.cleaned, year, month)])
+        log.add("cleaned", loads, raw["rows"], cl["rows"], [load_path(layout.to(layout.cleaned), year, month)])
         if not layout.has_fact:  # Fact and marts hold one variant
             return log.run_id
         months, rows = build_fact_for_loads(spark, layout, loads, money_mode, before)
         folders = [f"year={y}/month={m}" for y, m in months]
         left = sorted(held_months(spark, layout) & set(months))
-        log.add("fact", months, cl["rows"], rows, [f"{layout.fact}/{f}" for f in folders])
+        log.add("fact", months, cl["rows"], rows, [f"{layout.to(layout.fact)}/{f}" for f in folders])
         totals = build_marts(spark, layout, months, zone_dim, money_mode) if months else None
         if left:
-            _finish_run(log, left, [f"{layout.mart(k)}/{f}" for k in layout.marts for f in folders], totals=totals)
+            _finish_run(log, left, [f"{layout.to(layout.mart(k))}/{f}" for k in layout.marts for f in folders], totals=totals)
         else:
             log.add("mart", months, 0, 0)
     return log.run_id
@@ -468,7 +510,7 @@ def validation_report(spark: SparkSession, layout: Layout, months: list[tuple[in
     month before (N5), over the whole mart.  ``fact_totals`` (rows and amount of
     these months, observed when the Fact was read) saves reading it again."""
     def read(path: str, year: str = "year", month: str = "month") -> DataFrame:
-        df = spark.read.parquet(path)
+        df = layout.read(spark, path)
         return df if months is None else df.where(month_filter(months, year, month))
 
     def totals(df: DataFrame, name: str, trips, amount: str) -> DataFrame:
@@ -476,7 +518,7 @@ def validation_report(spark: SparkSession, layout: Layout, months: list[tuple[in
                       F.coalesce(trips, F.lit(0)).cast("long").alias("trips"), dsum(df, amount, "amount"),
                       F.lit(0).cast("long").alias("violations"))
 
-    sources = spark.read.parquet(layout.cleaned)
+    sources = layout.read(spark, layout.cleaned)
     if months is not None:  # only the load folders that hold these months
         sources = sources.where(month_filter(loads_holding(spark, layout, months), "src_year", "src_month"))
         sources = sources.where(month_filter(months, "pickup_year", "pickup_month"))
@@ -494,7 +536,7 @@ def validation_report(spark: SparkSession, layout: Layout, months: list[tuple[in
     for name, (trips, amount, entity) in MART_COLUMNS.items():
         tables.append(totals(read(layout.mart(name)), name, F.sum(trips), amount))
         if entity and exact:
-            steps = continuity_summary(spark.read.parquet(layout.mart(name)), entity)
+            steps = continuity_summary(layout.read(spark, layout.mart(name)), entity)
             tables.append(steps.select(F.lit(name).alias("name"), F.lit(0).cast("long").alias("rows"),
                                        F.lit(0).cast("long").alias("trips"), F.lit(None).alias("amount"),
                                        F.col("violations").cast("long").alias("violations")))
@@ -543,8 +585,11 @@ def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: Da
     """
     checkpoint_dir(spark)
     size_shuffles(spark, source_root)
-    with _RunLog(spark, layout, []) as log:
-        return _backfill(spark, layout, source_root, zone_dim, money_mode, max_minutes, schema,
+    P.recover(spark, layout.root)
+    if source_filter is not None and _exists(spark, layout.raw):
+        raise ValueError(f"{layout.raw} exists: a filtered backfill would drop the other months")
+    with _RunLog(spark, layout, []) as log, _published(log, whole=True) as staged:
+        return _backfill(spark, staged, source_root, zone_dim, money_mode, max_minutes, schema,
                          files_per_partition, source_filter, log)
 
 
@@ -555,49 +600,47 @@ def _backfill(spark, layout, source_root, zone_dim, money_mode, max_minutes, sch
     src = read_loads(spark, source_root, None, "year", "month", padded=True) if parquet \
         else read_source(spark, source_root, schema)
     if source_filter is not None:
-        if _exists(spark, layout.raw):
-            raise ValueError(f"{layout.raw} exists: a filtered backfill would drop the other months")
         src = src.where(source_filter)
     src = src.withColumnsRenamed({"year": "src_year", "month": "src_month"})
     raw, o_raw = observe(src, "raw")
-    write_partitioned(raw, layout.raw, ("src_year", "src_month"), mode="static",
+    write_partitioned(raw, layout.to(layout.raw), ("src_year", "src_month"), mode="static",
                       files_per_partition=files_per_partition, cluster=not narrow)
     n_raw = o_raw.get.get("rows", 0)
-    log.add("raw", [], None, n_raw, [layout.raw])
-    cleaned, o_cl = observe(C.clean(read_loads(spark, layout.raw), layout.variant, money_mode, max_minutes,
+    log.add("raw", [], None, n_raw, [layout.to(layout.raw)])
+    cleaned, o_cl = observe(C.clean(read_loads(spark, layout.to(layout.raw)), layout.variant, money_mode, max_minutes,
                                     keep=("src_year", "src_month")), "cleaned")
-    write_partitioned(cleaned, layout.cleaned, ("src_year", "src_month"), mode="static",
+    write_partitioned(cleaned, layout.to(layout.cleaned), ("src_year", "src_month"), mode="static",
                       files_per_partition=files_per_partition, cluster=not narrow)
     record_load_months(spark, layout)
     n_cl = o_cl.get.get("rows", 0)
-    log.add("cleaned", [], n_raw, n_cl, [layout.cleaned])
+    log.add("cleaned", [], n_raw, n_cl, [layout.to(layout.cleaned)])
     if not layout.has_fact:
         return {"raw_rows": n_raw, "cleaned_rows": n_cl, "fact_rows": 0}
-    fact, o_fact = observe(build_fact(spark.read.parquet(layout.cleaned), with_ids=True,
+    fact, o_fact = observe(build_fact(layout.read(spark, layout.cleaned), with_ids=True,
                                       money_mode=money_mode), "fact")
-    write_partitioned(fact, layout.fact, ("year", "month"), mode="static",
+    write_partitioned(fact, layout.to(layout.fact), ("year", "month"), mode="static",
                       files_per_partition=files_per_partition)
     n_fact = o_fact.get.get("rows", 0)
-    log.add("fact", [], n_cl, n_fact, [layout.fact])
+    log.add("fact", [], n_cl, n_fact, [layout.to(layout.fact)])
     # The Fact is read once: dimension codes, marts and totals come from this pass.
-    base, totals = base_pass(spark, spark.read.parquet(layout.fact), money_mode)
+    base, totals = base_pass(spark, layout.read(spark, layout.fact), money_mode)
     try:
-        write_table(build_dim_vendor(M.of_mart(base, M.VENDOR_HOUR)), layout.dim_vendor)
+        write_table(build_dim_vendor(M.of_mart(base, M.VENDOR_HOUR)), layout.to(layout.dim_vendor))
         write_dims(spark, layout, zone_dim)
-        dim_vendor = spark.read.parquet(layout.dim_vendor)
+        dim_vendor = layout.read(spark, layout.dim_vendor)
         for name, spec, dim in (("zone_hour", M.ZONE_HOUR, zone_dim), ("vendor_hour", M.VENDOR_HOUR, dim_vendor)):
-            write_partitioned(M.finish_mart(M.of_mart(base, spec), spec, dim, money_mode), layout.mart(name),
+            write_partitioned(M.finish_mart(M.of_mart(base, spec), spec, dim, money_mode), layout.to(layout.mart(name)),
                               mode="static")
         for name, hourly, dim in (("vendor_cumulative", "vendor_hour", dim_vendor),
                                   ("zone_cumulative", "zone_hour", zone_dim)):
             spec = MONTHLY[name]
             if money_mode == "decimal":  # exact roll-up of the hourly mart
-                cum = N.cumulative_from_hourly(spark.read.parquet(layout.mart(hourly)), spec, dim, money_mode)
+                cum = N.cumulative_from_hourly(layout.read(spark, layout.mart(hourly)), spec, dim, money_mode)
             else:
                 cum = N.project_cumulative(N.running_totals(M.of_mart(base, spec), spec.entity, money_mode), spec, dim,
                                            True)
-            write_partitioned(cum, layout.mart(name), mode="static")
+            write_partitioned(cum, layout.to(layout.mart(name)), mode="static")
     finally:
         _drop_base(spark, base)
-    _finish_run(log, None, [layout.mart(k) for k in layout.marts], whole=True, totals=totals)
+    _finish_run(log, None, [layout.to(layout.mart(k)) for k in layout.marts], whole=True, totals=totals)
     return {"raw_rows": n_raw, "cleaned_rows": n_cl, "fact_rows": n_fact}

@@ -38,6 +38,16 @@ def add_month_partition(spark: SparkSession, name: str, path: str, year: int, mo
               f"({year_col}={int(year)}, {month_col}={int(month)}) LOCATION '{loc}'")
 
 
+def switch_partition(spark: SparkSession, name: str, year: int, month: int, location: str,
+                     year_col: str = "year", month_col: str = "month") -> None:
+    """Point one month of a registered table to another folder: readers of the
+    table see the old rows until this statement and the new ones after it."""
+    if "'" in location:
+        raise ValueError(f"bad location {location!r}")
+    spark.sql(f"ALTER TABLE {_ident(name)} PARTITION ({year_col}={int(year)}, {month_col}={int(month)}) "
+              f"SET LOCATION '{location}'")
+
+
 def repair(spark: SparkSession, name: str) -> None:
     """Full partition discovery (expensive: lists every folder)."""
     spark.sql(f"MSCK REPAIR TABLE {_ident(name)}")
