@@ -220,7 +220,7 @@ def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
     without moving texts: a sketch of their places lets few others pass, and a
     join on the places drops these."""
     place = F.xxhash64("doc_id", "text_hash")
-    chosen = (sets.where("n_shingles > 0").join(wanted.select("vertex").distinct(), "vertex", "left_semi")
+    chosen = (sets.where("n_shingles > 0").join(wanted.select("vertex").distinct().hint("merge"), "vertex", "left_semi")
               .groupBy("vertex").agg(F.min(F.struct("text_hash", "doc_id")).alias("row"),
                                      F.first("n_shingles").alias("n_shingles"), F.first("counts").alias("counts")))
     chosen = written(docs.sparkSession, chosen.select(
@@ -245,7 +245,7 @@ def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
 
     made = texts_of(docs).select(place.alias("place"), "text").mapInArrow(make, FULL)
     # Copies of a row have one place.
-    made = made.join(chosen, "place").groupBy("vertex").agg(
+    made = made.join(chosen.hint("merge"), "place").groupBy("vertex").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("shingles").alias("shingles"),
         F.first("counts").alias("counts"))
     return made
@@ -456,7 +456,8 @@ def candidate_links(runs: DataFrame, sets: DataFrame) -> DataFrame:
         if out:
             yield pd.DataFrame(out, columns=["a", "b"])
 
-    held = runs.join(points, "vertex")
+    # Merge joins: the same shuffle at every size, and none of these sides is bounded.
+    held = runs.join(points.hint("merge"), "vertex")
     return held.repartition("run").sortWithinPartitions("run").mapInPandas(link, "a long, b long")
 
 
@@ -476,7 +477,7 @@ def _verify(cut: DataFrame, needed: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["a", "b"])
 
     keys = ["label", "low", "high"]
-    rows = cut.select("vertex", "label", "known", "own", "low", "high").join(needed, "vertex")
+    rows = cut.select("vertex", "label", "known", "own", "low", "high").join(needed.hint("merge"), "vertex")
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(verify, "a long, b long")
 
 
