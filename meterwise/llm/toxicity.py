@@ -1,8 +1,8 @@
 """Operator 1: toxicity by nearest labelled examples.
 
 Terms are words and word beginnings.  Terms tied to the toxic label are chosen
-on a bounded sample of labelled training rows; the sample's TF-IDF vectors
-over them form an inverted index cut into blocks of examples, with the largest
+on a bounded sample of labelled training rows, and counted over all documents for
+their document frequencies; the sample's TF-IDF vectors over them form an inverted index cut into blocks of examples, with the largest
 weight of each term in each block.  A text's nearest examples by cosine are
 found exactly: blocks are visited in falling order of their upper bound until
 no block can beat the k-th cosine.  The neighbours vote with the square of
@@ -62,7 +62,7 @@ def text_terms(text: str) -> Counter:
     """Words ``=w`` and word beginnings ``^w`` of a lower-cased text."""
     found: Counter = Counter()
     for w, n in Counter(_WORDS.findall(text.lower())).items():
-        found["=" + w[:64]] += n
+        found["=" + w] += n
         for k in PREFIXES:
             if len(w) >= k:
                 found["^" + w[:k]] += n
@@ -204,13 +204,14 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_toxic: int
         return F.when(k > 0, k * F.log(k / ((p + n) * of))).otherwise(0.0)
 
     ratio = 2 * (part(p, base) + part(n, 1 - base))
+    total = sizes[0] + sizes[1]
     chosen = (counts.where((p >= MIN_DOCS) & (p > base * (p + n))).withColumn("ratio", ratio)
               .where(F.col("ratio") >= MIN_EVIDENCE).orderBy(F.desc("ratio"), "term").limit(MAX_TERMS)).collect()
-    total = sizes[0] + sizes[1]
     model.terms = [r["term"] for r in chosen]
-    model.idf = np.array([np.log((1 + total) / (1 + r["p"] + r["n"])) + 1 for r in chosen])
     if not chosen:
         return model
+    n_docs, frequencies = document_frequencies(docs, model.terms)
+    model.idf = np.log((1 + n_docs) / (1 + frequencies)) + 1
     place = {t: i for i, t in enumerate(model.terms)}
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,25 +239,23 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_toxic: int
     return model
 
 
-class Scorer:
-    """Finds the chosen terms of a text in one scan and scores it."""
+class Finder:
+    """Finds given terms of a text in one scan."""
 
-    def __init__(self, model: Model):
+    def __init__(self, terms: list[str]):
         import ahocorasick
 
-        self.index, self.model = Index(model), model
         self.found = ahocorasick.Automaton()
         kinds: dict[str, list[tuple[bool, int]]] = {}
-        for i, t in enumerate(model.terms):
+        for i, t in enumerate(terms):
             kinds.setdefault(t[1:], []).append((t[0] == "=", i))
         for body, held in kinds.items():
             self.found.add_word(body, (len(body), tuple(held)))
         if kinds:
             self.found.make_automaton()
-        self.empty = model.prior if not model.terms else self.index.score(
-            self.index.vote([], np.zeros(0)))
 
-    def terms(self, text: str) -> dict[int, int]:
+    def __call__(self, text: str) -> dict[int, int]:
+        """Times of each term (by its place) in the text."""
         low, hits = text.lower(), {}
         for end, (size, held) in self.found.iter(low):
             start = end - size + 1
@@ -268,6 +267,35 @@ class Scorer:
                     hits[i] = hits.get(i, 0) + 1
         return hits
 
+
+def document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, np.ndarray]:
+    """Number of all documents and of those with each term.  A task gives one
+    row per term at most."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder, times, seen = Finder(terms), np.zeros(len(terms), np.int64), 0
+        for batch in batches:
+            for t in batch.column("text").to_pylist():
+                seen += 1
+                for i in finder(t) if t else ():
+                    times[i] += 1
+        if seen:
+            place = np.r_[-1, np.flatnonzero(times)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(place), pa.array(np.r_[seen, times[times > 0]])], ["place", "n"])
+
+    rows = as_written(docs, "text").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    found = {r["place"]: r["n"] for r in rows.collect()}
+    return found.get(-1, 0), np.array([found.get(i, 0) for i in range(len(terms))], float)
+
+
+class Scorer:
+    """Finds the chosen terms of a text in one scan and scores it."""
+
+    def __init__(self, model: Model):
+        self.index, self.model, self.terms = Index(model), model, Finder(model.terms)
+        self.empty = model.prior if not model.terms else self.index.score(
+            self.index.vote([], np.zeros(0)))
+
     def __call__(self, text: str | None) -> tuple[float, list[int], list[float]]:
         hits = self.terms(text) if text and self.model.terms else {}
         if not hits:

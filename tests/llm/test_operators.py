@@ -86,6 +86,21 @@ def test_toxicity_search_is_exact(spark, labelled):
         assert np.allclose(found, cos[want])
 
 
+def test_toxicity_document_frequencies(spark, labelled):
+    docs, labels = labelled
+    long_word = "q" * 90
+    more = docs.unionByName(spark.createDataFrame(
+        [(900, None), (901, ""), (902, f"Idiot idiot {long_word} idiotic"), (902, "an idiot"), (None, "scum")],
+        "doc_id long, text string"))
+    terms = ["=idiot", "^idio", "=scum", "=" + long_word, "=absent"]
+    n, counts = toxicity.document_frequencies(more.repartition(7), terms)
+    held = [set(toxicity.text_terms(r["text"] or "")) for r in more.collect()]
+    assert n == len(held) and counts.tolist() == [sum(t in h for h in held) for t in terms]
+    model = toxicity.fit(spark, more, labels)
+    n, counts = toxicity.document_frequencies(more, model.terms)
+    assert np.allclose(model.idf, np.log((1 + n) / (1 + counts)) + 1)
+
+
 def test_toxicity_edge_cases(spark, labelled, docs, no_docs):
     model = toxicity.fit(spark, *labelled)
     got = toxicity.score(spark, docs, model).collect()
