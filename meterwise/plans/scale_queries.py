@@ -1,6 +1,7 @@
 """Queries of the operators for skew, exact merging and corrections:
 skewed joins (J7), exact percentiles of daily partials (A17), corrections as
-signed deltas (N4)."""
+signed deltas (N4), one pass for all marts (O5), compaction by file size (W9),
+equivalence by digests (V8), quarantine and replay (F8)."""
 
 from __future__ import annotations
 
@@ -8,12 +9,16 @@ from pyspark.sql import functions as F
 
 from meterwise.operators import ledger as L
 from meterwise.operators import marts as M
+from meterwise.operators.digests import equivalence_by_digests as by_digests, partition_digests
 from meterwise.operators.histogram import build_daily_histogram, duration_percentiles
+from meterwise.operators.quarantine import replay, split_rows, write_split
 from meterwise.operators.skewjoin import skew_join
 from meterwise.plans import sqlparts as Q
-from meterwise.plans.queries import (CL_TE, CL_TO, MODE, _cumulative_query_sql, _month_key, fact, register, scratch,
-                                     zone)
+from meterwise.plans.queries import (CL_TE, CL_TO, MODE, ORDERS_MAX_MINUTES, _cumulative_query_sql, _month_key, fact,
+                                     register, scratch, zone)
+from meterwise.plans.runner_queries import yellow
 from meterwise.plans.fixtures import table
+from meterwise.sources.compaction import compact_small
 from meterwise.sources.writers import write_partitioned
 
 # ------------------------------------------------------------ skewed joins
@@ -130,3 +135,76 @@ def marts_in_one_pass(spark, sf_dir):
     base = M.aggregate_all(fact(spark, sf_dir, "orders"), [M.ZONE_HOUR, M.VENDOR_HOUR], MODE)
     return base.select("mart", *M.grain(M.ZONE_HOUR), "vendor_id", "trip_count", "total_passenger_count",
                        "total_duration_min", "p50_duration_min", "p90_duration_min", "total_amount")
+
+
+# ------------------------------------------------------------ compaction by file size
+
+@register("compacted_by_size", Q.with_clauses(Q.TO, CL_TO) + f"""
+SELECT pickup_year AS year, pickup_month AS month, count(*) AS rows, {Q.sum_dec('total_amount')} AS amount,
+       CAST(1 AS BIGINT) AS files, pickup_month % 2 = 1 AND count(DISTINCT pickup_day % 2) > 1 AS rewritten
+FROM cl GROUP BY pickup_year, pickup_month""")
+def compacted_by_size(spark, sf_dir):
+    """Odd months have two small files and become one; even months have one
+    file, which is not touched."""
+    path = scratch(spark, "sizes")
+    f = fact(spark, sf_dir, "orders").withColumns({"year": F.col("pickup_year"), "month": F.col("pickup_month")})
+    odd, late = F.col("month") % 2 == 1, F.col("pickup_day") % 2 == 1
+    write_partitioned(f.where(~odd | late), path, mode="static", files_per_partition=1)
+    write_partitioned(f.where(odd & ~late), path, mode="append", files_per_partition=1)
+    compact_small(spark, path, target_bytes=64 << 20)
+    back = spark.read.parquet(path).select("year", "month", "total_amount", F.col("_metadata.file_name").alias("file"))
+    return back.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("total_amount").cast(M.SUM_DECIMAL).alias("amount"),
+        F.count_distinct("file").alias("files"), F.bool_or(F.col("file").startswith("compacted-")).alias("rewritten"))
+
+
+# ------------------------------------------------------------ equivalence by digests
+
+@register("equivalence_by_digests", Q.with_clauses(Q.TE, CL_TE) + """
+, first AS (SELECT * FROM cl WHERE pickup_date = (SELECT min(pickup_date) FROM cl))
+, gone AS (SELECT count(*) AS n FROM first WHERE pickup_datetime = (SELECT min(pickup_datetime) FROM first))
+SELECT (SELECT count(DISTINCT pickup_date) FROM cl) AS partitions, CAST(1 AS BIGINT) AS differing,
+       (SELECT count(*) FROM first) AS compared_a, (SELECT count(*) FROM first) - n AS compared_b,
+       n AS left_only, CAST(0 AS BIGINT) AS right_only
+FROM gone""")
+def equivalence_by_digests(spark, sf_dir):
+    """V8: two written tables of trips by day, one without its earliest
+    trip; only the day that differs is compared by rows."""
+    paths = [scratch(spark, "digest-a"), scratch(spark, "digest-b")]
+    f = fact(spark, sf_dir, "events")
+    first = f.agg(F.min("pickup_datetime")).first()[0]  # one value: the trip to leave out
+    for path, df in zip(paths, (f, f.where(F.col("pickup_datetime") > F.lit(first)))):
+        write_partitioned(df.withColumn("day", F.col("pickup_date")), path, ("day",), mode="static")
+    a, b = (spark.read.parquet(p) for p in paths)
+    return by_digests(a, b, ["day"], partition_digests(a, ["day"]), partition_digests(b, ["day"]))
+
+
+# ------------------------------------------------------------ quarantine and replay
+
+@register("quarantine_replay", Q.with_clauses(Q.TO, CL_TO) + f"""
+, raw AS (SELECT CAST(year(pickup_datetime) AS BIGINT) AS src_year, CAST(month(pickup_datetime) AS BIGINT) AS src_month,
+                 count(*) AS raw_rows FROM tor GROUP BY 1, 2)
+, kept AS (SELECT pickup_year AS src_year, pickup_month AS src_month, count(*) AS n,
+                  count(*) FILTER (WHERE trip_duration_min <= 43200) AS at_once, {Q.sum_dec('total_amount')} AS amount
+           FROM cl GROUP BY 1, 2)
+SELECT src_year, src_month, raw_rows, coalesce(at_once, 0) AS kept_at_once, coalesce(n, 0) - coalesce(at_once, 0) AS replayed,
+       raw_rows - coalesce(n, 0) AS rejected, amount
+FROM raw LEFT JOIN kept USING (src_year, src_month)""")
+def quarantine_replay(spark, sf_dir):
+    """F8 + V4: trips over 30 days are quarantined first; with the cap raised, only the
+    quarantine is replayed.  Kept, replayed and rejected rows are the Raw rows of
+    each load, and what is kept is what a full rerun keeps."""
+    at = F.col("tpep_pickup_datetime")
+    raw = yellow(spark, sf_dir).withColumns({"src_year": F.year(at), "src_month": F.month(at)})
+    first, again = scratch(spark, "split"), scratch(spark, "replayed")
+    write_split(split_rows(raw, "yellow", MODE, 43_200.0), first)
+    replay(spark, first, again, "yellow", MODE, ORDERS_MAX_MINUTES)
+    old, new = spark.read.parquet(first), spark.read.parquet(again)
+    rows = [old.select("src_year", "src_month", F.col("status").alias("s"), F.col("cleaned.total_amount").alias("amount"),
+                       F.lit(True).alias("old")),
+            new.select("src_year", "src_month", F.col("status"), F.col("cleaned.total_amount"), F.lit(False))]
+    kept = F.col("s") == "kept"
+    return rows[0].union(rows[1]).groupBy("src_year", "src_month").agg(
+        F.count_if("old").alias("raw_rows"), F.count_if(F.col("old") & kept).alias("kept_at_once"),
+        F.count_if(~F.col("old") & kept).alias("replayed"), F.count_if(~F.col("old") & ~kept).alias("rejected"),
+        F.sum(F.when(kept, F.col("amount"))).cast(M.SUM_DECIMAL).alias("amount"))

@@ -9,6 +9,7 @@ a corrupt Parquet file must fail loudly, never be re-read as CSV.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -201,7 +202,8 @@ def read_loads(spark: SparkSession, root: str, loads: Sequence[tuple[int, int]]
     some loads is kept, and differing encodings of a column are widened.
 
     All loads of a Parquet root are read in one pass with merged schemas
-    (footers only); where encodings disagree, loads are read one by one.
+    (footers only); where encodings disagree, loads are grouped by schema and
+    each group is one scan.
     """
     if loads is None:
         try:
@@ -213,4 +215,21 @@ def read_loads(spark: SparkSession, root: str, loads: Sequence[tuple[int, int]]
         loads = [(r[year_col], r[month_col]) for r in found]
     month = "{m:02d}" if padded else "{m}"
     paths = [f"{root.rstrip('/')}/{year_col}={y}/" + f"{month_col}={month.format(m=m)}" for y, m in sorted(loads)]
-    return union_widened([spark.read.option("basePath", root).parquet(p) for p in paths])
+    groups = schema_groups(spark, paths)
+    return union_widened([spark.read.schema(schema).option("basePath", root).parquet(*group)
+                          for schema, group in groups])
+
+
+def schema_groups(spark: SparkSession, paths: Sequence[str], at_once: int = 16) -> list[tuple[StructType, list[str]]]:
+    """Folders grouped by the schema of their files, in order of first
+    appearance.  Reads footers only, of ``at_once`` folders at a time; all files of one
+    folder count, as one load may have been written by several versions."""
+    def fingerprint(path: str) -> StructType:
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
+
+    with ThreadPoolExecutor(max_workers=min(at_once, max(1, len(paths)))) as pool:
+        schemas = list(pool.map(fingerprint, paths))
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for path, schema in zip(paths, schemas):
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return list(groups.values())
