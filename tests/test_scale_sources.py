@@ -24,7 +24,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def files(path):
     return {os.path.relpath(os.path.join(d, f), path): os.path.getsize(os.path.join(d, f))
             for d, _, names in os.walk(path) for f in names
-            if f.endswith(".parquet") and f[0] not in "._" and "_compaction" not in d}
+            if f.endswith(".parquet") and f[0] not in "._" and "_compaction" not in os.path.relpath(d, path)}
 
 
 # ---- W9
