@@ -1,12 +1,15 @@
 """Operator 3: secret scans with a random forest against false positives.
 
 A scanner with high recall proposes findings: long runs of key-like characters
-with a digit, or without lower-case letters.  Each finding gets the features
+with a digit or without lower-case letters, and any value (quoted from 4, bare from 6
+characters on, up to 512; longer ones as runs) that is assigned to a name with a credential word in it (names are
+split at punctuation and camel case).  Each finding gets the features
 named in ``FEATURES``; a random forest trained on labelled findings decides
 which are secrets.  Labelled findings may be given; without them, findings are
 labelled by issuer formats and by assignments to credential names, on all
 findings, and a bounded sample of each class trains the forest.  The issuer
-formats are no features.
+formats are no features.  Dictionary coverage is the share of a value's letter groups
+that are common among the words of all documents.
 
 Defined cases: null and empty texts have no finding; with labels of one class
 only, every finding keeps that class; repeated rows are scanned each on its
@@ -20,7 +23,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -46,11 +49,67 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _ISSUED = re.compile(
     r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_(?:live|test)_[A-Za-z0-9]{16,}"
     r"|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{10,})$")
-_CREDENTIAL = re.compile(
-    r"(?i)\b(?:pass(?:word|wd)?|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer)\b")
-_ASSIGNED = re.compile(r"""[=:]\s*["'`]?$""")
-_PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|test")
+_CREDENTIAL_WORDS = frozenset(
+    "password passwd passphrase passcode pass pwd token secret secrets auth bearer credential credentials apikey".split())
+_KEY_KINDS = frozenset("api access private secret signing encryption auth master account storage".split())
+_PLACEHOLDER_WORDS = frozenset(
+    "example examples sample dummy changeme placeholder fake your xxxx test tests testing redacted todo".split())
+_ASSIGNED = re.compile(r"""[=:>]\s*["'`]?$""")
+# A name, a sign of assignment, and a quoted value or one without spaces.
+_ASSIGNMENT = re.compile(
+    r"""([A-Za-z][\w.\-]{1,63})["'\]]{0,2}[ \t]{0,3}(?::=|=>|[:=])[ \t]{0,3}"""
+    r"""(?:"([^"\n]{4,512})"|'([^'\n]{4,512})'|`([^`\n]{4,512})`|([^\s"'`,;]{6,512}))""")
+_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _EXAMPLE_PATH = re.compile(r"(?i)test|example|sample|fixture|doc|demo")
+_LETTER_WORDS = re.compile(r"[a-z]{3,}")
+# Distinct words that a task counts before it adds up their letter groups.
+WORDS_AT_ONCE = 200_000
+
+
+def parts_of(name: str) -> list[str]:
+    """The words of a name, in lower case: split at punctuation, digits and
+    camel case."""
+    return [p.lower() for p in _PARTS.findall(name)]
+
+
+def names_credential(parts: list[str]) -> bool:
+    return any(p in _CREDENTIAL_WORDS for p in parts) or any(
+        k == "key" and p in _KEY_KINDS for p, k in zip(parts, parts[1:]))
+
+
+def _groups(word: str) -> list[int]:
+    """The letter groups (three letters a-z) of a word, as numbers."""
+    c = [ord(x) - 97 for x in word]
+    return [26 * (26 * x + y) + z for x, y, z in zip(c, c[1:], c[2:])]
+
+
+def common_groups(docs: DataFrame) -> np.ndarray:
+    """Which of the 26^3 letter groups are more frequent in the words of all
+    documents than an average one.  A task gives one row."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, words, seen = np.zeros(26 ** 3, np.int64), Counter(), False
+
+        def add() -> None:
+            for w, n in words.items():
+                for g in _groups(w):
+                    total[g] += n
+            words.clear()
+
+        for batch in batches:
+            for t in batch.column("text"):
+                seen = True
+                words.update(_LETTER_WORDS.findall((t.as_py() or "").lower()))
+                if len(words) > WORDS_AT_ONCE:
+                    add()
+        if seen:
+            add()
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["g", "n"])
+
+    rows = docs.select("text").mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(26 ** 3)
+    out[[r["g"] for r in rows]] = [r["n"] for r in rows]
+    return out > out.mean()
 
 
 def _entropy(s: str) -> float:
@@ -62,45 +121,62 @@ def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3
 
 
-def find(text: str | None, path: str | None) -> Iterator[tuple[int, int, list[float], int]]:
+def candidates(text: str) -> list[tuple[int, int, bool]]:
+    """start, end and whether a credential name is given this value; what
+    overlaps an assigned value belongs to it."""
+    out = []
+    for m in _ASSIGNMENT.finditer(text):
+        if names_credential(parts_of(m[1])):
+            k = m.lastindex
+            out.append((m.start(k), m.end(k), True))
+    given, at = list(out), 0
+    for m in _CANDIDATE.finditer(text):
+        kinds = {_kind(c) for c in m.group()}
+        if 0 not in kinds and 2 in kinds:
+            continue
+        while at < len(given) and given[at][1] <= m.start():
+            at += 1
+        if at == len(given) or given[at][0] >= m.end():
+            out.append((m.start(), m.end(), False))
+    return sorted(out)
+
+
+def find(text: str | None, path: str | None, common: np.ndarray) -> Iterator[tuple[int, int, list[float], int]]:
     """start, end, features and rule label of each finding of a text."""
     if not text:
         return
-    pieces = None
-    for m in _CANDIDATE.finditer(text):
-        s = m.group()
+    for start, stop, given in candidates(text):
+        s = text[start:stop]
         kinds = [_kind(c) for c in s]
         count = Counter(kinds)
-        if not count[0] and count[2]:
-            continue
-        if pieces is None:
-            low = text.lower()
-            pieces = Counter(map(str.__add__, map(str.__add__, low, low[1:]), low[2:]))
-        own = Counter(s.lower()[i:i + 3] for i in range(len(s) - 2))
-        # Coverage by letter groups that the text's other words use as well.
-        known = sum(n for p, n in own.items() if p.isalpha() and pieces[p] - n >= 3)
-        before, after = text[max(0, m.start() - 24):m.start()], text[m.end():m.end() + 24]
+        known = sum(int(common[g]) for w in _LETTER_WORDS.findall(s.lower()) for g in _groups(w))
+        before, after = text[max(0, start - 24):start], text[stop:stop + 24]
         n = len(s)
-        credential = bool(_CREDENTIAL.search(before))
-        assigned = bool(_ASSIGNED.search(before))
-        placeholder = bool(_PLACEHOLDER.search(before) or _PLACEHOLDER.search(s) or _PLACEHOLDER.search(after))
+        near = parts_of(before)
+        credential = given or names_credential(near)
+        assigned = given or bool(_ASSIGNED.search(before))
+        words = {*near, *parts_of(s), *parts_of(after)}
+        placeholder = not words.isdisjoint(_PLACEHOLDER_WORDS) or len(set(s)) <= 4
+        quoted = before[-1:] in "\"'`" and before != ""
+        coverage = known / max(1, n - 2)
         features = [
             float(n), count[0] / n, count[1] / n, count[2] / n,
-            sum(a != b for a, b in zip(kinds, kinds[1:])) / (n - 1), len(set(s)) / n, _entropy(s),
-            known / max(1, n - 2), float(credential), float(assigned),
-            float(before[-1:] in "\"'`" and before != ""), float(placeholder),
+            sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1), len(set(s)) / n, _entropy(s),
+            coverage, float(credential), float(assigned), float(quoted), float(placeholder),
             float(bool(_EXAMPLE_PATH.search(path or "")))]
-        label = bool(_ISSUED.match(s)) or (credential and assigned and len(set(s)) > 4)
-        yield m.start(), m.end(), features, int(label and not placeholder)
+        # A bare word of prose after a colon is no secret.
+        plain = not quoted and count[2] + count[1] == n and coverage > 0.5
+        label = bool(_ISSUED.match(s)) or (credential and assigned and not plain)
+        yield start, stop, features, int(label and not placeholder)
 
 
-def findings(docs: DataFrame) -> DataFrame:
+def findings(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """doc_id, start, stop, features, rule_label of every finding."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows = [], []
             for i, (t, p) in enumerate(zip(batch.column("text").to_pylist(), batch.column("source").to_pylist())):
-                for row in find(t, p):
+                for row in find(t, p, common):
                     ids.append(i)
                     rows.append(row)
             yield pa.RecordBatch.from_arrays([
@@ -122,6 +198,8 @@ class Forest:
 
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     constant: float | None = None
+    # Common letter groups of the documents it was trained on.
+    common: np.ndarray = field(default_factory=lambda: np.zeros(26 ** 3, bool))
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         if self.constant is not None:
@@ -193,8 +271,11 @@ def score_findings(spark: SparkSession, found: DataFrame, forest: Forest) -> Dat
 
 def fit(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, Forest]:
     """All findings of ``docs`` and the forest trained on their rule labels."""
-    found = written(spark, findings(docs), "secret-findings")
-    return found, train(spark, found.select("features", F.col("rule_label").alias("label")))
+    common = common_groups(docs)
+    found = written(spark, findings(docs, common), "secret-findings")
+    forest = train(spark, found.select("features", F.col("rule_label").alias("label")))
+    forest.common = common
+    return found, forest
 
 
 def redacted(spark: SparkSession, docs: DataFrame, forest: Forest) -> DataFrame:
@@ -202,7 +283,7 @@ def redacted(spark: SparkSession, docs: DataFrame, forest: Forest) -> DataFrame:
     held = spark.sparkContext.broadcast(forest)
 
     def clean(text: str | None, path: str | None) -> str | None:
-        found = list(find(text, path))
+        found = list(find(text, path, held.value.common))
         if not found:
             return text
         secret = held.value.predict(np.array([f[2] for f in found])) >= THRESHOLD
