@@ -2,12 +2,15 @@
 
 Records hash into thousands of slots; bytes are summed per slot; a versioned
 map sends slots to shards and is edited, not rebuilt, when rebalancing.  The
-law kept is ``bytes``: shard sizes are near equal.
+law kept is ``bytes``: shard sizes are near equal.  The query stores two versions of
+the map, the second edited from the first for one shard more, and places
+records by the first; ``next_shard`` is where the second has them.
 
 Defined cases: a null text has size 1 and the checksum of the empty text; a
-null doc_id hashes like any value; equal records share a slot and take
-consecutive places; an empty table gives an empty result; other columns of the
-input are ignored.
+null doc_id hashes like any value; equal records are counted together and hashed in
+chunks of ``COPIES``, so that a row repeated very often spreads over slots and tasks,
+and take consecutive places within a chunk; an empty table gives an empty result; other
+columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -19,23 +22,30 @@ from meterwise.llm.common import as_written, read_table, work_path, written
 
 SLOTS = 4096
 SHARDS = 16
+# Equal records that share a slot.
+COPIES = 256
 
 
-def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32 and virtual_slot of every row.  The checksum
-    enters the hash, so rows sharing one doc_id still spread out."""
+def records(docs: DataFrame, slots: int = SLOTS, copies: int = COPIES) -> DataFrame:
+    """doc_id, size, text_crc32, chunk, copies and virtual_slot: one row for
+    up to ``copies`` equal records.  The checksum and the chunk enter the hash, so rows
+    sharing one doc_id, and equal rows, still spread out."""
     body = F.coalesce(F.col("text"), F.lit(""))
     rows = as_written(docs, "doc_id", "text").select(
         "doc_id", (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"))
-    key = F.xxhash64("doc_id", "text_crc32", "size")
-    return rows.withColumn("virtual_slot", F.pmod(key, F.lit(slots)).cast("int"))
+    equal = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
+    chunks = equal.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / copies))))
+    key = F.xxhash64("doc_id", "text_crc32", "size", "chunk")
+    return chunks.select("doc_id", "size", "text_crc32", "chunk",
+                         F.least(F.lit(copies).cast("long"), F.col("n") - F.col("chunk") * copies).alias("copies"),
+                         F.pmod(key, F.lit(slots)).cast("int").alias("virtual_slot"))
 
 
 def slot_loads(rows: DataFrame) -> DataFrame:
     """Rows and bytes of each slot in use: at most as many rows as slots."""
     return rows.groupBy("virtual_slot").agg(
-        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+        F.sum(F.col("size") * F.col("copies")).alias("bytes"), F.sum("copies").alias("rows"))
 
 
 def _lightest(loads):
@@ -92,15 +102,21 @@ def place(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
         Window.unboundedPreceding, -1)
     starts = slot_map.select("virtual_slot", "shard",
                              F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
-    numbered = rows.withColumn("nth", F.row_number().over(within) - 1)
-    return numbered.join(starts, "virtual_slot").withColumn("slot", F.col("first") + F.col("nth"))
+    within = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "chunk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    numbered = rows.withColumn("nth", F.coalesce(F.sum("copies").over(within), F.lit(0)))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
+    return numbered.join(starts, "virtual_slot").withColumn("copy", each).withColumn(
+        "slot", F.col("first") + F.col("nth") + F.col("copy"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(spark, records(read_table(spark, sf_dir, "documents")), "shard-records")
-    slot_map = store_map(spark, first_map(slot_loads(rows)), work_path(spark, "slot-map"))
-    return place(rows, slot_map.where("version = 1")).select(
+    path = work_path(spark, "slot-map")
+    first = store_map(spark, first_map(slot_loads(rows)), path).where("version = 1")
+    second = store_map(spark, grown_map(first, SHARDS), path).where("version = 2")
+    grown = second.select("virtual_slot", F.col("shard").cast("int").alias("next_shard"))
+    return place(rows, first).join(grown, "virtual_slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
         F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "next_shard")

@@ -404,6 +404,27 @@ def test_sharding_sizes_and_growth(spark):
     assert moved and all(after[s]["shard"] == 16 for s in moved)
 
 
+def test_sharding_query_with_a_row_repeated_in_bulk(spark, tmp_path):
+    table = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "the same text again and again").otherwise(
+            F.repeat(F.lit("x"), (F.col("id") % 50).cast("int"))).alias("text"))
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sharding.op6_sharding(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter(
+        (r["doc_id"], len(r["text"]) + 1) for r in table.collect())
+    load, copies, grown = Counter(), Counter(), Counter()
+    for s in range(16):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+    for r in got:
+        load[r["shard"]] += r["size"]
+        grown[r["next_shard"]] += r["size"]
+        copies[r["virtual_slot"]] += r["doc_id"] == 7
+        assert r["next_shard"] in (r["shard"], 16)
+    assert max(copies.values()) <= sharding.COPIES and max(load.values()) < 1.2 * min(load.values())
+    assert 0.5 < grown[16] * 17 / sum(grown.values()) < 1.5
+
+
 # ---- 7 chat
 
 def test_chat(spark):
