@@ -3,9 +3,11 @@
 Documents become token pieces of at most ``capacity`` ids.  Pieces are dealt
 over tasks by hash; each task packs its pieces by best-fit decreasing and
 certifies its number of sequences with dual-feasible-function lower bounds.
-Tasks whose count exceeds their bound release their emptiest sequences, and
-every task those with room to spare; the released pieces of neighbouring tasks meet and are packed again, round after
-round, until all gaps close or one group is left.
+Groups (tasks at first) whose count exceeds their bound release their emptiest sequences, and
+every group those with room to spare, up to ``RELEASED`` pieces a group and round; the
+released pieces of neighbouring groups meet and are packed again.  What a group with a
+gap has not released stays for later rounds.  Rounds go on until one group is left,
+and then as long as they save sequences.
 
 Defined cases: a null text is empty and has the end id only; repeated rows
 are documents of their own; a null doc_id is kept as null; an empty table
@@ -30,8 +32,8 @@ from meterwise.llm.tokens import chunks, encoder
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 CAPACITY = 4096
-# Pieces packed by one task; pieces one task releases in a round at most (the
-# others stay where they are packed); tasks that meet in one round.
+# Pieces packed by one task; pieces one group releases in a round at most (with a
+# gap, the others have their turn in later rounds); groups that meet in one round.
 TASK_PIECES = 50_000
 RELEASED = 20_000
 FAN = 8
@@ -128,13 +130,13 @@ def _packed(rows: pd.DataFrame, part: int, capacity: int) -> pd.DataFrame:
 
 
 def _released(rows: DataFrame, capacity: int, released: int) -> DataFrame:
-    """Marks the pieces of the emptiest sequences: all that are not full of a
-    task with a gap, and those with room to spare of a certified task (its
+    """Marks the pieces of the emptiest sequences of each group: all that are not full
+    of a part with a gap, and those with room to spare of a certified part (its
     bound holds for its own pieces only)."""
     spare = int(capacity * SPARE)
-    per_bin = rows.where(f"fill < {spare} or (gap > 0 and fill < {capacity})").groupBy("part", "bin", "fill").agg(
-        F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("part").orderBy("fill", "bin").rowsBetween(Window.unboundedPreceding, 0)
+    per_bin = rows.where(f"fill < {spare} or (gap > 0 and fill < {capacity})").groupBy(
+        "grp", "part", "bin", "fill").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("grp").orderBy("fill", "part", "bin").rowsBetween(Window.unboundedPreceding, 0)
     free = per_bin.withColumn("upto", F.sum("n").over(upto)).where(f"upto <= {released}")
     free = free.select(F.col("part").alias("r_part"), F.col("bin").alias("r_bin"))
     return rows.join(free, (F.col("part") == F.col("r_part")) & (F.col("bin") == F.col("r_bin")), "left") \
@@ -143,8 +145,8 @@ def _released(rows: DataFrame, capacity: int, released: int) -> DataFrame:
 
 def repack(rows: DataFrame, round_no: int, capacity: int) -> DataFrame:
     """Best-fit decreasing over each group of released pieces.  A group keeps
-    its old sequences if the new ones are not fewer.  Group sizes are bounded
-    by ``FAN`` tasks releasing ``RELEASED`` pieces each."""
+    its old sequences if the new ones are not fewer.  Pools are bounded
+    by ``FAN`` groups releasing ``RELEASED`` pieces each."""
     def again(key, got: pd.DataFrame) -> pd.DataFrame:
         group = int(key[0])
         old = got.drop(columns="pool").assign(grp=group)
@@ -166,16 +168,19 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str = TOKENI
     first = (rest.repartition(max(1, -(-n // task_pieces)), F.xxhash64("doc_id", "piece", "ids_crc32"))
              .mapInPandas(_pack_task(capacity), PACKED))
     packed = written(spark, first, "pack-0")
-    settled, groups, round_no = [], _parts(packed), 0
-    while groups > 1:
+    settled, groups, round_no, saved = [], _parts(packed), 0, 0
+    while groups > 1 or saved:
         round_no += 1
         groups = -(-groups // fan)
         marked = written(spark, _released(packed, capacity, released), f"pack-marked-{round_no}")
-        settled.append(marked.where("not free").drop("free"))
+        later = F.expr(f"not free and gap > 0 and fill < {capacity}")
+        settled.append(marked.where(~later & ~F.col("free")).drop("free"))
         pool = F.floor(F.col("grp") / fan).cast("long")
         free = marked.where("free").drop("free").withColumn("pool", pool)
-        packed = written(spark, repack(free, round_no, capacity), f"pack-{round_no}")
-        if packed.isEmpty():
+        again = written(spark, repack(free, round_no, capacity), f"pack-{round_no}")
+        saved = _sequences(free) - _sequences(again)
+        packed = again.unionByName(marked.where(later).drop("free").withColumn("grp", pool))
+        if groups <= 1 and marked.where(later).isEmpty():
             break
     for more in settled:
         packed = packed.unionByName(more)
@@ -187,6 +192,10 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str = TOKENI
     return out.unionByName(alone)
 
 
+def _sequences(rows: DataFrame) -> int:
+    return rows.select("part", "bin").distinct().count()
+
+
 def _parts(packed: DataFrame) -> int:
     top = packed.agg(F.max("part")).first()[0]
     return 0 if top is None else int(top) + 1

@@ -542,6 +542,29 @@ def test_packing(spark, docs, no_docs, options):
     assert packing.pack_documents(spark, no_docs, **options).count() == 0
 
 
+def test_packing_goes_on_while_gaps_are_open(spark, monkeypatch):
+    """More open pieces than one group may release in a round: all get their turn."""
+    lengths = [2100] * 300 + [1900] * 300  # tasks get them unevenly
+    rows = [(i, 0, 0, n, i) for i, n in enumerate(lengths)]
+    pieces = spark.createDataFrame(rows, packing.PIECE)
+    monkeypatch.setattr(packing, "document_pieces", lambda *a: pieces)
+    pools, repack = [], packing.repack
+
+    def seen(free, *rest):
+        pools.append(max([r["count"] for r in free.groupBy("pool").count().collect()], default=0))
+        return repack(free, *rest)
+
+    monkeypatch.setattr(packing, "repack", seen)
+    got = packing.pack_documents(spark, pieces, task_pieces=60, released=20, fan=4).collect()
+    fill = Counter()
+    for r in got:
+        fill[r["sequence_id"]] += r["length"]
+    assert len(got) == 600 and max(fill.values()) <= 4096 and max(pools) <= 20 * 4
+    once = len({r["sequence_id"] for r in packing.pack_documents(
+        spark, pieces, task_pieces=60, released=0, fan=4).collect()})
+    assert len(fill) < once and len(fill) <= 310
+
+
 def test_lower_bound_holds():
     r = np.random.default_rng(1)
     for _ in range(200):
