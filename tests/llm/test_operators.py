@@ -457,7 +457,7 @@ def test_chat(spark):
 # ---- 8 search
 
 def test_search(spark, docs, no_docs):
-    got = topk_search.search(spark, docs, docs.where("doc_id % 20 = 0"), k=5).collect()
+    got = topk_search.search(spark, docs, docs.where("doc_id % 20 = 0"), k=5, query_terms=12).collect()
     rows = [(d, Counter((t or "").encode().lower().split())) for d, t, _ in as_rows(docs) if d is not None]
     n, avg = len(rows), sum(sum(c.values()) for _, c in rows) / len(rows)
     df = Counter(t for _, c in rows for t in c)
