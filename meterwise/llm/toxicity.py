@@ -89,32 +89,43 @@ class Index:
         self.toxic = np.array([e[1] for e in model.examples], np.float64)
         n_blocks = -(-len(model.examples) // BLOCK)
         self.top = np.zeros((len(model.terms), n_blocks))
-        lists: dict[tuple[int, int], list] = {}
+        lists: list[list] = [[] for _ in model.terms]
         for i, (_, _, ids, weights) in enumerate(model.examples):
             for t, w in zip(ids.tolist(), weights.tolist()):
-                lists.setdefault((t, i // BLOCK), []).append((i % BLOCK, w))
+                lists[t].append((i, w))
                 self.top[t, i // BLOCK] = max(self.top[t, i // BLOCK], w)
-        self.lists = {k: (np.array([p for p, _ in v]), np.array([w for _, w in v]))
-                      for k, v in lists.items()}
+        # Postings of each term: examples and weights.
+        self.lists = [(np.array([p for p, _ in v], np.int64), np.array([w for _, w in v])) for v in lists]
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, skip: int = -1):
         """Positions and cosines of the k best examples (cosine above 0, ties
-        to the earlier example), exactly."""
+        to the earlier example), exactly.  Blocks are visited in falling order of their
+        bounds, in lots that grow, until no bound reaches the k-th cosine."""
         bounds = weights @ self.top[ids]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] < best[-1][0] - 1e-12):
-                break
-            got = np.zeros(BLOCK)
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        places, cosines, at, lot = np.zeros(0, np.int64), np.zeros(0), 0, 1
+        while at < len(order):
+            now = order[at:at + lot]
+            if len(cosines) == k:
+                now = now[bounds[now] >= cosines[-1] - 1e-12]
+                if not len(now):
+                    break
+            at, lot = at + lot, 4 * lot
+            open_ = np.zeros(len(bounds), bool)
+            open_[now] = True
+            got = np.zeros(len(self.toxic))
             for t, w in zip(ids.tolist(), weights.tolist()):
-                hit = self.lists.get((t, b))
-                if hit is not None:
-                    got[hit[0]] += w * hit[1]
-            for p in np.flatnonzero(got > 0).tolist():
-                if b * BLOCK + p != skip:
-                    best.append((float(got[p]), b * BLOCK + p))
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return [i for _, i in best], np.array([c for c, _ in best])
+                where, own = self.lists[t]
+                inside = open_[where // BLOCK]
+                got[where[inside]] += w * own[inside]
+            if skip >= 0:
+                got[skip] = 0.0
+            found = np.flatnonzero(got > 0)
+            places, cosines = np.r_[places, found], np.r_[cosines, got[found]]
+            best = np.lexsort((places, -cosines))[:k]
+            places, cosines = places[best], cosines[best]
+        return places.tolist(), cosines
 
     def vote(self, places: list[int], cosines: np.ndarray) -> float:
         weight = np.minimum(cosines, 1.0) ** 2
