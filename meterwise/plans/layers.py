@@ -329,9 +329,10 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
     """O2 step 2 + O3 + O5: dims and the four marts for the touched months.
     Returns the rows and the amount of the Fact that was read for them."""
     checkpoint_dir(spark)
+    held = held_months(spark, layout)
     for mart in layout.marts.values():
-        drop_months(spark, layout, layout.p(mart), set(months) - held_months(spark, layout))
-    if not held_months(spark, layout):
+        drop_months(spark, layout, layout.p(mart), set(months) - held)
+    if not held:
         return None  # nothing is left to build
     size_shuffles(spark, [f"{layout.to(layout.fact)}/year={y}/month={m}" for y, m in months])
     fact = layout.read(spark, layout.fact).where(month_filter(months))
