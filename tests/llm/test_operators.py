@@ -480,8 +480,12 @@ def test_search(spark, docs, no_docs):
     assert topk_search.search(spark, no_docs, no_docs).count() == 0
 
 
-def test_search_asks_whole_texts(spark, docs):
+@pytest.mark.parametrize("small", [False, True])
+def test_search_asks_whole_texts(spark, docs, monkeypatch, small):
     import random
+    if small:  # many bundles, rounds and lots
+        monkeypatch.setattr(topk_search, "BUNDLE_WORDS", 400)
+        monkeypatch.setattr(topk_search, "LOT_QUERIES", 9)
     r = random.Random(8)
     # Document 1 shares 60 middling words with the query, 2 its rarest three.
     shared = [f"mid{i}" for i in range(60)]
