@@ -90,9 +90,15 @@ def _inner(left: DataFrame, right: DataFrame, on: list[str], hot: list, hot_df:
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", share: float = SHARE,
               slice_rows: int = SLICE_ROWS, slice_left: Sequence[str] | None = None,
-              slice_right: Sequence[str] | None = None) -> DataFrame:
+              slice_right: Sequence[str] | None = None, copies: str | None = None) -> DataFrame:
     """``left.join(right, on, how)`` with hot keys of either side on a grid.
 
+    ``copies`` (inner and left joins): right rows that are equal in all their columns
+    meet a left row once, and the column of this name tells how many pairs a
+    result row stands for (1 for an unmatched left row).  A key that is hot on both sides
+    gives left rows x *different* right rows, not left x right rows: pass the right
+    columns that are needed, and weigh counts and sums with the column.
+
     ``how``: inner, left, left_semi or left_anti.  The outer part of a left
     join, and semi and anti joins, need the right side's *keys* only; these
     are made distinct first (copies collapse before the shuffle), so there a hot key
@@ -101,8 +107,12 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     on = list(on)
     if how not in HOWS:
         raise ValueError(f"unknown join {how!r}: one of {', '.join(HOWS)}")
+    if copies is not None and how not in ("inner", "left"):
+        raise ValueError(f"a {how} join has no pairs to count")
     spark = left.sparkSession
     right = right.dropna("any", subset=on)
+    if copies is not None:
+        right = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias(copies))
     keyed = left.dropna("any", subset=on)
     keys_of = lambda rows: [{c: r[c] for c in on} for r in rows]
     if how == "inner":
@@ -125,6 +135,8 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     if how == "left_anti":
         return unmet.select(*left.columns)
     inner = skew_join(keyed, right, on, "inner", share, slice_rows, slice_left, slice_right)
+    if copies is not None:  # counted above: the inner part carries the column
+        unmet = unmet.withColumn(copies, F.lit(1).cast("long"))
     return inner.unionByName(unmet, allowMissingColumns=True)
 
 

@@ -37,6 +37,11 @@ def _hot_sides(spark, sf_dir):
     return items, suppliers
 
 
+def _amount():
+    """The prices of all pairs: a joined row stands for ``n`` of them."""
+    return F.sum(F.col("price") * F.col("n").cast("decimal(18,0)")).cast(M.SUM_DECIMAL).alias("amount")
+
+
 _HOT_SQL = """WITH items AS (SELECT CASE WHEN l_suppkey % 3 = 0 THEN 0 ELSE l_suppkey END AS k,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS price FROM lineitem),
 suppliers AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 0 WHEN s_suppkey % 10 = 1 THEN NULL ELSE s_suppkey END AS k,
@@ -50,9 +55,9 @@ FROM items JOIN suppliers USING (k) GROUP BY 1, 2""")
 def skewed_join(spark, sf_dir):
     """Inner join with one key that holds a third of both sides."""
     items, suppliers = _hot_sides(spark, sf_dir)
-    joined = skew_join(items, suppliers, ["k"], slice_rows=HOT_SLICE, slice_left=["l_orderkey", "l_linenumber"])
-    return joined.groupBy("k", "s_nationkey").agg(
-        F.count(F.lit(1)).alias("pairs"), F.sum("price").cast(M.SUM_DECIMAL).alias("amount"))
+    joined = skew_join(items, suppliers.drop("s_suppkey"), ["k"], slice_rows=HOT_SLICE,
+                       slice_left=["l_orderkey", "l_linenumber"], copies="n")
+    return joined.groupBy("k", "s_nationkey").agg(F.sum("n").alias("pairs"), _amount())
 
 
 @register("skewed_left_join", _HOT_SQL + f"""
@@ -61,10 +66,10 @@ FROM items LEFT JOIN suppliers USING (k) GROUP BY 1, 2""")
 def skewed_left_join(spark, sf_dir):
     """The left outer form, with unmatched keys and null keys."""
     items, suppliers = _hot_sides(spark, sf_dir)
-    joined = skew_join(items, suppliers, ["k"], "left", slice_rows=HOT_SLICE,
-                       slice_left=["l_orderkey", "l_linenumber"])
+    joined = skew_join(items, suppliers.drop("s_suppkey"), ["k"], "left", slice_rows=HOT_SLICE,
+                       slice_left=["l_orderkey", "l_linenumber"], copies="n")
     return joined.groupBy("k", F.col("s_nationkey").isNull().alias("unmatched")).agg(
-        F.count(F.lit(1)).alias("pairs"), F.sum("price").cast(M.SUM_DECIMAL).alias("amount"))
+        F.sum("n").alias("pairs"), _amount())
 
 
 # ------------------------------------------------------------ exact percentiles
