@@ -43,8 +43,9 @@ def trips_orders(spark: SparkSession, sf_dir: str, money_mode: str = "decimal")
 
     ``supplier``/``customer`` are joined without a broadcast hint: they grow
     with the scale factor (10k / 150k rows per SF), so AQE decides from
-    runtime sizes.  ``orders`` is the big side of a key/foreign-key join on
-    ``o_orderkey``.
+    runtime sizes.  Customers meet the orders first, so that line items are not
+    shuffled again for them.  Line items and orders grow alike: they are merged at every
+    size, never broadcast at a small one and shuffled at the next.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -52,9 +53,9 @@ def trips_orders(spark: SparkSession, sf_dir: str, money_mode: str = "decimal")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-         .join(s, li.l_suppkey == s.s_suppkey, "inner")
-         .join(c, o.o_custkey == c.c_custkey, "inner"))
+    oc = o.join(c, o.o_custkey == c.c_custkey, "inner")
+    j = (li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey, "inner")
+         .join(s, li.l_suppkey == s.s_suppkey, "inner"))
     price = _money(F.col("l_extendedprice"), money_mode)
     disc = _money(F.col("l_discount"), money_mode)
     tax = _money(F.col("l_tax"), money_mode)

@@ -842,6 +842,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/meterwise/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(spark: SparkSession, df: DataFrame, name: str, *partition_cols: str) -> DataFrame:
+    """``df`` written once and read back, for queries that read it several times:
+    the joins behind it run once.  With ``partition_cols``, readers of some
+    partitions read no others."""
+    from meterwise.sources.writers import write_partitioned
+    path = scratch(spark, name)
+    write_partitioned(df, path, partition_cols, mode="static")
+    return spark.read.schema(df.schema).parquet(path)
+
+
 COVER_FROM, COVER_TO = (1994, 6), (2002, 3)
 
 

@@ -14,11 +14,12 @@ from meterwise.operators.histogram import build_daily_histogram, duration_percen
 from meterwise.operators.quarantine import replay, split_rows, write_split
 from meterwise.operators.skewjoin import skew_join
 from meterwise.plans import sqlparts as Q
-from meterwise.plans.queries import (CL_TE, CL_TO, MODE, ORDERS_MAX_MINUTES, _cumulative_query_sql, _month_key, fact,
-                                     register, scratch, zone)
+from meterwise.plans.queries import (CL_TE, CL_TO, MODE, ORDERS_MAX_MINUTES, _cumulative_query_sql, fact, register,
+                                     scratch, staged, zone)
 from meterwise.plans.runner_queries import yellow
 from meterwise.plans.fixtures import table
 from meterwise.sources.compaction import compact_small
+from meterwise.sources.readers import month_filter
 from meterwise.sources.writers import write_partitioned
 
 # ------------------------------------------------------------ skewed joins
@@ -98,9 +99,8 @@ def partial_exact_percentiles(spark, sf_dir):
 def _versions(spark, sf_dir):
     """The trips, and a faulty first version of them: in two months, zones below
     5 were missing, zones above 20 came twice and zone 7 went to zone 30."""
-    good = fact(spark, sf_dir, "orders")
-    bad_months = [1996 * 12 + 3, 1997 * 12 + 10]
-    hit = _month_key().isin(bad_months)
+    good = staged(spark, fact(spark, sf_dir, "orders"), "versions", "year", "month")
+    hit = month_filter([(1996, 3), (1997, 10)])  # folders
     zone_of = F.col("pickup_location_id")
     bad = good.where(~hit | (zone_of >= 5)).withColumn(
         "pickup_location_id", F.when(hit & (zone_of == 7), F.lit(30).cast("long")).otherwise(zone_of))
@@ -117,7 +117,7 @@ def cumulative_ledger(spark, sf_dir):
     good, bad, hit = _versions(spark, sf_dir)
     spec, base, book = M.ZONE_MONTH, f"{root}/base", f"{root}/ledger"
     L.monthly_base(bad, spec).write.parquet(base)
-    first, second = _month_key() < 1997 * 12, _month_key() >= 1997 * 12
+    first, second = F.col("year") < 1997, F.col("year") >= 1997
     L.append_correction(spark, book, L.correction_deltas(bad.where(hit & first), good.where(hit & first), spec), "1996")
     folded = L.fold_ledger(spark, base, book, f"{root}/base-2", spec)
     L.drop_corrections(spark, book, folded)
