@@ -903,7 +903,7 @@ def overwrite_dynamic_safe(spark, sf_dir):
     month keeps January intact and the rerun idempotent."""
     from meterwise.sources.writers import save_month, write_partitioned
     path = scratch(spark, "loads")
-    c = cleaned(spark, sf_dir, "orders")
+    c = staged(spark, cleaned(spark, sf_dir, "orders"), "trips")  # read by three loads
     feb = c.where((F.col("pickup_year") == 1996)
                   & ((F.col("pickup_month") == 2)
                      | ((F.col("pickup_month") == 1) & (F.col("payment_type") == 1))))
