@@ -1158,8 +1158,8 @@ def validate_cumulative_vendor(spark, sf_dir):
     """V2: the cumulative mart's monthly columns reconcile with the fact and
     every running total continues the previous month's."""
     from meterwise.operators.quality import validate_cumulative
-    f = fact(spark, sf_dir, "orders")
-    cum = N.build_cumulative_mart(f, M.VENDOR_MONTH, vendor_dim(spark, sf_dir, "orders"), MODE, load_ts=False)
+    f = staged(spark, fact(spark, sf_dir, "orders"), "fact")  # read for the dimension, the mart and the totals
+    cum = N.build_cumulative_mart(f, M.VENDOR_MONTH, build_dim_vendor(f), MODE, load_ts=False)
     return validate_cumulative(f, cum, "vendor_id")
 
 
