@@ -19,7 +19,7 @@ from meterwise.plans.layers import (MART_COLUMNS, Layout, backfill, build_daily_
                                     validation_report)
 from meterwise.plans.queries import (CL_TE, CL_TO, MODE, ORDERS_MAX_MINUTES, W_TE, W_TO, _cumulative_query_sql,
                                      _monthly_query_sql, _zone_hour_sql, cleaned, fact, register, run_backfill,
-                                     scratch, trips, zone)
+                                     scratch, staged, trips, zone)
 from meterwise.sources.readers import read_loads, read_source
 from meterwise.sources.writers import write_partitioned
 
@@ -55,7 +55,7 @@ def layered_schema_drift(spark, sf_dir):
     an optional fee only in later months; no load loses a value."""
     root = scratch(spark, "drift")
     year, month = _pickup()
-    raw = yellow(spark, sf_dir).withColumn("_m", year * 12 + month - 1)
+    raw = staged(spark, yellow(spark, sf_dir).withColumn("_m", year * 12 + month - 1), "drift-trips", "_m")
     for turn, kind in enumerate(("double", "int", "bigint")):
         part = raw.where(F.col("_m") % 3 == turn).withColumn("extra", F.col("payment_type").cast(kind))
         early, late = part.where(F.col("_m") < DRIFT_FROM), part.where(F.col("_m") >= DRIFT_FROM)
