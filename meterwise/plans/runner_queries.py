@@ -98,21 +98,20 @@ def layered_rerun_corrected(spark, sf_dir):
     it is loaded again without them, and the month before is emptied."""
     root = scratch(spark, "corrected")
     year, month = _pickup()
-    raw = yellow(spark, sf_dir)
-    key = year * 12 + month
+    raw = staged(spark, yellow(spark, sf_dir).withColumn("_k", year * 12 + month), "corrected-trips", "_k")
     # The last two source months: two rows, they choose the loads to correct.
-    last, prev = [r["k"] for r in raw.select(key.alias("k")).distinct().orderBy(F.desc("k")).limit(2).collect()]
+    last, prev = [r["k"] for r in raw.select(F.col("_k").alias("k")).distinct().orderBy(F.desc("k")).limit(2).collect()]
 
     def ym(k: int) -> tuple[int, int]:
         return (k - 1) // 12, (k - 1) % 12 + 1
 
-    stray = raw.where((key == prev) & (F.col("payment_type") == 1))
-    write_sources(raw, f"{root}/source", year, month)
-    write_sources(stray, f"{root}/source", F.lit(ym(last)[0]), F.lit(ym(last)[1]))
+    stray = raw.where((F.col("_k") == prev) & (F.col("payment_type") == 1))
+    write_sources(raw.drop("_k"), f"{root}/source", year, month)
+    write_sources(stray.drop("_k"), f"{root}/source", F.lit(ym(last)[0]), F.lit(ym(last)[1]))
     lay, z = Layout(root), zone(spark, sf_dir)
     backfill(spark, lay, f"{root}/source", z, MODE, ORDERS_MAX_MINUTES)
-    raw.where(key == last).write.parquet(f"{root}/fixed")
-    raw.where(F.lit(False)).write.parquet(f"{root}/emptied")
+    raw.where(F.col("_k") == last).drop("_k").write.parquet(f"{root}/fixed")
+    raw.where(F.lit(False)).drop("_k").write.parquet(f"{root}/emptied")
     run_month(spark, lay, f"{root}/fixed", *ym(last), z, MODE, ORDERS_MAX_MINUTES)
     run_month(spark, lay, f"{root}/emptied", *ym(prev), z, MODE, ORDERS_MAX_MINUTES, allow_empty=True)
     return _trips_per_month(spark, lay)
