@@ -39,7 +39,8 @@ from meterwise.operators.dims import build_dim_date, build_dim_time, build_dim_v
 from meterwise.operators.fact import build_fact, cleaned_for_months
 from meterwise.operators.partial import build_daily_partial
 from meterwise.operators.quality import continuity_summary, dsum, observe
-from meterwise.session import checkpoint_dir, keeps_shuffle_setting, scratch_path, size_shuffles, written_size
+from meterwise.session import (bounded_writes, checkpoint_dir, keeps_shuffle_setting, scratch_path, size_shuffles,
+                               written_size)
 from meterwise.sources import publish as P
 from meterwise.sources.months import month_paths, months_of, resolve_months
 from meterwise.sources.readers import detect_format, month_filter, read_loads, read_source
@@ -452,6 +453,7 @@ def _finish_run(log: _RunLog, months, paths, whole: bool = False, totals: tuple
         raise ValueError(f"validation of months {named or 'all'} failed: {v}")
 
 
+@bounded_writes
 def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year: int, month: int,
               zone_dim: DataFrame, money_mode: str = "double",
               max_minutes: float = C.DEFAULT_MAX_MINUTES, schema=None, allow_empty: bool = False) -> str:
@@ -566,6 +568,7 @@ def validate_written(spark: SparkSession, layout: Layout, months: list[tuple[int
             "amount_diff": max(r["amount_diff"] for r in rows.values()), "failed": failed, "passed": not failed}
 
 
+@bounded_writes
 @keeps_shuffle_setting
 def backfill(spark: SparkSession, layout: Layout, source_root: str, zone_dim: DataFrame,
              money_mode: str = "double", max_minutes: float = C.DEFAULT_MAX_MINUTES, schema=None,

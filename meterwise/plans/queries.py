@@ -25,7 +25,7 @@ from meterwise.operators.dims import (build_dim_time, build_dim_vendor, dim_date
 from meterwise.operators.fact import build_fact
 from meterwise.plans import fixtures as FX
 from meterwise.plans import sqlparts as Q
-from meterwise.session import apply_query_conf
+from meterwise.session import apply_query_conf, bounded_writes
 
 MODE = "decimal"
 # Orders ship up to ~7 years after the order date; a one-day cap would drop
@@ -1059,6 +1059,7 @@ def layered_fact_ids(spark, sf_dir):
         F.sum("total_amount").cast(M.SUM_DECIMAL).alias("amount"))
 
 
+@bounded_writes
 def write_monthly_sources(spark, sf_dir, root: str) -> str:
     """Monthly source files (yellow spelling) derived from the tables, one
     folder per pickup month, written in one job."""
