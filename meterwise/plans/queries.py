@@ -1064,12 +1064,20 @@ def write_monthly_sources(spark, sf_dir, root: str) -> str:
     """Monthly source files (yellow spelling) derived from the tables, one
     folder per pickup month, written in one job."""
     src = f"{root}/source/yellow"
-    raw = FX.as_variant_raw(trips(spark, sf_dir, "orders"), "yellow")
+    raw = FX.as_variant_raw(by_pickup(trips(spark, sf_dir, "orders")), "yellow")
     (raw.withColumns({"year": F.year("tpep_pickup_datetime"), "month": F.month("tpep_pickup_datetime")})
-     .hint("rebalance", "year", "month").write.partitionBy("year", "month").mode("overwrite").parquet(src))
+     .write.partitionBy("year", "month").mode("overwrite").parquet(src))
     return src
 
 
+def by_pickup(trips_view: DataFrame, *parts: str) -> DataFrame:
+    """Trips clustered by parts of their pickup time (default year and month), so that a write
+    task holds few folders.  A view is clustered before it is spelled as a variant: fewer columns move."""
+    at = {"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")}
+    parts = parts or ("year", "month")
+    return trips_view.withColumns({p: at[p] for p in parts}).hint("rebalance", *parts)
+
+
 def run_backfill(spark, sf_dir):
     from meterwise.plans.layers import Layout, backfill
     root = scratch(spark, "backfill")
