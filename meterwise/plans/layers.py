@@ -195,6 +195,15 @@ def loads_holding(spark: SparkSession, layout: Layout, months: list[tuple[int, i
     return sorted((r["src_year"], r["src_month"]) for r in lm.select("src_year", "src_month").distinct().collect())
 
 
+def months_by_load(spark: SparkSession, layout: Layout) -> list[tuple[tuple[int, int], tuple[int, int]]]:
+    """The load-month table as (load, pickup month) pairs: calendar-sized."""
+    if not layout.has(spark, layout.load_months):
+        return []
+    lm = layout.read(spark, layout.load_months)
+    return [((r["src_year"], r["src_month"]), (r["pickup_year"], r["pickup_month"]))
+            for r in lm.select("src_year", "src_month", "pickup_year", "pickup_month").distinct().collect()]
+
+
 def held_months(spark: SparkSession, layout: Layout,
                 loads: list[tuple[int, int]] | None = None) -> set[tuple[int, int]]:
     """Pickup months the loads hold now, by the load-month table."""
@@ -229,14 +238,15 @@ def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[
     rebuilt from every load holding it; a month that none holds any more is
     dropped.  Returns the touched months and the rows written for them.
     """
-    touched = sorted(held_months(spark, layout, loads) | set(before))
-    gone = set(touched) - held_months(spark, layout)
+    pairs = months_by_load(spark, layout)  # asked once, for this run's loads and all others
+    touched = sorted({m for load, m in pairs if load in set(loads)} | set(before))
+    gone = set(touched) - {m for _, m in pairs}
     drop_months(spark, layout, layout.fact, gone)
     months = [m for m in touched if m not in gone]
     if not months:
         return touched, 0
     cleaned_all = layout.read(spark, layout.cleaned)
-    sources = loads_holding(spark, layout, months)
+    sources = sorted({load for load, m in pairs if m in set(months)})
     size_shuffles(spark, [load_path(root, y, m) for y, m in sources for root in {layout.cleaned, layout.to(layout.cleaned)}])
     src = cleaned_all.where(month_filter(sources, "src_year", "src_month"))  # prunes load folders
     fact, obs = observe(build_fact(cleaned_for_months(src, months), with_ids=True, money_mode=money_mode), "fact")
@@ -244,10 +254,10 @@ def build_fact_for_loads(spark: SparkSession, layout: Layout, loads: list[tuple[
     return touched, _rows(obs, layout.read(spark, layout.fact).where(month_filter(months)))
 
 
-def write_dims(spark: SparkSession, layout: Layout, zone_dim: DataFrame) -> None:
+def write_dims(spark: SparkSession, layout: Layout, zone_dim: DataFrame, held: set | None = None) -> None:
     """The zone, time and date dimensions.  The calendar spans the
-    months that the load-month table names; no trip is read for it."""
-    held = sorted(held_months(spark, layout))
+    months that the load-month table names (``held``); no trip is read for it."""
+    held = sorted(held_months(spark, layout) if held is None else held)
     write_table(build_dim_zone(zone_dim).coalesce(1), layout.to(layout.dim("zone")))
     if not layout.has(spark, layout.dim("time")):
         write_table(build_dim_time(spark).coalesce(1), layout.to(layout.dim("time")))
@@ -326,11 +336,12 @@ def _drop_base(spark: SparkSession, base: DataFrame) -> None:
 
 @keeps_shuffle_setting
 def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int]], zone_dim: DataFrame,
-                money_mode: str = "double") -> tuple | None:
+                money_mode: str = "double", held: set | None = None) -> tuple | None:
     """O2 step 2 + O3 + O5: dims and the four marts for the touched months.
-    Returns the rows and the amount of the Fact that was read for them."""
+    Returns the rows and the amount of the Fact that was read for them.
+    ``held`` (the months all loads hold now) saves asking for them again."""
     checkpoint_dir(spark)
-    held = held_months(spark, layout)
+    held = held_months(spark, layout) if held is None else held
     for mart in layout.marts.values():
         drop_months(spark, layout, layout.p(mart), set(months) - held)
     if not held:
@@ -339,14 +350,14 @@ def build_marts(spark: SparkSession, layout: Layout, months: list[tuple[int, int
     fact = layout.read(spark, layout.fact).where(month_filter(months))
     base, totals = base_pass(spark, fact, money_mode)
     try:
-        _marts_from_base(spark, layout, base, months, zone_dim, money_mode)
+        _marts_from_base(spark, layout, base, months, zone_dim, money_mode, held)
     finally:
         _drop_base(spark, base)
     return totals
 
 
 def _marts_from_base(spark: SparkSession, layout: Layout, base: DataFrame, months, zone_dim: DataFrame,
-                     money_mode: str) -> None:
+                     money_mode: str, held: set) -> None:
     """Dimensions and marts of touched ``months`` from the aggregates of one pass."""
     # D1, incrementally: only codes of the touched months that the
     # dimension does not know yet are added; the common case (no new code)
@@ -362,7 +373,7 @@ def _marts_from_base(spark: SparkSession, layout: Layout, base: DataFrame, month
     else:
         write_table(seen, layout.to(layout.dim_vendor))
     dim_vendor = layout.read(spark, layout.dim_vendor)
-    write_dims(spark, layout, zone_dim)
+    write_dims(spark, layout, zone_dim, held)
     for name, spec, dim in (("zone_hour", M.ZONE_HOUR, zone_dim), ("vendor_hour", M.VENDOR_HOUR, dim_vendor)):
         write_partitioned(M.finish_mart(M.of_mart(base, spec), spec, dim, money_mode), layout.to(layout.mart(name)),
                           mode="dynamic")
@@ -474,9 +485,10 @@ def run_month(spark: SparkSession, layout: Layout, source: str | list[str], year
             return log.run_id
         months, rows = build_fact_for_loads(spark, layout, loads, money_mode, before)
         folders = [f"year={y}/month={m}" for y, m in months]
-        left = sorted(held_months(spark, layout) & set(months))
+        held = held_months(spark, layout)
+        left = sorted(held & set(months))
         log.add("fact", months, cl["rows"], rows, [f"{layout.to(layout.fact)}/{f}" for f in folders])
-        totals = build_marts(spark, layout, months, zone_dim, money_mode) if months else None
+        totals = build_marts(spark, layout, months, zone_dim, money_mode, held) if months else None
         if left:
             _finish_run(log, left, [f"{layout.to(layout.mart(k))}/{f}" for k in layout.marts for f in folders], totals=totals)
         else:

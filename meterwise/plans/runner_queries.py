@@ -18,8 +18,9 @@ from meterwise.plans import sqlparts as Q
 from meterwise.plans.layers import (MART_COLUMNS, Layout, backfill, build_daily_partials, run_month, run_range,
                                     validation_report)
 from meterwise.plans.queries import (CL_TE, CL_TO, MODE, ORDERS_MAX_MINUTES, W_TE, W_TO, _cumulative_query_sql,
-                                     _monthly_query_sql, _zone_hour_sql, cleaned, fact, register, run_backfill,
-                                     scratch, staged, trips, zone)
+                                     _monthly_query_sql, _zone_hour_sql, by_pickup, cleaned, fact, register,
+                                     run_backfill, scratch, staged, trips, zone)
+from meterwise.session import bounded_writes
 from meterwise.sources.readers import read_loads, read_source
 from meterwise.sources.writers import write_partitioned
 
@@ -120,12 +121,14 @@ def layered_rerun_corrected(spark, sf_dir):
 # ------------------------------------------------------------ range runs
 
 @register("layered_range_run", _cumulative_query_sql("pickup_location_id", "zone"))
+@bounded_writes
 def layered_range_run(spark, sf_dir):
     """O1 + S9: yearly loads come in three ranges, one after the other; the
     running totals are those of one full build."""
     root = scratch(spark, "ranges")
     year, _ = _pickup()
-    src = write_sources(yellow(spark, sf_dir), f"{root}/source", year, F.lit(12))
+    raw = FX.as_variant_raw(by_pickup(trips(spark, sf_dir, "orders"), "year"), "yellow")
+    src = write_sources(raw, f"{root}/source", year, F.lit(12))
     lay, z = Layout(root), zone(spark, sf_dir)
     for start, end in ((None, "1996-12"), ("1997-01", "1999-12"), ("2000-01", None)):
         run_range(spark, lay, src, z, start, end, money_mode=MODE, max_minutes=ORDERS_MAX_MINUTES)
