@@ -141,12 +141,16 @@ def layered_range_run(spark, sf_dir):
 SELECT pickup_year AS year, pickup_month AS month, count(*) AS yellow,
        nullif(count(*) FILTER (WHERE payment_type <= 2), 0) AS green, count(*) AS fact
 FROM cl GROUP BY 1, 2""")
+@bounded_writes
 def layered_two_variants(spark, sf_dir):
     """O2: yellow and green under one root; Fact stays the yellow one."""
     root = scratch(spark, "variants")
     z = zone(spark, sf_dir)
-    frames = {"yellow": yellow(spark, sf_dir),
-              "green": FX.as_variant_raw(trips(spark, sf_dir, "orders").where("payment_type <= 2"), "green")}
+    # Joined once and staged by month: a task that writes sources holds few folders.
+    at = {"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")}
+    both = staged(spark, trips(spark, sf_dir, "orders").withColumns(at), "variant-trips", "year", "month")
+    frames = {"yellow": FX.as_variant_raw(both, "yellow"),
+              "green": FX.as_variant_raw(both.where("payment_type <= 2"), "green")}
     counts = []
     for variant, raw in frames.items():
         src = write_sources(raw, f"{root}/source/{variant}", *_pickup("tpep" if variant == "yellow" else "lpep"))
