@@ -520,6 +520,34 @@ def test_search_asks_whole_texts(spark, docs, monkeypatch, small):
             assert np.allclose([s for *_, s in mine], [score[d] for d in top])
 
 
+def test_search_moves_no_shards(spark, monkeypatch):
+    # Visits read the shards where they lie, each from a file of its own; lots are bounded by terms too.
+    plans, shards, visits = [], [], []
+    write, visit = topk_search.written, topk_search._visit
+
+    def note(spark, df, name, *by, **options):
+        out = write(spark, df, name, *by, **options)
+        if name == "search-found":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        if name == "search-shards":
+            shards.append([(r["f"], r["shard"]) for r in out.selectExpr("input_file_name() f", "shard").collect()])
+        return out
+
+    monkeypatch.setattr(topk_search, "written", note)
+    monkeypatch.setattr(topk_search, "_visit", lambda *a, **b: visits.append(1) or visit(*a, **b))
+    monkeypatch.setattr(topk_search, "SHARD_POSTINGS", 200)
+    data = [(i, " ".join(f"w{(i * j) % 37}" for j in range(1, 20))) for i in range(120)]
+    table = spark.createDataFrame(data, "doc_id long, text string").repartition(2)
+    asked = table.where("doc_id % 20 = 0")
+    whole = sorted(topk_search.search(spark, table, asked).collect())
+    assert len(shards[0]) > 2 and len({f for f, _ in shards[0]}) == len(shards[0])
+    assert plans and not any("hashpartitioning(bundle" in p or "CoGroup" in p for p in plans)
+    once = len(visits)
+    monkeypatch.setattr(topk_search, "LOT_TERMS", 40)
+    assert sorted(topk_search.search(spark, table, asked).collect()) == whole and len(whole) == 60
+    assert len(visits) > 2 * once
+
+
 # ---- 9 packing
 
 @pytest.mark.parametrize("options", [{}, {"task_pieces": 15, "released": 200, "fan": 2}])
