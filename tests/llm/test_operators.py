@@ -548,6 +548,76 @@ def test_search_moves_no_shards(spark, monkeypatch):
     assert len(visits) > 2 * once
 
 
+def test_search_shards_hold_documents_alike(spark, monkeypatch):
+    # Two vocabularies, dealt in turn: no shard mixes them.
+    monkeypatch.setattr(topk_search, "SHARD_POSTINGS", 600)
+    data = [(i, " ".join(f"{'ab'[i % 2]}{(i * j) % 41}" for j in range(1, 24))) for i in range(1, 160)]
+    shards = topk_search.index_shards(spark.createDataFrame(data, "doc_id long, text string").coalesce(1)).collect()
+    ids = [np.frombuffer(r["doc_ids"], "<i8") for r in shards]
+    assert sorted(np.concatenate(ids).tolist()) == [i for i, _ in data] and len(ids) > 2
+    assert all(len({d % 2 for d in own.tolist()}) == 1 for own in ids)
+
+
+def test_search_opens_a_shard_once(spark, monkeypatch):
+    # The rounds of a lot share the shards out; none is read in two of them.
+    read, visit = [], topk_search._visit
+
+    def note(shards, *rest):
+        read.append([r["shard"] for r in shards.select("shard").collect()])
+        return visit(shards, *rest)
+
+    monkeypatch.setattr(topk_search, "_visit", note)
+    monkeypatch.setattr(topk_search, "SHARD_POSTINGS", 120)
+    monkeypatch.setattr(topk_search, "BUNDLE_WORDS", 200)
+    data = [(i, " ".join(f"w{(i * j) % 53}" for j in range(1, 20))) for i in range(160)]
+    table = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    topk_search.search(spark, table, table.where("doc_id % 20 = 0")).collect()
+    assert len(read) > 2 and all(read)
+    assert len({s for own in read for s in own}) == sum(map(len, read))
+
+
+@pytest.mark.parametrize("share", [0.0, 0.5, 0.95])
+def test_search_of_a_shard_with_floors(spark, monkeypatch, share):
+    # Whatever is bounded or scored by a product, a query gets its k best from its floor on.
+    import random
+    monkeypatch.setattr(topk_search, "LIGHT_SHARE", share)
+    monkeypatch.setattr(topk_search, "BATCH_POSTINGS", 50)
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    heavy = [1 / (i + 1) for i in range(400)]
+    data = [(i, " ".join(r.choices(words, heavy, k=r.randint(3, 60)))) for i in range(300)]
+    table = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    count = [(d, Counter(t.encode().split())) for d, t in data]
+    n, avg = len(data), sum(len(t.split()) for _, t in data) / len(data)
+    df = Counter(t for _, c in count for t in c)
+    idf = {t: np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) for t in df}
+    shard, = topk_search.index_shards(table).collect()
+    asked = [(d, *topk_search.term_counts(t)[:2]) for d, t in data[::5]]
+    of_hash = {int(topk_search.term_counts(t.decode())[0][0]): t for t in df}
+    places = np.concatenate([t for _, t, _ in asked])
+    terms, place = np.unique(places, return_inverse=True)
+    lot = topk_search.Lot([{
+        "query_ids": np.array([d for d, *_ in asked], "<i8").tobytes(),
+        "starts": np.r_[0, np.cumsum([len(t) for _, t, _ in asked])].astype("<u4").tobytes(),
+        "places": place.astype("<u4").tobytes(), "terms": terms.astype("<i8").tobytes(),
+        "dfs": np.array([df[of_hash[int(t)]] for t in terms], "<i8").tobytes()}], n)
+    want = {}
+    for q, words_of in count[::5]:
+        score = {d: sum(idf[t] * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * sum(c.values()) / avg)) for t in words_of if t in c)
+                 for d, c in count if d != q}
+        want[q] = sorted(((round(x, 9), -d) for d, x in score.items() if x > 0), reverse=True)
+    opened = topk_search.Shard(shard.asDict(), avg, lot)
+    for at in (None, 0, 4, 30):  # no floor, and that of a rank
+        floors = np.array([want[q][at][0] if at is not None and len(want[q]) > at else 0.0
+                           for q in lot.query_ids.tolist()])
+        got = {int(lot.query_ids[q]): list(zip(np.round(x, 8), (-d).tolist()))
+               for first in (0, 25) for q, d, x in opened.find(first, 25 if not first else len(floors), floors, 6)}
+        for q, floor in zip(lot.query_ids.tolist(), floors.tolist()):
+            mine = [(x, d) for x, d in want[q] if x >= floor - 2e-9][:6]
+            assert [d for _, d in got.get(q, [])] == [d for _, d in mine]
+            assert np.allclose([x for x, _ in got.get(q, [])], [x for x, _ in mine])
+
+
 # ---- 9 packing
 
 @pytest.mark.parametrize("options", [{}, {"task_pieces": 15, "released": 200, "fan": 2}])
